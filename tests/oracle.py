@@ -1,0 +1,69 @@
+"""Differential check of a Spark query against DuckDB SQL on the same parquet
+tables: same column names, same row count, same multiset of rows."""
+
+from __future__ import annotations
+
+import datetime as dt
+import decimal
+import math
+from collections import Counter
+
+import duckdb
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents "
+    "embeddings pages benchmark labels conversations"
+).split()
+
+
+def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    con.execute("SET TimeZone='UTC'")
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+    return con
+
+
+def _norm(v):
+    if isinstance(v, float):
+        if math.isnan(v):
+            return "nan"
+        return float(f"{v:.10g}")
+    if isinstance(v, decimal.Decimal):
+        return float(f"{float(v):.10g}")
+    if isinstance(v, dt.datetime):
+        return v.replace(tzinfo=None).isoformat()
+    if isinstance(v, dt.date):
+        return v.isoformat()
+    if isinstance(v, (list, tuple)):
+        return tuple(_norm(x) for x in v)
+    if isinstance(v, dict):
+        return tuple(sorted((k, _norm(x)) for k, x in v.items()))
+    return v
+
+
+def rows_of(cols: list[str], rows) -> Counter:
+    order = sorted(range(len(cols)), key=lambda i: cols[i])
+    return Counter(tuple(_norm(r[i]) for i in order) for r in rows)
+
+
+def compare(spark_df, con, sql: str) -> dict:
+    s_cols = spark_df.columns
+    s_rows = [tuple(r) for r in spark_df.collect()]
+    cur = con.execute(sql)
+    d_cols = [c[0] for c in cur.description]
+    d_rows = cur.fetchall()
+    out = {
+        "spark_rows": len(s_rows),
+        "oracle_rows": len(d_rows),
+        "columns_match": sorted(s_cols) == sorted(d_cols),
+    }
+    if not out["columns_match"]:
+        out["spark_cols"], out["oracle_cols"] = sorted(s_cols), sorted(d_cols)
+    a, b = rows_of(s_cols, s_rows), rows_of(d_cols, d_rows)
+    out["values_match"] = out["columns_match"] and a == b
+    if not out["values_match"] and out["columns_match"]:
+        out["only_spark"] = list((a - b).items())[:3]
+        out["only_oracle"] = list((b - a).items())[:3]
+    out["ok"] = out["values_match"] and out["spark_rows"] == out["oracle_rows"]
+    return out
