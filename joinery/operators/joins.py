@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.casts import try_cast_text
 from ..functions.jsonfields import json_value
 from ..functions.keys import ColumnLike
 from .profile import DEFAULT_MAX_KEYS, broadcast_threshold, checked_broadcast
@@ -73,7 +74,7 @@ def _aligned(left: Column, ltype: T.DataType, rtype: T.DataType) -> Column:
     if ltype == rtype:
         return left
     if isinstance(ltype, T.StringType):
-        return left.try_cast(rtype)
+        return try_cast_text(left, ltype, rtype)
     if isinstance(rtype, T.StringType):
         return left.cast("string")
     return left

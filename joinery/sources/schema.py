@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.casts import try_cast_text
+
 log = logging.getLogger(__name__)
 
 # Type names accepted in a JSON field list. Any atomic class name of
@@ -133,11 +135,11 @@ def conform(
     for name in df.columns:
         dt = wanted.get(name)
         if dt is None or dt == current[name]:
-            cols.append(F.col(name))
+            cols.append(F.col(f"`{name}`"))
         elif on_error == "null":
-            cols.append(F.col(name).try_cast(dt).alias(name))
+            cols.append(try_cast_text(F.col(f"`{name}`"), current[name], dt).alias(name))
         else:
-            cols.append(F.col(name).cast(dt).alias(name))
+            cols.append(F.col(f"`{name}`").cast(dt).alias(name))
     absent = [f for f in st.fields if f.name not in current]
     if absent and missing == "error":
         raise ValueError(f"columns missing from the frame: {[f.name for f in absent]}")
