@@ -1,0 +1,66 @@
+"""Registered queries: differential check against DuckDB at sf0.01, and plan
+properties (no Python evaluation, scans pruned, one primary scan in chain mode)."""
+
+import re
+
+import pytest
+
+import __spark_entry__ as entry
+from conftest import SF001, SF01
+from oracle import compare, duck
+
+QUERIES = entry.queries()
+ORACLE = entry.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def con():
+    return duck(SF01)
+
+
+def test_entry_smoke(spark):
+    df = entry.entry(spark)
+    assert df.count() > 0
+    assert df.columns == entry.entry(spark).columns
+
+
+def test_every_query_but_sketches_has_an_oracle():
+    assert set(QUERIES) - set(ORACLE) == {"join_profile_approx"}
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_query_matches_oracle(spark, con, name):
+    res = compare(QUERIES[name](spark, SF01), con, ORACLE[name])
+    assert res["ok"], res
+
+
+def test_sketch_query_is_close(spark, con):
+    got = QUERIES["join_profile_approx"](spark, SF01).collect()[0]
+    exact = con.execute("SELECT count(DISTINCT user_id), count(*) FROM events").fetchone()
+    assert got.rows == exact[1]
+    assert abs(got["keys"] - exact[0]) <= 0.05 * exact[0]
+
+
+def _physical(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_no_python_in_plans(spark, name):
+    plan = _physical(QUERIES[name](spark, SF001))
+    assert "EvalPython" not in plan and "PythonUDF" not in plan and "MapInPandas" not in plan
+
+
+def test_chain_mode_scans_primary_once(spark):
+    chain = _physical(QUERIES["enrich_frame_chain"](spark, SF001))
+    merge = _physical(QUERIES["enrich_frame_merge"](spark, SF001))
+    scans = lambda p: len(re.findall(r"FileScan parquet \S*\[event_id", p))
+    assert scans(chain) == 1
+    assert scans(merge) == 2
+
+
+def test_scans_are_pruned(spark):
+    plan = _physical(QUERIES["inner_sql"](spark, SF001))
+    assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint>" in plan
+    plan = _physical(QUERIES["enrich_default"](spark, SF001))
+    assert "PushedFilters: [IsNotNull(c_acctbal), GreaterThan(c_acctbal,0.0)" in plan
