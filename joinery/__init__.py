@@ -6,7 +6,15 @@ and per-source option profiles."""
 from .functions import join_key, json_value, normalise
 from .operators import *  # noqa: F403
 from .operators import __all__ as _ops
-from .plans import ActivityStep, HierarchyStep, enrich_frame, run_enrichment, work_item_key
+from .plans import (
+    ActivityStep,
+    HierarchyStep,
+    enrich_frame,
+    run_enrichment,
+    span_expansion_job,
+    tag_json_with_indicator,
+    work_item_key,
+)
 from .sources import (
     assert_schema,
     conform,
@@ -33,6 +41,8 @@ __all__ = [
     "scan",
     "scan_table",
     "schema_from_spec",
+    "span_expansion_job",
+    "tag_json_with_indicator",
     "work_item_key",
     "write_csv",
     "write_dated",

@@ -175,18 +175,32 @@ def enrich_sql(
     on: str | tuple[str, str],
     take: Mapping[str, str] | Sequence[str],
     default: str = NOT_DEFINED,
-    broadcast_lookup: bool = False,
+    strategy: str = "catalyst",
+    max_keys: int | None = DEFAULT_MAX_KEYS,
 ) -> DataFrame:
     """The same enrichment as one Spark SQL statement over the two frames
-    (``SELECT p.*, COALESCE(a.x, :default) AS … LEFT OUTER JOIN``). With
-    ``broadcast_lookup`` the statement carries a ``BROADCAST(a)`` hint — use it
-    only for a lookup whose size was checked (see ``join_profile``)."""
+    (``SELECT p.*, COALESCE(a.x, :default) AS … LEFT OUTER JOIN``).
+
+    ``strategy="auto"`` / ``"broadcast"`` profile the lookup's key and
+    label columns (one job) and add a ``BROADCAST(a)`` hint only when the profile
+    proves them small (``auto`` also needs fewer than ``max_keys`` keys);
+    ``"shuffle"`` adds a ``MERGE(a)`` hint."""
     lkey, rkey = _pair(on)
     takes = _takes(take)
     clash = [o for o in takes if o in primary.columns]
     if clash:
         raise ValueError(f"output columns already exist on the primary: {clash}")
-    hint = "/*+ BROADCAST(a) */ " if broadcast_lookup else ""
+    if strategy not in STRATEGIES:
+        raise ValueError(f"strategy must be one of {STRATEGIES}")
+    hint = ""
+    if strategy == "shuffle":
+        hint = "/*+ MERGE(a) */ "
+    elif strategy in ("auto", "broadcast"):
+        used = lookup.select(F.col(_q(rkey)), *[F.col(_q(src)) for src in dict.fromkeys(takes.values()) if src != rkey])
+        keys = max_keys if strategy == "auto" else None
+        hinted, _prof = checked_broadcast(used, key=F.col(_q(rkey)), threshold=broadcast_threshold(spark), max_keys=keys)
+        if hinted is not used:
+            hint = "/*+ BROADCAST(a) */ "
     sel = ",\n       ".join(f"COALESCE(a.{_q(src)}, :dflt) AS {_q(out)}" for out, src in takes.items())
     query = (
         f"SELECT {hint}p.*,\n       {sel}\n"

@@ -36,6 +36,7 @@ from ..operators import (
 from ..functions.keys import normalise
 from ..session import shared_path
 from ..sources import conform, scan, write_csv, write_dated
+from .jobs import span_expansion_job, tag_json_with_indicator
 from .workflow import ActivityStep, HierarchyStep, enrich_frame
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -182,6 +183,17 @@ def q_enrich_hint(spark, d):
     return _enrich_orders(spark, d, strategy="auto")
 
 
+def q_enrich_sql_hint(spark, d):
+    return enrich_sql(
+        spark,
+        table(spark, d, "orders"),
+        _paying_customers(spark, d),
+        ("o_custkey", "c_custkey"),
+        {"customer_name": "c_name", "segment": "c_mktsegment"},
+        strategy="auto",
+    )
+
+
 def q_inner_sql(spark, d):
     return inner_sql(
         spark, table(spark, d, "orders"), table(spark, d, "customer"),
@@ -226,6 +238,11 @@ def q_json_put(spark, d):
     return json_put(flagged, "props", "indicator", "indicator")
 
 
+def q_indicator_job(spark, d):
+    return tag_json_with_indicator(table(spark, d, "events"), table(spark, d, "supplier"),
+                                   ("user_id", "s_suppkey"), "s_name", "props", "indicator")
+
+
 def q_merge_outer(spark, d):
     a, b = _merge_sides(spark, d)
     return merge(a, b)
@@ -244,6 +261,16 @@ def q_expand_days_drop(spark, d):
     return expand_days(_order_spans(spark, d), "start_date", "end_date", on_reversed="drop")
 
 
+SPAN_DDL = "o_orderkey BIGINT, o_orderstatus STRING, start_date DATE, end_date DATE"
+
+
+def q_span_job(spark, d):
+    src = write_csv(_order_spans(spark, d), shared_path(spark, "spans_csv"))
+    _bounds, expanded = span_expansion_job(spark, src, SPAN_DDL, "start_date", "end_date",
+                                           output_path=shared_path(spark, "spans_out"))
+    return expanded
+
+
 def q_span_bounds(spark, d):
     return span_bounds(_order_spans(spark, d), "start_date", "end_date")
 
@@ -295,6 +322,7 @@ QUERIES: dict[str, Query] = {
     "enrich_default": q_enrich_default,
     "enrich_sql": q_enrich_sql,
     "enrich_hint": q_enrich_hint,
+    "enrich_sql_hint": q_enrich_sql_hint,
     "inner_sql": q_inner_sql,
     "json_get": q_json_get,
     "hierarchy_enrich": q_hierarchy_enrich,
@@ -303,10 +331,12 @@ QUERIES: dict[str, Query] = {
     "latest_snapshot_by_id": q_latest_snapshot_by_id,
     "indicator": q_indicator,
     "json_put": q_json_put,
+    "indicator_job": q_indicator_job,
     "merge_outer": q_merge_outer,
     "merge_null_safe": q_merge_null_safe,
     "expand_days": q_expand_days,
     "expand_days_drop": q_expand_days_drop,
+    "span_job": q_span_job,
     "span_bounds": q_span_bounds,
     "span_bounds_shipdate": q_span_bounds_shipdate,
     "join_profile": q_join_profile,
@@ -347,6 +377,14 @@ WITH s AS (SELECT o_custkey, max(o_orderdate) AS latest_snap_date FROM orders GR
 SELECT e.*, s.o_custkey, s.latest_snap_date
 FROM e LEFT JOIN s ON TRY_CAST(e.employee_number AS BIGINT) = s.o_custkey"""
 
+_JSON_PUT = """
+WITH f AS (SELECT e.*, coalesce(s.s_name, 'N') AS indicator
+           FROM events e LEFT JOIN supplier s ON e.user_id = s.s_suppkey)
+SELECT event_id, ts, user_id, event_type, value,
+       '{"k":"' || json_extract_string(props, '$.k') || '","indicator":"' || indicator || '"}' AS props,
+       indicator
+FROM f"""
+
 _MERGE_SIDES = """
 base AS (SELECT event_id, ts, user_id,
                 CASE WHEN event_type <> 'error' THEN event_type END AS event_type, value, props
@@ -416,6 +454,7 @@ FROM orders""",
     "enrich_default": _ENRICH_ORDERS,
     "enrich_sql": _ENRICH_ORDERS,
     "enrich_hint": _ENRICH_ORDERS,
+    "enrich_sql_hint": _ENRICH_ORDERS,
     "inner_sql": """
 SELECT t1.o_orderkey, t2.c_name, t1.o_custkey
 FROM orders t1 INNER JOIN customer t2 ON t1.o_custkey = t2.c_custkey""",
@@ -430,13 +469,8 @@ FROM events GROUP BY user_id""",
     "indicator": """
 SELECT e.*, coalesce(s.s_name, 'N') AS indicator
 FROM events e LEFT JOIN supplier s ON e.user_id = s.s_suppkey""",
-    "json_put": """
-WITH f AS (SELECT e.*, coalesce(s.s_name, 'N') AS indicator
-           FROM events e LEFT JOIN supplier s ON e.user_id = s.s_suppkey)
-SELECT event_id, ts, user_id, event_type, value,
-       '{"k":"' || json_extract_string(props, '$.k') || '","indicator":"' || indicator || '"}' AS props,
-       indicator
-FROM f""",
+    "json_put": _JSON_PUT,
+    "indicator_job": _JSON_PUT,
     "merge_outer": f"""
 WITH {_MERGE_SIDES}
 SELECT * FROM a FULL JOIN s USING ({', '.join(_MERGE_KEYS)})""",
@@ -447,6 +481,11 @@ SELECT {', '.join(f'coalesce(a.{k}, s.{k}) AS {k}' for k in _MERGE_KEYS)},
 FROM a FULL JOIN s ON {' AND '.join(f'a.{k} IS NOT DISTINCT FROM s.{k}' for k in _MERGE_KEYS)}""",
     "expand_days": f"""
 WITH {_EXPANDED}
+SELECT o_orderkey, o_orderstatus, start_date, end_date,
+       CAST(start_date + CAST(CASE WHEN end_date >= start_date THEN i ELSE -i END AS INTEGER) AS DATE) AS snap_date
+FROM steps""",
+    "span_job": f"""
+WITH {_EXPANDED}
 SELECT o_orderkey, o_orderstatus, start_date, end_date,
        CAST(start_date + CAST(CASE WHEN end_date >= start_date THEN i ELSE -i END AS INTEGER) AS DATE) AS snap_date
 FROM steps""",

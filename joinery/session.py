@@ -13,20 +13,35 @@ from pyspark.sql import SparkSession
 log = logging.getLogger(__name__)
 
 
+def recommended_conf(shuffle_partitions: int = 8) -> dict[str, str]:
+    """Settings the operators are designed around (a cluster deployment sets
+    ``spark.sql.shuffle.partitions`` to its own scale, e.g. a few thousand for
+    tens of TB; AQE then coalesces small partitions).
+
+    * AQE on, with partition coalescing and skew-join splitting: a hot key on
+      the primary side of a left-outer join is split over several tasks.
+    * ``fileCompressionFactor`` 4: Catalyst's static size estimate of a Parquet
+      scan is its compressed file size; scaling it up keeps a lookup whose
+      decoded size exceeds the broadcast limit from being broadcast on an
+      under-estimate. AQE's runtime decision uses measured shuffle sizes.
+    """
+    return {
+        "spark.sql.shuffle.partitions": str(shuffle_partitions),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.sources.fileCompressionFactor": "4.0",
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
 def local_session(cores: int | str = "*", app: str = "joinery", **conf) -> SparkSession:
     """A local session configured like the tests expect: few shuffle partitions,
     AQE on, UTC, ANSI left at Spark's default (on)."""
-    b = (
-        SparkSession.builder.master(f"local[{cores}]")
-        .appName(app)
-        .config("spark.sql.shuffle.partitions", str(conf.pop("shuffle_partitions", 8)))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", conf.pop("driver_memory", "8g"))
-    )
+    b = SparkSession.builder.master(f"local[{cores}]").appName(app)
+    for k, v in recommended_conf(int(conf.pop("shuffle_partitions", 8))).items():
+        b = b.config(k, v)
+    b = b.config("spark.ui.enabled", "false").config("spark.driver.memory", conf.pop("driver_memory", "8g"))
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()

@@ -1,10 +1,11 @@
 """Sources, sinks and declared schemas."""
 
 from .readers import detect_format, scan, scan_table
-from .schema import assert_schema, conform, schema_diff, schema_from_spec
+from .schema import SchemaLike, assert_schema, conform, schema_diff, schema_from_spec
 from .sinks import dated_path, write_csv, write_dated
 
 __all__ = [
+    "SchemaLike",
     "assert_schema",
     "conform",
     "dated_path",
