@@ -307,6 +307,7 @@ def merge(
     b: DataFrame,
     on: Sequence[str] | None = None,
     null_safe: bool = False,
+    skew_split: bool = True,
 ) -> DataFrame:
     """Full-outer merge of two frames on ``on`` (default: every common column).
 
@@ -318,6 +319,14 @@ def merge(
     rows come out n × n times. ``null_safe=True`` compares with ``<=>``, so two
     enrichments of one duplicate-free frame merge back to its row count.
 
+    ``skew_split=True`` (default) computes the same rows as a left-outer join
+    of ``a`` with ``b`` plus the rows only in ``b`` (an anti join). Unlike a
+    full-outer join, AQE can split a hot key of ``a`` (first join) or of ``b``
+    (second join) over several tasks. Rows whose key can never match
+    (a NULL key without ``null_safe``) are spread over all partitions by a hash
+    of the row instead of meeting in one. ``skew_split=False`` plans one
+    full-outer sort-merge join.
+
     Frames without a common column raise ``ValueError``: a cross product is not
     offered.
     """
@@ -327,14 +336,78 @@ def merge(
     missing = [k for k in keys if k not in a.columns or k not in b.columns]
     if missing:
         raise ValueError(f"merge columns missing on one side: {missing}")
+    kset = set(keys)
+    a_rest = [c for c in a.columns if c not in kset]
+    b_rest = [c for c in b.columns if c not in kset]
+    if set(a_rest) & set(b_rest):
+        skew_split = False  # duplicate output names: keep Spark's USING semantics
+    if skew_split:
+        return _merge_split(a, b, keys, a_rest, b_rest, null_safe)
     if not null_safe:
         return a.join(b, keys, "full_outer")
     la, rb = a.alias(_L), b.alias(_R)
     cond = functools.reduce(lambda x, y: x & y, [_lcol(k).eqNullSafe(_rcol(k)) for k in keys])
     joined = la.join(rb, cond, "full_outer")
-    kset = set(keys)
     return joined.select(
         *[F.coalesce(_lcol(k), _rcol(k)).alias(k) for k in keys],
-        *[_lcol(c) for c in a.columns if c not in kset],
-        *[_rcol(c) for c in b.columns if c not in kset],
+        *[_lcol(c) for c in a_rest],
+        *[_rcol(c) for c in b_rest],
+    )
+
+
+def _sentinel(dt: T.DataType) -> Column:
+    """Any non-NULL value of the type (stands in for NULL inside a join key
+    whose NULL-ness is carried by a separate tag)."""
+    if isinstance(dt, (T.ArrayType, T.MapType, T.StructType)):
+        raise TypeError("complex merge keys are not supported with skew_split")
+    if isinstance(dt, T.BooleanType):
+        return F.lit(False)
+    if isinstance(dt, (T.StringType, T.BinaryType)):
+        return F.lit("").cast(dt)
+    if isinstance(dt, T.DateType):
+        return F.lit("1970-01-01").cast(dt)
+    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
+        return F.lit("1970-01-01 00:00:00").cast(dt)
+    return F.lit(0).cast(dt)
+
+
+def _merge_keys(df: DataFrame, keys: Sequence[str], null_safe: bool, side: int) -> DataFrame:
+    """Append non-nullable join-key columns ``__m0..`` and a tag ``__mt``.
+
+    With ``null_safe`` the tag records which keys are NULL (so NULL matches
+    NULL). Otherwise a row with any NULL key can never match: its tag is a hash
+    of the whole row, positive on side 1 and negative on side 2, so such rows
+    match nothing and spread over all partitions."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    cols = [F.coalesce(F.col(_q(k)), _sentinel(types[k])).alias(f"__m{i}") for i, k in enumerate(keys)]
+    if null_safe:
+        tag = F.lit(0).cast("long")
+        for i, k in enumerate(keys):
+            tag = tag + F.when(F.col(_q(k)).isNull(), F.lit(1 << min(i, 62))).otherwise(F.lit(0)).cast("long")
+    else:
+        any_null = functools.reduce(lambda x, y: x | y, [F.col(_q(k)).isNull() for k in keys])
+        h = F.pmod(F.xxhash64(*[F.col(_q(c)) for c in df.columns]), F.lit((1 << 62) - 1)) + F.lit(1)
+        tag = F.when(any_null, h if side == 1 else -h).otherwise(F.lit(0).cast("long"))
+    return df.select("*", *cols, tag.alias("__mt"))
+
+
+def _merge_split(a, b, keys, a_rest, b_rest, null_safe):
+    """``a ⟕ b`` (matched pairs and rows only in ``a``) ∪ ``b ▷ a`` (rows only
+    in ``b``). AQE may split hot keys of ``a`` in the first join and of ``b`` in
+    the second. ``b``'s shuffle is shared by both joins (the first also reads
+    ``b``'s own key columns, through the coalesce, so both need the same
+    projection of ``b``); ``a`` adds one narrow key-only shuffle for the anti
+    join."""
+    ka = _merge_keys(a, keys, null_safe, 1).alias(_L)
+    kb = _merge_keys(b, keys, null_safe, 2).alias(_R)
+    names = [f"__m{i}" for i in range(len(keys))] + ["__mt"]
+    cond = functools.reduce(lambda x, y: x & y, [_lcol(n) == _rcol(n) for n in names])
+    atypes = {f.name: f.dataType for f in a.schema.fields}
+    with_a = ka.join(kb, cond, "left_outer").select(
+        *[F.coalesce(_lcol(k), _rcol(k)).alias(k) for k in keys], *[_lcol(c) for c in a_rest], *[_rcol(c) for c in b_rest]
+    )
+    only_b = kb.join(ka, cond, "left_anti").select(
+        *[_rcol(k).alias(k) for k in keys], *[F.lit(None).cast(atypes[c]).alias(c) for c in a_rest],
+        *[_rcol(c) for c in b_rest],
     )
+    return with_a.unionByName(only_b)

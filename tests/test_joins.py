@@ -145,3 +145,27 @@ def test_null_safe_merge_of_two_enrichments_keeps_count(spark):
     assert merge(a, b, null_safe=True).count() == 3000
     # a NULL in a shared column never matches: those 1000 rows come out once per side
     assert merge(a, b).count() == 4000
+
+
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_split_merge_equals_full_outer(spark, null_safe):
+    """Hot key (a third of the rows), NULL keys and duplicates on both sides."""
+    import random
+
+    random.seed(21 + null_safe)
+
+    def rows(n, tag):
+        out = []
+        for i in range(n):
+            r = random.random()
+            k = "hot" if r < 0.33 else (None if r < 0.45 else f"k{random.randint(0, 40)}")
+            k2 = None if random.random() < 0.1 else random.randint(0, 3)
+            out.append((k, k2, f"{tag}{i % 7}"))
+        return out
+
+    a = spark.createDataFrame(rows(300, "a"), "k string, k2 int, va string")
+    b = spark.createDataFrame(rows(200, "b"), "k string, k2 int, vb string")
+    plain = merge(a, b, null_safe=null_safe, skew_split=False)
+    split = merge(a, b, null_safe=null_safe, skew_split=True)
+    assert split.columns == plain.columns
+    assert sorted(map(tuple, split.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
