@@ -24,8 +24,8 @@ def latest_snapshot(
     By default every key column is a grouping column (an entity whose name
     changed has one row per name). With ``latest_only=True`` the first key is
     the entity id and each further key takes its value from the latest row of
-    that id (``max_by``), giving one row per id. Ties on the latest ``ts`` pick
-    any one of the tied rows.
+    that id (``max_by``), giving one row per id. Ties on the latest ``ts`` take
+    the greatest value, so a recomputed task gives the same answer.
     """
     keys = list(keys)
     if not keys:
@@ -34,7 +34,7 @@ def latest_snapshot(
         return df.groupBy(*keys).agg(F.max(ts).alias(out))
     ident, rest = keys[0], keys[1:]
     return df.groupBy(ident).agg(
-        *[F.max_by(k, ts).alias(k) for k in rest],
+        *[F.max_by(k, F.when(F.col(ts).isNotNull(), F.struct(F.col(ts), F.col(k)))).alias(k) for k in rest],
         F.max(ts).alias(out),
     )
 

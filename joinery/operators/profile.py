@@ -212,10 +212,6 @@ def checked_broadcast(
     return df, prof
 
 
-def _bounded_count(df: DataFrame, cap: int) -> int:
-    return df.limit(cap + 1).count()
-
-
 def profiles_frame(spark: SparkSession, profiles: Mapping[str, Mapping[str, Any]], source_col: str = "source") -> DataFrame:
     """Profile table from the config shape ``{source: {option: value}}``.
     Option types come from the Python values (bool, int, float, str; all
@@ -250,9 +246,9 @@ def with_profile(
     row's ``key``. A row whose source has no profile (or is NULL) takes the
     **whole** default profile — options are not merged one by one.
 
-    The profile table is broadcast after a bounded row count proves it has at
-    most ``max_profiles`` rows; a larger table is joined by shuffle. The default
-    profile (exactly one row, else ``ValueError``) becomes a literal.
+    The profile table is broadcast only when one profile job over it measures
+    it below the broadcast threshold; a larger table is joined by shuffle. The
+    default profile (exactly one row, else ``ValueError``) becomes a literal.
     """
     opts = [c for c in profiles.columns if c != source_col]
     clash = [c for c in opts if c in df.columns]
@@ -264,8 +260,7 @@ def with_profile(
     types = {f.name: f.dataType for f in profiles.schema.fields}
     dstruct = F.struct(*[F.lit(dflt[0][o]).cast(types[o]).alias(o) for o in opts])
     table = profiles.select(F.col(source_col).alias("__src"), F.struct(*[F.col(f"`{o}`") for o in opts]).alias("__opt"))
-    if _bounded_count(profiles, max_profiles) <= max_profiles:
-        table = F.broadcast(table)
+    table, _prof = checked_broadcast(table, key=F.col("__src"), max_keys=max_profiles)
     joined = df.join(table, df[key] == table["__src"], "left")
     chosen = F.coalesce(F.col("__opt"), dstruct)
     return joined.select(*[df[c] for c in df.columns], *[chosen.getField(o).alias(o) for o in opts])

@@ -184,7 +184,9 @@ def run_enrichment(spark: SparkSession, cfg: Mapping[str, Any]) -> dict[str, str
 
     if do_act and do_hier:
         if mode == "chain":
-            final = combine(branches, mode, hier)
+            # continue from the written activity output instead of recomputing it
+            base = spark.read.parquet(written["activity"]) if "activity" in written else branches["activity"]
+            final = _hierarchy(base, hier, None)
         else:
             sides = {}
             for name in ("activity", "hierarchy"):

@@ -85,3 +85,12 @@ def test_match_stats(spark):
     assert got == {"c1": (3, 1), "c2": (3, 2)}
     plain = {r.column: r.matched_rows for r in match_stats(df, "c1").collect()}
     assert plain == {"c1": 2}
+
+
+def test_latest_only_ties_and_nulls_are_deterministic(spark):
+    df = spark.createDataFrame(
+        [("e1", "A", D(2024, 1, 2)), ("e1", "C", D(2024, 1, 2)), ("e1", "Z", None), ("e2", "Q", None)],
+        "id string, name string, d date",
+    )
+    got = {r.id: (r.name, r.latest_snap_date) for r in latest_snapshot(df, ["id", "name"], "d", latest_only=True).collect()}
+    assert got == {"e1": ("C", D(2024, 1, 2)), "e2": (None, None)}
