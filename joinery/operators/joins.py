@@ -386,7 +386,7 @@ def _merge_keys(df: DataFrame, keys: Sequence[str], null_safe: bool, side: int)
             tag = tag + F.when(F.col(_q(k)).isNull(), F.lit(1 << min(i, 62))).otherwise(F.lit(0)).cast("long")
     else:
         any_null = functools.reduce(lambda x, y: x | y, [F.col(_q(k)).isNull() for k in keys])
-        h = F.pmod(F.xxhash64(*[F.col(_q(c)) for c in df.columns]), F.lit((1 << 62) - 1)) + F.lit(1)
+        h = F.coalesce(F.pmod(F.xxhash64(*[F.col(_q(c)) for c in df.columns]), F.lit((1 << 62) - 1)), F.lit(0)) + F.lit(1)
         tag = F.when(any_null, h if side == 1 else -h).otherwise(F.lit(0).cast("long"))
     return df.select("*", *cols, tag.alias("__mt"))
 

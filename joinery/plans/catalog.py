@@ -127,6 +127,12 @@ def q_flagship(spark, d):
     return enrich(keyed, brands, "JoinKey", {"brand_label": "brand"})
 
 
+def q_flagship_unique(spark, d):
+    keyed = _part_keyed(spark, d)
+    brands = keyed.filter(F.col("p_size") > 25).groupBy("JoinKey").agg(F.max("p_brand").alias("brand"))
+    return enrich(keyed, brands, "JoinKey", {"brand_label": "brand"}, unique=True)
+
+
 def q_typed_scan(spark, d):
     orders = scan(spark, f"{d}/orders.parquet")
     return conform(
@@ -169,6 +175,10 @@ def q_enrich_default(spark, d):
     return _enrich_orders(spark, d)
 
 
+def q_enrich_shuffle(spark, d):
+    return _enrich_orders(spark, d, strategy="shuffle")
+
+
 def q_enrich_sql(spark, d):
     return enrich_sql(
         spark,
@@ -238,6 +248,10 @@ def q_json_put(spark, d):
     return json_put(flagged, "props", "indicator", "indicator")
 
 
+def q_json_put_bad_payload(spark, d):
+    return json_put(table(spark, d, "pages"), "html", "url", "url", flag="_corrupt")
+
+
 def q_indicator_job(spark, d):
     return tag_json_with_indicator(table(spark, d, "events"), table(spark, d, "supplier"),
                                    ("user_id", "s_suppkey"), "s_name", "props", "indicator")
@@ -253,6 +267,16 @@ def q_merge_null_safe(spark, d):
     return merge(a, b, null_safe=True)
 
 
+def q_merge_outer_plain(spark, d):
+    a, b = _merge_sides(spark, d)
+    return merge(a, b, skew_split=False)
+
+
+def q_merge_null_safe_plain(spark, d):
+    a, b = _merge_sides(spark, d)
+    return merge(a, b, null_safe=True, skew_split=False)
+
+
 def q_expand_days(spark, d):
     return expand_days(_order_spans(spark, d), "start_date", "end_date")
 
@@ -264,6 +288,10 @@ def q_expand_days_drop(spark, d):
 SPAN_DDL = "o_orderkey BIGINT, o_orderstatus STRING, start_date DATE, end_date DATE"
 
 
+def q_expand_days_keep_null(spark, d):
+    return expand_days(_order_spans(spark, d), "start_date", "end_date", on_reversed="drop", keep_null=True)
+
+
 def q_span_job(spark, d):
     src = write_csv(_order_spans(spark, d), shared_path(spark, "spans_csv"))
     _bounds, expanded = span_expansion_job(spark, src, SPAN_DDL, "start_date", "end_date",
@@ -314,12 +342,14 @@ def q_enrich_frame_by_source(spark, d):
 
 QUERIES: dict[str, Query] = {
     "flagship": q_flagship,
+    "flagship_unique": q_flagship_unique,
     "typed_scan": q_typed_scan,
     "csv_round_trip": q_csv_round_trip,
     "dated_round_trip": q_dated_round_trip,
     "normalise_text": q_normalise_text,
     "join_key": q_join_key,
     "enrich_default": q_enrich_default,
+    "enrich_shuffle": q_enrich_shuffle,
     "enrich_sql": q_enrich_sql,
     "enrich_hint": q_enrich_hint,
     "enrich_sql_hint": q_enrich_sql_hint,
@@ -331,11 +361,15 @@ QUERIES: dict[str, Query] = {
     "latest_snapshot_by_id": q_latest_snapshot_by_id,
     "indicator": q_indicator,
     "json_put": q_json_put,
+    "json_put_bad_payload": q_json_put_bad_payload,
     "indicator_job": q_indicator_job,
     "merge_outer": q_merge_outer,
     "merge_null_safe": q_merge_null_safe,
+    "merge_outer_plain": q_merge_outer_plain,
+    "merge_null_safe_plain": q_merge_null_safe_plain,
     "expand_days": q_expand_days,
     "expand_days_drop": q_expand_days_drop,
+    "expand_days_keep_null": q_expand_days_keep_null,
     "span_job": q_span_job,
     "span_bounds": q_span_bounds,
     "span_bounds_shipdate": q_span_bounds_shipdate,
@@ -437,12 +471,25 @@ ep AS (
          CASE WHEN p.source IS NOT NULL THEN p.output ELSE 'output' END AS output
   FROM events e LEFT JOIN p ON e.event_type = p.source)"""
 
-ORACLE_SQL: dict[str, str] = {
-    "flagship": f"""
+_FLAGSHIP = f"""
 WITH {_PART_KEYED},
 brands AS (SELECT JoinKey, max(p_brand) AS brand FROM part_keyed WHERE p_size > 25 GROUP BY JoinKey)
 SELECT k.*, coalesce(b.brand, 'Not Defined') AS brand_label
-FROM part_keyed k LEFT JOIN brands b ON k.JoinKey = b.JoinKey""",
+FROM part_keyed k LEFT JOIN brands b ON k.JoinKey = b.JoinKey"""
+
+_MERGE_OUTER = f"""
+WITH {_MERGE_SIDES}
+SELECT * FROM a FULL JOIN s USING ({', '.join(_MERGE_KEYS)})"""
+
+_MERGE_NULL_SAFE = f"""
+WITH {_MERGE_SIDES}
+SELECT {', '.join(f'coalesce(a.{k}, s.{k}) AS {k}' for k in _MERGE_KEYS)},
+       a.nation_name, s.supplier_name
+FROM a FULL JOIN s ON {' AND '.join(f'a.{k} IS NOT DISTINCT FROM s.{k}' for k in _MERGE_KEYS)}"""
+
+ORACLE_SQL: dict[str, str] = {
+    "flagship": _FLAGSHIP,
+    "flagship_unique": _FLAGSHIP,
     "typed_scan": """
 SELECT o_orderkey, TRY_CAST(o_custkey AS INTEGER) AS o_custkey, o_orderstatus, o_totalprice,
        CAST(o_orderdate AS DATE) AS o_orderdate, TRY_CAST(o_orderpriority AS INTEGER) AS o_orderpriority
@@ -452,6 +499,7 @@ FROM orders""",
     "normalise_text": f"SELECT doc_id, {_n('text')} AS norm_text FROM documents",
     "join_key": f"WITH {_PART_KEYED} SELECT p_partkey, JoinKey FROM part_keyed",
     "enrich_default": _ENRICH_ORDERS,
+    "enrich_shuffle": _ENRICH_ORDERS,
     "enrich_sql": _ENRICH_ORDERS,
     "enrich_hint": _ENRICH_ORDERS,
     "enrich_sql_hint": _ENRICH_ORDERS,
@@ -471,14 +519,18 @@ SELECT e.*, coalesce(s.s_name, 'N') AS indicator
 FROM events e LEFT JOIN supplier s ON e.user_id = s.s_suppkey""",
     "json_put": _JSON_PUT,
     "indicator_job": _JSON_PUT,
-    "merge_outer": f"""
-WITH {_MERGE_SIDES}
-SELECT * FROM a FULL JOIN s USING ({', '.join(_MERGE_KEYS)})""",
-    "merge_null_safe": f"""
-WITH {_MERGE_SIDES}
-SELECT {', '.join(f'coalesce(a.{k}, s.{k}) AS {k}' for k in _MERGE_KEYS)},
-       a.nation_name, s.supplier_name
-FROM a FULL JOIN s ON {' AND '.join(f'a.{k} IS NOT DISTINCT FROM s.{k}' for k in _MERGE_KEYS)}""",
+    # A NULL payload becomes a one-field object; anything that is not a JSON
+    # object is kept and flagged. (Every page is HTML, so the object-upsert
+    # branch, covered by "json_put", does not occur in this table.)
+    "json_put_bad_payload": """
+SELECT page_id, url,
+       CASE WHEN html IS NULL THEN '{"url":' || to_json(url) || '}' ELSE html END AS html,
+       (html IS NOT NULL AND NOT CASE WHEN json_valid(html) THEN json_type(html) = 'OBJECT' ELSE false END) AS _corrupt
+FROM pages""",
+    "merge_outer": _MERGE_OUTER,
+    "merge_null_safe": _MERGE_NULL_SAFE,
+    "merge_outer_plain": _MERGE_OUTER,
+    "merge_null_safe_plain": _MERGE_NULL_SAFE,
     "expand_days": f"""
 WITH {_EXPANDED}
 SELECT o_orderkey, o_orderstatus, start_date, end_date,
@@ -489,6 +541,14 @@ WITH {_EXPANDED}
 SELECT o_orderkey, o_orderstatus, start_date, end_date,
        CAST(start_date + CAST(CASE WHEN end_date >= start_date THEN i ELSE -i END AS INTEGER) AS DATE) AS snap_date
 FROM steps""",
+    "expand_days_keep_null": f"""
+WITH {_EXPANDED}
+SELECT o_orderkey, o_orderstatus, start_date, end_date,
+       CAST(start_date + CAST(i AS INTEGER) AS DATE) AS snap_date
+FROM steps WHERE end_date >= start_date
+UNION ALL
+SELECT o_orderkey, o_orderstatus, start_date, end_date, CAST(NULL AS DATE) AS snap_date
+FROM spans WHERE NOT (end_date >= start_date) OR start_date IS NULL OR end_date IS NULL""",
     "expand_days_drop": f"""
 WITH {_EXPANDED}
 SELECT o_orderkey, o_orderstatus, start_date, end_date,
