@@ -319,10 +319,10 @@ def merge(
     rows come out n × n times. ``null_safe=True`` compares with ``<=>``, so two
     enrichments of one duplicate-free frame merge back to its row count.
 
-    ``skew_split=True`` (default) computes the same rows as a left-outer join
-    of ``a`` with ``b`` plus the rows only in ``b`` (an anti join). Unlike a
-    full-outer join, AQE can split a hot key of ``a`` (first join) or of ``b``
-    (second join) over several tasks. Rows whose key can never match
+    ``skew_split=True`` (default) computes the same rows as an inner join plus
+    the rows of each side whose key the other side lacks (two anti joins
+    against the other side's distinct keys). Unlike a full-outer join, these
+    joins let AQE split a hot key of either side over several tasks. Rows whose key can never match
     (a NULL key without ``null_safe``) are spread over all partitions by a hash
     of the row instead of meeting in one. ``skew_split=False`` plans one
     full-outer sort-merge join.
@@ -371,6 +371,19 @@ def _sentinel(dt: T.DataType) -> Column:
     return F.lit(0).cast(dt)
 
 
+def _key_type(dt: T.DataType) -> T.DataType:
+    return T.StringType() if isinstance(dt, (T.FloatType, T.DoubleType)) else dt
+
+
+def _join_value(c: Column, dt: T.DataType) -> Column:
+    """A floating-point key as its exact text, with NaN and -0.0 made canonical
+    (the equality Spark's joins use). Keeping float keys out of the join lets a
+    pre-aggregated side keep the partitioning the join needs."""
+    if isinstance(dt, (T.FloatType, T.DoubleType)):
+        return F.when(F.isnan(c), F.lit("NaN")).when(c == 0, F.lit("0.0")).otherwise(c.cast("string"))
+    return c
+
+
 def _merge_keys(df: DataFrame, keys: Sequence[str], null_safe: bool, side: int) -> DataFrame:
     """Append non-nullable join-key columns ``__m0..`` and a tag ``__mt``.
 
@@ -379,7 +392,8 @@ def _merge_keys(df: DataFrame, keys: Sequence[str], null_safe: bool, side: int)
     of the whole row, positive on side 1 and negative on side 2, so such rows
     match nothing and spread over all partitions."""
     types = {f.name: f.dataType for f in df.schema.fields}
-    cols = [F.coalesce(F.col(_q(k)), _sentinel(types[k])).alias(f"__m{i}") for i, k in enumerate(keys)]
+    cols = [F.coalesce(_join_value(F.col(_q(k)), types[k]), _sentinel(_key_type(types[k]))).alias(f"__m{i}")
+            for i, k in enumerate(keys)]
     if null_safe:
         tag = F.lit(0).cast("long")
         for i, k in enumerate(keys):
@@ -392,22 +406,34 @@ def _merge_keys(df: DataFrame, keys: Sequence[str], null_safe: bool, side: int)
 
 
 def _merge_split(a, b, keys, a_rest, b_rest, null_safe):
-    """``a ⟕ b`` (matched pairs and rows only in ``a``) ∪ ``b ▷ a`` (rows only
-    in ``b``). AQE may split hot keys of ``a`` in the first join and of ``b`` in
-    the second. ``b``'s shuffle is shared by both joins (the first also reads
-    ``b``'s own key columns, through the coalesce, so both need the same
-    projection of ``b``); ``a`` adds one narrow key-only shuffle for the anti
-    join."""
+    """``a ⋈ b`` (matched pairs) ∪ ``a ▷ keys(b)`` ∪ ``b ▷ keys(a)`` (rows of
+    one side whose key the other side lacks).
+
+    AQE may split a hot key of either side in the inner join, and of the
+    streamed side in each anti join. The other side of an anti join is the
+    ``distinct`` set of keys, aggregated map-side first, so a hot key reaches
+    its reducer as about one row per map task. Each side's full rows are
+    shuffled once and shared by its inner and anti join (both read the side's
+    key columns, the inner join through the coalesce)."""
     ka = _merge_keys(a, keys, null_safe, 1).alias(_L)
     kb = _merge_keys(b, keys, null_safe, 2).alias(_R)
     names = [f"__m{i}" for i in range(len(keys))] + ["__mt"]
     cond = functools.reduce(lambda x, y: x & y, [_lcol(n) == _rcol(n) for n in names])
     atypes = {f.name: f.dataType for f in a.schema.fields}
-    with_a = ka.join(kb, cond, "left_outer").select(
+    btypes = {f.name: f.dataType for f in b.schema.fields}
+    # groupBy (not distinct) keeps the key order, so the aggregate's shuffle
+    # already has the partitioning the anti join needs
+    a_keys = ka.groupBy(*[_lcol(n) for n in names]).agg(F.count(F.lit(1)).alias("__n")).alias(_L)
+    b_keys = kb.groupBy(*[_rcol(n) for n in names]).agg(F.count(F.lit(1)).alias("__n")).alias(_R)
+    both = ka.join(kb, cond, "inner").select(
         *[F.coalesce(_lcol(k), _rcol(k)).alias(k) for k in keys], *[_lcol(c) for c in a_rest], *[_rcol(c) for c in b_rest]
     )
-    only_b = kb.join(ka, cond, "left_anti").select(
+    only_a = ka.join(b_keys, cond, "left_anti").select(
+        *[_lcol(k).alias(k) for k in keys], *[_lcol(c) for c in a_rest],
+        *[F.lit(None).cast(btypes[c]).alias(c) for c in b_rest],
+    )
+    only_b = kb.join(a_keys, cond, "left_anti").select(
         *[_rcol(k).alias(k) for k in keys], *[F.lit(None).cast(atypes[c]).alias(c) for c in a_rest],
         *[_rcol(c) for c in b_rest],
     )
-    return with_a.unionByName(only_b)
+    return both.unionByName(only_a).unionByName(only_b)
