@@ -322,10 +322,11 @@ def merge(
     ``skew_split=True`` (default) computes the same rows as an inner join plus
     the rows of each side whose key the other side lacks (two anti joins
     against the other side's distinct keys). Unlike a full-outer join, these
-    joins let AQE split a hot key of either side over several tasks. Rows whose key can never match
-    (a NULL key without ``null_safe``) are spread over all partitions by a hash
-    of the row instead of meeting in one. ``skew_split=False`` plans one
-    full-outer sort-merge join.
+    joins let AQE split a hot key of either side over several tasks. Rows
+    whose key can never match (a NULL key without ``null_safe``) are spread
+    over all partitions by a hash of the row instead of meeting in one.
+    ``skew_split=False`` plans one full-outer sort-merge join (also used for
+    array, map or struct keys).
 
     Frames without a common column raise ``ValueError``: a cross product is not
     offered.
@@ -341,6 +342,8 @@ def merge(
     b_rest = [c for c in b.columns if c not in kset]
     if set(a_rest) & set(b_rest):
         skew_split = False  # duplicate output names: keep Spark's USING semantics
+    if any(isinstance(_dtype(df, k), _COMPLEX) for df in (a, b) for k in keys):
+        skew_split = False
     if skew_split:
         return _merge_split(a, b, keys, a_rest, b_rest, null_safe)
     if not null_safe:
@@ -355,11 +358,25 @@ def merge(
     )
 
 
+_COMPLEX = (T.ArrayType, T.MapType, T.StructType)
+
+
+def _has_map(dt: T.DataType) -> bool:
+    """Map values cannot be hashed by Spark's hash functions."""
+    if isinstance(dt, T.MapType):
+        return True
+    if isinstance(dt, T.ArrayType):
+        return _has_map(dt.elementType)
+    if isinstance(dt, T.StructType):
+        return any(_has_map(f.dataType) for f in dt.fields)
+    return False
+
+
 def _sentinel(dt: T.DataType) -> Column:
     """Any non-NULL value of the type (stands in for NULL inside a join key
     whose NULL-ness is carried by a separate tag)."""
-    if isinstance(dt, (T.ArrayType, T.MapType, T.StructType)):
-        raise TypeError("complex merge keys are not supported with skew_split")
+    if isinstance(dt, _COMPLEX):
+        raise TypeError("complex merge keys use the plain full-outer plan")
     if isinstance(dt, T.BooleanType):
         return F.lit(False)
     if isinstance(dt, (T.StringType, T.BinaryType)):
@@ -400,7 +417,8 @@ def _merge_keys(df: DataFrame, keys: Sequence[str], null_safe: bool, side: int)
             tag = tag + F.when(F.col(_q(k)).isNull(), F.lit(1 << min(i, 62))).otherwise(F.lit(0)).cast("long")
     else:
         any_null = functools.reduce(lambda x, y: x | y, [F.col(_q(k)).isNull() for k in keys])
-        h = F.coalesce(F.pmod(F.xxhash64(*[F.col(_q(c)) for c in df.columns]), F.lit((1 << 62) - 1)), F.lit(0)) + F.lit(1)
+        hashable = [F.col(_q(f.name)) for f in df.schema.fields if not _has_map(f.dataType)]
+        h = F.coalesce(F.pmod(F.xxhash64(*hashable), F.lit((1 << 62) - 1)), F.lit(0)) + F.lit(1)
         tag = F.when(any_null, h if side == 1 else -h).otherwise(F.lit(0).cast("long"))
     return df.select("*", *cols, tag.alias("__mt"))
 

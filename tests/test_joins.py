@@ -169,3 +169,13 @@ def test_split_merge_equals_full_outer(spark, null_safe):
     split = merge(a, b, null_safe=null_safe, skew_split=True)
     assert split.columns == plain.columns
     assert sorted(map(tuple, split.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+
+
+def test_merge_with_map_column_and_complex_key(spark):
+    a = spark.createDataFrame([(1, None, {"x": "1"}), (2, "k", {"y": "2"})], "id int, k string, m map<string,string>")
+    b = spark.createDataFrame([(1, None, "B1"), (2, "k", "B2")], "id int, k string, v string")
+    out = merge(a, b, on=["id", "k"])
+    assert out.count() == 3  # NULL k comes out once per side
+    arr_a = spark.createDataFrame([([1, 2], "a")], "k array<int>, va string")
+    arr_b = spark.createDataFrame([([1, 2], "b")], "k array<int>, vb string")
+    assert merge(arr_a, arr_b).collect()[0].vb == "b"
