@@ -20,7 +20,6 @@ from pyspark.sql import types as T
 
 from ..functions.casts import try_cast_text
 from ..functions.jsonfields import json_value
-from ..functions.keys import ColumnLike
 from .profile import DEFAULT_MAX_KEYS, broadcast_threshold, checked_broadcast
 
 log = logging.getLogger(__name__)

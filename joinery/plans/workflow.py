@@ -150,7 +150,9 @@ def run_enrichment(spark: SparkSession, cfg: Mapping[str, Any]) -> dict[str, str
     (frame or path of the raw snapshots), ``employee_info_json_column``,
     ``activity_data_output_path``, ``employee_hierarchy_output_path``,
     ``output_path``; ours: ``as_of`` (date of the file names, default today),
-    ``mode`` (``merge`` / ``merge_null_safe`` / ``chain``), ``strategy``.
+    ``mode`` (``merge`` / ``merge_null_safe`` / ``chain``), ``strategy``,
+    ``hierarchy_latest_only`` (one snapshot row per employee id, its latest
+    name, instead of one per id and name).
 
     An output is written only where its path is set. In merge modes the merge
     reads the two enrichments back from their written Parquet (or from a
@@ -172,7 +174,8 @@ def run_enrichment(spark: SparkSession, cfg: Mapping[str, Any]) -> dict[str, str
     if do_hier:
         raw = cfg.get("employee_hierarchy_source")
         raw = scan(spark, raw) if raw is not None else scan_table(spark, cfg["employee_hierarchy_table"])
-        snap = latest_snapshot(raw, domain.HIERARCHY_GROUP, domain.HIERARCHY_TS, domain.HIERARCHY_OUT)
+        snap = latest_snapshot(raw, domain.HIERARCHY_GROUP, domain.HIERARCHY_TS, domain.HIERARCHY_OUT,
+                               latest_only=bool(cfg.get("hierarchy_latest_only", False)))
         hier = HierarchyStep(snapshot=snap, json_col=cfg["employee_info_json_column"], strategy=strategy)
 
     branches = enrichment_branches(primary, domain.work_item_key, act, hier)

@@ -1,9 +1,7 @@
 import datetime as dt
-import json
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from joinery import ActivityStep, HierarchyStep, enrich_frame, run_enrichment
 from joinery.plans.domain import WORK_ITEM_PARTS
@@ -119,6 +117,11 @@ def test_run_enrichment_writes_dated_outputs(spark, tmp_dir):
     w3 = run_enrichment(spark, safe_cfg)  # merge sides come from reliable checkpoints
     assert spark.read.parquet(w3["merged"]).count() == 3
 
+    latest = dict(cfg, mode="chain", hierarchy_latest_only=True, output_path=os.path.join(tmp_dir, "out_latest"),
+                  activity_data_output_path=None, employee_hierarchy_output_path=None)
+    w4 = run_enrichment(spark, latest)
+    assert spark.read.parquet(w4["merged"]).count() == 3
+
     off = dict(cfg, include_activity_data_enrichment=False, include_employee_hierarchy_enrichment=False)
     assert run_enrichment(spark, off) == {}
 
