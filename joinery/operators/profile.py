@@ -246,9 +246,10 @@ def with_profile(
     row's ``key``. A row whose source has no profile (or is NULL) takes the
     **whole** default profile — options are not merged one by one.
 
-    The profile table is broadcast only when one profile job over it measures
-    it below the broadcast threshold; a larger table is joined by shuffle. The
-    default profile (exactly one row, else ``ValueError``) becomes a literal.
+    One exact profile job over the profile table rejects a source named twice
+    (``ValueError``) and measures its size: it is broadcast only below the
+    broadcast threshold, otherwise joined by shuffle. The default profile
+    (exactly one row, else ``ValueError``) becomes a literal.
     """
     opts = [c for c in profiles.columns if c != source_col]
     clash = [c for c in opts if c in df.columns]
@@ -260,7 +261,13 @@ def with_profile(
     types = {f.name: f.dataType for f in profiles.schema.fields}
     dstruct = F.struct(*[F.lit(dflt[0][o]).cast(types[o]).alias(o) for o in opts])
     table = profiles.select(F.col(source_col).alias("__src"), F.struct(*[F.col(f"`{o}`") for o in opts]).alias("__opt"))
-    table, _prof = checked_broadcast(table, key=F.col("__src"), max_keys=max_profiles)
+    # one exact profile job: rejects a source named twice (it would multiply
+    # rows) and proves the size before broadcasting
+    prof = join_profile(table, "__src", exact=True).first().asDict()
+    if (prof["max_key_rows"] or 0) > 1:
+        raise ValueError(f"profile table names a {source_col} more than once")
+    if qualifies(prof, broadcast_threshold(df.sparkSession), max_profiles):
+        table = F.broadcast(table)
     joined = df.join(table, df[key] == table["__src"], "left")
     chosen = F.coalesce(F.col("__opt"), dstruct)
     return joined.select(*[df[c] for c in df.columns], *[chosen.getField(o).alias(o) for o in opts])

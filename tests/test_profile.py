@@ -84,3 +84,10 @@ def test_with_profile_needs_default(spark):
     df = spark.createDataFrame([("x",)], "s string")
     with pytest.raises(ValueError, match="default"):
         with_profile(df, profiles_frame(spark, {"x": {"a": 1}}), "s")
+
+
+def test_with_profile_rejects_duplicate_sources(spark):
+    df = spark.createDataFrame([("x",)], "s string")
+    profs = spark.createDataFrame([("default", 1), ("x", 2), ("x", 3)], "source string, a bigint")
+    with pytest.raises(ValueError, match="more than once"):
+        with_profile(df, profs, "s")
