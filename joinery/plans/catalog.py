@@ -134,7 +134,7 @@ def q_flagship_unique(spark, d):
 
 
 def q_typed_scan(spark, d):
-    orders = scan(spark, f"{d}/orders.parquet")
+    orders = scan(spark, f"{d.rstrip('/')}/orders.parquet")
     return conform(
         orders,
         "o_orderkey BIGINT, o_custkey INT, o_orderstatus STRING, o_totalprice DOUBLE, "

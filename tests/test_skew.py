@@ -76,3 +76,15 @@ def test_split_merge_hot_key_is_split(spark, skew_conf, hot_side):
     plain = merge(a, b, on=["k"], skew_split=False)
     assert "skew=true" not in _final(plain)
     assert sorted(map(tuple, out.collect())) == sorted(map(tuple, plain.collect()))
+
+
+def test_enrich_null_key_rows_are_split(spark, skew_conf):
+    """Rows switched off by a flag (or with a NULL key) never match; a third
+    of them meet in one hash partition, which AQE splits like a hot key."""
+    prim = _hot_primary(spark).withColumn("on", F.col("k") != "HOT")
+    look = spark.range(500).select(F.col("id").cast("string").alias("k"), F.lit("L").alias("v"))
+    out = enrich(prim, look, "k", ["v"], strategy="shuffle", only_where=F.col("on"))
+    plan = _final(out)
+    assert "skew=true" in plan, plan[:3000]
+    assert out.filter(F.col("v") == "Not Defined").count() == 10000
+    assert out.count() == 30000
