@@ -124,13 +124,70 @@ def enrich_frame(
     mode: str = "merge",
     activity_flag: str | None = None,
     hierarchy_flag: str | None = None,
+    write_to: Mapping[str, str] | None = None,
+    as_of: dt.date | str | None = None,
 ) -> DataFrame:
     """Frame in, frame out: key the primary, apply the enabled enrichments and
     combine them by ``mode``. ``activity_flag`` / ``hierarchy_flag`` name
     boolean columns (e.g. from ``with_profile``) that switch an enrichment per
-    row; a row whose flag is false keeps its columns with defaults / NULLs."""
+    row; a row whose flag is false keeps its columns with defaults / NULLs.
+
+    ``write_to`` maps ``"activity"`` / ``"hierarchy"`` / ``"merged"`` to base
+    paths: those outputs are written as ``{base}/{name}_{YYYYMMDD}`` (dated
+    ``as_of``, default today) and the returned frame is read back from the
+    written final output, so its lineage starts at the files."""
     branches = enrichment_branches(primary, key, activity, hierarchy, activity_flag, hierarchy_flag)
-    return combine(branches, mode, hierarchy, hierarchy_flag)
+    if not write_to:
+        return combine(branches, mode, hierarchy, hierarchy_flag)
+    spark = primary.sparkSession
+    written, final = _write_outputs(spark, branches, hierarchy, hierarchy_flag, mode, write_to, as_of or dt.date.today())
+    if final is None:
+        return combine(branches, mode, hierarchy, hierarchy_flag)
+    return spark.read.parquet(written[final]) if final in written else combine(branches, mode, hierarchy, hierarchy_flag)
+
+
+def _write_outputs(
+    spark: SparkSession,
+    branches: Mapping[str, DataFrame],
+    hier: HierarchyStep | None,
+    hier_flag: str | None,
+    mode: str,
+    paths: Mapping[str, str | None],
+    as_of,
+) -> tuple[dict[str, str], str | None]:
+    """Write each enrichment whose base path is set, then the combination of
+    both. The combination continues from the written enrichments (or from a
+    reliable checkpoint under ``spark.checkpoint.dir`` when one was not
+    written), so the primary is not recomputed for it. Returns the written
+    paths and the name of the final output (``None`` when nothing is enabled)."""
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {MODES}")
+    written: dict[str, str] = {}
+    for name in ("activity", "hierarchy"):
+        if name in branches and paths.get(name):
+            written[name] = write_dated(branches[name], paths[name], domain.OUTPUT_NAMES[name], as_of)
+    have_a, have_h = "activity" in branches, "hierarchy" in branches
+    if not (have_a and have_h):
+        if not have_a and not have_h:
+            log.warning("both enrichments are off: nothing to do")
+            return written, None
+        return written, "activity" if have_a else "hierarchy"
+
+    def side(name: str) -> DataFrame:
+        if name in written:
+            return spark.read.parquet(written[name])
+        checkpoint_root(spark)
+        return branches[name].checkpoint(eager=True)
+
+    if mode == "chain":
+        # continue from the written activity output instead of recomputing it
+        base = spark.read.parquet(written["activity"]) if "activity" in written else branches["activity"]
+        final = _hierarchy(base, hier, hier_flag)
+    else:
+        final = merge(side("activity"), side("hierarchy"), null_safe=(mode == "merge_null_safe"))
+    if paths.get("merged"):
+        written["merged"] = write_dated(final, paths["merged"], domain.OUTPUT_NAMES["merged"], as_of)
+    return written, "merged"
 
 
 def _spec(cfg: Mapping[str, Any], name: str):
@@ -179,30 +236,12 @@ def run_enrichment(spark: SparkSession, cfg: Mapping[str, Any]) -> dict[str, str
         hier = HierarchyStep(snapshot=snap, json_col=cfg["employee_info_json_column"], strategy=strategy)
 
     branches = enrichment_branches(primary, domain.work_item_key, act, hier)
-    written: dict[str, str] = {}
-    targets = (("activity", "activity_data_output_path"), ("hierarchy", "employee_hierarchy_output_path"))
-    for name, path_key in targets:
-        if name in branches and cfg.get(path_key):
-            written[name] = write_dated(branches[name], cfg[path_key], domain.OUTPUT_NAMES[name], as_of)
-
-    if do_act and do_hier:
-        if mode == "chain":
-            # continue from the written activity output instead of recomputing it
-            base = spark.read.parquet(written["activity"]) if "activity" in written else branches["activity"]
-            final = _hierarchy(base, hier, None)
-        else:
-            sides = {}
-            for name in ("activity", "hierarchy"):
-                if name in written:
-                    sides[name] = spark.read.parquet(written[name])
-                else:
-                    checkpoint_root(spark)
-                    sides[name] = branches[name].checkpoint(eager=True)
-            final = merge(sides["activity"], sides["hierarchy"], null_safe=(mode == "merge_null_safe"))
-        if cfg.get("output_path"):
-            written["merged"] = write_dated(final, cfg["output_path"], domain.OUTPUT_NAMES["merged"], as_of)
-    elif not do_act and not do_hier:
-        log.warning("both enrichments are off: nothing to do")
-    else:
+    paths = {
+        "activity": cfg.get("activity_data_output_path"),
+        "hierarchy": cfg.get("employee_hierarchy_output_path"),
+        "merged": cfg.get("output_path"),
+    }
+    written, final = _write_outputs(spark, branches, hier, None, mode, paths, as_of)
+    if final in ("activity", "hierarchy"):
         log.info("one enrichment only: no merged output")
     return written

@@ -140,3 +140,16 @@ def test_enrich_stream_matches_batch(spark, tmp_dir):
     assert spark.table("enriched_stream").count() == 3
     with pytest.raises(ValueError):
         enrich_stream(_primary(spark), activity=act)
+
+
+def test_enrich_frame_writes_and_reads_back(spark, tmp_dir):
+    act, hier = _steps(spark)
+    bases = {k: os.path.join(tmp_dir, k) for k in ("activity", "hierarchy", "merged")}
+    out = enrich_frame(_primary(spark), activity=act, hierarchy=hier, mode="merge_null_safe",
+                       write_to=bases, as_of="2024-02-29")
+    assert os.path.isdir(os.path.join(bases["activity"], "activity_data_20240229"))
+    assert os.path.isdir(os.path.join(bases["hierarchy"], "employee_hierarchy_20240229"))
+    assert "output_20240229" in out.inputFiles()[0]
+    assert out.count() == 3
+    only = enrich_frame(_primary(spark), activity=act, write_to={"activity": os.path.join(tmp_dir, "solo")}, as_of="2024-02-29")
+    assert "activity_data_20240229" in only.inputFiles()[0]
