@@ -140,10 +140,10 @@ def enrich_frame(
     if not write_to:
         return combine(branches, mode, hierarchy, hierarchy_flag)
     spark = primary.sparkSession
-    written, final = _write_outputs(spark, branches, hierarchy, hierarchy_flag, mode, write_to, as_of or dt.date.today())
-    if final is None:
-        return combine(branches, mode, hierarchy, hierarchy_flag)
-    return spark.read.parquet(written[final]) if final in written else combine(branches, mode, hierarchy, hierarchy_flag)
+    written, final, frame = _write_outputs(
+        spark, branches, hierarchy, hierarchy_flag, mode, write_to, as_of or dt.date.today()
+    )
+    return spark.read.parquet(written[final]) if final in written else frame
 
 
 def _write_outputs(
@@ -154,12 +154,13 @@ def _write_outputs(
     mode: str,
     paths: Mapping[str, str | None],
     as_of,
-) -> tuple[dict[str, str], str | None]:
+) -> tuple[dict[str, str], str | None, DataFrame]:
     """Write each enrichment whose base path is set, then the combination of
     both. The combination continues from the written enrichments (or from a
     reliable checkpoint under ``spark.checkpoint.dir`` when one was not
     written), so the primary is not recomputed for it. Returns the written
-    paths and the name of the final output (``None`` when nothing is enabled)."""
+    paths, the name of the final output (``None`` when nothing is enabled) and
+    the final frame (built from the written sides where there are some)."""
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
     written: dict[str, str] = {}
@@ -170,8 +171,9 @@ def _write_outputs(
     if not (have_a and have_h):
         if not have_a and not have_h:
             log.warning("both enrichments are off: nothing to do")
-            return written, None
-        return written, "activity" if have_a else "hierarchy"
+            return written, None, branches["keyed"]
+        name = "activity" if have_a else "hierarchy"
+        return written, name, branches[name]
 
     def side(name: str) -> DataFrame:
         if name in written:
@@ -187,7 +189,7 @@ def _write_outputs(
         final = merge(side("activity"), side("hierarchy"), null_safe=(mode == "merge_null_safe"))
     if paths.get("merged"):
         written["merged"] = write_dated(final, paths["merged"], domain.OUTPUT_NAMES["merged"], as_of)
-    return written, "merged"
+    return written, "merged", final
 
 
 def _spec(cfg: Mapping[str, Any], name: str):
@@ -241,7 +243,7 @@ def run_enrichment(spark: SparkSession, cfg: Mapping[str, Any]) -> dict[str, str
         "hierarchy": cfg.get("employee_hierarchy_output_path"),
         "merged": cfg.get("output_path"),
     }
-    written, final = _write_outputs(spark, branches, hier, None, mode, paths, as_of)
+    written, final, _frame = _write_outputs(spark, branches, hier, None, mode, paths, as_of)
     if final in ("activity", "hierarchy"):
         log.info("one enrichment only: no merged output")
     return written
