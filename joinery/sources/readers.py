@@ -70,7 +70,16 @@ def scan(
       NULL, or fails the job with ``bad_records="fail"``.
 
     A missing path raises ``FileNotFoundError``; another source type ``ValueError``.
+    Errors are logged before they propagate.
     """
+    try:
+        return _scan(spark, source, schema, format, by_position, bad_records, check_nullable)
+    except (FileNotFoundError, ValueError) as e:
+        log.error("failed to load %r: %s", source if isinstance(source, str) else type(source).__name__, e)
+        raise
+
+
+def _scan(spark, source, schema, format, by_position, bad_records, check_nullable):  # noqa: A002
     if isinstance(source, DataFrame):
         df = source
     elif isinstance(source, str):
