@@ -16,6 +16,7 @@ from .jsonops import json_put
 from .keys import with_join_key
 from .profile import (
     advise_broadcast,
+    advise_join,
     broadcast_threshold,
     checked_broadcast,
     join_profile,
@@ -28,6 +29,7 @@ from .timeseries import expand_days
 __all__ = [
     "NOT_DEFINED",
     "advise_broadcast",
+    "advise_join",
     "broadcast_threshold",
     "checked_broadcast",
     "common_columns",

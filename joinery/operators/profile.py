@@ -178,6 +178,25 @@ def advise_broadcast(
     return None
 
 
+def advise_join(
+    left: DataFrame,
+    right: DataFrame,
+    left_key: ColumnLike | Sequence[ColumnLike],
+    right_key: ColumnLike | Sequence[ColumnLike],
+    threshold: int | None = None,
+    max_keys: int | None = DEFAULT_MAX_KEYS,
+    hash_keys: bool = False,
+) -> tuple[str | None, dict, dict]:
+    """Profile both join sides (one aggregate job each) and advise which one to
+    broadcast: ``("left" | "right" | None, left_profile, right_profile)``.
+    ``threshold`` defaults to the session's broadcast threshold. Only the right
+    side of a left-outer join can be broadcast; callers hint accordingly."""
+    limit = broadcast_threshold(left.sparkSession) if threshold is None else threshold
+    pl = join_profile(left, left_key, hash_keys=hash_keys).first().asDict()
+    pr = join_profile(right, right_key, hash_keys=hash_keys).first().asDict()
+    return advise_broadcast(pl, pr, limit, max_keys), pl, pr
+
+
 _SIZE = re.compile(r"^\s*(-?\d+)\s*([kmgt]?)i?b?\s*$", re.IGNORECASE)
 
 

@@ -91,3 +91,23 @@ def test_with_profile_rejects_duplicate_sources(spark):
     profs = spark.createDataFrame([("default", 1), ("x", 2), ("x", 3)], "source string, a bigint")
     with pytest.raises(ValueError, match="more than once"):
         with_profile(df, profs, "s")
+
+
+def test_advise_join_two_jobs(spark):
+    from joinery import advise_join
+
+    big = spark.range(20000).select((F.col("id") % 7000).alias("k"), F.col("id").alias("v"))
+    small = spark.range(50).select(F.col("id").alias("k"), F.lit("x").alias("lbl"))
+    sc = spark.sparkContext
+    tracker = sc.statusTracker()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sc.setJobGroup("advise", "advise")
+        advice, pl, pr = advise_join(big, small, "k", "k", threshold=10 * MB)
+        jobs = tracker.getJobIdsForGroup("advise")
+        sc.setJobGroup("other", "other")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert advice == "right"  # the big side has about 7000 keys, over the 5000 limit
+    assert pl["rows"] == 20000 and pr["rows"] == 50
+    assert len(jobs) == 2
