@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import functools
 import logging
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -79,6 +80,17 @@ def _aligned(left: Column, ltype: T.DataType, rtype: T.DataType) -> Column:
     return left
 
 
+_INTERNAL = re.compile(r"^__(jk|v\d+|m\d+|mt|n)$")
+
+
+def _check_internal(*dfs: DataFrame) -> None:
+    """Reject input columns that collide with the helper columns used inside
+    the joins."""
+    bad = sorted({c for df in dfs for c in df.columns if _INTERNAL.match(c)})
+    if bad:
+        raise ValueError(f"column names reserved by joinery: {bad}")
+
+
 def _dtype(df: DataFrame, name: str) -> T.DataType:
     for f in df.schema.fields:
         if f.name == name:
@@ -131,6 +143,7 @@ def enrich(
     clash = [o for o in takes if o in primary.columns]
     if clash:
         raise ValueError(f"output columns already exist on the primary: {clash}")
+    _check_internal(primary)
     dflt = _defaults(defaults, list(takes))
     rtype = _dtype(lookup, rkey)
     ltype = _dtype(primary, lkey)
@@ -336,6 +349,7 @@ def merge(
     missing = [k for k in keys if k not in a.columns or k not in b.columns]
     if missing:
         raise ValueError(f"merge columns missing on one side: {missing}")
+    _check_internal(a, b)
     kset = set(keys)
     a_rest = [c for c in a.columns if c not in kset]
     b_rest = [c for c in b.columns if c not in kset]

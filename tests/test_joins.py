@@ -179,3 +179,12 @@ def test_merge_with_map_column_and_complex_key(spark):
     arr_a = spark.createDataFrame([([1, 2], "a")], "k array<int>, va string")
     arr_b = spark.createDataFrame([([1, 2], "b")], "k array<int>, vb string")
     assert merge(arr_a, arr_b).collect()[0].vb == "b"
+
+
+def test_reserved_column_names_are_rejected(spark, activity):
+    prim = spark.createDataFrame([(1, "Key1")], "__jk int, JoinKey string")
+    with pytest.raises(ValueError, match="reserved"):
+        enrich(prim, activity, "JoinKey", TAKE)
+    a = spark.createDataFrame([(1, 2)], "k int, __mt int")
+    with pytest.raises(ValueError, match="reserved"):
+        merge(a, a.withColumnRenamed("__mt", "x"))
