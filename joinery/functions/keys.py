@@ -24,7 +24,7 @@ def normalise(c: ColumnLike) -> Column:
     Non-string parts are cast to text first.
     """
     text = F.coalesce(as_col(c).cast("string"), F.lit(""))
-    return F.upper(F.regexp_replace(text, r"\W", ""))
+    return F.upper(F.regexp_replace(text, r"\W+", ""))
 
 
 def join_key(parts: Sequence[ColumnLike], sep: str = "|") -> Column:
