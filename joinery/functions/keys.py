@@ -19,7 +19,7 @@ def normalise(c: ColumnLike) -> Column:
     (ASCII ``\\W`` of Java regex, so accented letters go too) is dropped, the rest
     is upper-cased.
 
-    The reference also mapped ``N/A`` to ``NA`` and trimmed; both are implied by
+    The original job also mapped ``N/A`` to ``NA`` and trimmed; both are implied by
     dropping ``\\W`` (it removes ``/`` and blanks), so they are not repeated.
     Non-string parts are cast to text first.
     """

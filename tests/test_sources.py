@@ -115,3 +115,17 @@ def test_write_dated_rejects_duplicate_names(spark, tmp_dir):
     df = spark.createDataFrame([(1, 2)], "a int, b int").toDF("a", "a")
     with pytest.raises(ValueError, match="duplicate"):
         write_dated(df, tmp_dir, "dup", dt.date(2024, 1, 1))
+
+
+def test_scan_table(spark):
+    from joinery import latest_snapshot, scan_table
+
+    spark.createDataFrame(
+        [("e1", "A", dt.datetime(2024, 1, 1)), ("e1", "A", dt.datetime(2024, 2, 1))],
+        "employeeid string, employeename string, snap_date timestamp",
+    ).createOrReplaceTempView("hierarchy_snapshots")
+    raw = scan_table(spark, "hierarchy_snapshots", schema="employeeid STRING, employeename STRING, snap_date TIMESTAMP")
+    snap = latest_snapshot(raw, ["employeeid", "employeename"], "snap_date").collect()
+    assert [tuple(r) for r in snap] == [("e1", "A", dt.datetime(2024, 2, 1))]
+    with pytest.raises(ValueError):
+        scan_table(spark, "hierarchy_snapshots", schema="employeeid INT")
