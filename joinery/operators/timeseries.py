@@ -11,9 +11,15 @@ from pyspark.sql import types as T
 
 
 def _as_date(df: DataFrame, name: str) -> Column:
+    """The bound as a date: timestamps at their date, text parsed (a bad date
+    gives NULL, so no days, instead of failing the job)."""
     dt = df.schema[name].dataType
     c = F.col(f"`{name}`")
-    return c if isinstance(dt, T.DateType) else c.cast("date")
+    if isinstance(dt, T.DateType):
+        return c
+    if isinstance(dt, T.StringType):
+        return c.try_cast("date")
+    return c.cast("date")
 
 
 def expand_days(

@@ -94,3 +94,8 @@ def test_latest_only_ties_and_nulls_are_deterministic(spark):
     )
     got = {r.id: (r.name, r.latest_snap_date) for r in latest_snapshot(df, ["id", "name"], "d", latest_only=True).collect()}
     assert got == {"e1": ("C", D(2024, 1, 2)), "e2": (None, None)}
+
+
+def test_expand_days_text_bounds(spark):
+    df = spark.createDataFrame([(1, "2024-01-01", "2024-01-02"), (2, "2024-13-45", "2024-01-02")], "id int, s string, e string")
+    assert _counts(expand_days(df, "s", "e")) == {1: 2}
