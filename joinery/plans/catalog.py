@@ -37,6 +37,7 @@ from ..functions.keys import normalise
 from ..session import shared_path
 from ..sources import conform, scan, write_csv, write_dated
 from .jobs import span_expansion_job, tag_json_with_indicator
+from ..streaming import enrich_stream
 from .workflow import ActivityStep, HierarchyStep, enrich_frame
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -333,6 +334,25 @@ def q_enrich_frame_chain(spark, d):
     return enrich_frame(table(spark, d, "events"), key=_event_key, activity=act, hierarchy=hier, mode="chain")
 
 
+def q_enrich_stream_chain(spark, d):
+    """The chain enrichment as a Structured Streaming job: a file stream over
+    the events table, static lookups, a Parquet file sink and its checkpoint in
+    the shared folder, run once over all available input; the written output
+    is read back as a batch frame."""
+    events = table(spark, d, "events")
+    stream = (spark.readStream.schema(events.schema)
+              .option("pathGlobFilter", "events.parquet")
+              .parquet(d.rstrip("/")))
+    act, hier = _event_steps(spark, d)
+    out = enrich_stream(stream, key=_event_key, activity=act, hierarchy=hier)
+    path = shared_path(spark, "events_stream_out")
+    query = (out.writeStream.format("parquet").option("path", path)
+             .option("checkpointLocation", shared_path(spark, "events_stream_ckpt"))
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
+    return spark.read.schema(out.schema).parquet(path)
+
+
 def q_enrich_frame_by_source(spark, d):
     act, hier = _event_steps(spark, d)
     events = with_profile(table(spark, d, "events"), profiles_frame(spark, EVENT_PROFILES), "event_type")
@@ -379,6 +399,7 @@ QUERIES: dict[str, Query] = {
     "source_profile": q_source_profile,
     "enrich_frame_merge": q_enrich_frame_merge,
     "enrich_frame_chain": q_enrich_frame_chain,
+    "enrich_stream_chain": q_enrich_stream_chain,
     "enrich_frame_by_source": q_enrich_frame_by_source,
 }
 
@@ -583,6 +604,7 @@ FROM e""",
     "source_profile": f"{_WITH_PROFILE}\nSELECT * FROM ep",
     "enrich_frame_merge": _EVENT_FRAME,
     "enrich_frame_chain": _EVENT_FRAME,
+    "enrich_stream_chain": _EVENT_FRAME,
     "enrich_frame_by_source": f"""
 {_WITH_PROFILE},
 k AS (
