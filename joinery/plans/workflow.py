@@ -211,7 +211,9 @@ def run_enrichment(spark: SparkSession, cfg: Mapping[str, Any]) -> dict[str, str
     ``output_path``; ours: ``as_of`` (date of the file names, default today),
     ``mode`` (``merge`` / ``merge_null_safe`` / ``chain``), ``strategy``,
     ``hierarchy_latest_only`` (one snapshot row per employee id, its latest
-    name, instead of one per id and name).
+    name, instead of one per id and name), ``activity_take`` (output label →
+    activity column, default ``Center`` ← ``New_Center`` and
+    ``Capacity_Planning_Group``).
 
     An output is written only where its path is set. In merge modes the merge
     reads the two enrichments back from their written Parquet (or from a
@@ -229,7 +231,8 @@ def run_enrichment(spark: SparkSession, cfg: Mapping[str, Any]) -> dict[str, str
     act = hier = None
     if do_act:
         lookup = scan(spark, cfg["activity_list_data_source"], _spec(cfg, "activity_data_schema"))
-        act = ActivityStep(lookup=lookup, strategy=strategy)
+        act = ActivityStep(lookup=lookup, strategy=strategy,
+                           take=dict(cfg.get("activity_take") or domain.ACTIVITY_TAKE))
     if do_hier:
         raw = cfg.get("employee_hierarchy_source")
         raw = scan(spark, raw) if raw is not None else scan_table(spark, cfg["employee_hierarchy_table"])
