@@ -6,6 +6,10 @@ state, so ``enrich`` / ``enrich_hierarchy`` / ``with_indicator`` / ``json_put``
 / ``expand_days`` apply to a streaming frame unchanged. The full-outer
 ``merge`` is not allowed between a stream and a static frame (Spark rejects
 it); a streaming job uses the one-pass ``chain`` combination instead.
+
+Each micro-batch joins the static lookups again: keep them small enough to
+broadcast (``strategy="auto"`` on the steps checks that), or the lookup is
+shuffled once per batch.
 """
 
 from __future__ import annotations
