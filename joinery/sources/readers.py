@@ -58,6 +58,7 @@ def scan(
     by_position: bool = False,
     bad_records: str = "null",
     check_nullable: bool = False,
+    options: dict[str, str] | None = None,
 ) -> DataFrame:
     """Load a source as a frame.
 
@@ -67,19 +68,20 @@ def scan(
     * anything else is CSV with a header row and needs ``schema``
       (``ValueError`` without one). The header must name the schema's columns
       in order unless ``by_position=True``; a value that does not parse becomes
-      NULL, or fails the job with ``bad_records="fail"``.
+      NULL, or fails the job with ``bad_records="fail"``. Blanks around values
+      are kept. ``options`` are further CSV reader options (e.g. ``nullValue``).
 
     A missing path raises ``FileNotFoundError``; another source type ``ValueError``.
     Errors are logged before they propagate.
     """
     try:
-        return _scan(spark, source, schema, format, by_position, bad_records, check_nullable)
+        return _scan(spark, source, schema, format, by_position, bad_records, check_nullable, options)
     except (FileNotFoundError, ValueError) as e:
         log.error("failed to load %r: %s", source if isinstance(source, str) else type(source).__name__, e)
         raise
 
 
-def _scan(spark, source, schema, format, by_position, bad_records, check_nullable):  # noqa: A002
+def _scan(spark, source, schema, format, by_position, bad_records, check_nullable, options):  # noqa: A002
     if isinstance(source, DataFrame):
         df = source
     elif isinstance(source, str):
@@ -90,13 +92,15 @@ def _scan(spark, source, schema, format, by_position, bad_records, check_nullabl
             elif fmt == "csv":
                 if schema is None:
                     raise ValueError("a schema must be given for CSV sources")
-                df = (
+                reader = (
                     spark.read.schema(schema_from_spec(schema))
                     .option("header", True)
                     .option("enforceSchema", by_position)
                     .option("mode", "FAILFAST" if bad_records == "fail" else "PERMISSIVE")
-                    .csv(source)
                 )
+                for k, v in (options or {}).items():
+                    reader = reader.option(k, v)
+                df = reader.csv(source)
             else:
                 df = spark.read.format(fmt).load(source)
         except AnalysisException as e:

@@ -49,7 +49,22 @@ def write_dated(
     return path
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", header: bool = True) -> str:
-    """CSV with a header row; by default fails if the path exists."""
-    df.write.mode(mode).option("header", header).csv(path)
+def write_csv(
+    df: DataFrame,
+    path: str,
+    mode: str = "errorifexists",
+    header: bool = True,
+    options: dict[str, str] | None = None,
+) -> str:
+    """CSV with a header row; by default fails if the path exists.
+
+    Leading and trailing blanks of text values are kept (Spark's writer trims
+    them by default). With Spark's default markers an empty string reads back
+    as NULL; pass e.g. ``options={"nullValue": "\\N"}`` here and to ``scan``
+    to keep the two apart."""
+    w = (df.write.mode(mode).option("header", header)
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
+    for k, v in (options or {}).items():
+        w = w.option(k, v)
+    w.csv(path)
     return path

@@ -129,3 +129,14 @@ def test_scan_table(spark):
     assert [tuple(r) for r in snap] == [("e1", "A", dt.datetime(2024, 2, 1))]
     with pytest.raises(ValueError):
         scan_table(spark, "hierarchy_snapshots", schema="employeeid INT")
+
+
+def test_csv_round_trip_keeps_blanks_and_empty_strings(spark, tmp_dir):
+    rows = [(1, "  lead"), (2, "trail  "), (3, ""), (4, None), (5, 'q"uote,comma'), (6, " ")]
+    df = spark.createDataFrame(rows, "id int, s string")
+    p = write_csv(df, os.path.join(tmp_dir, "blanks"), options={"nullValue": "\\N"})
+    back = scan(spark, p, schema="id INT, s STRING", format="csv", options={"nullValue": "\\N"})
+    assert [tuple(r) for r in back.orderBy("id").collect()] == rows
+    p2 = write_csv(df, os.path.join(tmp_dir, "blanks_default"))
+    back2 = {r.id: r.s for r in scan(spark, p2, schema="id INT, s STRING", format="csv").collect()}
+    assert back2[1] == "  lead" and back2[2] == "trail  "
