@@ -152,9 +152,13 @@ CUSTOMER_SPEC = [
 ]
 
 
+# A NULL marker of its own, so an empty string and NULL stay apart through CSV.
+CSV_NULL = {"nullValue": "\\N"}
+
+
 def q_csv_round_trip(spark, d):
-    path = write_csv(table(spark, d, "customer"), shared_path(spark, "customer_csv"))
-    return scan(spark, path, schema=CUSTOMER_SPEC, format="csv")
+    path = write_csv(table(spark, d, "customer"), shared_path(spark, "customer_csv"), options=CSV_NULL)
+    return scan(spark, path, schema=CUSTOMER_SPEC, format="csv", options=CSV_NULL)
 
 
 def q_dated_round_trip(spark, d):
