@@ -1,10 +1,10 @@
 """Casts from text that never fail the job.
 
-Spark's ``try_cast`` from text to an integral type pays for every value that is
-not a number (the failure path is far slower than a successful parse), so a
-column full of junk converts at a fraction of the normal speed. The guard
-below sends only text that *could* be an integer to the cast — a regex that
-accepts a superset of what the cast accepts — and gives NULL to the rest
+Spark's ``try_cast`` from text to a number or a boolean pays for every value
+that does not convert (the failure path is far slower than a successful
+parse), so a column full of junk converts at a fraction of the normal speed.
+The guards below send only text that *could* convert to the cast — a regex
+that accepts a superset of what the cast accepts — and give NULL to the rest
 directly. Results are identical to ``try_cast``.
 """
 
@@ -14,19 +14,44 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Superset of the text Spark can turn into an integral value: optional
-# surrounding control characters / blanks (the cast trims them), an optional
-# sign, digits with an optional fractional part.
-_INTEGRAL_TEXT = r"^[\x00-\x20]*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)[\x00-\x20]*$"
+# Supersets of the text each cast can accept (checked against plain try_cast
+# by tests/test_casts.py). Surrounding control characters / blanks are allowed
+# because the casts trim them.
+_BLANKS = r"[\x00-\x20]*"
+# integral: optional sign, digits with an optional fractional part
+_INTEGRAL_TEXT = rf"^{_BLANKS}[+-]?([0-9]+\.?[0-9]*|\.[0-9]+){_BLANKS}$"
+# floating point and decimal: a decimal or exponent form (digits of any
+# script: decimal parsing accepts them; an optional f/d suffix), a hexadecimal
+# floating-point form, or the special words inf / infinity / nan in any case
+_FRACTIONAL_TEXT = (
+    rf"^{_BLANKS}[+-]?("
+    r"(\p{Nd}+\.?\p{Nd}*|\.\p{Nd}+)([eE][+-]?\p{Nd}+)?[fFdD]?"
+    r"|0[xX][0-9a-fA-F]*\.?[0-9a-fA-F]*([pP][+-]?[0-9]+)?[fFdD]?"
+    r"|(?i:inf|infinity|nan)"
+    rf"){_BLANKS}$"
+)
+# boolean: the true/false words and digits, any case
+_BOOLEAN_TEXT = rf"^{_BLANKS}(?i:t|true|y|yes|f|false|n|no|1|0){_BLANKS}$"
 
-_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_GUARDS = (
+    ((T.ByteType, T.ShortType, T.IntegerType, T.LongType), _INTEGRAL_TEXT),
+    ((T.FloatType, T.DoubleType, T.DecimalType), _FRACTIONAL_TEXT),
+    ((T.BooleanType,), _BOOLEAN_TEXT),
+)
 
 
-def try_cast_text(c: Column, src: T.DataType, dst: T.DataType) -> Column:
-    """``try_cast(c AS dst)``, with the number guard when text becomes an
-    integral type."""
+def try_cast_text(c: Column, src: T.DataType, dst: T.DataType, guard: bool = True) -> Column:
+    """``try_cast(c AS dst)``; text going to a number or a boolean first passes
+    a regex guard, and text the guard rejects becomes NULL directly.
+
+    The guard costs about 0.8 µs per value; a value that fails the cast costs
+    about 5 µs (double) to 20 µs (integer, boolean). It pays once a few percent
+    of the values are junk and bounds the worst case; ``guard=False`` is the
+    plain ``try_cast`` for columns known to be clean."""
     if src == dst:
         return c
-    if isinstance(src, T.StringType) and isinstance(dst, _INTEGRAL):
-        return F.when(c.rlike(_INTEGRAL_TEXT), c.try_cast(dst))
+    if guard and isinstance(src, T.StringType):
+        for types, pattern in _GUARDS:
+            if isinstance(dst, types):
+                return F.when(c.rlike(pattern), c.try_cast(dst))
     return c.try_cast(dst)
