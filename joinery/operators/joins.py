@@ -320,6 +320,7 @@ def merge(
     on: Sequence[str] | None = None,
     null_safe: bool = False,
     skew_split: bool = True,
+    unique: bool = False,
 ) -> DataFrame:
     """Full-outer merge of two frames on ``on`` (default: every common column).
 
@@ -340,6 +341,10 @@ def merge(
     ``skew_split=False`` plans one full-outer sort-merge join (also used for
     array, map or struct keys).
 
+    ``unique=True`` fails the job when a key that can match repeats on either
+    side, instead of emitting every pair of the repeated rows; the check rides
+    on the key counts the skew-tolerant plan computes anyway.
+
     Frames without a common column raise ``ValueError``: a cross product is not
     offered.
     """
@@ -356,9 +361,11 @@ def merge(
     if set(a_rest) & set(b_rest):
         skew_split = False  # duplicate output names: keep Spark's USING semantics
     if any(isinstance(_dtype(df, k), _COMPLEX) for df in (a, b) for k in keys):
+        if unique:
+            raise ValueError("unique=True needs scalar merge keys")
         skew_split = False
-    if skew_split:
-        return _merge_split(a, b, keys, a_rest, b_rest, null_safe)
+    if skew_split or unique:
+        return _merge_split(a, b, keys, a_rest, b_rest, null_safe, unique)
     if not null_safe:
         return a.join(b, keys, "full_outer")
     la, rb = a.alias(_L), b.alias(_R)
@@ -436,7 +443,19 @@ def _merge_keys(df: DataFrame, keys: Sequence[str], null_safe: bool, side: int)
     return df.select("*", *cols, tag.alias("__mt"))
 
 
-def _merge_split(a, b, keys, a_rest, b_rest, null_safe):
+def _fail_on_repeats(key_counts: DataFrame, names: Sequence[str], side: str, null_safe: bool) -> DataFrame:
+    """The key set with a guard on its first key column: the job fails when a
+    key that can match occurs more than once. Without ``null_safe`` only tag 0
+    keys can match (a non-zero tag marks a NULL key); with it every key can."""
+    repeated = F.col("__n") > 1
+    if not null_safe:
+        repeated = repeated & (F.col("__mt") == 0)
+    first = names[0]
+    guarded = F.when(repeated, F.raise_error(F.lit(f"merge key repeats on side {side}"))).otherwise(F.col(first))
+    return key_counts.select(guarded.alias(first), *[F.col(n) for n in names[1:]], "__n")
+
+
+def _merge_split(a, b, keys, a_rest, b_rest, null_safe, unique=False):
     """``a ⋈ b`` (matched pairs) ∪ ``a ▷ keys(b)`` ∪ ``b ▷ keys(a)`` (rows of
     one side whose key the other side lacks).
 
@@ -454,8 +473,12 @@ def _merge_split(a, b, keys, a_rest, b_rest, null_safe):
     btypes = {f.name: f.dataType for f in b.schema.fields}
     # groupBy (not distinct) keeps the key order, so the aggregate's shuffle
     # already has the partitioning the anti join needs
-    a_keys = ka.groupBy(*[_lcol(n) for n in names]).agg(F.count(F.lit(1)).alias("__n")).alias(_L)
-    b_keys = kb.groupBy(*[_rcol(n) for n in names]).agg(F.count(F.lit(1)).alias("__n")).alias(_R)
+    a_keys = ka.groupBy(*[_lcol(n) for n in names]).agg(F.count(F.lit(1)).alias("__n"))
+    b_keys = kb.groupBy(*[_rcol(n) for n in names]).agg(F.count(F.lit(1)).alias("__n"))
+    if unique:
+        a_keys = _fail_on_repeats(a_keys, names, "a", null_safe)
+        b_keys = _fail_on_repeats(b_keys, names, "b", null_safe)
+    a_keys, b_keys = a_keys.alias(_L), b_keys.alias(_R)
     both = ka.join(kb, cond, "inner").select(
         *[F.coalesce(_lcol(k), _rcol(k)).alias(k) for k in keys], *[_lcol(c) for c in a_rest], *[_rcol(c) for c in b_rest]
     )

@@ -188,3 +188,19 @@ def test_reserved_column_names_are_rejected(spark, activity):
     a = spark.createDataFrame([(1, 2)], "k int, __mt int")
     with pytest.raises(ValueError, match="reserved"):
         merge(a, a.withColumnRenamed("__mt", "x"))
+
+
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_merge_unique_guard(spark, null_safe):
+    a = spark.createDataFrame([(1, "x", "A"), (2, None, "B"), (2, None, "B2")], "k int, s string, av string")
+    b = spark.createDataFrame([(1, "x", "E"), (3, "y", "F")], "k int, s string, bv string")
+    if null_safe:
+        # (2, NULL) repeats and can match under <=>: the job fails
+        with pytest.raises(Exception, match="repeats on side a"):
+            merge(a, b, null_safe=True, unique=True).collect()
+    else:
+        # NULL keys never match, so their repeats are allowed
+        assert merge(a, b, unique=True).count() == 4
+    dup = b.union(b.limit(1))
+    with pytest.raises(Exception, match="repeats on side b"):
+        merge(a.limit(1), dup, null_safe=null_safe, unique=True).collect()
