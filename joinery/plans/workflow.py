@@ -154,6 +154,7 @@ def _write_outputs(
     mode: str,
     paths: Mapping[str, str | None],
     as_of,
+    unique: bool = False,
 ) -> tuple[dict[str, str], str | None, DataFrame]:
     """Write each enrichment whose base path is set, then the combination of
     both. The combination continues from the written enrichments (or from a
@@ -186,7 +187,7 @@ def _write_outputs(
         base = spark.read.parquet(written["activity"]) if "activity" in written else branches["activity"]
         final = _hierarchy(base, hier, hier_flag)
     else:
-        final = merge(side("activity"), side("hierarchy"), null_safe=(mode == "merge_null_safe"))
+        final = merge(side("activity"), side("hierarchy"), null_safe=(mode == "merge_null_safe"), unique=unique)
     if paths.get("merged"):
         written["merged"] = write_dated(final, paths["merged"], domain.OUTPUT_NAMES["merged"], as_of)
     return written, "merged", final
@@ -213,7 +214,8 @@ def run_enrichment(spark: SparkSession, cfg: Mapping[str, Any]) -> dict[str, str
     ``hierarchy_latest_only`` (one snapshot row per employee id, its latest
     name, instead of one per id and name), ``activity_take`` (output label →
     activity column, default ``Center`` ← ``New_Center`` and
-    ``Capacity_Planning_Group``).
+    ``Capacity_Planning_Group``), ``merge_unique`` (fail instead of pairing
+    rows that repeat a merge key).
 
     An output is written only where its path is set. In merge modes the merge
     reads the two enrichments back from their written Parquet (or from a
@@ -246,7 +248,8 @@ def run_enrichment(spark: SparkSession, cfg: Mapping[str, Any]) -> dict[str, str
         "hierarchy": cfg.get("employee_hierarchy_output_path"),
         "merged": cfg.get("output_path"),
     }
-    written, final, _frame = _write_outputs(spark, branches, hier, None, mode, paths, as_of)
+    written, final, _frame = _write_outputs(spark, branches, hier, None, mode, paths, as_of,
+                                            unique=bool(cfg.get("merge_unique", False)))
     if final in ("activity", "hierarchy"):
         log.info("one enrichment only: no merged output")
     return written

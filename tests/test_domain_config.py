@@ -78,6 +78,7 @@ def test_original_shaped_config(spark, tmp_dir):
         "schemas": {"primary_data_schema": _spec(PRIMARY), "activity_data_schema": _spec(ACTIVITY)},
         "as_of": dt.date(2024, 3, 31),
         "mode": "merge_null_safe",
+        "merge_unique": True,
     }
     written = run_enrichment(spark, cfg)
     assert sorted(os.path.basename(p) for p in written.values()) == [
