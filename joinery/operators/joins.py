@@ -257,17 +257,29 @@ def enrich_hierarchy(
     out: str | None = None,
     strategy: str = "catalyst",
     only_where: Column | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """Take ``field`` out of the primary's JSON column (as column ``out``,
     default the field name) and left-join the snapshot on it, keeping **all**
     snapshot columns. The extracted text is ``try_cast`` to the snapshot key's
     type, so a non-numeric value does not match instead of failing the job.
-    ``only_where`` restricts matching to primary rows where it holds."""
+    ``only_where`` restricts matching to primary rows where it holds. A
+    snapshot key that repeats (e.g. a renamed employee) multiplies primary
+    rows; ``unique=True`` fails the job instead."""
     out = out or field
+    snap_cols = list(snapshot.columns)
     with_no = json_get(primary, json_col, field, out)
     clash = [c for c in snapshot.columns if c in with_no.columns]
     if clash:
         raise ValueError(f"snapshot columns clash with primary columns: {clash}")
+    if unique:
+        others = [c for c in snapshot.columns if c != right_key]
+        counted = snapshot.groupBy(F.col(_q(right_key)).alias(right_key)).agg(
+            F.count(F.lit(1)).alias("__n"), *[F.first(_q(c)).alias(c) for c in others]
+        )
+        guard = F.when(F.col("__n") > 1, F.raise_error(F.lit(f"snapshot key {right_key} is not unique")))
+        snapshot = counted.select(guard.otherwise(F.col(_q(right_key))).alias(right_key), *[F.col(_q(c)) for c in others])
+        snapshot = snapshot.select(*[F.col(_q(c)) for c in snap_cols])
     right = _apply_strategy_frame(snapshot, right_key, strategy)
     left = with_no.alias(_L)
     r = right.alias(_R)

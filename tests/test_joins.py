@@ -204,3 +204,14 @@ def test_merge_unique_guard(spark, null_safe):
     dup = b.union(b.limit(1))
     with pytest.raises(Exception, match="repeats on side b"):
         merge(a.limit(1), dup, null_safe=null_safe, unique=True).collect()
+
+
+def test_enrich_hierarchy_unique(spark):
+    prim = spark.createDataFrame([(1, '{"employee_number": "5"}')], "id int, j string")
+    snap = spark.createDataFrame([(5, "a"), (5, "b"), (6, "c")], "employeeid bigint, employeename string")
+    assert enrich_hierarchy(prim, snap, "j").count() == 2
+    with pytest.raises(Exception, match="not unique"):
+        enrich_hierarchy(prim, snap, "j", unique=True).collect()
+    ok = enrich_hierarchy(prim, snap.filter("employeename <> 'b'"), "j", unique=True)
+    assert ok.columns == ["id", "j", "employee_number", "employeeid", "employeename"]
+    assert ok.collect()[0].employeename == "a"
