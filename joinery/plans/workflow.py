@@ -45,6 +45,7 @@ class ActivityStep:
     take: Mapping[str, str] = field(default_factory=lambda: dict(domain.ACTIVITY_TAKE))
     defaults: Any = NOT_DEFINED
     strategy: str = "catalyst"
+    unique: bool = False
 
 
 @dataclass
@@ -57,12 +58,13 @@ class HierarchyStep:
     right_key: str = domain.HIERARCHY_KEY
     out: str | None = None
     strategy: str = "catalyst"
+    unique: bool = False
 
 
 def _activity(df: DataFrame, step: ActivityStep, flag: str | None) -> DataFrame:
     return enrich(
         df, step.lookup, step.on, step.take, defaults=step.defaults, strategy=step.strategy,
-        only_where=F.col(flag) if flag else None,
+        only_where=F.col(flag) if flag else None, unique=step.unique,
     )
 
 
@@ -70,6 +72,7 @@ def _hierarchy(df: DataFrame, step: HierarchyStep, flag: str | None) -> DataFram
     return enrich_hierarchy(
         df, step.snapshot, step.json_col, field=step.field, right_key=step.right_key,
         out=step.out, strategy=step.strategy, only_where=F.col(flag) if flag else None,
+        unique=step.unique,
     )
 
 
@@ -214,8 +217,9 @@ def run_enrichment(spark: SparkSession, cfg: Mapping[str, Any]) -> dict[str, str
     ``hierarchy_latest_only`` (one snapshot row per employee id, its latest
     name, instead of one per id and name), ``activity_take`` (output label →
     activity column, default ``Center`` ← ``New_Center`` and
-    ``Capacity_Planning_Group``), ``merge_unique`` (fail instead of pairing
-    rows that repeat a merge key).
+    ``Capacity_Planning_Group``), ``merge_unique`` / ``activity_unique`` /
+    ``hierarchy_unique`` (fail instead of multiplying rows when a merge key,
+    an activity key or a snapshot key repeats).
 
     An output is written only where its path is set. In merge modes the merge
     reads the two enrichments back from their written Parquet (or from a
@@ -234,13 +238,15 @@ def run_enrichment(spark: SparkSession, cfg: Mapping[str, Any]) -> dict[str, str
     if do_act:
         lookup = scan(spark, cfg["activity_list_data_source"], _spec(cfg, "activity_data_schema"))
         act = ActivityStep(lookup=lookup, strategy=strategy,
-                           take=dict(cfg.get("activity_take") or domain.ACTIVITY_TAKE))
+                           take=dict(cfg.get("activity_take") or domain.ACTIVITY_TAKE),
+                           unique=bool(cfg.get("activity_unique", False)))
     if do_hier:
         raw = cfg.get("employee_hierarchy_source")
         raw = scan(spark, raw) if raw is not None else scan_table(spark, cfg["employee_hierarchy_table"])
         snap = latest_snapshot(raw, domain.HIERARCHY_GROUP, domain.HIERARCHY_TS, domain.HIERARCHY_OUT,
                                latest_only=bool(cfg.get("hierarchy_latest_only", False)))
-        hier = HierarchyStep(snapshot=snap, json_col=cfg["employee_info_json_column"], strategy=strategy)
+        hier = HierarchyStep(snapshot=snap, json_col=cfg["employee_info_json_column"], strategy=strategy,
+                             unique=bool(cfg.get("hierarchy_unique", False)))
 
     branches = enrichment_branches(primary, domain.work_item_key, act, hier)
     paths = {

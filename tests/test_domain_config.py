@@ -79,6 +79,8 @@ def test_original_shaped_config(spark, tmp_dir):
         "as_of": dt.date(2024, 3, 31),
         "mode": "merge_null_safe",
         "merge_unique": True,
+        "activity_unique": True,
+        "hierarchy_unique": True,
     }
     written = run_enrichment(spark, cfg)
     assert sorted(os.path.basename(p) for p in written.values()) == [
