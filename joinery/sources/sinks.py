@@ -43,6 +43,9 @@ def write_dated(
         raise ValueError(f"duplicate output columns {sorted(dupes)}")
     path = dated_path(base, name, as_of)
     w = df.write.mode(mode).format(format)
+    if format == "csv":
+        w = (w.option("header", True)
+             .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)

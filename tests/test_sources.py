@@ -140,3 +140,10 @@ def test_csv_round_trip_keeps_blanks_and_empty_strings(spark, tmp_dir):
     p2 = write_csv(df, os.path.join(tmp_dir, "blanks_default"))
     back2 = {r.id: r.s for r in scan(spark, p2, schema="id INT, s STRING", format="csv").collect()}
     assert back2[1] == "  lead" and back2[2] == "trail  "
+
+
+def test_write_dated_csv_has_header(spark, tmp_dir):
+    df = spark.createDataFrame([(1, " a ")], "id int, name string")
+    path = write_dated(df, tmp_dir, "things_csv", "2024-04-01", format="csv")
+    back = scan(spark, path, schema="id INT, name STRING", format="csv").collect()
+    assert [tuple(r) for r in back] == [(1, " a ")]
