@@ -351,7 +351,8 @@ def merge(
     whose key can never match (a NULL key without ``null_safe``) are spread
     over all partitions by a hash of the row instead of meeting in one.
     ``skew_split=False`` plans one full-outer sort-merge join (also used for
-    array, map or struct keys).
+    array, map or struct keys, and for keys whose type differs between the
+    sides).
 
     ``unique=True`` fails the job when a key that can match repeats on either
     side, instead of emitting every pair of the repeated rows; the check rides
@@ -372,9 +373,13 @@ def merge(
     b_rest = [c for c in b.columns if c not in kset]
     if set(a_rest) & set(b_rest):
         skew_split = False  # duplicate output names: keep Spark's USING semantics
-    if any(isinstance(_dtype(df, k), _COMPLEX) for df in (a, b) for k in keys):
+    complex_keys = any(isinstance(_dtype(df, k), _COMPLEX) for df in (a, b) for k in keys)
+    mixed_types = any(_dtype(a, k) != _dtype(b, k) for k in keys)
+    if complex_keys or mixed_types:
+        # the split plan compares per-side key encodings; keys of different
+        # types (left to Spark's widening) or nested keys use the plain plan
         if unique:
-            raise ValueError("unique=True needs scalar merge keys")
+            raise ValueError("unique=True needs scalar merge keys of the same type on both sides")
         skew_split = False
     if skew_split or unique:
         return _merge_split(a, b, keys, a_rest, b_rest, null_safe, unique)

@@ -215,3 +215,12 @@ def test_enrich_hierarchy_unique(spark):
     ok = enrich_hierarchy(prim, snap.filter("employeename <> 'b'"), "j", unique=True)
     assert ok.columns == ["id", "j", "employee_number", "employeeid", "employeename"]
     assert ok.collect()[0].employeename == "a"
+
+
+def test_merge_keys_of_different_types(spark):
+    a = spark.createDataFrame([(1, "A"), (2, "B")], "k int, va string")
+    b = spark.createDataFrame([(1.0, "E"), (3.5, "F")], "k double, vb string")
+    out = sorted(map(tuple, merge(a, b).collect()), key=str)
+    assert out == sorted([(1.0, "A", "E"), (2.0, "B", None), (3.5, None, "F")], key=str)
+    with pytest.raises(ValueError, match="same type"):
+        merge(a, b, unique=True)
