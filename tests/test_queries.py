@@ -72,3 +72,9 @@ def test_scans_are_pruned(spark):
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint>" in plan
     plan = _physical(QUERIES["enrich_default"](spark, SF001))
     assert "PushedFilters: [IsNotNull(c_acctbal), GreaterThan(c_acctbal,0.0)" in plan
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query_columns_are_unique(spark, name):
+    cols = QUERIES[name](spark, SF001).columns
+    assert len(cols) == len(set(cols)), cols
