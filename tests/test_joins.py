@@ -224,3 +224,11 @@ def test_merge_keys_of_different_types(spark):
     assert out == sorted([(1.0, "A", "E"), (2.0, "B", None), (3.5, None, "F")], key=str)
     with pytest.raises(ValueError, match="same type"):
         merge(a, b, unique=True)
+
+
+def test_enrich_sql_strategies(spark, primary, activity):
+    s = enrich_sql(spark, primary, activity, "JoinKey", TAKE, strategy="shuffle")
+    assert "SortMergeJoin" in _plan(s)
+    b = enrich_sql(spark, primary, activity, "JoinKey", TAKE, strategy="auto")
+    assert "BroadcastHashJoin" in _plan(b)
+    assert sorted(s.collect(), key=str) == sorted(b.collect(), key=str)

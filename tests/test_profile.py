@@ -55,8 +55,10 @@ def test_checked_broadcast_uses_one_job(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert len(jobs) == 1
     assert prof["rows"] == 100
-    _, prof2 = checked_broadcast(df, key=F.col("k"), threshold=10, max_keys=None)
+    assert out is not df  # small: hinted
+    kept, prof2 = checked_broadcast(df, key=F.col("k"), threshold=10, max_keys=None)
     assert prof2["rows"] == 100
+    assert kept is df  # over the threshold: returned unhinted
 
 
 PROFILES = {
