@@ -3,7 +3,9 @@ operators: composite join keys, lookup enrichment with defaults, JSON field
 read and upsert, latest snapshots, merges, span expansion, join-side profiles
 and per-source option profiles."""
 
-from .functions import join_key, json_value, normalise
+__version__ = "0.1.0"
+
+from .functions import join_key, json_value, normalise  # noqa: E402
 from .operators import *  # noqa: F403
 from .operators import __all__ as _ops
 from .plans import (
