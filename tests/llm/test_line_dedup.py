@@ -1,0 +1,151 @@
+import random
+
+from joinery.llm import line_dedup as ld
+from joinery.llm.queries import op1_line_dedup
+from .conftest import frame, sha
+
+
+def counting(text, least=ld.LINE_WORDS):
+    return [(i, line.strip(), len(line.encode().split())) for i, line in enumerate((text or "").split("\n")) if len(line.encode().split()) >= least]
+
+
+def matches(a, b):
+    """Patience matches by recursion."""
+    if not a or not b:
+        return []
+    if a[0] == b[0]:
+        return [(0, 0)] + [(i + 1, j + 1) for i, j in matches(a[1:], b[1:])]
+    if a[-1] == b[-1]:
+        return matches(a[:-1], b[:-1]) + [(len(a) - 1, len(b) - 1)]
+    once = [x for x in a if a.count(x) == 1 and b.count(x) == 1]
+    pairs = [(a.index(x), b.index(x)) for x in once]
+    if not pairs:
+        return []
+    best = [[p] for p in pairs]  # longest chain ending in each pair; the last of equals by patience's piles
+    tops, piles, back = [], [], {}
+    for k, (_, j) in enumerate(pairs):
+        p = sum(t < j for t in tops)
+        back[k] = piles[p - 1] if p else None
+        tops[p:p + 1], piles[p:p + 1] = [j], [k]
+    chain, k = [], piles[-1]
+    while k is not None:
+        chain.insert(0, pairs[k])
+        k = back[k]
+    assert len(best) == len(pairs)
+    out, at = [], (0, 0)
+    for i, j in [*chain, (len(a), len(b))]:
+        out += [(x + at[0], y + at[1]) for x, y in matches(a[at[0]:i], b[at[1]:j])]
+        out += [(i, j)] if i < len(a) and j < len(b) else []
+        at = (i + 1, j + 1)
+    return out
+
+
+def brute(docs, block=ld.BLOCK_WORDS, rare=ld.RARE_TEXTS):
+    """(id, n_lines, deleted line numbers, text left) by the documented rules."""
+    order = lambda i: (i is None, i or 0)
+    first, rows = {}, {}
+    for i, t in docs:
+        if t not in first or order(i) < order(first[t]):
+            first[t] = i
+        rows[t] = counting(t)
+    holders = {}
+    for t, lines in rows.items():
+        for x in {line for _, line, _ in lines}:
+            holders.setdefault(x, []).append(t)
+    gone = {}
+    for t, lines in rows.items():
+        own, runs = [], []
+        for pos, (_, line, n) in enumerate(lines):
+            least = min(order(first[h]) for h in holders[line])
+            if least < order(first[t]) and not least[0]:
+                owner = [h for h in holders[line] if order(first[h]) == least]
+                own.append((pos, n, len(holders[line]), owner))
+        for x in own:
+            if runs and runs[-1][-1][0] == x[0] - 1:
+                runs[-1].append(x)
+            else:
+                runs.append([x])
+        partners = set()
+        for run in runs:
+            if sum(x[1] for x in run) >= block:
+                low = min(x[2] for x in run)
+                for x in run:
+                    if x[2] <= rare or x[2] == low:
+                        assert len(x[3]) == 1
+                        partners.add(x[3][0])
+        cut = set()
+        for p in partners:
+            run = []
+            for m in [*matches([x[1] for x in lines], [x[1] for x in rows[p]]), None]:
+                if run and (m is None or m != (run[-1][0] + 1, run[-1][1] + 1)):
+                    if sum(lines[i][2] for i, _ in run) >= block:
+                        cut |= {i for i, _ in run}
+                    run = []
+                run.append(m)
+        gone[t] = {lines[i][0] for i in cut}
+    out = []
+    for i, t in docs:
+        if i == first[t]:
+            cut = gone[t]
+        else:
+            cut = {n for n, _, _ in rows[t]} if sum(w for _, _, w in rows[t]) >= block else set()
+        left = t if not cut else "\n".join(x for k, x in enumerate(t.split("\n")) if k not in cut)
+        out.append((i, 0 if t is None else t.count("\n") + 1, len(cut), sorted(cut), left))
+    return out
+
+
+def key(r):
+    return tuple(str(x) for x in r)
+
+
+def test_query_equals_brute_force(spark, corpus):
+    got = [(r.doc_id, r.n_lines, r.n_deleted, r.deleted_lines, r.text_sha256) for r in op1_line_dedup(spark, corpus.sf_dir).collect()]
+    want = [(*r[:4], sha(r[4] or "")) for r in brute([(d.doc_id, d.text) for d in corpus.documents])]
+    assert sorted(got, key=key) == sorted(want, key=key)
+    assert sum(r[2] > 0 for r in got) > 10
+
+
+def made():
+    rnd = random.Random(4)
+    line = lambda: " ".join(f"w{rnd.randrange(10 ** 9)}" for _ in range(rnd.randint(1, 14)))
+    passages = [[line() for _ in range(rnd.randint(2, 6))] for _ in range(12)]
+    common = "a line that a third of all documents hold"
+    docs = []
+    for i in range(150):
+        text = [line() for _ in range(rnd.randint(0, 5))]
+        for _ in range(rnd.randint(0, 3)):
+            at = rnd.randint(0, len(text))
+            text[at:at] = rnd.choice(passages) + rnd.choice([[], [""], ["  "]])
+        if i % 3 == 0:
+            text.insert(rnd.randint(0, len(text)), common)
+        docs.append((i, "\n".join(text)))
+    copy = docs[3][1] + "\n" + "\n".join(line() for _ in range(4))
+    return docs + [(i, copy) for i in range(200, 290)] + [(None, copy), (None, None), (7000, ""), (7001, None), (5, docs[5][1]), (8000, "one\ntwo\n" * 2000)]
+
+
+def test_made_documents(spark):
+    docs = made()
+    df = frame(spark, [(*d, 1) for d in docs], "doc_id long, text string, N_lines long").repartition(7)
+    out = ld.dedup_lines(df, rare_texts=8)
+    assert out.columns == ["doc_id", "text", "n_lines", "n_deleted", "deleted_lines"]
+    got = [(r.doc_id, r.n_lines, r.n_deleted, r.deleted_lines, r.text) for r in out.collect()]
+    assert sorted(got, key=key) == sorted(brute(docs, rare=8), key=key)
+
+
+def test_frequent_line_proposes_no_pairs_among_its_holders(spark):
+    rows = [(i, f"own words of number {i} here\nthis one line is held by every document that there is in the whole of this table and it has many words more") for i in range(300)]
+    df = frame(spark, rows, "doc_id long, text string")
+    out = {r.doc_id: r.n_deleted for r in ld.dedup_lines(df).collect()}
+    assert out[0] == 0 and all(out[i] == 1 for i in range(1, 300))
+
+
+def test_patience_equals_recursion():
+    rnd = random.Random(1)
+    for _ in range(300):
+        a = [rnd.randrange(12) for _ in range(rnd.randrange(20))]
+        b = [rnd.randrange(12) for _ in range(rnd.randrange(20))]
+        assert ld.patience(a, b) == matches(a, b)
+
+
+def test_empty(spark):
+    assert ld.dedup_lines(frame(spark, [(1, "a")], "doc_id long, text string").filter("false")).count() == 0
