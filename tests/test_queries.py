@@ -7,10 +7,10 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF001, SF01
+from joinery.plans.catalog import NO_ORACLE, ORACLE_SQL, QUERIES
 from oracle import compare, duck
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+ORACLE = {k: v for k, v in ORACLE_SQL.items() if k not in NO_ORACLE}
 
 
 @pytest.fixture(scope="module")
@@ -24,6 +24,10 @@ def test_entry_smoke(spark):
     assert df.columns == entry.entry(spark).columns
 
 
+def test_entry_registers_all():
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
+
+
 def test_every_query_but_sketches_has_an_oracle():
     assert set(QUERIES) - set(ORACLE) == {"join_profile_approx"}
 
