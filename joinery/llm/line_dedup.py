@@ -172,7 +172,8 @@ def deletions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
 
 def _with_gone(rows: DataFrame, gone: DataFrame, ident: str) -> DataFrame:
     """``__gone``: the numbers of the lines that a row (its ``__th``, its id) loses."""
-    joined = rows.join(gone, rows["__th"] == gone["th"], "left")
+    # by a shuffle whatever the size: a hot text's rows are split, and the plan is the same at any scale
+    joined = rows.join(gone.hint("merge"), rows["__th"] == gone["th"], "left")
     none = F.expr("cast(array() as array<int>)")
     return joined.withColumn("__gone", F.when(F.col("th").isNull(), none)
                              .when(F.col(ident).eqNullSafe(F.col("first_id")), F.col("own")).otherwise(F.col("copy")))
