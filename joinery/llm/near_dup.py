@@ -26,17 +26,17 @@ from .texts import blank_words, int64s, lists, mix64, q, word_hashes
 #: Bands and samples per band: a pair at similarity 0.8 shares no band with probability
 #: (1 - 0.8 ** 6) ** 32 = 6e-5, one at 0.85 with 4e-8.
 BANDS, ROWS = 32, 6
-#: Words of 64 parity bits in a sketch.
-SKETCH_LONGS = 8
-#: Samples below the threshold's expectation that a sketch may show, in standard deviations.
-SLACK = 6.0
+#: MinHash samples in a sketch (the bands use the first of them) and its 64-bit words.
+SAMPLES, SKETCH_LONGS = 1024, 32
+#: Standard deviations by which a sketch may miss the threshold: a pair right at it falls
+#: away with probability 3e-5, half of what the bands lose.
+SLACK = 4.0
 #: Members of one side of a block when an unsettled bucket is compared in blocks.
 BLOCK = 2_048
 
-_SAMPLES = BANDS * ROWS
 _RNG = np.random.default_rng(20240229)
-_XOR = _RNG.integers(0, 1 << 32, _SAMPLES, dtype=np.uint32)[:, None]
-_MUL = (_RNG.integers(0, 1 << 32, _SAMPLES, dtype=np.uint32) | np.uint32(1))[:, None]
+_XOR = _RNG.integers(0, 1 << 32, SAMPLES, dtype=np.uint32)[:, None]
+_MUL = (_RNG.integers(0, 1 << 32, SAMPLES, dtype=np.uint32) | np.uint32(1))[:, None]
 _SKETCH = [f"s{i}" for i in range(SKETCH_LONGS)]
 
 
@@ -60,15 +60,17 @@ def shingle_set(words: list[bytes], width: int) -> np.ndarray:
 def minhash(shingles: np.ndarray) -> np.ndarray:
     """One 32-bit minimum per sample."""
     x = (shingles >> np.uint64(32)).astype(np.uint32)
-    low = np.full(_SAMPLES, 0xFFFFFFFF, np.uint32)
-    for k in range(0, len(x), 2048):
-        np.minimum(low, (((x[k:k + 2048] ^ _XOR) * _MUL)).min(axis=1), out=low)
+    low = np.full(SAMPLES, 0xFFFFFFFF, np.uint32)
+    for k in range(0, len(x), 256):
+        y = x[k:k + 256] ^ _XOR
+        y *= _MUL
+        np.minimum(low, y.min(axis=1), out=low)
     return low
 
 
 def odd_sketch(samples: np.ndarray) -> np.ndarray:
     """Parity bitmap: sample i with value v flips bit hash(i, v)."""
-    bit = mix64((np.arange(_SAMPLES, dtype=np.uint64) << np.uint64(32)) | samples) >> np.uint64(64 - 6 - int(math.log2(SKETCH_LONGS)))
+    bit = mix64((np.arange(SAMPLES, dtype=np.uint64) << np.uint64(32)) | samples) >> np.uint64(64 - 6 - int(math.log2(SKETCH_LONGS)))
     odd = np.flatnonzero(np.bincount(bit.astype(np.int64), minlength=64 * SKETCH_LONGS) & 1)
     out = np.zeros(SKETCH_LONGS, np.uint64)
     np.bitwise_xor.at(out, odd >> 6, np.uint64(1) << (odd & 63).astype(np.uint64))
@@ -76,12 +78,17 @@ def odd_sketch(samples: np.ndarray) -> np.ndarray:
 
 
 def sketch_limit(similarity: float) -> int:
-    """Largest XOR population count of a pair that may reach ``similarity``: expected
-    differing samples plus ``SLACK`` deviations, folded into parity bits (and their own)."""
-    differ = _SAMPLES * (1 - similarity) + SLACK * math.sqrt(_SAMPLES * similarity * (1 - similarity))
-    bits = 64 * SKETCH_LONGS
-    mean = bits / 2 * (1 - (1 - 2 / bits) ** (2 * min(differ, _SAMPLES)))
-    return int(mean + 3 * math.sqrt(mean) / 2) + 1
+    """Largest XOR population count of a pair that may reach ``similarity``.
+
+    Of k samples k (1 - J) differ on average, and each differing one flips two of the n
+    bits of the XOR. The limit is the mean of the odd bits plus ``SLACK`` deviations, of the
+    samples and of the flips that fall together."""
+    n, k = 64 * SKETCH_LONGS, SAMPLES
+    m = 2 * k * (1 - similarity)
+    lone, twin = (1 - 2 / n) ** m, (1 - 4 / n) ** m
+    folding = n / 4 * (1 - twin) + n * n / 4 * (twin - lone * lone)
+    sampling = 4 * k * similarity * (1 - similarity) * lone * lone
+    return math.ceil(n / 2 * (1 - lone) + SLACK * math.sqrt(max(0.0, folding) + sampling))
 
 
 def _signatures(width: int):
@@ -99,7 +106,7 @@ def _signatures(width: int):
                 node.append(int(mix64(np.array([np.bitwise_xor.reduce(mix64(own)) + np.uint64(len(own))], np.uint64))[0] >> np.uint64(1)))
                 low = minhash(own)
                 key = np.arange(BANDS, dtype=np.uint64)
-                for part in low.reshape(BANDS, ROWS).T:
+                for part in low[:BANDS * ROWS].reshape(BANDS, ROWS).T:
                     key = mix64(key + part)
                 bands.append(key)
                 sketches.append(odd_sketch(low))
@@ -139,13 +146,16 @@ def _confirm(width: int, percent: int):
 def _cross_pairs(limit: int):
     """Within a block pair of an unsettled bucket: the pairs of different components whose
     sketches allow the similarity. Members of the largest component are not compared with
-    each other, so the work is (members outside it) x (members)."""
+    each other, so the work is (members outside it) x (members). A pair that meets in
+    several buckets counts in the first of its common bands only."""
 
     def run(table: pa.Table) -> pa.Table:
         sketch = np.column_stack([table.column(s).to_numpy() for s in _SKETCH]).view(np.uint64)
         node, comp = table.column("node").to_numpy(), table.column("comp").to_numpy()
         side, diagonal = table.column("t").to_numpy(), table.column("i")[0] == table.column("j")[0]
-        names, inverse, size = np.unique(comp, return_inverse=True, return_counts=True)
+        bands = table.column("bands").combine_chunks().flatten().to_numpy().reshape(len(node), -1)
+        bucket = table.column("bucket")[0].as_py()
+        names, size = np.unique(comp, return_counts=True)
         largest = names[size.argmax()]
         a, b = [], []
         for x in np.flatnonzero(comp != largest):
@@ -155,6 +165,8 @@ def _cross_pairs(limit: int):
             at = np.flatnonzero(other)
             if len(at):
                 near = at[np.bitwise_count(sketch[at] ^ sketch[x]).sum(axis=1) <= limit]
+                first = (bands[near] == bands[x]).argmax(axis=1)
+                near = near[bands[x][first] == bucket]
                 a.append(np.minimum(node[near], node[x]))
                 b.append(np.maximum(node[near], node[x]))
         none = [np.empty(0, np.int64)]
@@ -181,18 +193,33 @@ class NearDuplicates:
         self.classes = staged(classes, "nd_classes")
 
     def buckets(self) -> DataFrame:
-        """(bucket, node) of every bucket that two different sets share, with their number
-        and the smallest and largest node."""
+        """(bucket, node, n) of every bucket that ``n`` > 1 different sets share."""
         members = self.classes.select(F.explode("bands").alias("bucket"), "node")
-        shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("low"), F.max("node").alias("high"))
+        shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
         return staged(members.join(shared.filter("n > 1"), "bucket"), "nd_buckets")
 
-    def confirmed(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a < b) that pass the sketch and then the full sets."""
+    @staticmethod
+    def stars(buckets: DataFrame) -> DataFrame:
+        """Pairs of every bucket's members with its hub and its smallest node. The hub is
+        the member that meets most others over all buckets: the text that the rest of a
+        group was made from is nearer to each of them than they are to one another."""
+        crowd = buckets.groupBy("node").agg(F.sum(F.col("n") - 1).alias("crowd"))
+        heads = buckets.join(crowd, "node").groupBy("bucket").agg(
+            F.max(F.struct("crowd", "node")).getField("node").alias("hub"), F.min("node").alias("low"))
+        joined = buckets.join(heads, "bucket")
+        return joined.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).union(
+            joined.select(F.least("node", "low").alias("a"), F.greatest("node", "low").alias("b"))).filter("a < b").distinct()
+
+    def sketched(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a < b) whose sketches allow the similarity."""
         left = self.classes.select(F.col("node").alias("a"), *[F.col(s).alias(f"a{s}") for s in _SKETCH])
         right = self.classes.select(F.col("node").alias("b"), *[F.col(s).alias(f"b{s}") for s in _SKETCH])
         apart = reduce(add, [F.bit_count(F.col(f"a{s}").bitwiseXOR(F.col(f"b{s}"))) for s in _SKETCH])
-        near = staged(pairs.join(left, "a").join(right, "b").filter(apart <= self.limit).select("a", "b"), "nd_near")
+        return pairs.join(left, "a").join(right, "b").filter(apart <= self.limit).select("a", "b")
+
+    def confirmed(self, near: DataFrame) -> DataFrame:
+        """The pairs that reach the similarity on their full sets."""
+        near = staged(near, "nd_near")
         # only texts of a surviving pair travel, one for each set
         wanted = near.select(F.col("a").alias("node")).union(near.select("b")).distinct().join(self.classes.select("node", "lead"), "node")
         wanted = wanted.select("node", F.col("lead.id").alias("__wid"), F.col("lead.th").alias("__wth"))
@@ -205,24 +232,22 @@ class NearDuplicates:
 
     def links(self) -> DataFrame:
         """Links that connect every component: first each bucket's members with its
-        smallest and largest node, then, for buckets still in several components, all
+        hub and its smallest node, then, for buckets still in several components, all
         pairs between them that the sketches allow, in blocks."""
         buckets = self.buckets()
-        star = buckets.select(F.least("node", "low").alias("a"), F.greatest("node", "low").alias("b")).union(
-            buckets.select(F.least("node", "high").alias("a"), F.greatest("node", "high").alias("b")))
-        tried = staged(star.filter("a < b").distinct(), "nd_star")
-        links = self.confirmed(tried)
+        tried = staged(self.stars(buckets), "nd_star")
+        links = self.confirmed(self.sketched(tried))
         comp = connected_components(links).withColumnRenamed("root", "comp")
         placed = buckets.join(comp, "node", "left").select("bucket", "node", "n", F.coalesce("comp", "node").alias("comp"))
-        # two members have met already, as smallest and largest
+        # two members have met already
         open_ = placed.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max("n").alias("n"))
         open_ = open_.filter("lo < hi and n > 2").select("bucket")
-        sketch = self.classes.select("node", *_SKETCH)
+        sketch = self.classes.select("node", "bands", *_SKETCH)
         blocks = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
         rows = placed.join(open_, "bucket").join(sketch, "node").withColumn("t", F.pmod(F.xxhash64("node"), blocks).cast("int"))
         rows = rows.withColumn("o", F.explode(F.sequence(F.lit(0), blocks - 1)))
         rows = rows.withColumn("i", F.least("t", "o")).withColumn("j", F.greatest("t", "o")).drop("o", "n")
-        more = rows.groupBy("bucket", "i", "j").applyInArrow(_cross_pairs(self.limit), "a long, b long").distinct()
+        more = rows.groupBy("bucket", "i", "j").applyInArrow(_cross_pairs(self.limit), "a long, b long")
         more = self.confirmed(more.join(tried, ["a", "b"], "left_anti"))
         return links.union(more)
 
