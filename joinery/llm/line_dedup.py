@@ -137,6 +137,7 @@ def shared_line_pairs(texts: DataFrame, block_words: int = BLOCK_WORDS, rare_tex
     order = F.struct(F.col("first_id").isNull().alias("no"), F.col("first_id").alias("id"), F.col("th").alias("th"))
     known = texts.select("th", "first_id", F.explode(F.array_distinct("lines")).alias("h")).groupBy("h").agg(
         F.count(F.lit(1)).alias("df"), F.min(order).alias("owner")).filter("df > 1")
+    known = staged(known, "ld_shared")  # so that a join on it can split a hot line
     shared = posted.join(known, "h")
     earlier = ~F.col("owner.id").eqNullSafe(F.col("first_id")) & F.col("owner.id").isNotNull()
     shared = shared.filter(earlier).select("th", "ord", "w", "df", F.col("owner.th").alias("owner"))
