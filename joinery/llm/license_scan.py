@@ -93,8 +93,8 @@ def hits(docs: DataFrame, grams: DataFrame, id_col: str, text_col: str, phrases:
     true = F.col("template").isNotNull()
     for k in range(gram):
         true = true & (at(k) == F.get("gram", F.lit(k)))
-    found = found.withColumn("true", F.coalesce(true, F.lit(False))).filter("i = -1 or base is not null or true")
-    return found.select("__id", "__th", "n_words", "i", "base", *[F.when(F.col("true"), F.col(c)).alias(c) for c in ("template", "label", "j", "size")])
+    found = found.withColumn("hit", F.coalesce(true, F.lit(False))).filter("i = -1 or base is not null or hit")
+    return found.select("__id", "__th", "n_words", "i", "base", *[F.when(F.col("hit"), F.col(c)).alias(c) for c in ("template", "label", "j", "size")])
 
 
 def template_spans(found: DataFrame, slack: int = SLACK, cover: float = COVER, gram: int = GRAM) -> DataFrame:
