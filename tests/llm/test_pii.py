@@ -1,0 +1,124 @@
+import re
+from collections import Counter
+from math import log
+
+from joinery.llm import pii
+from joinery.llm.queries import op4_pii
+from .conftest import frame, sha
+
+BASE = {
+    "email": re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
+    "ip": re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+    "card": re.compile(r"[0-9]([\x20-]?[0-9])+"),
+    "phone": re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
+}
+LETTERS = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def luhn(d):
+    return sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(reversed(d))) % 10 == 0
+
+
+def valid(kind, s):
+    d = re.sub("[^0-9]", "", s)
+    return {"email": lambda: True, "ip": lambda: all(int(x) <= 255 for x in s.split(".")),
+            "card": lambda: 14 <= len(d) <= 19 and luhn(d), "phone": lambda: 10 <= len(d) <= 15}[kind]()
+
+
+def base(text):
+    spans = [(m.start(), k, m.end(), kind, m[0]) for k, kind in enumerate(pii.KINDS)
+             for m in BASE[kind].finditer(text or "") if valid(kind, m[0])]
+    return sorted(spans)
+
+
+def listed(spans):
+    return ",".join(f"{s[3]}:{s[0]}:{s[2]}" for s in spans)
+
+
+def brute(docs, generalise=pii.GENERALISE, support=pii.SUPPORT):
+    def terms(t, s, e):
+        left = t[max(0, s - pii.NEAR_CHARS):s]
+        off = max(0, s - pii.NEAR_CHARS)
+        before = [(m[0].lower(), m.start() + off, m.end() + off) for m in LETTERS.finditer(left) if m.start() > 0 or off == 0]
+        right = t[e:e + pii.NEAR_CHARS]
+        after = [(m[0].lower(), m.start() + e, m.end() + e) for m in LETTERS.finditer(right) if m.end() < pii.NEAR_CHARS or m.end() + e == len(t)]
+        return [w for w in before[-pii.NEAR_WORDS:] + after[:pii.NEAR_WORDS] if len(w[0]) >= pii.TERM_LETTERS]
+
+    def entity(s):
+        return s[4].lower() if s[3] == "email" else (s[3], re.sub("[^0-9]", "", s[4]))
+
+    n, ce, cte, ct, seen = len(docs), Counter(), Counter(), Counter(), set()
+    for doc, t in docs:
+        ct.update(set(LETTERS.findall((t or "").lower())))
+        if (doc, t) not in seen:
+            seen.add((doc, t))
+            spans = base(t)
+            ce.update({entity(s) for s in spans})
+            cte.update({(entity(s), w[0]) for s in spans for w in terms(t, s[0], s[2])})
+    tell = {}
+    for (e, w), c in cte.items():
+        if c >= support and ce[e] < n:
+            share = log(n * c / (ct[w] * ce[e])) / log(n / ce[e])
+            if share >= generalise:
+                tell[e, w] = share
+    out = []
+    for doc, t in docs:
+        spans = base(t)
+        more = {(w[1], 4, w[2], "term") for s in spans for w in terms(t, s[0], s[2]) if (entity(s), w[0]) in tell
+                and not any(b[0] < w[2] and w[1] < b[2] for b in spans)}
+        count = Counter(s[3] for s in spans)
+        out.append((doc, *[count[k] for k in pii.KINDS], sha(listed(spans)), listed(sorted([s[:4] for s in spans] + list(more))), len(more)))
+    return out
+
+
+def same(got, want):
+    key = lambda r: tuple(str(x) for x in r)
+    assert sorted(map(tuple, got), key=key) == sorted(want, key=key)
+
+
+def test_query_equals_brute_force(spark, corpus):
+    got = op4_pii(spark, corpus.sf_dir).collect()
+    same(got, brute([(d.doc_id, d.text) for d in corpus.documents]))
+    assert sum(r.n_email + r.n_ip + r.n_card + r.n_phone for r in got) > 20
+
+
+TEXTS = [
+    "é a@b.co, _x%+@q-r.s.t. no@no @x.y a@b..c a.b@c.d_e@f.g a@b.c.d@e.f", "1.2.3.4 300.1.1.1.5 1.2.3.4.5.6.7.8 0255.0.00.1 256.1.1.1",
+    "4111 1111 1111 1111, 4111-1111-1111-1112 41111111111111111111111 5500 0000 0000 0004x 4111  1111 1111 1111",
+    "+1 (386) 555-3733 +12 34 +1234567890123456 ++1-800-555-01234. +1.2.3.4.5.6.7.8.9.0", None, "", "1" * 5000 + " " + "a" * 5000 + "@" + "b." * 3000 + "c",
+    ("mail x@y.zz 10.0.0.1 " * 400), "+4111 1111 1111 1111", "٣@x.y é٤@z.w +1٣4567890123",
+]
+
+
+def told():
+    """A rare nickname goes with one address, common words with all."""
+    rows = [(100 + i, f"write to Zorrro{'' if i % 2 else ' the'} boss@corp.example about the thing today {i}") for i in range(12)]
+    rows += [(200 + i, f"write to somebody p{i}x@corp.example about the thing today") for i in range(40)]
+    return rows + [(300 + i, "nothing about the thing here") for i in range(40)]
+
+
+def rows():
+    out = list(enumerate(TEXTS)) + told()
+    return out + [(None, TEXTS[0]), (3, TEXTS[3]), (3, "other +1 386 555 3733"), (5, None)]
+
+
+def found(spark, docs):
+    df = frame(spark, [(*d, 1) for d in docs], "doc_id long, text string, Spans int").repartition(3)
+    return pii.find_personal(df), df
+
+
+def test_edges(spark):
+    docs = rows()
+    out, df = found(spark, docs)
+    got = [(r.doc_id, *[sum(s.kind == k for s in r.spans) for k in pii.KINDS], sha(listed([(s.start, s.k, s.end, s.kind) for s in r.spans if s.kind != "term"])),
+            listed([(s.start, s.k, s.end, s.kind) for s in r.spans]), sum(s.kind == "term" for s in r.spans)) for r in out.collect()]
+    same(got, brute(docs))
+    assert any(r[-1] for r in got)
+    clean = {r.doc_id: r.text for r in pii.sanitise(df).collect()}
+    assert clean[101].lower().startswith("write to") and "zorrro" not in clean[101].lower() and "[EMAIL]" in clean[101]
+    assert clean[200] == "write to somebody [EMAIL] about the thing today" and clean[5] in (None, "")
+    assert pii.sanitise(df).count() == len(docs)
+
+
+def test_empty(spark):
+    assert pii.find_personal(frame(spark, rows()[:1], "doc_id long, text string").filter("false")).count() == 0
