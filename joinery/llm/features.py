@@ -14,12 +14,14 @@ from pyspark.sql import functions as F
 from .texts import held_out, item_words, q
 
 #: Hash space of the features.
-BITS = 18
+BITS = 20
 #: Labelled rows a model learns from: all of them up to this expected number, beyond it a
 #: share chosen by a hash of the id.
 SAMPLE_ROWS = 20_000
-#: Shards that learn side by side and are averaged.
-SHARDS = 6
+#: Rows of a shard, on average; shards learn side by side and are averaged.
+SHARD_ROWS = 5_000
+#: Bytes of a stem.
+STEM = 5
 
 Extract = Callable[[bytes | None], np.ndarray]
 
@@ -29,13 +31,15 @@ def _slots(h: np.ndarray) -> np.ndarray:
 
 
 def word_grams(text: bytes | None) -> np.ndarray:
-    """Distinct slots of the words, word pairs and pairs that skip one word."""
+    """Distinct slots of the words, their stems (first bytes, so that an inflected word is
+    known by its root), word pairs and pairs that skip one word."""
     words = item_words(text)
     h = np.fromiter(map(crc32, words), np.uint64, len(words)) + np.uint64(1)
     pairs = h[:-1] * np.uint64(0x2545F491) + h[1:]
+    stems = np.fromiter(map(crc32, [w[:STEM] for w in words]), np.uint64, len(words)) + np.uint64(1 << 61)
     skips = h[:-2] * np.uint64(0x6C8E9CF5) + h[2:] + np.uint64(1 << 60)
     seen = np.zeros(1 << BITS, bool) if len(h) > 50_000 else None
-    slots = _slots(np.concatenate((h, pairs, skips)))
+    slots = _slots(np.concatenate((h, stems, pairs, skips)))
     if seen is None:
         return np.unique(slots)
     seen[slots] = True
@@ -96,7 +100,8 @@ def labelled_features(docs: DataFrame, labels: DataFrame, target: str, extract:
         known = known.filter(F.pmod(F.xxhash64("__id"), F.lit(1_000_000)) < int(1_000_000 * sample_rows / total))
     # at most about sample_rows pairs of numbers, so the broadcast is bounded
     rows = docs.select(q(id_col).alias("__id"), q(text_col).cast("string").alias("__text")).join(F.broadcast(known), "__id")
-    rows = rows.select((F.pmod(F.xxhash64("__id", F.lit(1)), F.lit(SHARDS))).cast("int").alias("shard"),
+    shards = -(-max(1, min(total, sample_rows)) // SHARD_ROWS)
+    rows = rows.select((F.pmod(F.xxhash64("__id", F.lit(1)), F.lit(shards))).cast("int").alias("shard"),
                        F.xxhash64("__id", "__text").alias("ordr"), F.col("__y").cast("int").alias("y"), "__text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

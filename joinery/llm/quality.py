@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from .features import BITS, SAMPLE_ROWS, averaged, in_order, labelled_features, scored, style_grams
 from .texts import free_columns
 
-RATE, L2, EPOCHS = 0.15, 1e-4, 4
+RATE, L2, EPOCHS = 0.6, 0.0, 10
 ADDED = ("expected_grade", "tail_probability", "grade")
 
 

@@ -16,7 +16,7 @@ from .texts import free_columns, q
 
 #: Slot of the intercept, which carries no L1 penalty.
 BIAS = 1 << BITS
-ALPHA, BETA, L1, L2, EPOCHS = 0.2, 1.0, 1.0, 0.5, 3
+ALPHA, BETA, L1, L2, EPOCHS = 1.0, 1.0, 8.0, 0.0, 6
 
 
 @dataclass

@@ -1,0 +1,89 @@
+import random
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
+from joinery.llm import packing
+from joinery.llm.queries import op7_pack
+from .conftest import frame
+from pyspark.sql import functions as F
+
+SIZES = (8, 16, 32)
+
+
+def check(rows, lengths, sizes):
+    """Every token once, bins within their size, sizes as small as their contents allow."""
+    bins, pieces = defaultdict(list), defaultdict(list)
+    for r in rows:
+        bins[r.bin].append(r)
+        pieces[r.doc_id].append((r.start, r.n_tokens))
+    for own in bins.values():
+        own.sort(key=lambda r: r.bin_offset)
+        at = 0
+        for r in own:
+            assert r.bin_offset == at
+            at += r.n_tokens
+        assert {r.bin_tokens for r in own} == {at}
+        assert {r.bin_size for r in own} == {min(s for s in sizes if s >= at)}
+    for doc, copies in lengths.items():
+        want = sorted((s, min(max(sizes), n - s)) for n in copies for s in range(0, n, max(sizes)))
+        assert sorted(pieces.pop(doc, [])) == want
+    assert not pieces
+
+
+def brute_pack(lengths, sizes, overhead):
+    """Best fit by looking at every bin."""
+    order = sorted(range(len(lengths)), key=lambda i: (-lengths[i], i))
+    rest, bins = sum(lengths), []
+    place = {}
+    for i in order:
+        n = lengths[i]
+        rest -= n
+        fits = [(size - used, b) for b, (size, used) in enumerate(bins) if size - used >= n]
+        if fits:
+            b = min(fits)[1]
+        else:
+            spare = sum(s - u for s, u in bins)
+            b = len(bins)
+            bins.append((min((s for s in sizes if s >= n), key=lambda s: (s + overhead) / (n + min(s - n, max(0, rest - spare)))), 0))
+        place[i] = (b, bins[b][1])
+        bins[b] = (bins[b][0], bins[b][1] + n)
+    return [place[i] for i in range(len(lengths))], [min(s for s in sizes if s >= u) for _, u in bins]
+
+
+def test_best_fit_equals_brute_force():
+    rnd = random.Random(3)
+    for _ in range(60):
+        lengths = [rnd.randint(1, 31) for _ in range(rnd.randint(1, 60))]
+        bins, offsets, final = packing.pack(np.array(lengths), SIZES, 2)
+        assert (list(zip(bins.tolist(), offsets.tolist(), strict=True)), final.tolist()) == brute_pack(lengths, SIZES, 2)
+
+
+def test_query_packs_every_token(spark, corpus):
+    rows = op7_pack(spark, corpus.sf_dir).collect()
+    lengths = defaultdict(list)
+    for d in corpus.documents:
+        lengths[d.doc_id].append(len((d.text or "").encode().split()))
+    check(rows, lengths, packing.SIZES)
+    assert sum(r.n_tokens for r in rows) / sum({r.bin: r.bin_size for r in rows}.values()) > 0.95
+
+
+def test_edges_in_many_shards(spark):
+    rnd = random.Random(1)
+    docs = [(i, " ".join(["w"] * rnd.choice([1, 3, 7, 8, 9, 31, 32, 33, 64, 100]))) for i in range(400)]
+    docs += [(None, "a b c"), (None, None), (7, docs[7][1]), (7, docs[7][1]), (900, ""), (901, " \n\t"), (902, "x " * 5000)]
+    df = frame(spark, [(*d, 1) for d in docs], "doc_id long, text string, Bin int").repartition(5)
+    out = packing.pack_documents(df, sizes=SIZES, shard_pieces=50)
+    lengths = defaultdict(list)
+    for i, t in docs:
+        lengths[i].append(len((t or "").split()))
+    check(out.collect(), lengths, SIZES)
+    again = packing.pack_documents(df.repartition(3), sizes=SIZES, shard_pieces=50)
+    assert sorted(map(str, out.collect())) == sorted(map(str, again.collect()))
+    text = out.join(df.dropDuplicates(["doc_id"]).filter("doc_id is not null"), "doc_id").select(
+        "n_tokens", packing.piece_text(F.col("text"), F.col("start"), F.col("n_tokens")).alias("t")).collect()
+    assert all(len(r.t.split()) == r.n_tokens for r in text)
+    with pytest.raises(ValueError):
+        packing.pack_documents(df, sizes=())
+    assert packing.pack_documents(df.filter("false")).count() == 0
