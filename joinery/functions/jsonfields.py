@@ -31,14 +31,32 @@ def json_value(c: ColumnLike, key: str) -> Column:
 
 
 def parse_flat(c: ColumnLike) -> Column:
-    """JSON object text → ``map<string,string>``; nested values and numbers become
-    their text, malformed text gives NULL."""
-    return F.from_json(as_col(c), MAP_TYPE)
+    """JSON object text → ``map<string,string>``; nested values become their text, numbers
+    the text Spark gives them (``1.10`` becomes ``1.1``); malformed text gives NULL, and so
+    does text behind the object. A repeated field stays repeated in the map's entries:
+    pass it through ``last_entries`` before building a map again."""
+    text = as_col(c)
+    # Spark parses the first value of a text and ignores the rest: as the first of two
+    # elements, the second one marked by a hash of the text, it must be all of it
+    mark = F.hex(F.xxhash64(text))
+    whole = F.from_json(F.concat(F.lit("["), text, F.lit(',{"'), mark, F.lit('":""}]')), f"array<{MAP_TYPE}>")
+    alone = F.filter(F.array(whole), lambda w: (F.size(w) == 2) & (F.map_keys(F.get(w, F.lit(1))) == F.array(mark)))
+    return F.get(F.transform(alone, lambda w: F.get(w, F.lit(0))), F.lit(0))
+
+
+def last_entries(parsed: Column) -> Column:
+    """The entries of a parsed map with the last value of every key, in order of first
+    appearance."""
+    entries = F.map_entries(parsed)
+    return F.transform(
+        F.array_distinct(F.transform(entries, lambda e: e["key"])),
+        lambda k: F.element_at(F.filter(entries, lambda e: e["key"] == k), -1),
+    )
 
 
 def upsert_field(parsed: Column, field: str, value: Column) -> Column:
-    """``parsed`` with ``field`` set to ``value``: an existing entry is removed
-    first (a plain map_concat would raise on the duplicate key), the new entry
-    goes last."""
-    kept = F.map_filter(parsed, lambda k, _v: k != F.lit(field))
-    return F.map_concat(kept, F.create_map(F.lit(field), value.cast("string")))
+    """``parsed`` with ``field`` set to ``value``: an existing entry is removed first, the
+    new entry goes last; of repeated fields the last value counts."""
+    kept = F.filter(last_entries(parsed), lambda e: e["key"] != F.lit(field))
+    new = F.array(F.struct(F.lit(field).alias("key"), value.cast("string").alias("value")))
+    return F.map_from_entries(F.concat(kept, new))

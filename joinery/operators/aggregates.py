@@ -1,6 +1,6 @@
 """Aggregates: latest snapshot per entity, global span bounds, match counts
-(A1, A2, V2). All are hash aggregates with map-side partial aggregation, so a
-hot group costs one partial row per map task in the shuffle."""
+(A1, A2, V2). All aggregate map-side first, so a hot group costs one partial row
+per map task in the shuffle; maxima of text and ``max_by`` run as sort aggregates."""
 
 from __future__ import annotations
 
@@ -23,9 +23,9 @@ def latest_snapshot(
 
     By default every key column is a grouping column (an entity whose name
     changed has one row per name). With ``latest_only=True`` the first key is
-    the entity id and each further key takes its value from the latest row of
-    that id (``max_by``), giving one row per id. Ties on the latest ``ts`` take
-    the greatest value, so a recomputed task gives the same answer.
+    the entity id and all further keys come from one and the same latest row of
+    that id, giving one row per id. Ties on the latest ``ts`` take the greatest
+    row of further keys, so a recomputed task gives the same answer.
     """
     keys = list(keys)
     if not keys:
@@ -33,10 +33,12 @@ def latest_snapshot(
     if not latest_only:
         return df.groupBy(*keys).agg(F.max(ts).alias(out))
     ident, rest = keys[0], keys[1:]
-    return df.groupBy(ident).agg(
-        *[F.max_by(k, F.when(F.col(ts).isNotNull(), F.struct(F.col(ts), F.col(k)))).alias(k) for k in rest],
-        F.max(ts).alias(out),
-    )
+    if not rest:
+        return df.groupBy(ident).agg(F.max(ts).alias(out))
+    row = F.struct(*[F.col(k).alias(f"r{i}") for i, k in enumerate(rest)])
+    last = F.max_by(row, F.when(F.col(ts).isNotNull(), F.struct(F.col(ts).alias("t"), row.alias("r"))))
+    found = df.groupBy(ident).agg(last.alias("__last"), F.max(ts).alias(out))
+    return found.select(ident, *[F.col(f"__last.r{i}").alias(k) for i, k in enumerate(rest)], out)
 
 
 def span_bounds(

@@ -80,7 +80,7 @@ def _aligned(left: Column, ltype: T.DataType, rtype: T.DataType) -> Column:
     return left
 
 
-_INTERNAL = re.compile(r"^__(jk|v\d+|m\d+|mt|n)$")
+_INTERNAL = re.compile(r"^__(jk|v\d+|m\d+|z\d+|mt|n)$")
 
 
 def _check_internal(*dfs: DataFrame) -> None:
@@ -154,7 +154,7 @@ def enrich(
     )
     if unique:
         vals = [f"__v{i}" for i in range(len(takes))]
-        right = right.groupBy("__jk").agg(F.count(F.lit(1)).alias("__n"), *[F.first(v).alias(v) for v in vals])
+        right = right.filter(F.col("__jk").isNotNull()).groupBy("__jk").agg(F.count(F.lit(1)).alias("__n"), *[F.first(v).alias(v) for v in vals])
         right = right.select(
             F.when(F.col("__n") > 1, F.raise_error(F.lit(f"lookup key {rkey} is not unique"))).otherwise(F.col("__jk")).alias("__jk"),
             *vals,
@@ -213,12 +213,21 @@ def enrich_sql(
         hinted, _prof = checked_broadcast(used, key=F.col(_q(rkey)), threshold=broadcast_threshold(spark), max_keys=keys)
         if hinted is not used:
             hint = "/*+ BROADCAST(a) */ "
-    sel = ",\n       ".join(f"COALESCE(a.{_q(src)}, :dflt) AS {_q(out)}" for out, src in takes.items())
+    _check_internal(primary)
+    lookup = lookup.select(
+        F.col(_q(rkey)).alias("__jk"),
+        *[(F.col(_q(src)) if isinstance(_dtype(lookup, src), T.StringType) else F.col(_q(src)).cast("string")).alias(f"__v{i}")
+          for i, src in enumerate(takes.values())],
+    )
+    # the same key rule as in enrich(): text against another type never fails the job
+    primary_cols = ", ".join(f"p.{_q(c)}" for c in primary.columns)
+    keyed = primary.select("*", _aligned(F.col(_q(lkey)), _dtype(primary, lkey), _dtype(lookup, "__jk")).alias("__jk"))
+    sel = ",\n       ".join(f"COALESCE(a.__v{i}, :dflt) AS {_q(out)}" for i, out in enumerate(takes))
     query = (
-        f"SELECT {hint}p.*,\n       {sel}\n"
-        f"FROM {{primary}} p\nLEFT OUTER JOIN {{lookup}} a\n  ON p.{_q(lkey)} = a.{_q(rkey)}"
+        f"SELECT {hint}{primary_cols},\n       {sel}\n"
+        f"FROM {{primary}} p\nLEFT OUTER JOIN {{lookup}} a\n  ON p.__jk = a.__jk"
     )
-    return spark.sql(query, args={"dflt": default}, primary=primary, lookup=lookup)
+    return spark.sql(query, args={"dflt": default}, primary=keyed, lookup=lookup)
 
 
 def inner_sql(
@@ -230,14 +239,21 @@ def inner_sql(
     right_cols: Sequence[str],
 ) -> DataFrame:
     """Inner equi-join in SQL: the chosen left columns, the chosen right
-    columns, then the left key."""
+    columns, then the left key (which may not be chosen again). Keys of different
+    types compare as in ``enrich``."""
     lkey, rkey = _pair(on)
+    names = [*left_cols, *right_cols, lkey]
+    twice = sorted({c for c in names if names.count(c) > 1})
+    if twice:
+        raise ValueError(f"output columns named twice: {twice}")
+    _check_internal(left, right)
     cols = [f"t1.{_q(c)}" for c in left_cols] + [f"t2.{_q(c)}" for c in right_cols] + [f"t1.{_q(lkey)}"]
     query = (
         f"SELECT {', '.join(cols)}\nFROM {{t1}} t1\nINNER JOIN {{t2}} t2\n"
-        f"  ON t1.{_q(lkey)} = t2.{_q(rkey)}"
+        f"  ON t1.__jk = t2.{_q(rkey)}"
     )
-    return spark.sql(query, t1=left, t2=right)
+    keyed = left.select("*", _aligned(F.col(_q(lkey)), _dtype(left, lkey), _dtype(right, rkey)).alias("__jk"))
+    return spark.sql(query, t1=keyed, t2=right)
 
 
 def json_get(df: DataFrame, json_col: str, field: str, out: str = "employee_number") -> DataFrame:
@@ -272,9 +288,10 @@ def enrich_hierarchy(
     clash = [c for c in snapshot.columns if c in with_no.columns]
     if clash:
         raise ValueError(f"snapshot columns clash with primary columns: {clash}")
+    _check_internal(primary, snapshot)
     if unique:
         others = [c for c in snapshot.columns if c != right_key]
-        counted = snapshot.groupBy(F.col(_q(right_key)).alias(right_key)).agg(
+        counted = snapshot.filter(F.col(_q(right_key)).isNotNull()).groupBy(F.col(_q(right_key)).alias(right_key)).agg(
             F.count(F.lit(1)).alias("__n"), *[F.first(_q(c)).alias(c) for c in others]
         )
         guard = F.when(F.col("__n") > 1, F.raise_error(F.lit(f"snapshot key {right_key} is not unique")))
@@ -372,14 +389,21 @@ def merge(
     a_rest = [c for c in a.columns if c not in kset]
     b_rest = [c for c in b.columns if c not in kset]
     if set(a_rest) & set(b_rest):
+        if unique:
+            raise ValueError(f"unique=True needs distinct output names: {sorted(set(a_rest) & set(b_rest))} are on both sides")
+        if skew_split:
+            log.info("merge: equal non-key names, planned as one full outer join without splitting hot keys")
         skew_split = False  # duplicate output names: keep Spark's USING semantics
     complex_keys = any(isinstance(_dtype(df, k), _COMPLEX) for df in (a, b) for k in keys)
+    if not complex_keys and (skew_split or unique):
+        a, b = _same_key_types(a, b, keys)
     mixed_types = any(_dtype(a, k) != _dtype(b, k) for k in keys)
     if complex_keys or mixed_types:
-        # the split plan compares per-side key encodings; keys of different
-        # types (left to Spark's widening) or nested keys use the plain plan
+        # nested or NULL-typed keys, and types without a common one, use the plain plan
         if unique:
-            raise ValueError("unique=True needs scalar merge keys of the same type on both sides")
+            raise ValueError("unique=True needs scalar merge keys of comparable types on both sides")
+        if skew_split:
+            log.info("merge: nested or incomparable keys, planned as one full outer join without splitting hot keys")
         skew_split = False
     if skew_split or unique:
         return _merge_split(a, b, keys, a_rest, b_rest, null_safe, unique)
@@ -395,7 +419,28 @@ def merge(
     )
 
 
-_COMPLEX = (T.ArrayType, T.MapType, T.StructType)
+_COMPLEX = (T.ArrayType, T.MapType, T.StructType, T.NullType)
+_NUMBERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType)
+
+
+def _same_key_types(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Both sides with keys of different numeric types cast to the type Spark widens them
+    to, so that they can be split like others. Other pairs stay as they are."""
+    wider: dict[str, T.DataType] = {}
+    for k in keys:
+        ta, tb = _dtype(a, k), _dtype(b, k)
+        if ta != tb and isinstance(ta, _NUMBERS) and isinstance(tb, _NUMBERS):
+            at, bt = (next(i for i, n in enumerate(_NUMBERS) if isinstance(t, n)) for t in (ta, tb))
+            whole = min(at, bt) <= 3 < max(at, bt)
+            # a long against a float widens to double
+            wider[k] = T.DoubleType() if whole and (max(at, bt) == 5 or min(at, bt) >= 2) else _NUMBERS[max(at, bt)]()
+    if not wider:
+        return a, b
+
+    def cast(df: DataFrame) -> DataFrame:
+        return df.select(*[F.col(_q(c)).cast(wider[c]).alias(c) if c in wider else F.col(_q(c)) for c in df.columns])
+
+    return cast(a), cast(b)
 
 
 def _has_map(dt: T.DataType) -> bool:
@@ -441,23 +486,23 @@ def _join_value(c: Column, dt: T.DataType) -> Column:
 def _merge_keys(df: DataFrame, keys: Sequence[str], null_safe: bool, side: int) -> DataFrame:
     """Append non-nullable join-key columns ``__m0..`` and a tag ``__mt``.
 
-    With ``null_safe`` the tag records which keys are NULL (so NULL matches
-    NULL). Otherwise a row with any NULL key can never match: its tag is a hash
+    With ``null_safe`` a flag ``__z<i>`` beside each key tells whether it is NULL (so
+    NULL matches NULL), however many keys there are. Otherwise a row with any NULL key can never match: its tag is a hash
     of the whole row, positive on side 1 and negative on side 2, so such rows
     match nothing and spread over all partitions."""
     types = {f.name: f.dataType for f in df.schema.fields}
     cols = [F.coalesce(_join_value(F.col(_q(k)), types[k]), _sentinel(_key_type(types[k]))).alias(f"__m{i}")
             for i, k in enumerate(keys)]
+    flags: list[Column] = []
     if null_safe:
         tag = F.lit(0).cast("long")
-        for i, k in enumerate(keys):
-            tag = tag + F.when(F.col(_q(k)).isNull(), F.lit(1 << min(i, 62))).otherwise(F.lit(0)).cast("long")
+        flags = [F.col(_q(k)).isNull().alias(f"__z{i}") for i, k in enumerate(keys)]
     else:
         any_null = functools.reduce(lambda x, y: x | y, [F.col(_q(k)).isNull() for k in keys])
         hashable = [F.col(_q(f.name)) for f in df.schema.fields if not _has_map(f.dataType)]
         h = F.coalesce(F.pmod(F.xxhash64(*hashable), F.lit((1 << 62) - 1)), F.lit(0)) + F.lit(1)
         tag = F.when(any_null, h if side == 1 else -h).otherwise(F.lit(0).cast("long"))
-    return df.select("*", *cols, tag.alias("__mt"))
+    return df.select("*", *cols, *flags, tag.alias("__mt"))
 
 
 def _fail_on_repeats(key_counts: DataFrame, names: Sequence[str], side: str, null_safe: bool) -> DataFrame:
@@ -485,6 +530,8 @@ def _merge_split(a, b, keys, a_rest, b_rest, null_safe, unique=False):
     ka = _merge_keys(a, keys, null_safe, 1).alias(_L)
     kb = _merge_keys(b, keys, null_safe, 2).alias(_R)
     names = [f"__m{i}" for i in range(len(keys))] + ["__mt"]
+    if null_safe:
+        names += [f"__z{i}" for i in range(len(keys))]
     cond = functools.reduce(lambda x, y: x & y, [_lcol(n) == _rcol(n) for n in names])
     atypes = {f.name: f.dataType for f in a.schema.fields}
     btypes = {f.name: f.dataType for f in b.schema.fields}

@@ -22,10 +22,11 @@ def json_put(
     """Set ``field`` to ``value`` in the flat JSON object held by ``json_col``.
 
     * NULL payload: a new one-field object.
-    * object payload: parsed as ``map<string,string>`` (nested values and
-      numbers become text), ``field`` replaced or appended last, serialised
-      without blanks.
-    * payload that is not a JSON object: kept unchanged with
+    * object payload: parsed as ``map<string,string>`` (nested values become text,
+      numbers are rewritten as Spark prints them, so ``1.10`` turns into ``"1.1"``
+      and digits beyond double precision are lost), ``field`` replaced or appended
+      last, of a repeated field the last value kept, serialised without blanks.
+    * payload that is not one JSON object, such as text behind an object: kept unchanged with
       ``on_bad="keep"`` (and ``flag``, if named, set true), or NULL with
       ``on_bad="null"``.
 
@@ -35,14 +36,16 @@ def json_put(
         raise ValueError(f"on_bad must be one of {ON_BAD}")
     src = F.col(f"`{json_col}`")
     val = as_col(value).cast("string")
-    parsed = parse_flat(src)
+    names = list(df.columns)
+    df = df.select("*", parse_flat(src).alias("__parsed"))  # parsed once
+    parsed = F.col("__parsed")
     fresh = F.to_json(F.create_map(F.lit(field), val))
     updated = F.to_json(upsert_field(parsed, field, val))
     bad = src.isNotNull() & parsed.isNull()
     new = F.when(src.isNull(), fresh).when(bad, src if on_bad == "keep" else F.lit(None).cast("string")).otherwise(updated)
-    cols = [new.alias(json_col) if c == json_col else F.col(f"`{c}`") for c in df.columns]
+    cols = [new.alias(json_col) if c == json_col else F.col(f"`{c}`") for c in names]
     if flag:
-        if flag in df.columns:
+        if flag in names:
             raise ValueError(f"column {flag!r} already exists")
         cols.append(bad.alias(flag))
     return df.select(*cols)

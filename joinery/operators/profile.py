@@ -96,6 +96,7 @@ def join_profile(
     key: ColumnLike | Sequence[ColumnLike],
     exact: bool = False,
     hash_keys: bool = False,
+    measure: bool = True,
 ) -> DataFrame:
     """One-row profile of a join side.
 
@@ -110,10 +111,11 @@ def join_profile(
     Exact mode groups by the key first (one shuffle of at most one row per key
     per map task, since the count is pre-aggregated), then folds the groups.
     ``hash_keys`` sketches ``sha2`` of the key's text instead of the key.
+    ``measure=False`` leaves ``data_bytes`` at 0 and reads the key column alone.
     """
     width = row_width(df.schema)
     value, is_null = _key_expr(key, hash_keys)
-    measured = _measured_row_bytes(df.schema)
+    measured = _measured_row_bytes(df.schema) if measure else F.lit(0).cast("long")
     if not exact:
         prof = df.agg(
             F.count(F.lit(1)).alias("rows"),
@@ -190,9 +192,10 @@ def advise_join(
     """Profile both join sides (one aggregate job each) and advise which one to
     broadcast: ``("left" | "right" | None, left_profile, right_profile)``.
     ``threshold`` defaults to the session's broadcast threshold. Only the right
-    side of a left-outer join can be broadcast; callers hint accordingly."""
+    side of a left-outer join can be broadcast; callers hint accordingly. Of the left
+    side only the key column is read; its size is the width estimate."""
     limit = broadcast_threshold(left.sparkSession) if threshold is None else threshold
-    pl = join_profile(left, left_key, hash_keys=hash_keys).first().asDict()
+    pl = join_profile(left, left_key, hash_keys=hash_keys, measure=False).first().asDict()
     pr = join_profile(right, right_key, hash_keys=hash_keys).first().asDict()
     return advise_broadcast(pl, pr, limit, max_keys), pl, pr
 

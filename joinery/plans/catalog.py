@@ -10,12 +10,14 @@ tables; none is capped or sampled.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import (
+    advise_join,
     enrich,
     enrich_hierarchy,
     enrich_sql,
@@ -35,10 +37,11 @@ from ..operators import (
 )
 from ..functions.keys import normalise
 from ..session import shared_path
-from ..sources import conform, scan, write_csv, write_dated
+from ..sources import MULTI_LINE, conform, scan, scan_table, write_csv, write_dated
 from .jobs import span_expansion_job, tag_json_with_indicator
 from ..streaming import enrich_stream
-from .workflow import ActivityStep, HierarchyStep, enrich_frame
+from . import domain
+from .workflow import ActivityStep, HierarchyStep, enrich_frame, run_enrichment
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -60,18 +63,18 @@ def _part_keyed(spark, d):
     )
 
 
-def _paying_customers(spark, d):
-    return table(spark, d, "customer").filter(F.col("c_acctbal") > 0)
+# a third of the events come from users that are no supplier, so misses occur by themselves
+_SUPPLIER = (("user_id", "s_suppkey"), {"supplier_name": "s_name", "nation": "s_nationkey"})
 
 
-def _enrich_orders(spark, d, strategy="catalyst"):
-    return enrich(
-        table(spark, d, "orders"),
-        _paying_customers(spark, d),
-        ("o_custkey", "c_custkey"),
-        {"customer_name": "c_name", "segment": "c_mktsegment"},
-        strategy=strategy,
-    )
+def _enrich_events(spark, d, strategy="catalyst"):
+    return enrich(table(spark, d, "events"), table(spark, d, "supplier"), *_SUPPLIER, strategy=strategy)
+
+
+def _brands(spark, d):
+    """A brand for every full key; the short keys of the variant find none."""
+    full = with_join_key(table(spark, d, "part"), ["p_type", "p_name", "p_size"])
+    return full.groupBy("JoinKey").agg(F.max("p_brand").alias("brand"))
 
 
 def _latest_order_date(spark, d):
@@ -98,7 +101,7 @@ def _order_spans(spark, d):
 
 
 def _event_steps(spark, d):
-    cust = _paying_customers(spark, d)
+    cust = table(spark, d, "customer")
     activity = with_join_key(cust, [F.lit("purchase"), "c_custkey"])
     act = ActivityStep(lookup=activity, take={"Center": "c_mktsegment", "Capacity_Planning_Group": "c_name"})
     hier = HierarchyStep(snapshot=_latest_order_date(spark, d), json_col="props", field="k",
@@ -124,18 +127,22 @@ EVENT_PROFILES = {
 
 def q_flagship(spark, d):
     keyed = _part_keyed(spark, d)
-    brands = keyed.filter(F.col("p_size") > 25).groupBy("JoinKey").agg(F.max("p_brand").alias("brand"))
+    brands = _brands(spark, d)
     return enrich(keyed, brands, "JoinKey", {"brand_label": "brand"})
 
 
 def q_flagship_unique(spark, d):
     keyed = _part_keyed(spark, d)
-    brands = keyed.filter(F.col("p_size") > 25).groupBy("JoinKey").agg(F.max("p_brand").alias("brand"))
+    brands = _brands(spark, d)
     return enrich(keyed, brands, "JoinKey", {"brand_label": "brand"}, unique=True)
 
 
+ORDERS_DDL = ("o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+              "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING")
+
+
 def q_typed_scan(spark, d):
-    orders = scan(spark, f"{d.rstrip('/')}/orders.parquet")
+    orders = scan(spark, f"{d.rstrip('/')}/orders.parquet", schema=ORDERS_DDL)
     return conform(
         orders,
         "o_orderkey BIGINT, o_custkey INT, o_orderstatus STRING, o_totalprice DOUBLE, "
@@ -177,42 +184,39 @@ def q_join_key(spark, d):
 
 
 def q_enrich_default(spark, d):
-    return _enrich_orders(spark, d)
+    return _enrich_events(spark, d)
 
 
 def q_enrich_shuffle(spark, d):
-    return _enrich_orders(spark, d, strategy="shuffle")
+    return _enrich_events(spark, d, strategy="shuffle")
 
 
 def q_enrich_sql(spark, d):
     return enrich_sql(
         spark,
-        table(spark, d, "orders"),
-        _paying_customers(spark, d),
-        ("o_custkey", "c_custkey"),
-        {"customer_name": "c_name", "segment": "c_mktsegment"},
+        table(spark, d, "events"),
+        table(spark, d, "supplier"),
+        *_SUPPLIER,
     )
 
 
 def q_enrich_hint(spark, d):
-    return _enrich_orders(spark, d, strategy="auto")
+    return _enrich_events(spark, d, strategy="auto")
 
 
 def q_enrich_sql_hint(spark, d):
     return enrich_sql(
         spark,
-        table(spark, d, "orders"),
-        _paying_customers(spark, d),
-        ("o_custkey", "c_custkey"),
-        {"customer_name": "c_name", "segment": "c_mktsegment"},
+        table(spark, d, "events"),
+        table(spark, d, "supplier"),
+        *_SUPPLIER,
         strategy="auto",
     )
 
 
 def q_inner_sql(spark, d):
     return inner_sql(
-        spark, table(spark, d, "orders"), table(spark, d, "customer"),
-        ("o_custkey", "c_custkey"), ["o_orderkey"], ["c_name"],
+        spark, table(spark, d, "events"), table(spark, d, "supplier"), ("user_id", "s_suppkey"), ["event_id"], ["s_name"],
     )
 
 
@@ -317,11 +321,90 @@ def q_join_profile(spark, d):
 
 
 def q_join_profile_approx(spark, d):
-    return join_profile(table(spark, d, "events"), "user_id", hash_keys=True)
+    """The sketch against the exact count: rows and NULL keys are exact, the distinct keys
+    within 5 %."""
+    events = table(spark, d, "events")
+    close = F.abs(F.col("keys") - F.col("exact")) <= 0.05 * F.col("exact")
+    exact = events.agg(F.countDistinct("user_id").alias("exact"))
+    return join_profile(events, "user_id", hash_keys=True).crossJoin(F.broadcast(exact)).select("rows", "null_keys", close.alias("keys_close"))
+
+
+def q_advise_join(spark, d):
+    """The advice for events and suppliers, as a row."""
+    events, supplier = table(spark, d, "events"), table(spark, d, "supplier")
+    side, left, right = advise_join(events, supplier, "user_id", "s_suppkey", threshold=10 * 1024 * 1024, max_keys=5000)
+    rows = events.agg(F.count(F.lit(1)).alias("left_rows"))
+    return rows.select(F.lit(side).alias("side"), "left_rows", F.lit(left["rows"]).alias("profiled_left"), F.lit(right["rows"]).alias("profiled_right"))
+
+
+def q_table_scan(spark, d):
+    """The supplier table saved in the session's catalog and read by name."""
+    name = f"joinery_supplier_{uuid.uuid4().hex}"
+    supplier = table(spark, d, "supplier")
+    supplier.write.option("path", shared_path(spark, "table_scan")).saveAsTable(name)
+    return scan_table(spark, name, schema=supplier.schema)
+
+
+def q_csv_text_round_trip(spark, d):
+    """Whole texts with their line ends through CSV."""
+    docs = table(spark, d, "documents").select("doc_id", "text", "n_chars")
+    path = write_csv(docs, shared_path(spark, "documents_csv"), options=CSV_NULL, multi_line=True)
+    return scan(spark, path, schema=docs.schema, format="csv", options={**MULTI_LINE, **CSV_NULL})
+
+
+def q_enrich_sql_typed(spark, d):
+    """A text key with junk against a BIGINT key, and a numeric label with the text default."""
+    events = table(spark, d, "events")
+    key = F.when(F.col("event_type") == "error", F.lit("no number")).otherwise(F.col("user_id").cast("string"))
+    return enrich_sql(spark, events.withColumn("user_text", key), table(spark, d, "supplier"), ("user_text", "s_suppkey"), {"nation": "s_nationkey"})
+
+
+def q_json_put_mixed(spark, d):
+    """Payloads of every kind, derived from the events: object, NULL, bad text, text behind
+    the object, repeated field, the field already there, a nested value."""
+    n = F.col("event_id") % 7
+    k = F.col("user_id").cast("string")
+    payload = (F.when(n == 0, F.col("props")).when(n == 1, F.lit(None).cast("string")).when(n == 2, F.concat(F.lit("<p>"), k))
+               .when(n == 3, F.concat(F.col("props"), F.lit(" tail"))).when(n == 4, F.concat(F.lit('{"a":"1","a":"'), k, F.lit('"}')))
+               .when(n == 5, F.concat(F.lit('{"kind":"old","a":"'), k, F.lit('"}'))).otherwise(F.concat(F.lit('{"a":{"b":'), k, F.lit("}}"))))
+    events = table(spark, d, "events").select("event_id", "event_type", payload.alias("payload"))
+    return json_put(events, "payload", "kind", "event_type", flag="_corrupt")
+
+
+WIDE = 70
+
+
+def q_merge_wide(spark, d):
+    """A null-safe merge on 70 derived key columns, NULL in one of two of the last ones."""
+    base = table(spark, d, "lineitem")
+    number = F.col("l_linenumber")
+
+    def side(gap: int, label: str):
+        cols = [F.when(F.lit(i) != F.lit(60) + (number + gap) % 8, F.col("l_orderkey") % (i + 2)).alias(f"k{i}") for i in range(WIDE)]
+        return base.select("l_orderkey", "l_linenumber", *cols).groupBy("l_orderkey", *[f"k{i}" for i in range(WIDE)]).agg(
+            F.count(F.lit(1)).alias(label))
+
+    return merge(side(0, "left_rows"), side(3, "right_rows"), null_safe=True).select("l_orderkey", "k62", "k63", "k64", "left_rows", "right_rows")
+
+
+def q_merge_repeats(spark, d):
+    """A faithful merge on a key that repeats on both sides and is missing on either."""
+    events, supplier = table(spark, d, "events"), table(spark, d, "supplier")
+    a = events.groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("n"))
+    b = supplier.select((F.col("s_suppkey") + 60).alias("user_id"), F.col("s_nationkey").alias("nation"))
+    b = b.union(b.select("user_id", F.lit(-1).cast(b.schema["nation"].dataType))).union(b.select(F.lit(None).cast("long"), "nation"))
+    return merge(a, b)
+
+
+def q_latest_snapshot_three(spark, d):
+    """One row per user, with keys that come from one and the same latest row."""
+    events = table(spark, d, "events").withColumn("day", F.col("ts").cast("date"))
+    return latest_snapshot(events, ["user_id", "event_type", "event_id"], "day", latest_only=True)
+
 
 
 def q_match_stats(spark, d):
-    return match_stats(_enrich_orders(spark, d), ["customer_name", "segment"], unmatched="Not Defined")
+    return match_stats(_enrich_events(spark, d), ["supplier_name", "nation"], unmatched="Not Defined")
 
 
 def q_source_profile(spark, d):
@@ -364,6 +447,41 @@ def q_enrich_frame_by_source(spark, d):
                         activity_flag="include_activity", hierarchy_flag="include_hierarchy")
 
 
+def _parts(number):
+    """The work item's eight parts for a number; every third one is a CART item."""
+    text = {p: F.concat(F.lit("s"), number % (i + 2)) for i, p in enumerate(domain.WORK_ITEM_PARTS)}
+    text["data_source"] = F.when(number % 3 == 0, domain.SHORT_KEY_SOURCE).otherwise("web")
+    text["process"] = F.concat(F.lit("item "), number)
+    return [c.alias(p) for p, c in text.items()]
+
+
+def _run_enrichment(spark, d, mode):
+    """The config-driven job over work items made from events, labels from suppliers and
+    snapshots from orders; its merged output is read back from its files."""
+    events, supplier, orders = (table(spark, d, t) for t in ("events", "supplier", "orders"))
+    info = F.concat(F.lit('{"employee_number": "'), F.col("user_id"), F.lit('"}')).alias("employee_info")
+    labels = domain.work_item_key(supplier.select("s_name", "s_nationkey", *_parts(F.col("s_suppkey")))).select(
+        "JoinKey", F.col("s_name").alias("New_Center"), F.col("s_nationkey").cast("string").alias("Capacity_Planning_Group"))
+    snapshots = orders.select(F.col("o_custkey").alias("employeeid"), F.concat(F.lit("n"), F.col("o_custkey")).alias("employeename"),
+                              F.col("o_orderdate").alias("snap_date"))
+    written = run_enrichment(spark, {
+        "primary_data_source": events.select("event_id", *_parts(F.col("user_id")), info),
+        "include_activity_data_enrichment": True, "activity_list_data_source": labels,
+        "include_employee_hierarchy_enrichment": True, "employee_hierarchy_source": snapshots,
+        "employee_info_json_column": "employee_info", "output_path": shared_path(spark, "run_enrichment"),
+        "as_of": "2024-01-01", "mode": mode,
+    })
+    return scan(spark, written["merged"])
+
+
+def q_run_enrichment_merge(spark, d):
+    return _run_enrichment(spark, d, "merge")
+
+
+def q_run_enrichment_chain(spark, d):
+    return _run_enrichment(spark, d, "chain")
+
+
 QUERIES: dict[str, Query] = {
     "flagship": q_flagship,
     "flagship_unique": q_flagship_unique,
@@ -405,6 +523,16 @@ QUERIES: dict[str, Query] = {
     "enrich_frame_chain": q_enrich_frame_chain,
     "enrich_stream_chain": q_enrich_stream_chain,
     "enrich_frame_by_source": q_enrich_frame_by_source,
+    "run_enrichment_merge": q_run_enrichment_merge,
+    "run_enrichment_chain": q_run_enrichment_chain,
+    "advise_join": q_advise_join,
+    "table_scan": q_table_scan,
+    "csv_text_round_trip": q_csv_text_round_trip,
+    "enrich_sql_typed": q_enrich_sql_typed,
+    "json_put_mixed": q_json_put_mixed,
+    "merge_wide": q_merge_wide,
+    "merge_repeats": q_merge_repeats,
+    "latest_snapshot_three": q_latest_snapshot_three,
 }
 
 
@@ -424,11 +552,10 @@ part_keyed AS (
                  ELSE concat_ws('|', {_n('p_type')}, {_n('p_name')}, {_n('p_size')}) END AS JoinKey
   FROM part)"""
 
-_ENRICH_ORDERS = """
-SELECT o.*, coalesce(c.c_name, 'Not Defined') AS customer_name,
-       coalesce(c.c_mktsegment, 'Not Defined') AS segment
-FROM orders o
-LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) c ON o.o_custkey = c.c_custkey"""
+_ENRICH_EVENTS = """
+SELECT e.*, coalesce(s.s_name, 'Not Defined') AS supplier_name,
+       coalesce(CAST(s.s_nationkey AS VARCHAR), 'Not Defined') AS nation
+FROM events e LEFT JOIN supplier s ON e.user_id = s.s_suppkey"""
 
 _HIERARCHY = """
 WITH s AS (SELECT o_custkey, max(o_orderdate) AS latest_snap_date FROM orders GROUP BY o_custkey),
@@ -472,7 +599,7 @@ WITH k AS (
   FROM events),
 act AS (
   SELECT concat_ws('|', 'PURCHASE', {_n('c_custkey')}) AS JoinKey, c_mktsegment, c_name
-  FROM customer WHERE c_acctbal > 0),
+  FROM customer),
 s AS (SELECT o_custkey, max(o_orderdate) AS latest_snap_date FROM orders GROUP BY o_custkey)
 SELECT k.*, coalesce(act.c_mktsegment, 'Not Defined') AS Center,
        coalesce(act.c_name, 'Not Defined') AS Capacity_Planning_Group,
@@ -498,7 +625,8 @@ ep AS (
 
 _FLAGSHIP = f"""
 WITH {_PART_KEYED},
-brands AS (SELECT JoinKey, max(p_brand) AS brand FROM part_keyed WHERE p_size > 25 GROUP BY JoinKey)
+brands AS (
+  SELECT concat_ws('|', {_n('p_type')}, {_n('p_name')}, {_n('p_size')}) AS JoinKey, max(p_brand) AS brand FROM part GROUP BY ALL)
 SELECT k.*, coalesce(b.brand, 'Not Defined') AS brand_label
 FROM part_keyed k LEFT JOIN brands b ON k.JoinKey = b.JoinKey"""
 
@@ -512,6 +640,35 @@ SELECT {', '.join(f'coalesce(a.{k}, s.{k}) AS {k}' for k in _MERGE_KEYS)},
        a.nation_name, s.supplier_name
 FROM a FULL JOIN s ON {' AND '.join(f'a.{k} IS NOT DISTINCT FROM s.{k}' for k in _MERGE_KEYS)}"""
 
+def _sql_parts(x: str) -> str:
+    rest = ", ".join(f"'s' || ({x} % {i + 2}) AS subprocess_{i - 1}" for i in range(2, 8))
+    return f"CASE WHEN {x} % 3 = 0 THEN 'CART' ELSE 'web' END AS data_source, 'item ' || {x} AS process, {rest}"
+
+
+_SQL_KEY = ("concat_ws('|', upper(data_source), replace(upper(process), ' ', ''), upper(subprocess_1), upper(subprocess_2), upper(subprocess_3), "
+            "CASE WHEN data_source <> 'CART' THEN upper(subprocess_4) END, upper(subprocess_5), upper(subprocess_6)) AS JoinKey")
+
+_RUN = f"""
+WITH p AS (SELECT *, {_SQL_KEY} FROM (
+  SELECT event_id, {_sql_parts('user_id')}, '{{"employee_number": "' || user_id || '"}}' AS employee_info, CAST(user_id AS VARCHAR) AS employee_number FROM events)),
+l AS (SELECT *, {_SQL_KEY} FROM (SELECT s_name, s_nationkey, {_sql_parts('s_suppkey')} FROM supplier)),
+h AS (SELECT o_custkey AS employeeid, 'n' || o_custkey AS employeename, max(o_orderdate) AS latest_snap_date FROM orders GROUP BY ALL)
+SELECT p.*, coalesce(l.s_name, 'Not Defined') AS Center, coalesce(CAST(l.s_nationkey AS VARCHAR), 'Not Defined') AS Capacity_Planning_Group,
+       h.employeeid, h.employeename, h.latest_snap_date
+FROM p LEFT JOIN l ON p.JoinKey = l.JoinKey LEFT JOIN h ON CAST(p.employee_number AS BIGINT) = h.employeeid"""
+
+
+def _wide(gap: int) -> str:
+    keys = ", ".join(f"CASE WHEN {i} <> 60 + (l_linenumber + {gap}) % 8 THEN l_orderkey % {i + 2} END AS k{i}" for i in range(WIDE))
+    return f"(SELECT l_orderkey, {keys}, count(*) AS n FROM lineitem GROUP BY ALL)"
+
+
+_MERGE_WIDE = f"""
+SELECT coalesce(a.l_orderkey, b.l_orderkey) AS l_orderkey, {", ".join(f"CASE WHEN a.l_orderkey IS NULL THEN b.k{i} ELSE a.k{i} END AS k{i}" for i in (62, 63, 64))},
+       a.n AS left_rows, b.n AS right_rows
+FROM {_wide(0)} a FULL JOIN {_wide(3)} b
+  ON a.l_orderkey = b.l_orderkey AND {" AND ".join(f"a.k{i} IS NOT DISTINCT FROM b.k{i}" for i in range(WIDE))}"""
+
 ORACLE_SQL: dict[str, str] = {
     "flagship": _FLAGSHIP,
     "flagship_unique": _FLAGSHIP,
@@ -523,14 +680,14 @@ FROM orders""",
     "dated_round_trip": "SELECT * FROM orders",
     "normalise_text": f"SELECT doc_id, {_n('text')} AS norm_text FROM documents",
     "join_key": f"WITH {_PART_KEYED} SELECT p_partkey, JoinKey FROM part_keyed",
-    "enrich_default": _ENRICH_ORDERS,
-    "enrich_shuffle": _ENRICH_ORDERS,
-    "enrich_sql": _ENRICH_ORDERS,
-    "enrich_hint": _ENRICH_ORDERS,
-    "enrich_sql_hint": _ENRICH_ORDERS,
+    "enrich_default": _ENRICH_EVENTS,
+    "enrich_shuffle": _ENRICH_EVENTS,
+    "enrich_sql": _ENRICH_EVENTS,
+    "enrich_hint": _ENRICH_EVENTS,
+    "enrich_sql_hint": _ENRICH_EVENTS,
     "inner_sql": """
-SELECT t1.o_orderkey, t2.c_name, t1.o_custkey
-FROM orders t1 INNER JOIN customer t2 ON t1.o_custkey = t2.c_custkey""",
+SELECT t1.event_id, t2.s_name, t1.user_id
+FROM events t1 INNER JOIN supplier t2 ON t1.user_id = t2.s_suppkey""",
     "json_get": "SELECT *, json_extract_string(props, '$.k') AS k FROM events",
     "hierarchy_enrich": _HIERARCHY,
     "hierarchy_enrich_hint": _HIERARCHY,
@@ -598,13 +755,46 @@ SELECT CAST(coalesce(sum(n), 0) AS BIGINT) AS rows,
        CAST(coalesce(sum(b), 0) AS BIGINT) AS data_bytes
 FROM per_key""",
     "match_stats": f"""
-WITH e AS ({_ENRICH_ORDERS})
-SELECT 'customer_name' AS "column", count(*) AS total_rows,
-       count(*) FILTER (WHERE customer_name IS NOT NULL AND customer_name <> 'Not Defined') AS matched_rows
+WITH e AS ({_ENRICH_EVENTS})
+SELECT 'supplier_name' AS "column", count(*) AS total_rows,
+       count(*) FILTER (WHERE supplier_name IS NOT NULL AND supplier_name <> 'Not Defined') AS matched_rows
 FROM e
 UNION ALL
-SELECT 'segment', count(*), count(*) FILTER (WHERE segment IS NOT NULL AND segment <> 'Not Defined')
+SELECT 'nation', count(*), count(*) FILTER (WHERE nation IS NOT NULL AND nation <> 'Not Defined')
 FROM e""",
+    "join_profile_approx": """
+SELECT count(*) AS rows, count(*) FILTER (WHERE user_id IS NULL) AS null_keys, true AS keys_close FROM events""",
+    "run_enrichment_merge": _RUN,
+    "run_enrichment_chain": _RUN,
+    "advise_join": """
+SELECT 'right' AS side, count(*) AS left_rows, count(*) AS profiled_left, (SELECT count(*) FROM supplier) AS profiled_right FROM events""",
+    "table_scan": "SELECT * FROM supplier",
+    "csv_text_round_trip": "SELECT doc_id, text, n_chars FROM documents",
+    "enrich_sql_typed": """
+WITH e AS (SELECT *, CASE WHEN event_type = 'error' THEN 'no number' ELSE CAST(user_id AS VARCHAR) END AS user_text FROM events)
+SELECT e.*, coalesce(CAST(s.s_nationkey AS VARCHAR), 'Not Defined') AS nation
+FROM e LEFT JOIN supplier s ON TRY_CAST(e.user_text AS BIGINT) = s.s_suppkey""",
+    "json_put_mixed": """
+SELECT event_id, event_type,
+       CASE event_id % 7
+         WHEN 0 THEN '{"k":"' || json_extract_string(props, '$.k') || '","kind":"' || event_type || '"}'
+         WHEN 1 THEN '{"kind":"' || event_type || '"}'
+         WHEN 2 THEN '<p>' || user_id
+         WHEN 3 THEN props || ' tail'
+         WHEN 6 THEN '{"a":"{\\"b\\":' || user_id || '}","kind":"' || event_type || '"}'
+         ELSE '{"a":"' || user_id || '","kind":"' || event_type || '"}' END AS payload,
+       event_id % 7 IN (2, 3) AS _corrupt
+FROM events""",
+    "merge_wide": _MERGE_WIDE,
+    "merge_repeats": """
+WITH a AS (SELECT user_id, event_type, count(*) AS n FROM events GROUP BY ALL),
+s AS (SELECT s_suppkey + 60 AS user_id, s_nationkey AS nation FROM supplier),
+b AS (SELECT * FROM s UNION ALL SELECT user_id, -1 FROM s UNION ALL SELECT NULL, nation FROM s)
+SELECT coalesce(a.user_id, b.user_id) AS user_id, event_type, n, nation FROM a FULL JOIN b ON a.user_id = b.user_id""",
+    "latest_snapshot_three": """
+SELECT user_id, r.t AS event_type, r.e AS event_id, latest_snap_date FROM (
+  SELECT user_id, max({'d': CAST(ts AS DATE), 't': event_type, 'e': event_id}) AS r, max(CAST(ts AS DATE)) AS latest_snap_date
+  FROM events GROUP BY user_id)""",
     "source_profile": f"{_WITH_PROFILE}\nSELECT * FROM ep",
     "enrich_frame_merge": _EVENT_FRAME,
     "enrich_frame_chain": _EVENT_FRAME,
@@ -617,7 +807,7 @@ k AS (
   FROM ep),
 act AS (
   SELECT concat_ws('|', 'PURCHASE', {_n('c_custkey')}) AS JoinKey, c_mktsegment, c_name
-  FROM customer WHERE c_acctbal > 0),
+  FROM customer),
 s AS (SELECT o_custkey, max(o_orderdate) AS latest_snap_date FROM orders GROUP BY o_custkey)
 SELECT k.*, coalesce(act.c_mktsegment, 'Not Defined') AS Center,
        coalesce(act.c_name, 'Not Defined') AS Capacity_Planning_Group,
@@ -627,5 +817,5 @@ LEFT JOIN act ON k.include_activity AND k.JoinKey = act.JoinKey
 LEFT JOIN s ON k.include_hierarchy AND TRY_CAST(json_extract_string(k.props, '$.k') AS BIGINT) = s.o_custkey""",
 }
 
-# Sketch results differ between engines; this one has no oracle.
-NO_ORACLE = {"join_profile_approx"}
+# Queries without an oracle: none.
+NO_ORACLE: set[str] = set()

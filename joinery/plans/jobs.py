@@ -3,7 +3,8 @@ job (W5)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import expand_days, json_put, span_bounds, with_indicator
 from ..sources import SchemaLike, scan, write_csv
@@ -38,14 +39,17 @@ def span_expansion_job(
     on_reversed: str = "keep",
 ) -> tuple[Row, DataFrame]:
     """Read spans (CSV needs ``schema``, e.g. a DDL string), compute the overall
-    bounds in one aggregate job, expand every row to one row per day and, when
-    ``output_path`` is set, write the expansion as CSV with a header.
+    bounds, expand every row to one row per day and, when ``output_path`` is set,
+    write the expansion as CSV with a header.
 
-    Returns the bounds row (``min_start_date``, ``max_end_date``) and the
-    expanded frame (lazy unless written)."""
+    Returns the bounds row (``min_start_date``, ``max_end_date``) and the expanded
+    frame: lazy, or read back from the written file. With an output the bounds are
+    observed while it is written, so the source is read once."""
     spans = scan(spark, source, schema)
-    bounds = span_bounds(spans, start, end).first()
+    if not output_path:
+        return span_bounds(spans, start, end).first(), expand_days(spans, start, end, out=out, on_reversed=on_reversed)
+    seen = Observation()
+    spans = spans.observe(seen, F.min(start).alias("min_start_date"), F.max(end).alias("max_end_date"))
     expanded = expand_days(spans, start, end, out=out, on_reversed=on_reversed)
-    if output_path:
-        write_csv(expanded, output_path)
-    return bounds, expanded
+    write_csv(expanded, output_path)
+    return Row(**seen.get), scan(spark, output_path, expanded.schema, format="csv")

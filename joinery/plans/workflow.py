@@ -158,13 +158,16 @@ def _write_outputs(
     paths: Mapping[str, str | None],
     as_of,
     unique: bool = False,
-) -> tuple[dict[str, str], str | None, DataFrame]:
+    want_frame: bool = True,
+) -> tuple[dict[str, str], str | None, DataFrame | None]:
     """Write each enrichment whose base path is set, then the combination of
     both. The combination continues from the written enrichments (or from a
     reliable checkpoint under ``spark.checkpoint.dir`` when one was not
     written), so the primary is not recomputed for it. Returns the written
     paths, the name of the final output (``None`` when nothing is enabled) and
-    the final frame (built from the written sides where there are some)."""
+    the final frame (built from the written sides where there are some; ``None`` if
+    neither a merged path nor ``want_frame`` asks for it, and then nothing is
+    checkpointed)."""
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
     written: dict[str, str] = {}
@@ -179,6 +182,9 @@ def _write_outputs(
         name = "activity" if have_a else "hierarchy"
         return written, name, branches[name]
 
+    if not want_frame and not paths.get("merged"):
+        return written, "merged", None
+
     def side(name: str) -> DataFrame:
         if name in written:
             return spark.read.parquet(written[name])
@@ -255,7 +261,7 @@ def run_enrichment(spark: SparkSession, cfg: Mapping[str, Any]) -> dict[str, str
         "merged": cfg.get("output_path"),
     }
     written, final, _frame = _write_outputs(spark, branches, hier, None, mode, paths, as_of,
-                                            unique=bool(cfg.get("merge_unique", False)))
+                                            unique=bool(cfg.get("merge_unique", False)), want_frame=False)
     if final in ("activity", "hierarchy"):
         log.info("one enrichment only: no merged output")
     return written

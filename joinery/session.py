@@ -3,8 +3,8 @@ that jobs use to cut lineage (``spark.checkpoint.dir``)."""
 
 from __future__ import annotations
 
+import atexit
 import logging
-import os
 import tempfile
 import uuid
 
@@ -75,19 +75,26 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared checkpoint root."""
-    root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/joinery/{name}-{uuid.uuid4().hex}"
-
-
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
+_made: dict[str, SparkSession] = {}
 
 
-def local_fs_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def path_exists_locally(path: str) -> bool:
-    return is_local_path(path) and os.path.exists(local_fs_path(path))
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A fresh, unique folder under the shared checkpoint root. It is removed when the
+    Python process ends, if the session still lives then."""
+    root = checkpoint_root(spark).rstrip("/")
+    path = f"{root}/joinery/{name}-{uuid.uuid4().hex}"
+    if not _made:
+        atexit.register(_remove_made)
+    _made[path] = spark
+    return path
+
+
+def _remove_made() -> None:
+    """Delete the folders handed out, through the file system that Spark uses for them."""
+    for path, spark in _made.items():
+        try:
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        except Exception as e:  # noqa: BLE001 - the session may have ended before
+            log.debug("left %s behind: %s", path, e)
+            return

@@ -2,9 +2,10 @@
 
 from .readers import detect_format, scan, scan_table
 from .schema import SchemaLike, assert_schema, conform, schema_diff, schema_from_spec
-from .sinks import dated_path, write_csv, write_dated
+from .sinks import MULTI_LINE, dated_path, write_csv, write_dated
 
 __all__ = [
+    "MULTI_LINE",
     "SchemaLike",
     "assert_schema",
     "conform",

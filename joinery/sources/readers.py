@@ -12,7 +12,7 @@ from .schema import SchemaLike, assert_schema, schema_from_spec
 
 log = logging.getLogger(__name__)
 
-_CSV_SUFFIXES = (".csv", ".csv.gz", ".txt", ".tsv")
+_CSV_SUFFIXES = (".csv", ".csv.gz", ".txt")
 
 
 def _not_found(e: AnalysisException) -> bool:
@@ -22,12 +22,12 @@ def _not_found(e: AnalysisException) -> bool:
 
 
 def _holds_parquet(spark: SparkSession, path: str) -> bool:
-    """Does the folder hold at least one ``*.parquet`` file? Uses Spark's own file
-    listing (``binaryFile`` with only the path column, so no content is read)."""
+    """Does the folder hold at least one ``*.parquet`` file, itself or in ``name=value``
+    folders? Spark's own file listing (``binaryFile`` with only the path column, so no
+    content is read) descends into partition folders and no others."""
     listing = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.parquet")
-        .option("recursiveFileLookup", "true")
         .load(path)
         .select("path")
     )
@@ -69,14 +69,15 @@ def scan(
       (``ValueError`` without one). The header must name the schema's columns
       in order unless ``by_position=True``; a value that does not parse becomes
       NULL, or fails the job with ``bad_records="fail"``. Blanks around values
-      are kept. ``options`` are further CSV reader options (e.g. ``nullValue``).
+      are kept. ``options`` are further CSV reader options (e.g. ``nullValue``;
+      ``multiLine`` for texts with line ends, written with ``multi_line=True``).
 
     A missing path raises ``FileNotFoundError``; another source type ``ValueError``.
     Errors are logged before they propagate.
     """
     try:
         return _scan(spark, source, schema, format, by_position, bad_records, check_nullable, options)
-    except (FileNotFoundError, ValueError) as e:
+    except Exception as e:
         log.error("failed to load %r: %s", source if isinstance(source, str) else type(source).__name__, e)
         raise
 

@@ -8,7 +8,9 @@ from __future__ import annotations
 import datetime as dt
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _NAME = re.compile(r"^[A-Za-z0-9_.-]+$")
 
@@ -52,19 +54,40 @@ def write_dated(
     return path
 
 
+#: Reader options for CSV written with ``multi_line=True``.
+MULTI_LINE = {"multiLine": "true", "escape": '"', "lineSep": "\n"}
+
+
+def _one_line(field: T.StructField) -> Column:
+    c = F.col("`" + field.name.replace("`", "``") + "`")
+    if not isinstance(field.dataType, T.StringType):
+        return c
+    fail = F.raise_error(F.lit(f"column {field.name} holds a line end: write it with multi_line=True"))
+    return F.when(c.contains("\n") | c.contains("\r"), fail).otherwise(c).alias(field.name)
+
+
 def write_csv(
     df: DataFrame,
     path: str,
     mode: str = "errorifexists",
     header: bool = True,
     options: dict[str, str] | None = None,
+    multi_line: bool = False,
 ) -> str:
     """CSV with a header row; by default fails if the path exists.
 
     Leading and trailing blanks of text values are kept (Spark's writer trims
     them by default). With Spark's default markers an empty string reads back
     as NULL; pass e.g. ``options={"nullValue": "\\N"}`` here and to ``scan``
-    to keep the two apart."""
+    to keep the two apart.
+
+    A text with a line end would read back as two rows: the job fails on one, unless
+    ``multi_line=True``; then quotes are doubled, every text is quoted, and the file
+    must be read with ``MULTI_LINE`` in the options of ``scan``."""
+    if multi_line:
+        options = {**MULTI_LINE, "quoteAll": "true", **(options or {})}
+    else:
+        df = df.select(*[_one_line(f) for f in df.schema.fields])
     w = (df.write.mode(mode).option("header", header)
          .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
     for k, v in (options or {}).items():

@@ -99,3 +99,10 @@ def test_latest_only_ties_and_nulls_are_deterministic(spark):
 def test_expand_days_text_bounds(spark):
     df = spark.createDataFrame([(1, "2024-01-01", "2024-01-02"), (2, "2024-13-45", "2024-01-02")], "id int, s string, e string")
     assert _counts(expand_days(df, "s", "e")) == {1: 2}
+
+
+def test_latest_only_returns_a_row_that_exists(spark):
+    rows = [(1, "Ann", "HR", 5), (1, "Bob", "AA", 5), (1, "Zoe", "ZZ", 4), (2, None, "x", None)]
+    df = spark.createDataFrame(rows, "id int, name string, unit string, d int")
+    got = {tuple(r) for r in latest_snapshot(df, ["id", "name", "unit"], "d", latest_only=True).collect()}
+    assert got == {(1, "Bob", "AA", 5), (2, None, None, None)}

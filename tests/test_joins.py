@@ -86,13 +86,13 @@ def test_enrich_only_where(spark, activity):
 
 def test_enrich_hierarchy_try_cast(spark):
     prim = spark.createDataFrame(
-        [(1, '{"employee_number": "12345"}'), (2, '{"employee_number": "abc"}'), (3, None)],
+        [(1, '{"employee_number": "31"}'), (2, '{"employee_number": "x31"}'), (3, None)],
         "id int, details string",
     )
-    snap = spark.createDataFrame([(12345, "John Doe")], "employeeid bigint, employeename string")
+    snap = spark.createDataFrame([(31, "R. Ames")], "employeeid bigint, employeename string")
     out = enrich_hierarchy(prim, snap, "details").orderBy("id")
     assert out.columns == ["id", "details", "employee_number", "employeeid", "employeename"]
-    assert [r.employeename for r in out.collect()] == ["John Doe", None, None]
+    assert [r.employeename for r in out.collect()] == ["R. Ames", None, None]
 
 
 def test_enrich_hierarchy_string_key(spark):
@@ -222,8 +222,9 @@ def test_merge_keys_of_different_types(spark):
     b = spark.createDataFrame([(1.0, "E"), (3.5, "F")], "k double, vb string")
     out = sorted(map(tuple, merge(a, b).collect()), key=str)
     assert out == sorted([(1.0, "A", "E"), (2.0, "B", None), (3.5, None, "F")], key=str)
-    with pytest.raises(ValueError, match="same type"):
-        merge(a, b, unique=True)
+    assert sorted(map(tuple, merge(a, b, unique=True).collect()), key=str) == out
+    with pytest.raises(ValueError, match="comparable"):
+        merge(a, b.withColumn("k", F.lit("1")), unique=True)
 
 
 def test_enrich_sql_strategies(spark, primary, activity):
@@ -232,3 +233,45 @@ def test_enrich_sql_strategies(spark, primary, activity):
     b = enrich_sql(spark, primary, activity, "JoinKey", TAKE, strategy="auto")
     assert "BroadcastHashJoin" in _plan(b)
     assert sorted(s.collect(), key=str) == sorted(b.collect(), key=str)
+
+
+@pytest.mark.parametrize("n", [65, 130])
+def test_null_safe_merge_on_many_keys(spark, n):
+    """One row for each NULL position around a word's 63rd bit, an all-NULL row and a full one."""
+    keys = [f"c{i}" for i in range(n)]
+    rows = [[None if i == gap else 0 for i in range(n)] for gap in (61, 62, 63, 64)] + [[None] * n, [0] * n]
+    ddl = ", ".join(f"{k} int" for k in keys)
+    a = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], ddl + ", left_no int")
+    b = spark.createDataFrame([(*r, i) for i, r in list(enumerate(rows))[1:]], ddl + ", right_no int")
+    split, plain = (sorted(map(str, merge(a, b, null_safe=True, skew_split=s).collect())) for s in (True, False))
+    assert split == plain and len(split) == len(rows)
+
+
+def test_unique_ignores_keys_that_never_match(spark):
+    prim = spark.createDataFrame([(1, "{}"), (None, None)], "k int, j string")
+    look = spark.createDataFrame([(1, "a"), (None, "b"), (None, "c")], "k2 int, v string")
+    assert enrich(prim, look, ("k", "k2"), ["v"], unique=True).count() == 2
+    snap = look.withColumnRenamed("k2", "employeeid")
+    assert enrich_hierarchy(prim, snap, "j", unique=True).count() == 2
+
+
+def test_sql_twins_take_any_key_types(spark):
+    prim = spark.createDataFrame([("1", 1), ("abc", 2), (None, 3)], "k string, id int")
+    look = spark.createDataFrame([(1, 10), (2, 20)], "k2 int, v int")
+    want = sorted(map(str, enrich(prim, look, ("k", "k2"), ["v"]).collect()))
+    assert sorted(map(str, enrich_sql(spark, prim, look, ("k", "k2"), ["v"]).collect())) == want
+    assert [tuple(r) for r in inner_sql(spark, prim, look, ("k", "k2"), ["id"], ["v"]).collect()] == [(1, 10, "1")]
+    with pytest.raises(ValueError):
+        inner_sql(spark, prim, look, ("k", "k2"), ["k"], ["v"])
+
+
+def test_merge_of_mixed_and_null_types(spark):
+    a = spark.createDataFrame([(1, "x"), (2, "y"), (None, "z")], "k int, v string")
+    b = spark.createDataFrame([(2.0, "p"), (2.5, "q")], "k double, w string")
+    for safe in (False, True):
+        split, plain = (sorted(map(str, merge(a, b, null_safe=safe, skew_split=s).collect())) for s in (True, False))
+        assert split == plain
+    void = a.select(F.lit(None).alias("k"), "v")
+    assert merge(void, void.withColumnRenamed("v", "w"), null_safe=True).count() == 9
+    with pytest.raises(ValueError):
+        merge(a, a, on=["k"], unique=True)

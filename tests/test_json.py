@@ -1,5 +1,7 @@
 import json
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from joinery import json_get, json_put, with_indicator
@@ -14,21 +16,35 @@ def test_json_get(spark):
 
 
 def test_indicator_then_json_put(spark):
-    clients = spark.createDataFrame([(123, "A"), (456, "B")], "clnt_no bigint, clnt_spcfc_cd_val string")
+    codes = spark.createDataFrame([(7, "gold"), (8, None), (9, "tin")], "no bigint, code string")
     data = spark.createDataFrame(
-        [(1, '{"key1": "value1"}', 123), (2, '{"key2": "value2"}', 456), (3, None, 789)],
-        "id bigint, additional_features string, client_number bigint",
+        [(1, '{"colour": "red"}', 9), (2, '{"flag": "old", "size": "2"}', 7), (3, None, 4), (4, "{}", 8)],
+        "id bigint, extra string, owner bigint",
     )
-    flagged = with_indicator(data, clients, ("client_number", "clnt_no"), "clnt_spcfc_cd_val", out="flag")
-    out = json_put(flagged, "additional_features", "flag", "flag").orderBy("id")
-    assert out.columns == ["id", "additional_features", "client_number", "flag"]
-    assert [r.additional_features for r in out.collect()] == [
-        '{"key1":"value1","flag":"A"}',
-        '{"key2":"value2","flag":"B"}',
-        '{"flag":"N"}',
+    flagged = with_indicator(data, codes, ("owner", "no"), "code", out="flag")
+    out = json_put(flagged, "extra", "flag", "flag").orderBy("id")
+    assert out.columns == ["id", "extra", "owner", "flag"]
+    assert [r.extra for r in out.collect()] == [
+        '{"colour":"red","flag":"tin"}', '{"size":"2","flag":"gold"}', '{"flag":"N"}', '{"flag":"N"}',
     ]
 
 
+@pytest.mark.parametrize("payload, want", [
+    ('{"a":"1"} trailing', None), ('{"a":"1"}],[{"b":"2"}', None), ('{"a":"1"},{"b":"2"}', None), ('[{"a":"1"}]', None), ("", None), ("1", None),
+    ('{"a":"1","a":"2","b":"3"}', {"a": "2", "b": "3", "f": "N"}), (' {"a":null}\n', {"a": None, "f": "N"}), ('{"f":"x","f":"y"}', {"f": "N"}),
+    ('{"a":1.10,"b":true,"c":{"d":"}"}}', {"a": "1.1", "b": "true", "c": '{"d":"}"}', "f": "N"}),
+])
+def test_json_put_keeps_what_is_no_object(spark, payload, want):
+    row = json_put(spark.createDataFrame([(payload,)], "j string"), "j", "f", F.lit("N"), flag="bad").first()
+    assert row.bad == (want is None)
+    assert row.j == payload if want is None else json.loads(row.j) == want
+
+
+def test_json_put_parses_once(spark):
+    out = json_put(spark.createDataFrame([("{}",)], "j string"), "j", "f", F.lit("N"), flag="bad")
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+
+
 def test_json_put_upsert_and_bad_payload(spark):
     df = spark.createDataFrame([(1, '{"f":"x","a":"1"}'), (2, "bad"), (3, '{"n": {"b": 2}, "m": 3}')], "id int, j string")
     out = json_put(df, "j", "f", F.lit("N"), flag="_corrupt").orderBy("id").collect()

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import types as T
 
 from joinery import assert_schema, conform, dated_path, scan, schema_from_spec, write_csv, write_dated
+from joinery.sources import MULTI_LINE, detect_format
 
 SPEC = [
     {"name": "id", "type": "IntegerType", "nullable": True},
@@ -147,3 +148,22 @@ def test_write_dated_csv_has_header(spark, tmp_dir):
     path = write_dated(df, tmp_dir, "things_csv", "2024-04-01", format="csv")
     back = scan(spark, path, schema="id INT, name STRING", format="csv").collect()
     assert [tuple(r) for r in back] == [(1, " a ")]
+
+
+def test_csv_with_line_ends(spark, tmp_dir):
+    df = spark.createDataFrame([(1, 'line1\nline2 "q", x'), (2, "\r\n\\"), (3, None), (4, "")], "id int, t string")
+    with pytest.raises(Exception, match="line end"):
+        write_csv(df, os.path.join(tmp_dir, "plain"))
+    mark = {"nullValue": "\\N"}
+    path = write_csv(df, os.path.join(tmp_dir, "multi"), multi_line=True, options=mark)
+    back = scan(spark, path, schema=df.schema, format="csv", options={**MULTI_LINE, **mark})
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_probe_looks_at_one_level(spark, tmp_dir):
+    df = spark.createDataFrame([(1, "a")], "id int, part string")
+    write_csv(df, os.path.join(tmp_dir, "mixed", "top"))
+    df.write.partitionBy("part").parquet(os.path.join(tmp_dir, "dated"))
+    df.write.parquet(os.path.join(tmp_dir, "mixed", "below"))
+    assert detect_format(spark, os.path.join(tmp_dir, "dated")) == "parquet"
+    assert detect_format(spark, os.path.join(tmp_dir, "mixed")) == "csv"

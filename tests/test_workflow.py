@@ -7,8 +7,8 @@ from joinery import ActivityStep, HierarchyStep, enrich_frame, run_enrichment
 from joinery.plans.domain import WORK_ITEM_PARTS
 from joinery.streaming import enrich_stream
 
-PRIMARY_SPEC = [{"name": "data_source", "type": "StringType", "nullable": True}] + [
-    {"name": c, "type": "StringType", "nullable": True} for c in WORK_ITEM_PARTS[1:]
+PRIMARY_SPEC = [
+    {"name": c, "type": "StringType", "nullable": True} for c in WORK_ITEM_PARTS
 ] + [
     {"name": "event_id", "type": "IntegerType", "nullable": True},
     {"name": "additional_features", "type": "StringType", "nullable": True},
