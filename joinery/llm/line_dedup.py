@@ -1,12 +1,18 @@
 """Line deduplication by pairwise alignment: documents that share rare line hashes are
-aligned with patience diff, and aligned blocks are deleted from the later one."""
+aligned with patience diff, and aligned blocks are deleted from the later one.
+
+A line here is a sentence of a text line, so that a passage in the middle of a paragraph
+is found too: see ``text_lines``."""
 
 from __future__ import annotations
 
+import re
+import zlib
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator, Sequence
 
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
@@ -18,6 +24,10 @@ from .texts import free_columns, q
 
 #: Words a line needs to count; shorter and blank lines neither match nor break a block.
 LINE_WORDS = 3
+#: A sentence of more words than this is cut further, after words that their own hash picks.
+LONG_WORDS = 40
+#: One word in so many is picked.
+CUT_EVERY = 8
 #: Words an aligned block needs to be deleted.
 BLOCK_WORDS = 20
 #: A shared line is rare if no more distinct texts than this hold it. A run of shared lines
@@ -86,17 +96,71 @@ def aligned_blocks(later: Sequence[int], earlier: Sequence[int], words: Sequence
     return out
 
 
+_SENTENCE_END = re.compile(rb"[.!?][\"')\]]*[\x20\x09-\x0D]+")
+_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+
+
+def _sentences(line: bytes) -> Iterator[tuple[int, int]]:
+    """``(end, words)`` of the sentences of one text line, long ones in parts."""
+    start = 0
+    for end in [*(m.end() for m in _SENTENCE_END.finditer(line)), len(line)]:
+        n = len(line[start:end].split())
+        if n > LONG_WORDS:
+            n, last, before = 0, b"", b""
+            for m in _WORD.finditer(line, start, end):
+                if last != before and zlib.crc32(last) % CUT_EVERY == 0:
+                    yield m.start(), n
+                    n = 0
+                n, last, before = n + 1, m.group(), last
+        yield end, n
+        start = end
+
+
+def text_lines(text: bytes | None, least: int = LINE_WORDS) -> Iterator[tuple[int, int, int, int]]:
+    """``(text line, start, end, words)`` of every line, in order; they cover the text but
+    for its line ends.
+
+    A text line (up to a line end) is cut after each sentence end that white space
+    follows, and a sentence of more than ``LONG_WORDS`` words also after words picked by
+    their hash (not after a word that repeats the one before). A piece of fewer than
+    ``least`` words joins the next one, at the end of a text line the one before. So where
+    two texts share a passage, its sentences are cut alike whatever stands around it."""
+    at = 0
+    for number, line in enumerate((text or b"").split(b"\n")):
+        pieces, start, n = [], 0, 0
+        for end, more in _sentences(line):
+            n += more
+            if n >= least:
+                pieces.append((start, end, n))
+                start, n = end, 0
+        if not pieces:
+            pieces.append((0, len(line), n))
+        elif start < len(line):
+            pieces[-1] = (pieces[-1][0], len(line), pieces[-1][2] + n)
+        for a, b, n in pieces:
+            yield number, at + a, at + b, n
+        at += len(line) + 1
+
+
 def line_table(text: bytes | None, least: int = LINE_WORDS) -> tuple[list[int], list[int], list[int], int]:
     """Of the counting lines: hashes, words and line numbers; and how many lines there are."""
-    lines = (text or b"").split(b"\n")
-    hashes, words, numbers = [], [], []
-    for i, line in enumerate(lines):
-        n = len(line.split())
+    hashes, words, numbers, i = [], [], [], -1
+    for i, (_, start, end, n) in enumerate(text_lines(text, least)):
         if n >= least:
-            hashes.append(xxhash.xxh64_intdigest(line.strip()) >> 1)
+            hashes.append(xxhash.xxh64_intdigest(text[start:end].strip()) >> 1)
             words.append(n)
             numbers.append(i)
-    return hashes, words, numbers, len(lines)
+    return hashes, words, numbers, 0 if text is None else i + 1
+
+
+def without_lines(text: bytes, gone: Sequence[int], least: int = LINE_WORDS) -> bytes:
+    """``text`` less the lines with these numbers. A text line that loses all of itself
+    goes with its line end."""
+    drop, left = set(gone), {}
+    for i, (number, start, end, _) in enumerate(text_lines(text, least)):
+        if i not in drop:
+            left[number] = left.get(number, b"") + text[start:end]
+    return b"\n".join(left.values())
 
 
 def _lines(line_words: int):
@@ -134,31 +198,34 @@ def shared_line_pairs(texts: DataFrame, block_words: int = BLOCK_WORDS, rare_tex
     all texts proposes one pair for each of them, never pairs among them."""
     posted = texts.select("th", "first_id", F.posexplode("lines").alias("ord", "h"), F.col("words").alias("all_words"))
     posted = posted.select("th", "first_id", "ord", "h", F.expr("all_words[ord]").alias("w"))
+    known = texts.select(F.explode(F.array_distinct("lines")).alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    # written out, so that the joins on them can split a hot line
+    posted = staged(posted.join(staged(known, "ld_known"), "h"), "ld_posted")
     order = F.struct(F.col("first_id").isNull().alias("no"), F.col("first_id").alias("id"), F.col("th").alias("th"))
-    known = texts.select("th", "first_id", F.explode(F.array_distinct("lines")).alias("h")).groupBy("h").agg(
-        F.count(F.lit(1)).alias("df"), F.min(order).alias("owner")).filter("df > 1")
-    known = staged(known, "ld_shared")  # so that a join on it can split a hot line
-    shared = posted.join(known, "h")
+    owners = staged(posted.groupBy("h").agg(F.min(order).alias("owner")), "ld_owners")
+    shared = posted.join(owners, "h")
     earlier = ~F.col("owner.id").eqNullSafe(F.col("first_id")) & F.col("owner.id").isNotNull()
     shared = shared.filter(earlier).select("th", "ord", "w", "df", F.col("owner.th").alias("owner"))
-    run = F.col("ord") - F.row_number().over(Window.partitionBy("th").orderBy("ord"))
-    whole = Window.partitionBy("th", "run")
-    runs = shared.withColumn("run", run).withColumn("run_words", F.sum("w").over(whole)).withColumn("least", F.min("df").over(whole))
-    return runs.filter((F.col("run_words") >= block_words) & ((F.col("df") <= rare_texts) | (F.col("df") == F.col("least")))) \
+    shared = shared.withColumn("rare", F.col("df") <= rare_texts)
+    place = lambda *by: F.col("ord") - F.row_number().over(Window.partitionBy(*by).orderBy("ord"))
+    runs = shared.withColumn("run", place("th")).withColumn("streak", place("th", "rare"))
+    runs = runs.withColumn("run_words", F.sum("w").over(Window.partitionBy("th", "run")))
+    runs = runs.withColumn("least", F.min("df").over(Window.partitionBy("th", "rare", "streak")))
+    return runs.filter((F.col("run_words") >= block_words) & (F.col("rare") | (F.col("df") == F.col("least")))) \
         .select("th", "owner").distinct()
 
 
 def deletions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", line_words: int = LINE_WORDS,
-              block_words: int = BLOCK_WORDS, rare_texts: int = RARE_TEXTS) -> tuple[DataFrame, DataFrame]:
-    """Line tables of all rows, and per distinct text: the first id that holds it, the line
-    numbers to delete from it and those to delete from its later copies."""
+              block_words: int = BLOCK_WORDS, rare_texts: int = RARE_TEXTS) -> DataFrame:
+    """Per distinct text (``th``): the first id that holds it, how many lines it has, the
+    line numbers to delete from it and those to delete from its later copies."""
     rows = docs.select(q(id_col).alias("__id"), F.xxhash64(q(text_col).cast("string")).alias("__th"), q(text_col).cast("string").alias("__text"))
     schema = T.StructType([f for f in rows.schema.fields if f.name in ("__id", "__th")]
                           + T.StructType.fromDDL("lines array<long>, words array<int>, numbers array<int>, n_lines int").fields)
-    lines = staged(rows.mapInArrow(_lines(line_words), schema), "ld_lines")
+    lines = rows.mapInArrow(_lines(line_words), schema)
     texts = staged(lines.groupBy(F.col("__th").alias("th")).agg(
         F.min("__id").alias("first_id"), F.count(F.lit(1)).alias("copies"),
-        F.first("lines").alias("lines"), F.first("words").alias("words"), F.first("numbers").alias("numbers")), "ld_texts")
+        F.first("lines").alias("lines"), F.first("words").alias("words"), F.first("numbers").alias("numbers"), F.first("n_lines").alias("n_lines")), "ld_texts")
     pairs = shared_line_pairs(texts, block_words, rare_texts)
     pairs = pairs.join(texts.select("th", "lines", "words"), "th")
     pairs = pairs.join(texts.select(F.col("th").alias("owner"), F.col("lines").alias("other")), "owner")
@@ -167,17 +234,24 @@ def deletions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     found = texts.join(gone, "th", "left").withColumn("gone", F.coalesce("gone", F.expr("cast(array() as array<int>)")))
     enough = F.aggregate("words", F.lit(0).cast("long"), lambda s, w: s + w) >= block_words
     numbered = F.transform("gone", lambda k: F.expr("numbers")[k])
-    found = found.select("th", "first_id", numbered.alias("own"), F.when(enough, F.col("numbers")).otherwise(F.slice("numbers", 1, 0)).alias("copy"), "copies")
-    return lines, staged(found.filter("size(own) > 0 or (copies > 1 and size(copy) > 0)"), "ld_gone")
+    copy = F.when(enough & (F.col("copies") > 1), F.col("numbers")).otherwise(F.slice("numbers", 1, 0))
+    return staged(found.select("th", "first_id", "n_lines", numbered.alias("own"), copy.alias("copy")), "ld_gone")
+
+
+def _without(line_words: int):
+    @F.pandas_udf(T.BinaryType())
+    def run(text: pd.Series, gone: pd.Series) -> pd.Series:
+        return pd.Series([None if t is None else without_lines(t, g, line_words) for t, g in zip(text, gone)], dtype=object)
+
+    return run
 
 
 def _with_gone(rows: DataFrame, gone: DataFrame, ident: str) -> DataFrame:
-    """``__gone``: the numbers of the lines that a row (its ``__th``, its id) loses."""
+    """``__n`` and ``__gone``: how many lines a row (its ``__th``, its id) has, and the
+    numbers of those it loses."""
     # by a shuffle whatever the size: a hot text's rows are split, and the plan is the same at any scale
     joined = rows.join(gone.hint("merge"), rows["__th"] == gone["th"], "left")
-    none = F.expr("cast(array() as array<int>)")
-    return joined.withColumn("__gone", F.when(F.col("th").isNull(), none)
-                             .when(F.col(ident).eqNullSafe(F.col("first_id")), F.col("own")).otherwise(F.col("copy")))
+    return joined.withColumn("__n", F.col("n_lines")).withColumn("__gone", F.when(F.col(ident).eqNullSafe(F.col("first_id")), F.col("own")).otherwise(F.col("copy")))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", line_words: int = LINE_WORDS,
@@ -186,19 +260,20 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ``n_deleted``, ``deleted_lines`` (numbers from 0).
 
     A row is later than those with a smaller id; null ids come last and, like rows that
-    repeat an id, are not later than each other. Lines are compared without surrounding
-    blanks. Of an exact copy all counting lines go if they make a block. Deleting leaves
-    the other lines, blank ones included, joined by line ends; a text whose lines all go
-    becomes empty. Null stays null, with no lines."""
-    _, gone = deletions(docs, id_col, text_col, line_words, block_words, rare_texts)
+    repeat an id, are not later than each other. Lines (``text_lines``: sentences) are
+    compared without surrounding blanks. Of an exact copy all counting lines go if they
+    make a block. Deleting leaves the other lines where they stand, blank ones included; a
+    text line that loses all of itself goes with its line end, and a text whose lines all
+    go becomes empty. Null stays null, with no lines."""
+    gone = deletions(docs, id_col, text_col, line_words, block_words, rare_texts)
     keep = free_columns(docs, ADDED)
     plain = docs.select(*[q(c).alias(f"__c{i}") for i, c in enumerate(keep)])
     ident, text = (f"__c{keep.index(c)}" for c in (id_col, text_col))
     plain = plain.withColumn("__th", F.xxhash64(F.col(text).cast("string")))
     rows = _with_gone(plain, gone, ident)
-    lines = F.split(F.col(text), "\n")
-    left = F.array_join(F.filter(lines, lambda _, i: ~F.array_contains("__gone", i)), "\n")
-    rows = rows.withColumn("__left", F.when(F.size("__gone") > 0, left).otherwise(F.col(text)))
-    rows = rows.withColumn("__n", F.coalesce(F.when(F.col(text).isNotNull(), F.size(lines)), F.lit(0)))
+    # only texts that lose lines pass through Python
+    some = F.size("__gone") > 0
+    left = _without(line_words)(F.when(some, F.col(text).cast("binary")), F.col("__gone")).cast("string")
+    rows = rows.withColumn("__left", F.when(some, left).otherwise(F.col(text)))
     return rows.select(*[F.col("__left" if f"__c{i}" == text else f"__c{i}").alias(c) for i, c in enumerate(keep)],
                        F.col("__n").alias("n_lines"), F.size("__gone").alias("n_deleted"), F.array_sort("__gone").alias("deleted_lines"))

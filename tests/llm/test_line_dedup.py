@@ -1,12 +1,51 @@
 import random
+import re
+import zlib
 
 from joinery.llm import line_dedup as ld
 from joinery.llm.queries import op1_line_dedup
 from .conftest import frame, sha
 
+BLANK = " \t\n\r\x0b\x0c"
+
+
+def pieces(line, least=ld.LINE_WORDS):
+    """The pieces of a text line, word by word."""
+    units = re.findall(rf"[{BLANK}]*[^{BLANK}]+[{BLANK}]*", line)  # a word with the blanks around it
+    if not units:
+        return [line]
+    sentences, now = [], []
+    for k, u in enumerate(units):
+        now.append(u)
+        if k + 1 == len(units) or re.search(r"[.!?][\"')\]]*$", u.strip(BLANK)):
+            sentences.append(now)
+            now = []
+    parts = []
+    for words in sentences:
+        now = []
+        for k, u in enumerate(words):
+            now.append(u)
+            same = k and words[k - 1].strip(BLANK) == u.strip(BLANK)
+            picked = len(words) > 40 and not same and zlib.crc32(u.strip(BLANK).encode()) % 8 == 0
+            if k + 1 == len(words) or picked:
+                parts.append(now)
+                now = []
+    out = [[]]
+    for part in parts:
+        if len(out[-1]) >= least:
+            out.append([])
+        out[-1] = out[-1] + part
+    if len(out) > 1 and len(out[-1]) < least:
+        out[-2:] = [out[-2] + out[-1]]
+    return ["".join(x) for x in out]
+
+
+def lines_of(text):
+    return [(n, p) for n, line in enumerate((text or "").split("\n")) for p in pieces(line)]
+
 
 def counting(text, least=ld.LINE_WORDS):
-    return [(i, line.strip(), len(line.encode().split())) for i, line in enumerate((text or "").split("\n")) if len(line.encode().split()) >= least]
+    return [(i, p.strip(BLANK), len(p.encode().split())) for i, (_, p) in enumerate(lines_of(text)) if len(p.encode().split()) >= least]
 
 
 def matches(a, b):
@@ -68,9 +107,13 @@ def brute(docs, block=ld.BLOCK_WORDS, rare=ld.RARE_TEXTS):
         partners = set()
         for run in runs:
             if sum(x[1] for x in run) >= block:
-                low = min(x[2] for x in run)
-                for x in run:
-                    if x[2] <= rare or x[2] == low:
+                for k, x in enumerate(run):
+                    streak = [k]  # frequent lines around this one
+                    while streak[0] and run[streak[0] - 1][2] > rare:
+                        streak.insert(0, streak[0] - 1)
+                    while streak[-1] + 1 < len(run) and run[streak[-1] + 1][2] > rare:
+                        streak.append(streak[-1] + 1)
+                    if x[2] <= rare or x[2] == min(run[j][2] for j in streak):
                         assert len(x[3]) == 1
                         partners.add(x[3][0])
         cut = set()
@@ -89,8 +132,12 @@ def brute(docs, block=ld.BLOCK_WORDS, rare=ld.RARE_TEXTS):
             cut = gone[t]
         else:
             cut = {n for n, _, _ in rows[t]} if sum(w for _, _, w in rows[t]) >= block else set()
-        left = t if not cut else "\n".join(x for k, x in enumerate(t.split("\n")) if k not in cut)
-        out.append((i, 0 if t is None else t.count("\n") + 1, len(cut), sorted(cut), left))
+        kept = {}
+        for k, (n, p) in enumerate(lines_of(t)):
+            if k not in cut:
+                kept[n] = kept.get(n, "") + p
+        left = t if not cut else "\n".join(kept.values())
+        out.append((i, 0 if t is None else len(lines_of(t)), len(cut), sorted(cut), left))
     return out
 
 
@@ -147,5 +194,33 @@ def test_patience_equals_recursion():
         assert ld.patience(a, b) == matches(a, b)
 
 
+def test_passage_inside_other_paragraphs(spark):
+    rnd = random.Random(9)
+    words = lambda n: " ".join(f"v{rnd.randrange(10 ** 9)}" for _ in range(n))
+    told = " ".join(f"{words(rnd.randint(4, 12)).capitalize()}." for _ in range(9))
+    plain = words(70)  # without a sentence end
+    rows = [(1, f"{words(30)}. {words(9)}"), (2, f"{words(20)} {told} {words(30)}."), (3, f"{words(50)}. {plain} {words(6)}."),
+            (4, f"{words(8)}.\n{words(15)} {told} {words(25)}. Yes."), (5, f"{words(12)}. {words(4)} {plain}")]
+    out = {r.doc_id: r.text for r in ld.dedup_lines(frame(spark, rows, "doc_id long, text string")).collect()}
+    before = dict(rows)
+    assert all(out[i] == before[i] for i in (1, 2, 3))
+    assert all(s not in out[4] for s in told.split(". ")[1:])
+    own = lambda i, passage: set(before[i].split()) - set(passage.split())
+    assert own(4, told) <= set(out[4].split()) and own(5, plain) <= set(out[5].split())
+    assert len(set(plain.split()) & set(out[5].split())) < 35
+
+
+def test_lines_cover_the_text():
+    rnd = random.Random(3)
+    marks = ["a", "bc.", "d!", "e?\")", " ", "  ", "\t", "\n", "\r\n", "same same", "é", "long " * 9]
+    for _ in range(400):
+        text = "".join(rnd.choice(marks) + rnd.choice(["", " "]) for _ in range(rnd.randrange(120)))
+        data = text.encode()
+        got = [(n, data[a:b].decode()) for n, a, b, _ in ld.text_lines(data)]
+        assert got == lines_of(text)
+        assert [w for *_, w in ld.text_lines(data)] == [len(p.split()) for _, p in got]
+        assert ld.without_lines(data, []) == data
+
+
 def test_empty(spark):
     assert ld.dedup_lines(frame(spark, [(1, "a")], "doc_id long, text string").filter("false")).count() == 0
