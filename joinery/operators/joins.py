@@ -350,6 +350,7 @@ def merge(
     null_safe: bool = False,
     skew_split: bool = True,
     unique: bool = False,
+    same_keys: bool = False,
 ) -> DataFrame:
     """Full-outer merge of two frames on ``on`` (default: every common column).
 
@@ -375,6 +376,12 @@ def merge(
     side, instead of emitting every pair of the repeated rows; the check rides
     on the key counts the skew-tolerant plan computes anyway.
 
+    ``same_keys=True`` states that every key of one side is on the other too, as it is
+    when both are left-join enrichments of one frame that reads the same each time. Then
+    no side has rows of its own but those with a NULL key (none with ``null_safe``): the
+    merge is an inner join and, for those rows, a filter, with no key sets and no anti
+    joins. ``unique=True`` and equal non-key names use the plans above.
+
     Frames without a common column raise ``ValueError``: a cross product is not
     offered.
     """
@@ -388,6 +395,8 @@ def merge(
     kset = set(keys)
     a_rest = [c for c in a.columns if c not in kset]
     b_rest = [c for c in b.columns if c not in kset]
+    if same_keys and not unique and not set(a_rest) & set(b_rest):
+        return _merge_same_keys(a, b, keys, a_rest, b_rest, null_safe)
     if set(a_rest) & set(b_rest):
         if unique:
             raise ValueError(f"unique=True needs distinct output names: {sorted(set(a_rest) & set(b_rest))} are on both sides")
@@ -419,6 +428,28 @@ def merge(
     )
 
 
+def _merge_same_keys(a, b, keys, a_rest, b_rest, null_safe):
+    """The merge of two sides with the same keys: matched pairs, and the rows whose NULL
+    key matches nothing. AQE can split a hot key of either side in the inner join."""
+    la, rb = a.alias(_L), b.alias(_R)
+    equal = (lambda k: _lcol(k).eqNullSafe(_rcol(k))) if null_safe else (lambda k: _lcol(k) == _rcol(k))
+    cond = functools.reduce(lambda x, y: x & y, [equal(k) for k in keys])
+    both = la.join(rb, cond, "inner").select(
+        *[F.coalesce(_lcol(k), _rcol(k)).alias(k) for k in keys], *[_lcol(c) for c in a_rest], *[_rcol(c) for c in b_rest])
+    if null_safe:
+        return both
+    any_null = functools.reduce(lambda x, y: x | y, [F.col(_q(k)).isNull() for k in keys])
+
+    def alone(df: DataFrame, own: Sequence[str]) -> DataFrame:
+        have = set(own)
+        rest = [(c, _dtype(a if c in a_rest else b, c)) for c in [*a_rest, *b_rest]]
+        return df.filter(any_null).select(
+            *[F.col(_q(k)) for k in keys],
+            *[F.col(_q(c)) if c in have else F.lit(None).cast(t).alias(c) for c, t in rest])
+
+    return both.unionByName(alone(a, a_rest)).unionByName(alone(b, b_rest))
+
+
 _COMPLEX = (T.ArrayType, T.MapType, T.StructType, T.NullType)
 _NUMBERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType)
 

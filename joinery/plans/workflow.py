@@ -26,7 +26,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import NOT_DEFINED, enrich, enrich_hierarchy, latest_snapshot, merge
+from ..operators import NOT_DEFINED, common_columns, enrich, enrich_hierarchy, latest_snapshot, merge
 from ..session import checkpoint_root
 from ..sources import scan, scan_table, schema_from_spec, write_dated
 from . import domain
@@ -94,6 +94,12 @@ def enrichment_branches(
     return out
 
 
+def _same_keys(branches: Mapping[str, DataFrame]) -> bool:
+    """Whether the columns both enrichments share are all the keyed primary's, which an
+    enrichment keeps as they are."""
+    return set(common_columns(branches["activity"], branches["hierarchy"])) <= set(branches["keyed"].columns)
+
+
 def combine(
     branches: Mapping[str, DataFrame],
     mode: str = "merge",
@@ -110,7 +116,7 @@ def combine(
             if hierarchy is None:
                 raise ValueError("chain mode needs the hierarchy step")
             return _hierarchy(a, hierarchy, hierarchy_flag)
-        return merge(a, b, null_safe=(mode == "merge_null_safe"))
+        return merge(a, b, null_safe=(mode == "merge_null_safe"), same_keys=_same_keys(branches))
     if a is not None:
         return a
     if b is not None:
@@ -196,7 +202,8 @@ def _write_outputs(
         base = spark.read.parquet(written["activity"]) if "activity" in written else branches["activity"]
         final = _hierarchy(base, hier, hier_flag)
     else:
-        final = merge(side("activity"), side("hierarchy"), null_safe=(mode == "merge_null_safe"), unique=unique)
+        final = merge(side("activity"), side("hierarchy"), null_safe=(mode == "merge_null_safe"), unique=unique,
+                      same_keys=_same_keys(branches))
     if paths.get("merged"):
         written["merged"] = write_dated(final, paths["merged"], domain.OUTPUT_NAMES["merged"], as_of)
     return written, "merged", final

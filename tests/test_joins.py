@@ -275,3 +275,19 @@ def test_merge_of_mixed_and_null_types(spark):
     assert merge(void, void.withColumnRenamed("v", "w"), null_safe=True).count() == 9
     with pytest.raises(ValueError):
         merge(a, a, on=["k"], unique=True)
+
+
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_merge_of_sides_with_the_same_keys(spark, null_safe):
+    rows = [(1, 0.0, "a", [1]), (1, -0.0, "a", [1]), (2, float("nan"), None, None), (2, float("nan"), "b", [2]),
+            (None, 1.5, "c", [3]), (None, None, None, None), (None, None, None, None), (4, 2.5, "", [])] + [(9, 1.0, "hot", [9])] * 5
+    frame = spark.createDataFrame(rows, "i int, f double, t string, l array<int>").repartition(3)
+    a, b = frame.withColumn("x", F.hash("i", "t")), frame.withColumn("y", F.length("t"))
+    for drop in ([], ["l"]):  # with a nested key, and without
+        one, two = a.drop(*drop), b.drop(*drop)
+        want = merge(one, two, null_safe=null_safe, skew_split=False)
+        got = merge(one, two, null_safe=null_safe, same_keys=True)
+        assert got.columns == want.columns
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+        assert "LeftAnti" not in _plan(got)
+    assert merge(a.filter("false"), b.filter("false"), null_safe=null_safe, same_keys=True).count() == 0

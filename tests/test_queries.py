@@ -60,10 +60,21 @@ def test_chain_mode_scans_primary_once(spark):
     chain = scans(_final_plan(QUERIES["enrich_frame_chain"](spark, SF001)))
     merged = scans(_final_plan(QUERIES["enrich_frame_merge"](spark, SF001)))
     assert chain == 1
-    assert merged > chain
+    assert merged == 4  # the two sides, and the rows of each whose NULL key matches nothing
     assert scans(_final_plan(QUERIES["merge_outer_plain"](spark, SF001))) == 2
 
 
+@pytest.mark.parametrize("threshold", ["-1", "10485760"])
+def test_frame_merge_has_no_key_sets(spark, threshold):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        plan = _final_plan(QUERIES["enrich_frame_merge"](spark, SF001))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "LeftAnti" not in plan
+
+
 def test_scans_are_pruned(spark):
     plan = _physical(QUERIES["inner_sql"](spark, SF001))
     assert "ReadSchema: struct<event_id:bigint,user_id:bigint>" in plan and "PushedFilters: [IsNotNull(user_id)]" in plan
