@@ -30,8 +30,7 @@ LONG_WORDS = 40
 CUT_EVERY = 8
 #: Words an aligned block needs to be deleted.
 BLOCK_WORDS = 20
-#: A shared line is rare if no more distinct texts than this hold it. A run of shared lines
-#: without a rare one is followed through its least frequent lines instead.
+#: Kept for callers that pass it: results no longer depend on how many texts hold a line.
 RARE_TEXTS = 64
 ADDED = ("n_lines", "n_deleted", "deleted_lines")
 
@@ -189,9 +188,9 @@ def _align(least: int):
     return run
 
 
-def shared_line_pairs(texts: DataFrame, block_words: int = BLOCK_WORDS, rare_texts: int = RARE_TEXTS) -> DataFrame:
-    """``(th, owner)``: texts to align, each with the earliest texts that hold its rare
-    lines. ``texts`` has th, first_id, lines, words.
+def shared_line_pairs(texts: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """``(th, owner)``: texts to align, each with the earliest texts that hold its shared
+    lines, however many hold them. ``texts`` has th, first_id, lines, words.
 
     A block can only lie in a run of consecutive lines that earlier texts hold; shorter
     runs propose nothing. A line proposes its first holder alone, so a line in a third of
@@ -205,20 +204,18 @@ def shared_line_pairs(texts: DataFrame, block_words: int = BLOCK_WORDS, rare_tex
     owners = staged(posted.groupBy("h").agg(F.min(order).alias("owner")), "ld_owners")
     shared = posted.join(owners, "h")
     earlier = ~F.col("owner.id").eqNullSafe(F.col("first_id")) & F.col("owner.id").isNotNull()
-    shared = shared.filter(earlier).select("th", "ord", "w", "df", F.col("owner.th").alias("owner"))
-    shared = shared.withColumn("rare", F.col("df") <= rare_texts)
-    place = lambda *by: F.col("ord") - F.row_number().over(Window.partitionBy(*by).orderBy("ord"))
-    runs = shared.withColumn("run", place("th")).withColumn("streak", place("th", "rare"))
+    shared = shared.filter(earlier).select("th", "ord", "w", F.col("owner.th").alias("owner"))
+    place = F.col("ord") - F.row_number().over(Window.partitionBy("th").orderBy("ord"))
+    runs = shared.withColumn("run", place)
     runs = runs.withColumn("run_words", F.sum("w").over(Window.partitionBy("th", "run")))
-    runs = runs.withColumn("least", F.min("df").over(Window.partitionBy("th", "rare", "streak")))
-    return runs.filter((F.col("run_words") >= block_words) & (F.col("rare") | (F.col("df") == F.col("least")))) \
-        .select("th", "owner").distinct()
+    return runs.filter(F.col("run_words") >= block_words).select("th", "owner").distinct()
 
 
 def deletions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", line_words: int = LINE_WORDS,
               block_words: int = BLOCK_WORDS, rare_texts: int = RARE_TEXTS) -> DataFrame:
     """Per distinct text (``th``): the first id that holds it, how many lines it has, the
-    line numbers to delete from it and those to delete from its later copies."""
+    line numbers to delete from it and those to delete from its later copies.
+    ``rare_texts`` has no effect."""
     rows = docs.select(q(id_col).alias("__id"), F.xxhash64(q(text_col).cast("string")).alias("__th"), q(text_col).cast("string").alias("__text"))
     schema = T.StructType([f for f in rows.schema.fields if f.name in ("__id", "__th")]
                           + T.StructType.fromDDL("lines array<long>, words array<int>, numbers array<int>, n_lines int").fields)
@@ -226,7 +223,7 @@ def deletions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     texts = staged(lines.groupBy(F.col("__th").alias("th")).agg(
         F.min("__id").alias("first_id"), F.count(F.lit(1)).alias("copies"),
         F.first("lines").alias("lines"), F.first("words").alias("words"), F.first("numbers").alias("numbers"), F.first("n_lines").alias("n_lines")), "ld_texts")
-    pairs = shared_line_pairs(texts, block_words, rare_texts)
+    pairs = shared_line_pairs(texts, block_words)
     pairs = pairs.join(texts.select("th", "lines", "words"), "th")
     pairs = pairs.join(texts.select(F.col("th").alias("owner"), F.col("lines").alias("other")), "owner")
     gone = pairs.select("th", "lines", "words", "other").mapInArrow(_align(block_words), "th long, gone array<int>")
