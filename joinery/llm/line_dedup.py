@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator, Sequence
@@ -15,7 +16,7 @@ from collections.abc import Iterator, Sequence
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -162,14 +163,34 @@ def without_lines(text: bytes, gone: Sequence[int], least: int = LINE_WORDS) ->
     return b"\n".join(left.values())
 
 
-def _lines(line_words: int):
+def block_windows(words: Sequence[int], least: int = BLOCK_WORDS) -> Iterator[tuple[int, int]]:
+    """``(first, end)`` of the shortest stretches of ``least`` words or more, from each line
+    onwards and up to each line: those inside a block cover all of it."""
+    first, before, n = 0, -1, 0
+    for end, w in enumerate(words, 1):
+        n += w
+        while n - words[first] >= least:
+            n -= words[first]
+            first += 1
+        if n >= least:
+            # from the starts up to ``first`` that fell short at the line before, and up to this line
+            yield from ((k, end) for k in range(min(before + 1, first), first + 1))
+            before = first
+
+
+def window_hash(lines: Sequence[int]) -> int:
+    return xxhash.xxh64_intdigest(array("q", lines).tobytes()) >> 1
+
+
+def _lines(line_words: int, block_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = (pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.int32())
+        kinds = (pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.int32(), pa.list_(pa.int64()))
         for batch in batches:
             rows = [line_table(x.as_py(), line_words) for x in batch.column("__text").cast(pa.binary())]
+            rows = [(*r, list({window_hash(r[0][a:b]) for a, b in block_windows(r[1], block_words)})) for r in rows]
             cols = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays([batch.column("__id"), batch.column("__th"), *cols],
-                                             names=["__id", "__th", "lines", "words", "numbers", "n_lines"])
+                                             names=["__id", "__th", "lines", "words", "numbers", "n_lines", "windows"])
 
     return run
 
@@ -188,27 +209,23 @@ def _align(least: int):
     return run
 
 
-def shared_line_pairs(texts: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """``(th, owner)``: texts to align, each with the earliest texts that hold its shared
-    lines, however many hold them. ``texts`` has th, first_id, lines, words.
+def shared_line_pairs(texts: DataFrame) -> DataFrame:
+    """``(th, owner)``: texts to align, each with the earliest texts that hold its windows
+    (``block_windows``). ``texts`` has th, first_id, windows.
 
-    A block can only lie in a run of consecutive lines that earlier texts hold; shorter
-    runs propose nothing. A line proposes its first holder alone, so a line in a third of
-    all texts proposes one pair for each of them, never pairs among them."""
-    posted = texts.select("th", "first_id", F.posexplode("lines").alias("ord", "h"), F.col("words").alias("all_words"))
-    posted = posted.select("th", "first_id", "ord", "h", F.expr("all_words[ord]").alias("w"))
-    known = texts.select(F.explode(F.array_distinct("lines")).alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
-    # written out, so that the joins on them can split a hot line
+    Every line of a block that an earlier text holds lies in a window inside that block, so
+    a text that holds this window whole is always proposed. A window proposes its first
+    holder alone, so one in a third of all texts proposes one pair for each of them, never
+    pairs among them."""
+    posted = texts.select("th", "first_id", F.explode("windows").alias("h"))
+    known = posted.groupBy("h").agg(F.count(F.lit(1)).alias("df")).filter("df > 1").select("h")
+    # written out, so that the joins on them can split a hot window
     posted = staged(posted.join(staged(known, "ld_known"), "h"), "ld_posted")
     order = F.struct(F.col("first_id").isNull().alias("no"), F.col("first_id").alias("id"), F.col("th").alias("th"))
     owners = staged(posted.groupBy("h").agg(F.min(order).alias("owner")), "ld_owners")
     shared = posted.join(owners, "h")
     earlier = ~F.col("owner.id").eqNullSafe(F.col("first_id")) & F.col("owner.id").isNotNull()
-    shared = shared.filter(earlier).select("th", "ord", "w", F.col("owner.th").alias("owner"))
-    place = F.col("ord") - F.row_number().over(Window.partitionBy("th").orderBy("ord"))
-    runs = shared.withColumn("run", place)
-    runs = runs.withColumn("run_words", F.sum("w").over(Window.partitionBy("th", "run")))
-    return runs.filter(F.col("run_words") >= block_words).select("th", "owner").distinct()
+    return shared.filter(earlier).select("th", F.col("owner.th").alias("owner")).distinct()
 
 
 def deletions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", line_words: int = LINE_WORDS,
@@ -218,12 +235,12 @@ def deletions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     ``rare_texts`` has no effect."""
     rows = docs.select(q(id_col).alias("__id"), F.xxhash64(q(text_col).cast("string")).alias("__th"), q(text_col).cast("string").alias("__text"))
     schema = T.StructType([f for f in rows.schema.fields if f.name in ("__id", "__th")]
-                          + T.StructType.fromDDL("lines array<long>, words array<int>, numbers array<int>, n_lines int").fields)
-    lines = rows.mapInArrow(_lines(line_words), schema)
+                          + T.StructType.fromDDL("lines array<long>, words array<int>, numbers array<int>, n_lines int, windows array<long>").fields)
+    lines = rows.mapInArrow(_lines(line_words, block_words), schema)
     texts = staged(lines.groupBy(F.col("__th").alias("th")).agg(
         F.min("__id").alias("first_id"), F.count(F.lit(1)).alias("copies"),
-        F.first("lines").alias("lines"), F.first("words").alias("words"), F.first("numbers").alias("numbers"), F.first("n_lines").alias("n_lines")), "ld_texts")
-    pairs = shared_line_pairs(texts, block_words)
+        F.first("lines").alias("lines"), F.first("words").alias("words"), F.first("numbers").alias("numbers"), F.first("n_lines").alias("n_lines"), F.first("windows").alias("windows")), "ld_texts")
+    pairs = shared_line_pairs(texts)
     pairs = pairs.join(texts.select("th", "lines", "words"), "th")
     pairs = pairs.join(texts.select(F.col("th").alias("owner"), F.col("lines").alias("other")), "owner")
     gone = pairs.select("th", "lines", "words", "other").mapInArrow(_align(block_words), "th long, gone array<int>")

@@ -24,3 +24,27 @@ def test_adjoining_popular_passages(spark):
     out = deleted(spark, rows)
     assert out[0] == out[100] == [] and out[1] == out[101] == [2, 3, 4, 5]
     assert out[900] == [2, 3, 4, 5, 6, 7, 8, 9]
+
+
+def test_block_of_lines_that_each_stand_elsewhere_before(spark):
+    rnd = random.Random(22)
+    s = sentences(rnd, 5)
+    own = lambda: sentences(rnd, 2)
+    rows = [(i, "\n".join([*own(), line, *own()])) for i, line in enumerate(s)]
+    rows += [(10 + i, "\n".join([*own(), *s, *own()])) for i in range(3)]
+    out = deleted(spark, rows)
+    assert all(out[i] == [] for i in range(5)) and out[10] == []
+    assert out[11] == out[12] == [2, 3, 4, 5, 6]
+
+
+def test_windows_cover_every_block():
+    rnd = random.Random(23)
+    for _ in range(500):
+        words = [rnd.randint(3, rnd.choice([5, 30])) for _ in range(rnd.randrange(15))]
+        found = list(ld.block_windows(words))
+        assert len(found) == len(set(found)) <= 2 * len(words)
+        assert all(sum(words[a:b]) >= ld.BLOCK_WORDS for a, b in found)
+        for a in range(len(words)):
+            for b in range(a + 1, len(words) + 1):
+                if sum(words[a:b]) >= ld.BLOCK_WORDS:
+                    assert set(range(a, b)) == {k for x, y in found if a <= x and y <= b for k in range(x, y)}
