@@ -81,19 +81,47 @@ def patience(a: Sequence[int], b: Sequence[int]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def block_windows(words: Sequence[int], least: int = BLOCK_WORDS) -> Iterator[tuple[int, int]]:
+    """``(first, end)`` of the shortest stretches of ``least`` words or more, from each line
+    onwards and up to each line: those inside a block cover all of it."""
+    first, before, n = 0, -1, 0
+    for end, w in enumerate(words, 1):
+        n += w
+        while n - words[first] >= least:
+            n -= words[first]
+            first += 1
+        if n >= least:
+            # from the starts up to ``first`` that fell short at the line before, and up to this line
+            yield from ((k, end) for k in range(min(before + 1, first), first + 1))
+            before = first
+
+
 def aligned_blocks(later: Sequence[int], earlier: Sequence[int], words: Sequence[int], least: int = BLOCK_WORDS) -> list[int]:
-    """Positions of ``later`` in blocks (matches adjacent in both) of ``least`` words or more."""
-    out: list[int] = []
+    """Positions of ``later`` in common blocks (lines that follow each other in both) of
+    ``least`` words or more.
+
+    Patience diff takes what lies in the same order on both sides. Blocks that cross it or
+    repeat have no place there, so the windows (``block_windows``) of the lines that it
+    leaves are looked up anywhere in ``earlier``: together both find every common block."""
+    out: set[int] = set()
     block: list[int] = []
     last = None
     for i, j in [*patience(later, earlier), (-1, -1)]:
         if last is None or i != last[0] + 1 or j != last[1] + 1:
             if block and sum(words[k] for k in block) >= least:
-                out.extend(block)
+                out.update(block)
             block = []
         block.append(i)
         last = (i, j)
-    return out
+    here = set(earlier)
+    left = [(a, b) for a, b in block_windows(words, least) if any(k not in out for k in range(a, b)) and all(x in here for x in later[a:b])]
+    held: dict[int, set[tuple[int, ...]]] = {}
+    for a, b in left:
+        if b - a not in held:
+            held[b - a] = {tuple(earlier[j:j + b - a]) for j in range(len(earlier) - (b - a) + 1)}
+        if tuple(later[a:b]) in held[b - a]:
+            out.update(range(a, b))
+    return sorted(out)
 
 
 _SENTENCE_END = re.compile(rb"[.!?][\"')\]]*[\x20\x09-\x0D]+")
@@ -163,21 +191,6 @@ def without_lines(text: bytes, gone: Sequence[int], least: int = LINE_WORDS) ->
     return b"\n".join(left.values())
 
 
-def block_windows(words: Sequence[int], least: int = BLOCK_WORDS) -> Iterator[tuple[int, int]]:
-    """``(first, end)`` of the shortest stretches of ``least`` words or more, from each line
-    onwards and up to each line: those inside a block cover all of it."""
-    first, before, n = 0, -1, 0
-    for end, w in enumerate(words, 1):
-        n += w
-        while n - words[first] >= least:
-            n -= words[first]
-            first += 1
-        if n >= least:
-            # from the starts up to ``first`` that fell short at the line before, and up to this line
-            yield from ((k, end) for k in range(min(before + 1, first), first + 1))
-            before = first
-
-
 def window_hash(lines: Sequence[int]) -> int:
     return xxhash.xxh64_intdigest(array("q", lines).tobytes()) >> 1
 

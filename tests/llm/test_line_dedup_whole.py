@@ -4,6 +4,7 @@ import random
 
 from joinery.llm import line_dedup as ld
 from .conftest import frame
+from .test_line_dedup import counting, key, lines_of, made
 
 
 def sentences(rnd, n, words=12):
@@ -48,3 +49,69 @@ def test_windows_cover_every_block():
             for b in range(a + 1, len(words) + 1):
                 if sum(words[a:b]) >= ld.BLOCK_WORDS:
                     assert set(range(a, b)) == {k for x, y in found if a <= x and y <= b for k in range(x, y)}
+
+
+def test_swapped_passages(spark):
+    rnd = random.Random(24)
+    p, r = sentences(rnd, 5), sentences(rnd, 5)
+    own = lambda: sentences(rnd, 2)
+    out = deleted(spark, [(1, "\n".join([*own(), *p, *r])), (2, "\n".join([*own(), *r, *p, *own()]))])
+    assert out == {1: [], 2: list(range(2, 12))}
+
+
+def test_doubled_passage(spark):
+    rnd = random.Random(25)
+    p = sentences(rnd, 5)
+    own = lambda: sentences(rnd, 2)
+    out = deleted(spark, [(1, "\n".join([*own(), *p, *own()])), (2, "\n".join([*own(), *p, *own(), *p, *own()]))])
+    assert out == {1: [], 2: [*range(2, 7), *range(9, 14)]}
+
+
+def whole(docs, block=ld.BLOCK_WORDS):
+    """(id, n_lines, deleted line numbers, text left): every run of counting lines of
+    ``block`` words or more that stands in any earlier text goes."""
+    order = lambda i: (i is None, i or 0)
+    first, rows = {}, {}
+    for i, t in docs:
+        if t not in first or order(i) < order(first[t]):
+            first[t] = i
+        rows[t] = counting(t)
+    gone = {t: set() for t in rows}
+    for t, lines in rows.items():
+        x = [line for _, line, _ in lines]
+        places = {}
+        for e, others in rows.items():
+            if first[e] is not None and order(first[e]) < order(first[t]):
+                for j, (_, line, _) in enumerate(others):
+                    places.setdefault(line, []).append((others, j))
+        for a in range(len(x)):
+            for others, j in places.get(x[a], []):
+                if a and j and others[j - 1][1] == x[a - 1]:
+                    continue  # no run begins here
+                n = 0
+                while a + n < len(x) and j + n < len(others) and x[a + n] == others[j + n][1]:
+                    n += 1
+                if sum(w for _, _, w in lines[a:a + n]) >= block:
+                    gone[t] |= {lines[k][0] for k in range(a, a + n)}
+    out = []
+    for i, t in docs:
+        cut = gone[t] if i == first[t] else {n for n, _, _ in rows[t]} if sum(w for _, _, w in rows[t]) >= block else set()
+        kept = {}
+        for k, (n, p) in enumerate(lines_of(t)):
+            if k not in cut:
+                kept[n] = kept.get(n, "") + p
+        out.append((i, 0 if t is None else len(lines_of(t)), sorted(cut), "\n".join(kept.values()) if cut else t))
+    return out
+
+
+def test_made_documents_equal_all_earlier_texts(spark):
+    docs = made()
+    df = frame(spark, docs, "doc_id long, text string").repartition(7)
+    got = [(r.doc_id, r.n_lines, r.deleted_lines, r.text) for r in ld.dedup_lines(df).collect()]
+    assert sorted(got, key=key) == sorted(whole(docs), key=key)
+
+
+def test_corpus_equals_all_earlier_texts(spark, corpus):
+    docs = [(d.doc_id, d.text) for d in corpus.documents]
+    got = [(r.doc_id, r.n_lines, r.deleted_lines, r.text) for r in ld.dedup_lines(frame(spark, docs, "doc_id long, text string")).collect()]
+    assert sorted(got, key=key) == sorted(whole(docs), key=key)
