@@ -10,7 +10,7 @@ import re
 import zlib
 from array import array
 from bisect import bisect_left
-from collections import Counter
+from collections import Counter, deque
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -27,8 +27,8 @@ from .texts import free_columns, q
 LINE_WORDS = 3
 #: A sentence of more words than this is cut further, after words that their own hash picks.
 LONG_WORDS = 40
-#: One word in so many is picked.
-CUT_EVERY = 8
+#: Of so many consecutive words one at least is picked, the one with the least hash.
+CUT_WITHIN = 8
 #: Words an aligned block needs to be deleted.
 BLOCK_WORDS = 20
 #: Kept for callers that pass it: results no longer depend on how many texts hold a line.
@@ -128,18 +128,34 @@ _SENTENCE_END = re.compile(rb"[.!?][\"')\]]*[\x20\x09-\x0D]+")
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
+def _picked(hashes: Sequence[int], within: int = CUT_WITHIN) -> Iterator[int]:
+    """Positions of the least of every ``within`` consecutive values, the last of equals."""
+    least: deque[int] = deque()
+    last = -1
+    for i, h in enumerate(hashes):
+        while least and hashes[least[-1]] >= h:
+            least.pop()
+        least.append(i)
+        if least[0] <= i - within:
+            least.popleft()
+        if i >= within - 1 and least[0] != last:
+            last = least[0]
+            yield last
+
+
 def _sentences(line: bytes) -> Iterator[tuple[int, int]]:
     """``(end, words)`` of the sentences of one text line, long ones in parts."""
     start = 0
     for end in [*(m.end() for m in _SENTENCE_END.finditer(line)), len(line)]:
         n = len(line[start:end].split())
         if n > LONG_WORDS:
-            n, last, before = 0, b"", b""
-            for m in _WORD.finditer(line, start, end):
-                if last != before and zlib.crc32(last) % CUT_EVERY == 0:
-                    yield m.start(), n
-                    n = 0
-                n, last, before = n + 1, m.group(), last
+            words = list(_WORD.finditer(line, start, end))
+            done = 0
+            for k in _picked([zlib.crc32(m.group()) for m in words]):
+                if k + 1 < n:
+                    yield words[k + 1].start(), k + 1 - done
+                    done = k + 1
+            n -= done
         yield end, n
         start = end
 
@@ -150,9 +166,11 @@ def text_lines(text: bytes | None, least: int = LINE_WORDS) -> Iterator[tuple[in
 
     A text line (up to a line end) is cut after each sentence end that white space
     follows, and a sentence of more than ``LONG_WORDS`` words also after words picked by
-    their hash (not after a word that repeats the one before). A piece of fewer than
-    ``least`` words joins the next one, at the end of a text line the one before. So where
-    two texts share a passage, its sentences are cut alike whatever stands around it."""
+    their hash, the least of every ``CUT_WITHIN`` words. A piece of fewer than ``least``
+    words joins the next one, at the end of a text line the one before. So where two texts
+    share a passage, its sentences are cut alike whatever stands around it; without a
+    sentence end it is cut alike but for ``CUT_WITHIN`` words at either end, and short
+    pieces next to them."""
     at = 0
     for number, line in enumerate((text or b"").split(b"\n")):
         pieces, start, n = [], 0, 0

@@ -1,10 +1,52 @@
 """Blocks that earlier versions of line dedup lost."""
 
 import random
+import re
+import zlib
 
 from joinery.llm import line_dedup as ld
 from .conftest import frame
-from .test_line_dedup import counting, key, lines_of, made
+from .test_line_dedup import BLANK, key, made
+
+
+def pieces(line, least=ld.LINE_WORDS):
+    """The pieces of a text line; of a long sentence a word ends one if its hash is the
+    least (the last of equals) of any 8 words in a row that hold it."""
+    units = re.findall(rf"[{BLANK}]*[^{BLANK}]+[{BLANK}]*", line)
+    if not units:
+        return [line]
+    sentences, now = [], []
+    for k, u in enumerate(units):
+        now.append(u)
+        if k + 1 == len(units) or re.search(r"[.!?][\"')\]]*$", u.strip(BLANK)):
+            sentences.append(now)
+            now = []
+    parts = []
+    for words in sentences:
+        h = [(zlib.crc32(u.strip(BLANK).encode()), -k) for k, u in enumerate(words)]
+        cuts = {-min(h[i:i + 8])[1] for i in range(len(h) - 7)} if len(words) > 40 else set()
+        now = []
+        for k, u in enumerate(words):
+            now.append(u)
+            if k + 1 == len(words) or k in cuts:
+                parts.append(now)
+                now = []
+    out = [[]]
+    for part in parts:
+        if len(out[-1]) >= least:
+            out.append([])
+        out[-1] = out[-1] + part
+    if len(out) > 1 and len(out[-1]) < least:
+        out[-2:] = [out[-2] + out[-1]]
+    return ["".join(x) for x in out]
+
+
+def lines_of(text):
+    return [(n, p) for n, line in enumerate((text or "").split("\n")) for p in pieces(line)]
+
+
+def counting(text, least=ld.LINE_WORDS):
+    return [(i, p.strip(BLANK), len(p.encode().split())) for i, (_, p) in enumerate(lines_of(text)) if len(p.encode().split()) >= least]
 
 
 def sentences(rnd, n, words=12):
@@ -115,3 +157,27 @@ def test_corpus_equals_all_earlier_texts(spark, corpus):
     docs = [(d.doc_id, d.text) for d in corpus.documents]
     got = [(r.doc_id, r.n_lines, r.deleted_lines, r.text) for r in ld.dedup_lines(frame(spark, docs, "doc_id long, text string")).collect()]
     assert sorted(got, key=key) == sorted(whole(docs), key=key)
+
+
+def test_pieces_of_texts():
+    rnd = random.Random(26)
+    marks = ["a", "bc.", "d!", "e?\")", " ", "  ", "\t", "\n", "\r\n", "same same", "é", "long " * 9, "x y " * 30, *sentences(rnd, 5, 30)]
+    for _ in range(400):
+        text = "".join(rnd.choice(marks) + rnd.choice(["", " "]) for _ in range(rnd.randrange(120)))
+        data = text.encode()
+        assert [(n, data[a:b].decode()) for n, a, b, _ in ld.text_lines(data)] == lines_of(text)
+        assert ld.without_lines(data, []) == data
+
+
+def test_passages_without_sentence_ends():
+    """None of many passages of 51 to 60 words is missed, nor more than its ends kept."""
+    rnd = random.Random(27)
+    words = lambda n, of=10 ** 9: [f"v{rnd.randrange(of)}" for _ in range(n)]
+    for k in range(3000):
+        passage = words(rnd.randint(51, 60), 10 ** 9 if k % 3 else 200)
+        first, second = (" ".join([*words(rnd.randint(1, 40)), *passage, *words(rnd.randint(1, 40))]).encode() for _ in range(2))
+        (a, *_), (b, n, at, _) = ld.line_table(first), ld.line_table(second)
+        gone = ld.aligned_blocks(b, a, n)
+        assert sum(n[i] for i in gone) >= ld.BLOCK_WORDS, passage
+        left = ld.without_lines(second, [at[i] for i in gone]).decode().split()
+        assert len(left) + sum(n[i] for i in gone) == len(second.split())
