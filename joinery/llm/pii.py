@@ -1,7 +1,7 @@
 """Personal data by information-theoretic sanitisation. Base patterns find the protected
-entities; corpus co-occurrence then tells how far a neighbouring term gives an entity away,
-and terms beyond a disclosure threshold are generalised or removed. DataFrame functions
-only."""
+entities; corpus co-occurrence then tells how far a term of their texts gives an entity
+away, and terms beyond a disclosure threshold are generalised or removed wherever they
+stand. DataFrame functions only."""
 
 from __future__ import annotations
 
@@ -13,7 +13,7 @@ from .staging import staged
 from .texts import free_columns, q
 
 KINDS = ("email", "ip", "card", "phone")
-#: Words on either side of an entity that are looked at, and code points that are searched for them.
+#: Kept for callers that read them: terms are looked for in the whole text.
 NEAR_WORDS, NEAR_CHARS = 6, 80
 #: Share of an entity's information that a term must give away to be generalised, to be removed.
 GENERALISE, REMOVE = 0.9, 0.97
@@ -21,6 +21,8 @@ GENERALISE, REMOVE = 0.9, 0.97
 SUPPORT = 3
 #: Letters that a term needs.
 TERM_LETTERS = 3
+#: Disclosing terms that are broadcast to the words of all texts; more are joined by a shuffle.
+BROADCAST_TERMS = 200_000
 
 # Each pattern may only begin where its leftmost match can begin, and gives no character
 # back: the same matches as the plain pattern in time linear in the text.
@@ -29,7 +31,8 @@ _IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 _CARD = r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){13,18}+(?![\x20-]?[0-9])"
 _PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 _OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
-_TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+_LETTER = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]"
+_TERM = _LETTER + "+"
 _SPAN = "struct<start:int,end:int,value:string>"
 
 
@@ -90,38 +93,44 @@ def base_spans(rows: DataFrame, text: str) -> DataFrame:
     return rows.drop(*[f"__{x}_{k}" for x in "fp" for k in KINDS])
 
 
-def _terms(text: Column, start: Column, end: Column) -> Column:
-    """The nearest terms on both sides of a span, lower-cased, with their code point spans.
-    A word that the searched stretch cuts is left out."""
-    left_at = F.greatest(start - NEAR_CHARS, F.lit(0))
-    left = F.substring(text, left_at + 1, start - left_at)
-    right = F.substring(text, end + 1, F.lit(NEAR_CHARS))
+def _outside(text: Column, spans: Column) -> Column:
+    """``text`` with blanks in place of the spans (by start), every code point in its place."""
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+
+    def step(acc: Column, s: Column) -> Column:
+        begin = F.greatest(s["start"], acc["at"])
+        end = F.greatest(s["end"], acc["at"])
+        before = F.substring(text, acc["at"] + 1, begin - acc["at"])
+        return F.struct(end.alias("at"), F.concat(acc["out"], before, F.repeat(F.lit(" "), end - begin)).alias("out"))
+
+    blanked = F.aggregate(spans, start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+    return F.when(F.size(spans) > 0, blanked).otherwise(text)
 
-    def words(side: Column, at: Column) -> Column:
-        placed = _placed(side, F.regexp_extract_all(side, F.lit(_TERM), F.lit(0)), F.split(side, _TERM, -1))
-        return F.transform(placed, lambda w: F.struct(
-            F.lower(w["value"]).alias("term"), (w["start"] + at).alias("start"), (w["end"] + at).alias("end")))
 
-    before = F.filter(words(left, left_at), lambda w: (w["start"] > left_at) | (left_at == 0))
-    before = F.slice(before, F.greatest(F.size(before) - NEAR_WORDS, F.lit(0)) + 1, F.lit(NEAR_WORDS))
-    after = F.filter(words(right, end), lambda w: (w["end"] < end + NEAR_CHARS) | (w["end"] == F.length(text)))
-    both = F.concat(before, F.slice(after, 1, NEAR_WORDS))
-    return F.filter(both, lambda w: F.length(w["term"]) >= TERM_LETTERS)
+def _terms(text: Column) -> Column:
+    """The distinct terms of a text, lower-cased."""
+    words = F.transform(F.regexp_extract_all(text, F.lit(_TERM), F.lit(0)), F.lower)
+    return F.array_distinct(F.filter(words, lambda w: F.length(w) >= TERM_LETTERS))
 
 
 def _entity(k: Column, value: Column) -> Column:
     return F.when(k == 0, F.lower(value)).otherwise(F.concat(F.lit("#"), k.cast("string"), F.lit(":"), _digits(value)))
 
 
-def entity_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Per row of ``docs``: ``__id``, ``__th`` (hash of the text) and ``__base``, each base
-    span with its entity and the terms around it. Written once; the texts stay behind."""
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     rows = docs.select(q(id_col).alias("__id"), F.coalesce(q(text_col).cast("string"), F.lit("")).alias("__text"))
-    rows = base_spans(rows.withColumn("__th", F.xxhash64("__text")), "__text")
-    near = F.transform("__base", lambda s: F.struct(
-        s["start"].alias("start"), s["k"].alias("k"), s["end"].alias("end"), _entity(s["k"], s["value"]).alias("entity"),
-        _terms(F.col("__text"), s["start"], s["end"]).alias("terms")))
-    return staged(rows.select("__id", "__th", near.alias("__base")), "pii_entities")
+    return rows.withColumn("__th", F.xxhash64("__text"))
+
+
+def entity_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Per row of ``docs``: ``__id``, ``__th`` (hash of the text), ``__base``, each base
+    span with its entity, and ``__terms``, if there are any the terms outside them. Written
+    once; the texts stay behind."""
+    rows = base_spans(_texts(docs, id_col, text_col), "__text")
+    base = F.transform("__base", lambda s: F.struct(
+        s["start"].alias("start"), s["k"].alias("k"), s["end"].alias("end"), _entity(s["k"], s["value"]).alias("entity")))
+    terms = F.when(F.size("__base") > 0, _terms(_outside(F.col("__text"), F.col("__base")))).otherwise(_none("string"))
+    return staged(rows.select("__id", "__th", base.alias("__base"), terms.alias("__terms")), "pii_entities")
 
 
 def document_counts(docs: DataFrame, text_col: str) -> DataFrame:
@@ -134,42 +143,64 @@ def document_counts(docs: DataFrame, text_col: str) -> DataFrame:
 def disclosures(docs: DataFrame, entities: DataFrame, text_col: str, generalise: float = GENERALISE, support: int = SUPPORT) -> DataFrame:
     """``(term, entity, share)`` of the pairs that disclose.
 
-    An entity e in c(e) of N texts carries log(N / c(e)). A term near it in c(t, e) texts
-    and in c(t) texts of the corpus gives away the pointwise mutual information
-    log(N c(t, e) / (c(t) c(e))); ``share`` is their ratio, 1 when the term occurs
-    nowhere without the entity. All rows are counted."""
-    total = entities.count()
-    spans = entities.select("__id", "__th", F.explode("__base").alias("s"))
-    by_entity = spans.select("__id", "__th", "s.entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("ce"))
-    pairs = spans.select("__id", "__th", "s.entity", F.explode("s.terms.term").alias("term")).distinct()
-    pairs = pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("cte")).filter(F.col("cte") >= support)
-    pairs = staged(pairs.join(by_entity, "entity"), "pii_pairs")
-    counts = document_counts(docs, text_col).join(pairs.select("term").distinct(), "term")
-    both = pairs.join(counts, "term")
-    n = F.lit(float(max(total, 1)))
+    An entity e in c(e) of N texts carries log(N / c(e)). A term in c(t, e) texts with it
+    (outside base spans) and in c(t) texts of the corpus gives away the pointwise mutual
+    information log(N c(t, e) / (c(t) c(e))); ``share`` is their ratio, 1 when the term
+    occurs nowhere without the entity. All rows are counted."""
+    n = float(max(entities.count(), 1))
+    same = lambda a, b: F.col(f"{a}.__id").eqNullSafe(F.col(f"{b}.__id")) & (F.col(f"{a}.__th") == F.col(f"{b}.__th"))
+    held = entities.select("__id", "__th", F.explode("__base.entity").alias("entity")).distinct()
+    by_entity = held.groupBy("entity").agg(F.count(F.lit(1)).alias("ce")).filter((F.col("ce") >= support) & (F.col("ce") < n))
+    held = staged(held.join(by_entity, "entity"), "pii_held")
+    some = held.select("__id", "__th").distinct()
+    terms = entities.select("__id", "__th", "__terms").distinct().alias("t").join(some.alias("s"), same("t", "s"), "left_semi")
+    terms = terms.select("__id", "__th", F.explode("__terms").alias("term"))
+    counts = document_counts(docs, text_col).filter(F.col("texts") >= support)
+    # c(t, e) is c(e) at most, so a term in more texts than this cannot reach the share
+    most = lambda ce: ce * F.pow(n / ce, F.lit(1 - generalise)) * (1 + 1e-9)
+    terms = terms.join(counts, "term").alias("t")
+    pairs = terms.join(held.alias("h"), same("t", "h") & (F.col("texts") <= most(F.col("ce"))))
+    pairs = pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("cte"), F.first("ce").alias("ce"), F.first("texts").alias("texts"))
     share = F.log(n * F.col("cte") / (F.col("texts") * F.col("ce"))) / F.log(n / F.col("ce"))
-    return both.filter(F.col("ce") < n).withColumn("share", share).filter(F.col("share") >= generalise).select("term", "entity", "share")
+    return pairs.filter(F.col("cte") >= support).withColumn("share", share).filter(F.col("share") >= generalise).select("term", "entity", "share")
+
+
+def term_spans(docs: DataFrame, entities: DataFrame, known: DataFrame, id_col: str, text_col: str, remove: float = REMOVE) -> DataFrame:
+    """``(__tid, __tth, told)``: of each text that holds terms of ``known`` (term, share)
+    outside its base spans, the spans of all of them."""
+    rows = _texts(docs, id_col, text_col)
+    words = rows.select("__id", "__th", F.explode(_terms(F.col("__text"))).alias("term"))
+    # a span can cut a word that touches it
+    words = words.unionByName(entities.select("__id", "__th", F.explode("__terms").alias("term")))
+    known = staged(known, "pii_known")
+    words = words.join(F.broadcast(known) if known.count() <= BROADCAST_TERMS else known, "term")
+    hits = words.groupBy(F.col("__id").alias("__tid"), F.col("__th").alias("__tth")).agg(F.collect_set(F.struct("term", "share")).alias("hits"))
+    rows = rows.join(hits, F.col("__id").eqNullSafe(F.col("__tid")) & (F.col("__th") == F.col("__tth"))).dropDuplicates(["__tid", "__tth"])
+    rows = base_spans(rows, "__text").withColumn("__out", _outside(F.col("__text"), F.col("__base")))
+    forms = F.filter(F.array_distinct(F.regexp_extract_all("__out", F.lit(_TERM), F.lit(0))), lambda w: F.array_contains(F.col("hits.term"), F.lower(w)))
+    rows = rows.withColumn("__forms", forms).filter(F.size("__forms") > 0)
+    # letters only, so nothing to quote
+    rows = rows.withColumn("__any", F.concat(F.lit(f"(?<!{_LETTER})(?:"), F.array_join("__forms", "|"), F.lit(f")(?!{_LETTER})")))
+    placed = _placed(F.col("__out"), F.regexp_extract_all("__out", F.col("__any"), F.lit(0)), F.split("__out", F.col("__any"), -1))
+    share = lambda s: F.filter("hits", lambda h: h["term"] == F.lower(s["value"]))[0]["share"]
+    told = F.transform(placed, lambda s: F.struct(
+        s["start"].alias("start"), F.lit(len(KINDS)).alias("k"), s["end"].alias("end"), F.lit("term").alias("kind"),
+        F.when(share(s) >= remove, "remove").otherwise("generalise").alias("action")))
+    return rows.select("__tid", "__tth", told.alias("told"))
 
 
 def find_personal(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", generalise: float = GENERALISE,
                   remove: float = REMOVE, support: int = SUPPORT) -> DataFrame:
     """One row per row of ``docs``: ``id_col``, ``text_hash`` and ``spans``, an array of
     (start, k, end, kind, action) by start, then kind: the base spans (``mask``), then the
-    disclosing terms around them (kind ``term``; ``generalise`` or ``remove``).
+    terms that disclose any entity, wherever they stand (kind ``term``; ``generalise`` or
+    ``remove``).
 
     A term's span never overlaps a base span. Null text is empty; equal rows get equal
     spans, and rows that repeat id and text count once in the statistics of entities."""
     entities = entity_table(docs, id_col, text_col)
     known = disclosures(docs, entities, text_col, generalise, support)
-    mentions = entities.select("__id", "__th", "__base", F.explode("__base").alias("s")).select(
-        "__id", "__th", "__base", "s.entity", F.explode("s.terms").alias("t")).select("__id", "__th", "__base", "entity", "t.*")
-    clear = ~F.exists("__base", lambda b: (b["start"] < F.col("end")) & (F.col("start") < b["end"]))
-    told = mentions.filter(clear).join(known, ["entity", "term"])
-    told = told.groupBy("__id", "__th", "start", "end").agg(F.max("share").alias("share"))
-    action = F.when(F.col("share") >= remove, "remove").otherwise("generalise")
-    told = told.groupBy("__id", "__th").agg(F.collect_list(F.struct(
-        "start", F.lit(len(KINDS)).alias("k"), "end", F.lit("term").alias("kind"), action.alias("action"))).alias("told"))
-    told = told.select(F.col("__id").alias("__tid"), F.col("__th").alias("__tth"), "told")
+    told = term_spans(docs, entities, known.groupBy("term").agg(F.max("share").alias("share")), id_col, text_col, remove)
     names = F.array(*[F.lit(k) for k in KINDS])
     base = F.transform("__base", lambda s: F.struct(s["start"].alias("start"), s["k"].alias("k"), s["end"].alias("end"),
                                                     names[s["k"]].alias("kind"), F.lit("mask").alias("action")))

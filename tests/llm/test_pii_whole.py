@@ -1,0 +1,54 @@
+"""Disclosing terms that stand far from their entity, or in texts without it."""
+
+from math import log
+
+from joinery.llm import pii
+from joinery.llm.queries import op4_pii
+from .conftest import frame
+from .test_pii import LETTERS, base, listed, rows as edge_rows, same
+
+FAR = " and more words of no account that stand between" * 6
+
+
+def test_far_mentions(spark):
+    docs = [(i, f"Dear Quibblex,{FAR}, write to boss@corp.example today {i}") for i in range(12)]
+    docs += [(50, "Quibblex went home; QUIBBLEX, and quibblexes")]
+    docs += [(100 + i, f"Dear all, nothing{FAR} boss here, write to p{i}x@corp.example today") for i in range(300)]
+    df = frame(spark, docs, "doc_id long, text string").repartition(3)
+    clean = {r.doc_id: r.text for r in pii.sanitise(df).collect()}
+    assert clean[0].startswith("Dear ") and "[EMAIL]" in clean[0] and clean[50].endswith("and quibblexes")
+    assert all("quibblex" not in clean[i].lower() for i in range(12)) and "QUIBBLEX" not in clean[50]
+    assert "boss here" in clean[100]
+
+
+def whole(docs, generalise=pii.GENERALISE, support=pii.SUPPORT):
+    """(id, spans): c(t, e) over texts that hold both, every mention marked."""
+    def outside(t):
+        for s in base(t):
+            t = t[:s[0]] + " " * (s[2] - s[0]) + t[s[2]:]
+        return [(m[0].lower(), m.start(), m.end()) for m in LETTERS.finditer(t or "") if len(m[0].lower()) >= pii.TERM_LETTERS]
+
+    entity = lambda s: s[4].lower() if s[3] == "email" else (s[3], "".join(c for c in s[4] if c in "0123456789"))
+    n, ct, ce, cte = len(docs), {}, {}, {}
+    for _, t in docs:
+        for w in set(LETTERS.findall((t or "").lower())):
+            ct[w] = ct.get(w, 0) + 1
+    for _, t in set(docs):
+        terms = {w[0] for w in outside(t)}
+        for e in {entity(s) for s in base(t)}:
+            ce[e] = ce.get(e, 0) + 1
+            for w in terms:
+                cte[e, w] = cte.get((e, w), 0) + 1
+    tell = {w for (e, w), c in cte.items() if c >= support and ce[e] < n and log(n * c / (ct[w] * ce[e])) / log(n / ce[e]) >= generalise}
+    return [(i, listed(sorted([s[:4] for s in base(t)] + [(a, 4, b, "term") for w, a, b in outside(t) if w in tell]))) for i, t in docs]
+
+
+def test_edges_equal_brute_force(spark):
+    docs = edge_rows()
+    out = pii.find_personal(frame(spark, docs, "doc_id long, text string").repartition(3)).collect()
+    same([(r.doc_id, listed([(s.start, s.k, s.end, s.kind) for s in r.spans])) for r in out], whole(docs))
+
+
+def test_corpus_equals_brute_force(spark, corpus):
+    got = [(r.doc_id, r.spans) for r in op4_pii(spark, corpus.sf_dir).collect()]
+    same(got, whole([(d.doc_id, d.text) for d in corpus.documents]))
