@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .staging import staged
 from .texts import ITEM_GAP, free_columns, item_bytes, item_word_array, q
 
 #: Words of a window, as the benchmark contract states it.
@@ -119,8 +120,8 @@ def _scan(index, text_col: str, carry: Sequence[str], first: bool):
                 blanked = item_bytes(text)
                 words = blanked.split()
                 ranges, found = grams.find(words) if words else ([], set())
-                known = {grams.names[k] for k in found}
-                if before and before[row]["items"]:
+                known = {grams.names[k] for k in found} - {None}
+                if before and before[row]["hit_words"]:
                     known |= set(before[row]["items"])
                     ranges = _merged(ranges + [(x["start"], x["end"]) for x in before[row]["hit_words"]])
                 n_words.append(len(words))
@@ -139,10 +140,10 @@ def _scan(index, text_col: str, carry: Sequence[str], first: bool):
 
 
 def benchmark_pieces(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
-    """``(item, words)``: every item with words, cut into overlapping pieces of bounded
+    """``(item, words)``: every item with words, without an id too, cut into overlapping pieces of bounded
     length so that each window lies whole in one piece."""
     words = benchmark.select(q(item_col).cast("string").alias("item"), item_word_array(q(text_col)).alias("w"))
-    words = words.filter((F.size("w") > 0) & F.col("item").isNotNull())
+    words = words.filter(F.size("w") > 0)
     last = F.greatest(F.ceil((F.size("w") - (window - 1)) / F.lit(PIECE)).cast("int") - 1, F.lit(0))
     cut = words.select("item", "w", F.explode(F.sequence(F.lit(0), last)).alias("k"))
     return cut.select("item", F.slice("w", F.col("k") * PIECE + 1, F.lit(PIECE + window - 1)).alias("words"))
@@ -162,11 +163,12 @@ def scan_contamination(
 
     A window is ``window`` consecutive item words of one benchmark item, or the whole item
     when it has fewer. Matches are verified word by word. Null text: no words. An item with
-    a null id or without words has no windows. Empty tables give empty or hitless results.
+    a null id is hit without a name in ``items``; one without words has no windows. Empty tables give empty or hitless results.
 
     The n-grams reach the executors as a broadcast of at most ``broadcast_words`` words,
     counted first; a larger benchmark is split by a hash of its pieces and the documents are
-    scanned once per part, each scan adding to the ranges of the one before."""
+    scanned once per part, each scan adding to the ranges of the one before. Every scan but
+    the last is written out, so that one part's n-grams live at a time."""
     spark = docs.sparkSession
     pieces = benchmark_pieces(benchmark, window=window)
     total = pieces.agg(F.sum(F.size("words"))).first()[0] or 0
@@ -186,6 +188,9 @@ def scan_contamination(
             T.StructField("items", T.ArrayType(T.StringType())), T.StructField("hit_words", SPANS), T.StructField("hit_spans", SPANS),
         ])
         out = out.mapInArrow(_scan(index, text_col, kept, part == 0), schema)
+        if not final:
+            out = staged(out, "decontaminate")
+            index.destroy()
     return out
 
 
