@@ -52,7 +52,7 @@ class _Shapes(dict):
     def __missing__(self, token: bytes) -> int:
         if len(self) > 200_000:
             self.clear()
-        squeezed = bytes(c for i, c in enumerate(token[:64]) if not i or token[i - 1] != c)
+        squeezed = bytes(c for i, c in enumerate(token) if not i or token[i - 1] != c)
         self[token] = out = crc32(squeezed)
         return out
 
