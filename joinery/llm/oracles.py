@@ -86,9 +86,73 @@ SELECT d.vec_id, coalesce(n.n, 0) AS n_links, least(d.vec_id, coalesce(least.y,
        d.vec_id = least(d.vec_id, coalesce(least.y, d.vec_id)) AS kept
 FROM embeddings d LEFT JOIN n ON n.x = d.vec_id LEFT JOIN least ON least.x = d.vec_id"""
 
+REPEATS = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+p AS (
+  SELECT doc_id, i, sha256(array_to_string(w[i:i + 49], ' ')) AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM w WHERE len(w) >= 50)),
+f AS (SELECT s, min(doc_id) AS first FROM p GROUP BY s),
+hit AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS j FROM p JOIN f ON p.s = f.s WHERE first < doc_id),
+n AS (SELECT doc_id, count(*) AS n_removed FROM hit GROUP BY doc_id),
+kept AS (
+  SELECT a.doc_id, string_agg(a.word, ' ' ORDER BY a.j) AS kept
+  FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS j FROM w) a
+  ANTI JOIN hit ON hit.doc_id = a.doc_id AND hit.j = a.j GROUP BY a.doc_id)
+SELECT w.doc_id, len(w.w) AS n_words, coalesce(n.n_removed, 0) AS n_removed, sha256(coalesce(kept.kept, '')) AS kept_sha256
+FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN kept ON kept.doc_id = w.doc_id"""
+
+COLLOCATIONS = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_lower('text')}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+g AS (
+  SELECT lang, k, phrase, count(*) AS f FROM (
+    SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+    FROM w, (SELECT unnest([1, 2, 3]) AS k) WHERE len(w) >= k) GROUP BY ALL),
+n AS (SELECT lang, sum(f) AS n FROM g WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM g WHERE k > 1 AND f >= 10),
+cut AS (
+  SELECT c.lang, c.phrase, a, cut, x.f AS l, y.f AS r,
+         (1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM c) c
+  JOIN g x ON x.lang = c.lang AND x.phrase = array_to_string(w[1:cut], ' ')
+  JOIN g y ON y.lang = c.lang AND y.phrase = array_to_string(w[cut + 1:], ' ')),
+best AS (
+  SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inside AS (
+  SELECT lang, phrase, max(a) AS longer FROM (
+    SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase FROM c WHERE k = 3) GROUP BY ALL),
+ranked AS (
+  SELECT best.*, row_number() OVER (PARTITION BY best.lang ORDER BY score DESC, a DESC, best.phrase) AS rank
+  FROM best LEFT JOIN inside ON inside.lang = best.lang AND inside.phrase = best.phrase
+  WHERE longer IS NULL OR 100 * longer < 50 * a)
+SELECT ranked.lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN n ON n.lang = ranked.lang WHERE rank <= 2000"""
+
+SEARCH = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS d, doc_id, regexp_extract_all({_lower('text')}, {ITEM_WORDS}) AS w FROM documents),
+q AS (SELECT row_number() OVER () AS q, item_id, regexp_extract_all({_lower('text')}, {ITEM_WORDS}) AS w FROM benchmark),
+c AS (SELECT count(*) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM d WHERE len(w) > 0),
+asked AS (SELECT q, term, count(*) AS rep FROM (SELECT q, unnest(w) AS term FROM q) GROUP BY ALL),
+tf AS (SELECT d, term, count(*) AS tf FROM (SELECT d, unnest(w) AS term FROM d) SEMI JOIN asked USING (term) GROUP BY ALL),
+weight AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(n_docs) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM tf, c GROUP BY term),
+m AS (SELECT d, doc_id, 100 - 75 + (75 * len(w) * n_docs) // n_terms AS m FROM d, c WHERE len(w) > 0),
+scored AS (
+  SELECT q, d, doc_id, CAST(sum(rep * weight * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM asked JOIN tf USING (term) JOIN weight USING (term) JOIN m USING (d) GROUP BY ALL),
+best AS (
+  SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM best JOIN q USING (q) WHERE rank <= 10"""
+
 ORACLE_SQL = {
     "op2_near_dup": NEAR_DUP,
     "op3_decontaminate": DECONTAMINATE,
     "op5_chat": CHAT,
     "op10_vectors": VECTORS,
+    "op11_substring_dedup": REPEATS,
+    "op12_collocations": COLLOCATIONS,
+    "op13_ranked_search": SEARCH,
 }

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, license_scan, line_dedup, near_dup, packing, pii, quality, toxicity, vectors
+from . import chat, collocations, decontaminate, lexical, license_scan, line_dedup, near_dup, packing, pii, quality, repeats, toxicity, vectors
 from .texts import held_out
 
 
@@ -85,5 +85,20 @@ def op10_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("vec_id", "n_links", "component_id", "kept")
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = repeats.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.array_join(words, " ").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked_search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_line_dedup, op2_near_dup, op3_decontaminate, op4_pii, op5_chat, op6_toxicity, op7_pack, op8_quality, op9_licenses, op10_vectors)}
+    op1_line_dedup, op2_near_dup, op3_decontaminate, op4_pii, op5_chat, op6_toxicity, op7_pack, op8_quality, op9_licenses, op10_vectors,
+    op11_substring_dedup, op12_collocations, op13_ranked_search)}

@@ -1,0 +1,97 @@
+"""Collocations against a brute force, with tries that burst and spill all the time."""
+
+import random
+import re
+from collections import Counter, defaultdict
+
+import pytest
+
+from joinery.llm import collocations as mod
+from joinery.llm.collocations import HatTrie, collocations
+from .conftest import frame
+
+
+def brute(rows, least=10, top=2000, max_words=3, percent=50):
+    counts = defaultdict(Counter)
+    for lang, text in rows:
+        text = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+        for piece in re.split("[.,;:!?\x0a-\x0d]", text):
+            w = [x for x in re.split("[ \t]", piece) if x]
+            for k in range(1, max_words + 1):
+                for i in range(len(w) - k + 1):
+                    counts["und" if lang is None else lang][tuple(w[i:i + k])] += 1
+    out = []
+    for lang, f in counts.items():
+        n = sum(c for p, c in f.items() if len(p) == 1)
+        found = {p: c for p, c in f.items() if len(p) > 1 and c >= least}
+        best = []
+        for p, a in found.items():
+            inside = [c for o, c in found.items() if len(o) > len(p) and any(o[i:i + len(p)] == p for i in range(len(o)))]
+            if any(100 * c >= percent * a for c in inside):
+                continue
+            score, k = min((10**6 * a * a // (f[p[:k]] * f[p[k:]]), k) for k in range(1, len(p)))
+            best.append((-score, -a, " ".join(p).encode(), f[p[:k]], f[p[k:]]))
+        for rank, (s, a, p, left, right) in enumerate(sorted(best)[:top], 1):
+            out.append((lang, rank, p.decode(), -a, left, right, n, -s))
+    return sorted(out)
+
+
+def got(spark, rows, **more):
+    out = collocations(frame(spark, rows, "lang string, text string"), **more)
+    assert out.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
+    return sorted(tuple(r) for r in out.collect())
+
+
+def made(seed, n=300):
+    rng = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(25)] + ["Éa", "éa", "A", "a", "ß", "x y", "\x1c", "(b)"]
+    weights = [1 / (i + 1) for i in range(len(vocabulary))]
+    return [(rng.choice(["en", "en", "de", None, "", "und"]),
+             "".join(rng.choices(vocabulary, weights)[0] + rng.choice([" ", " ", " ", "  ", "\t", ". ", ",", "\n", "\x0b", ";", "?"]) for _ in range(rng.randrange(60)))) for _ in range(n)]
+
+
+@pytest.mark.parametrize("seed,more", [(0, {}), (1, {"entries": 40}), (2, {"bits": 64}), (3, {"top": 7}), (4, {"max_words": 2}), (5, {"inside_percent": 90})])
+def test_random_texts(spark, seed, more):
+    rows = made(seed)
+    names = {"inside_percent": "percent"}
+    want = brute(rows, **{names.get(k, k): v for k, v in more.items() if k not in ("entries", "bits")})
+    assert got(spark, rows, **more) == want
+    assert len(want) > 20
+
+
+def test_edges(spark):
+    rows = [("en", None), ("en", ""), (None, "one two. " * 9 + "ONE two"), ("de", "solo"), ("fr", "a " * 30_000), ("es", ".,;\n \t!?")] + [("en", "same text here")] * 10
+    assert got(spark, rows) == brute(rows)
+    assert ("und", 1, "one two", 10, 10, 10, 20, 1_000_000) in got(spark, rows)
+    assert got(spark, []) == []
+    assert got(spark, rows, max_words=1) == []
+    with pytest.raises(ValueError):
+        got(spark, rows, max_words=4)
+
+
+def test_products_beyond_64_bits(spark, monkeypatch):
+    """a = l = r = 5,000,000: 1000000 a a passes 64 bits."""
+    counted = {1: [("en", "x", 5_000_000), ("en", "y", 5_000_001), ("en", None, 10_000_001)], 2: [("en", "x y", 5_000_000)], 3: []}
+    monkeypatch.setattr(mod, "phrase_counts", lambda *a: [frame(spark, counted[k], "lang string, phrase string, f long") for k in (1, 2, 3)])
+    assert got(spark, []) == [("en", 1, "x y", 5_000_000, 5_000_000, 5_000_001, 10_000_001, 10**6 * 5_000_000 // 5_000_001)]
+
+
+def test_columns_that_clash(spark):
+    docs = frame(spark, [("en", "b c " * 12, "x", 1)], "lang string, text string, phrase string, rank int")
+    assert [r.phrase for r in collocations(docs, max_words=2).collect()] == ["b c", "c b"]
+
+
+def test_trie(monkeypatch):
+    monkeypatch.setattr(mod, "BURST", 3)
+    trie, want = HatTrie(3), Counter()
+    rng = random.Random(0)
+    for _ in range(200):
+        first, rest = rng.randrange(5), sorted({rng.randrange(4) << 32 | rng.randrange(6) for _ in range(5)})
+        trie.add(first, rest, [2] * len(rest))
+        want.update({(first, r): 2 for r in rest})
+    assert trie.burst and trie.size == len(want)
+    assert {(f, k): n for f in trie.roots for k, n in trie.subtree(f)} == want
+    firsts = trie.spill(trie.size // 2)
+    for f in firsts:
+        trie.drop(f)
+    assert trie.size == len([k for k in want if k[0] not in firsts]) <= len(want) // 2
