@@ -8,12 +8,12 @@ through, never the reverse; the counts themselves are exact."""
 
 from __future__ import annotations
 
-import zlib
 from collections import defaultdict
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,13 +26,15 @@ LEAST = 10
 TRIE_ENTRIES = 1_000_000
 BURST = 2048
 #: Bytes of text that a task counts at a time.
-CHUNK = 4 << 20
+CHUNK = 8 << 20
 #: Bits of the broadcast field of frequent phrases: 8 MB, whatever the corpus.
 FILTER_BITS = 1 << 26
 #: A first word with more than this share of all words has its prefix dealt in slices.
 HOT_SHARE, SLICES = 1 / 1000, 64
 #: Parts that single words are merged in, by a hash.
 WORD_PARTS = 1024
+#: Entries of the runs that a task writes, or merges, together, about.
+RUN_ENTRIES, MERGE_ENTRIES = 100_000, 500_000
 
 # the fixed separators: a piece ends at one of .,;:!? and the line ends \x0A-\x0D; words
 # stand between blanks and tabs
@@ -44,7 +46,7 @@ _EMPTY, _END = 0, 1
 class HatTrie:
     """Counts of phrases of ``depth`` words under a shallow trie: the first word's subtree is
     a hash container of the packed other words, which bursts into one container per second
-    word when it outgrows ``BURST``."""
+    word when it outgrows ``BURST``. Single words stand in one container, under word 0."""
 
     def __init__(self, depth: int):
         self.depth, self.size = depth, 0
@@ -78,13 +80,12 @@ class HatTrie:
         root = self.roots[first]
         return sum(map(len, root.values())) if first in self.burst else len(root)
 
-    def subtree(self, first: int) -> Iterator[tuple[int, int]]:
+    def subtree(self, first: int) -> tuple[np.ndarray, np.ndarray]:
+        """Packed other words and counts."""
         root = self.roots[first]
-        if first in self.burst:
-            for second, node in root.items():
-                yield from ((second << 32 | key, n) for key, n in node.items())
-        else:
-            yield from root.items()
+        nodes = root.items() if first in self.burst else [(0, root)]
+        keys = [np.fromiter(node, np.int64, len(node)) + (second << 32) for second, node in nodes]
+        return np.concatenate(keys), np.concatenate([np.fromiter(node.values(), np.int64, len(node)) for _, node in nodes])
 
     def spill(self, keep: int) -> list[int]:
         """First words of the subtrees to write, the heaviest first, until ``keep`` entries stay."""
@@ -134,91 +135,96 @@ class _Words:
         return ids[ids != _EMPTY]
 
 
-def _grams(ids: np.ndarray, depth: int, ok: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _grams(ids: np.ndarray, depth: int, ok: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct phrases of ``depth`` words inside pieces, in the order of their ids: first
-    word, second, third (0 beyond ``depth``), count. ``ok``: starts that may count."""
-    n = len(ids) - depth + 1
-    inside = np.ones(max(n, 0), bool) if ok is None else ok.copy()
+    word (0 for single words), the others packed, count. ``ok``: starts that may count."""
+    if depth == 1:
+        counts = np.bincount(ids, minlength=2)
+        counts[_END] = 0
+        words = np.flatnonzero(counts)
+        return np.zeros(len(words), np.int64), words, counts[words]
+    n = max(len(ids) - depth + 1, 0)
+    inside = np.ones(n, bool) if ok is None else ok
     for j in range(depth):
-        inside &= ids[j:n + j] != _END
+        inside = inside & (ids[j:n + j] != _END)
     at = np.flatnonzero(inside)
-    code, places = ids[at], at
-    for j in range(1, depth):
-        if j > 1:
-            _, code = np.unique(code, return_inverse=True)
-        code = (code << 32) | ids[places + j]
-    _, first, counts = np.unique(code, return_index=True, return_counts=True)
-    where = places[first]
-    empty = np.zeros(len(where), np.int64)
-    return ids[where], ids[where + 1] if depth > 1 else empty, ids[where + 2] if depth > 2 else empty, counts
+    if depth == 2:
+        code, counts = np.unique(ids[at] << 32 | ids[at + 1], return_counts=True)
+        return code >> 32, code & 0xFFFFFFFF, counts
+    if len(ids) and ids.max() >= 1 << 21:
+        rows, counts = np.unique(np.stack([ids[at + j] for j in range(3)]), axis=1, return_counts=True)
+        return rows[0], rows[1] << 32 | rows[2], counts
+    code, counts = np.unique(ids[at] << 42 | ids[at + 1] << 21 | ids[at + 2], return_counts=True)
+    low = (1 << 21) - 1
+    return code >> 42, (code >> 21 & low) << 32 | code & low, counts
+
+
+def _runs(lang: str, words: _Words, trie: HatTrie, firsts: Sequence[int], often: frozenset[bytes]) -> Iterator[pa.RecordBatch]:
+    """Writes subtrees as runs ``(lang, prefix, slice, rests, counts)``, in the order of the
+    words, and drops them."""
+    names = words.words
+    rank = np.empty(len(names), np.int64)
+    rank[sorted(range(len(names)), key=names.__getitem__)] = np.arange(len(names))
+    arrow = pa.array(names, pa.binary())
+    slices = np.fromiter((SLICES if w in often else 1 for w in names), np.int64, len(names))
+    slices[0] = WORD_PARTS
+    firsts = sorted(firsts, key=rank.__getitem__)
+    while firsts:
+        held, parts = 0, []
+        while firsts and held < RUN_ENTRIES:
+            keys, counts = trie.subtree(firsts[0])
+            parts.append((np.full(len(keys), firsts[0]), keys, counts))
+            held += len(keys)
+            trie.drop(firsts[0])
+            del firsts[0]
+        first, keys, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
+        second, last = keys >> 32, keys & 0xFFFFFFFF
+        part = (phrase_hashes([words.hashes[second], words.hashes[last]]) % slices[first].astype(np.uint64)).astype(np.int64)
+        order = np.lexsort((rank[last], rank[second], part, rank[first]))
+        first, second, last, part = first[order], second[order], last[order], part[order]
+        starts = np.flatnonzero(np.append(True, (np.diff(first) != 0) | (np.diff(part) != 0)))
+        rests = arrow.take(pa.array(last))
+        if trie.depth > 2:
+            rests = pc.binary_join_element_wise(arrow.take(pa.array(second)), rests, b" ")
+        offsets = pa.array(np.append(starts, len(first)).astype(np.int32))
+        for a in range(0, len(starts), 10_000):
+            at = starts[a:a + 10_000]
+            lists = offsets[a:a + len(at) + 1]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(at), pa.string()), arrow.take(pa.array(first[at])).cast(pa.string()), pa.array(part[at], pa.int32()),
+                 pa.ListArray.from_arrays(lists, rests.cast(pa.string())), pa.ListArray.from_arrays(lists, pa.array(counts[order]))],
+                names=["lang", "prefix", "slice", "rests", "counts"])
 
 
 def _count(depth: int, shared, hot, bits: int, entries: int):
-    """Sorted runs ``(lang, prefix, slice, rests, counts)`` of the phrases of a task's texts."""
+    """Sorted runs of the phrases of a task's texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         field = np.frombuffer(shared.value, np.uint64) if shared else None
         often = hot.value if hot else frozenset()
         tries: dict[str, tuple[_Words, HatTrie]] = {}
 
-        def written(lang: str, words: _Words, trie: HatTrie, firsts: Sequence[int]) -> Iterator[pa.RecordBatch]:
-            out: list[tuple] = []
-            held = 0
-            names = words.words
-            if depth == 1:  # no prefix: the words themselves are dealt
-                parts: dict[int, list[tuple[bytes, int]]] = defaultdict(list)
-                for first in firsts:
-                    parts[zlib.crc32(names[first]) % WORD_PARTS].append((names[first], trie.roots[first][0]))
-                    trie.drop(first)
-                for part, found in parts.items():
-                    found.sort()
-                    yield _run_batch([(lang, b"", part, [w for w, _ in found], [n for _, n in found])])
-                return
-            for first in sorted(firsts, key=lambda f: names[f]):
-                runs: dict[tuple[bytes, int], list[tuple[bytes, int]]] = defaultdict(list)
-                for key, n in trie.subtree(first):
-                    if depth == 2:
-                        prefix, rest = names[first], names[key]
-                        slices = SLICES if prefix in often else 1
-                    else:
-                        second = names[key >> 32]
-                        prefix, rest = names[first] + b" " + second, names[key & 0xFFFFFFFF]
-                        slices = SLICES if names[first] in often and second in often else 1
-                    runs[prefix, zlib.crc32(rest) % slices].append((rest, n))
-                for (prefix, part), found in runs.items():
-                    found.sort()
-                    out.append((lang, prefix, part, [w for w, _ in found], [n for _, n in found]))
-                    held += len(found)
-                trie.drop(first)
-                if held > 50_000:
-                    yield _run_batch(out)
-                    out, held = [], 0
-            if out:
-                yield _run_batch(out)
-
         def counted(lang: str, text: bytes) -> Iterator[pa.RecordBatch]:
             if lang not in tries:
                 tries[lang] = (_Words(), HatTrie(depth))
             words, trie = tries[lang]
             ids = words.of(text)
             ok = None
-            if field is not None and depth > 1:
+            if field is not None:
                 # both phrases of one word less are frequent
-                n = len(ids) - depth + 2
-                hashes = phrase_hashes([words.hashes[ids[j:max(n, 0) + j]] for j in range(depth - 1)])
-                at = bit_places(hashes, bits)
+                n = max(len(ids) - depth + 2, 0)
+                at = bit_places(phrase_hashes([words.hashes[ids[j:n + j]] for j in range(depth - 1)]), bits)
                 part = (field[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1
                 ok = part[:-1] & part[1:]
-            a, b, c, counts = _grams(ids, depth, ok)
-            rest = (b << 32 | c) if depth > 2 else b
-            edges = [0, *(np.flatnonzero(np.diff(a)) + 1).tolist(), len(a)] if len(a) else []
-            a, rest, counts = a.tolist(), rest.tolist(), counts.tolist()
+            first, rest, counts = _grams(ids, depth, ok)
+            edges = [0, *(np.flatnonzero(np.diff(first)) + 1).tolist(), len(first)] if len(first) else []
+            first, rest, counts = first.tolist(), rest.tolist(), counts.tolist()
             for s, e in zip(edges, edges[1:]):
-                trie.add(a[s], rest[s:e], counts[s:e])
+                trie.add(first[s], rest[s:e], counts[s:e])
             if trie.size > entries:
-                yield from written(lang, words, trie, trie.spill(entries // 2))
+                yield from _runs(lang, words, trie, trie.spill(entries // 2), often)
             if len(words.words) > entries:
-                yield from written(lang, words, trie, list(trie.roots))
+                yield from _runs(lang, words, trie, list(trie.roots), often)
                 del tries[lang]
 
         for batch in batches:
@@ -235,59 +241,50 @@ def _count(depth: int, shared, hot, bits: int, entries: int):
                 yield from counted(lang, b"\n".join(some))
             while sum(t.size for _, t in tries.values()) > 2 * entries:  # many languages
                 lang = max(tries, key=lambda x: tries[x][1].size)
-                yield from written(lang, *tries[lang], list(tries[lang][1].roots))
+                yield from _runs(lang, *tries[lang], list(tries[lang][1].roots), often)
                 del tries[lang]
         for lang, (words, trie) in tries.items():
-            yield from written(lang, words, trie, list(trie.roots))
+            yield from _runs(lang, words, trie, list(trie.roots), often)
 
     return run
 
 
-def _run_batch(rows: list[tuple]) -> pa.RecordBatch:
-    lang, prefix, part, rests, counts = zip(*rows, strict=True)
-    offsets = pa.array(np.concatenate(([0], np.cumsum([len(r) for r in rests]))), pa.int32())
-    flat = pa.array([w for r in rests for w in r], pa.binary()).cast(pa.string())
-    numbers = pa.array([n for c in counts for n in c], pa.int64())
-    return pa.RecordBatch.from_arrays(
-        [pa.array(lang, pa.string()), pa.array(prefix, pa.binary()).cast(pa.string()), pa.array(part, pa.int32()),
-         pa.ListArray.from_arrays(offsets, flat), pa.ListArray.from_arrays(offsets, numbers)],
-        names=["lang", "prefix", "slice", "rests", "counts"])
-
-
 def _merge(least: int):
     """Sums the runs of each (lang, prefix, slice), which follow each other: phrases of
-    ``least`` occurrences or more, and for one word (prefix empty) the sum of all."""
+    ``least`` occurrences or more, and for single words (prefix empty) the sum of all."""
+    keys = ["lang", "prefix", "slice"]
+
+    def summed(parts: list[pa.Table]) -> pa.Table:
+        out = pa.concat_tables(parts).group_by([*keys, "rest"], use_threads=False).aggregate([("f", "sum")])
+        return out.rename_columns([*keys, "rest", "f"])
+
+    def phrases(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        single = pc.equal(table.column("prefix"), "")
+        sums = table.filter(single).group_by("lang", use_threads=False).aggregate([("f", "sum")])
+        table = table.filter(pc.greater_equal(table.column("f"), least))
+        single = pc.equal(table.column("prefix"), "")
+        name = pc.if_else(single, table.column("rest"), pc.binary_join_element_wise(table.column("prefix"), table.column("rest"), " "))
+        out = pa.table({"lang": table.column("lang"), "phrase": name, "f": table.column("f")})
+        total = pa.table({"lang": sums.column("lang"), "phrase": pa.nulls(len(sums), pa.string()), "f": sums.column("f_sum")})
+        yield from pa.concat_tables([out, total]).combine_chunks().to_batches()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held = None, {}
-
-        def out() -> Iterator[pa.RecordBatch]:
-            lang, prefix, _ = now
-            found = [(f"{prefix} {w}" if prefix else w, n) for w, n in held.items() if n >= least]
-            phrases, counts = [p for p, _ in found], [n for _, n in found]
-            if not prefix:
-                phrases.append(None)
-                counts.append(sum(held.values()))
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(phrases), pa.string()), pa.array(phrases, pa.string()), pa.array(counts, pa.int64())], names=["lang", "phrase", "f"])
-
-        ready: list[pa.RecordBatch] = []
+        held, size, kept = [], 0, 0
         for batch in batches:
-            rests, counts = batch.column("rests"), batch.column("counts")
-            for i, key in enumerate(zip(*[batch.column(c).to_pylist() for c in ("lang", "prefix", "slice")], strict=True)):
-                if key != now:
-                    if now:
-                        ready += out()
-                    now, held = key, {}
-                    if len(ready) > 500:
-                        yield from pa.Table.from_batches(ready).combine_chunks().to_batches()
-                        ready = []
-                get = held.get
-                for w, n in zip(rests[i].values.to_pylist(), counts[i].values.to_pylist(), strict=True):
-                    held[w] = get(w, 0) + n
-        if now:
-            ready += out()
-        if ready:
-            yield from pa.Table.from_batches(ready).combine_chunks().to_batches()
+            for at in range(0, len(batch), 1000):
+                some = batch.slice(at, 1000)
+                of = pc.list_parent_indices(some.column("rests"))
+                held.append(pa.table({**{c: some.column(c).take(of) for c in keys}, "rest": pc.list_flatten(some.column("rests")), "f": pc.list_flatten(some.column("counts"))}))
+                size += len(of)
+                if size > MERGE_ENTRIES + 2 * kept:
+                    table = summed(held)
+                    # more runs of the last key may follow
+                    last = pc.and_(pc.and_(*[pc.equal(table.column(c), some.column(c)[len(some) - 1]) for c in keys[:2]]), pc.equal(table.column("slice"), some.column("slice")[len(some) - 1]))
+                    yield from phrases(table.filter(pc.invert(last)))
+                    held = [table.filter(last)]
+                    size = kept = len(held[0])
+        if held:
+            yield from phrases(summed(held))
 
     return run
 

@@ -51,7 +51,9 @@ def made(seed, n=300):
 
 
 @pytest.mark.parametrize("seed,more", [(0, {}), (1, {"entries": 40}), (2, {"bits": 64}), (3, {"top": 7}), (4, {"max_words": 2}), (5, {"inside_percent": 90})])
-def test_random_texts(spark, seed, more):
+def test_random_texts(spark, monkeypatch, seed, more):
+    monkeypatch.setattr(mod, "MERGE_ENTRIES", 50 * seed + 1)
+    monkeypatch.setattr(mod, "RUN_ENTRIES", 20)
     rows = made(seed)
     names = {"inside_percent": "percent"}
     want = brute(rows, **{names.get(k, k): v for k, v in more.items() if k not in ("entries", "bits")})
@@ -90,7 +92,7 @@ def test_trie(monkeypatch):
         trie.add(first, rest, [2] * len(rest))
         want.update({(first, r): 2 for r in rest})
     assert trie.burst and trie.size == len(want)
-    assert {(f, k): n for f in trie.roots for k, n in trie.subtree(f)} == want
+    assert {(f, k): n for f in trie.roots for k, n in zip(*map(list, trie.subtree(f)), strict=True)} == want
     firsts = trie.spill(trie.size // 2)
     for f in firsts:
         trie.drop(f)
