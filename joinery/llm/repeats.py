@@ -32,7 +32,7 @@ from .texts import free_columns, int64s, mix64, q, word_hashes
 #: Words of a window.
 WINDOW = 50
 #: Words of an automaton shard's passages and of the stretches sent to it, about.
-SHARD_WORDS = 1_000_000
+SHARD_WORDS = 200_000
 #: Texts that wait for one owner's passages and go to one copy of them.
 COPY_TEXTS = 2000
 ADDED = ("n_words", "n_removed", "removed")
