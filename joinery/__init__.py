@@ -24,6 +24,7 @@ from .sources import (
     scan,
     scan_table,
     schema_from_spec,
+    write_bucketed,
     write_csv,
     write_dated,
 )
@@ -46,6 +47,7 @@ __all__ = [
     "span_expansion_job",
     "tag_json_with_indicator",
     "work_item_key",
+    "write_bucketed",
     "write_csv",
     "write_dated",
 ]

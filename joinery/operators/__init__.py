@@ -1,6 +1,7 @@
 """DataFrame → DataFrame operators (chain them with ``df.transform``)."""
 
 from .aggregates import latest_snapshot, match_stats, span_bounds
+from .hotkeys import frequent_keys, frequent_values
 from .joins import (
     NOT_DEFINED,
     common_columns,
@@ -37,6 +38,8 @@ __all__ = [
     "enrich_hierarchy",
     "enrich_sql",
     "expand_days",
+    "frequent_keys",
+    "frequent_values",
     "inner_sql",
     "join_profile",
     "json_get",

@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from ..functions.casts import try_cast_text
 from ..functions.jsonfields import json_value
+from .hotkeys import SHARE, frequent_values
 from .profile import DEFAULT_MAX_KEYS, broadcast_threshold, checked_broadcast
 
 log = logging.getLogger(__name__)
@@ -28,7 +29,7 @@ log = logging.getLogger(__name__)
 # Fixed value: the label given to unmatched rows.
 NOT_DEFINED = "Not Defined"
 
-STRATEGIES = ("catalyst", "auto", "broadcast", "shuffle")
+STRATEGIES = ("catalyst", "auto", "broadcast", "shuffle", "split")
 
 _L, _R = "__l", "__r"
 
@@ -101,7 +102,7 @@ def _dtype(df: DataFrame, name: str) -> T.DataType:
 def _apply_strategy(right: DataFrame, strategy: str, max_keys: int | None) -> DataFrame:
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}")
-    if strategy == "catalyst":
+    if strategy in ("catalyst", "split"):
         return right
     if strategy == "shuffle":
         return right.hint("merge")
@@ -113,6 +114,29 @@ def _apply_strategy(right: DataFrame, strategy: str, max_keys: int | None) -> Da
     return out
 
 
+def _left_outer(left: DataFrame, right: DataFrame, lk: Column, rk: Column, outs: Sequence[Column], strategy: str, hot_share: float) -> DataFrame:
+    """``left`` joined to ``right`` where ``lk = rk``, as the columns ``outs``.
+
+    ``"split"`` asks a sketch for the keys that hold ``hot_share`` of the left rows or more.
+    Their rows, and those without a key, are joined where they are to a broadcast of the few
+    lookup rows they need; only the others are shuffled, and no key of theirs is large. If
+    the lookup rows of the hot keys are not small themselves, nothing is broadcast and the
+    join is the plain one."""
+    whole = lambda a, b: a.join(b, lk == rk, "left_outer").select(*outs)
+    if strategy != "split":
+        return whole(left, right)
+    hot = frequent_values(left, lk, hot_share)
+    few = right.filter(rk.isin(hot)) if hot else right.filter(F.lit(False))
+    limit = broadcast_threshold(left.sparkSession)
+    few, profile = checked_broadcast(few, rk, threshold=limit)
+    if hot and not max(profile["est_bytes"], profile["data_bytes"]) < limit:
+        log.info("lookup rows of %d hot keys are not small: %s", len(hot), profile)
+        return whole(left, right)
+    here = F.coalesce(lk.isin(hot), F.lit(True)) if hot else lk.isNull()
+    others = right.filter(~rk.isin(hot)) if hot else right
+    return whole(left.filter(here), few).unionAll(whole(left.filter(~here), others.hint("merge")))
+
+
 def enrich(
     primary: DataFrame,
     lookup: DataFrame,
@@ -123,6 +147,7 @@ def enrich(
     unique: bool = False,
     only_where: Column | None = None,
     max_keys: int | None = DEFAULT_MAX_KEYS,
+    hot_share: float = SHARE,
 ) -> DataFrame:
     """Left-outer lookup enrichment: every primary column, then one column per
     ``take`` entry (``{output_name: lookup_column}``), where an unmatched row or
@@ -136,7 +161,10 @@ def enrich(
     primary rows where it holds (others get defaults). ``strategy``:
     ``"catalyst"`` (default: Catalyst/AQE decide), ``"broadcast"`` / ``"auto"``
     (broadcast the lookup if one profile job proves it small; ``auto`` also
-    needs fewer than ``max_keys`` keys), ``"shuffle"`` (sort-merge join).
+    needs fewer than ``max_keys`` keys), ``"shuffle"`` (sort-merge join), ``"split"``
+    (rows of primary keys that hold ``hot_share`` of the rows, and rows without a key, meet
+    a broadcast of their few lookup rows; the others a sort-merge join. One sketch of the
+    key column and two scans of the primary, but no hot key is shuffled).
     """
     lkey, rkey = _pair(on)
     takes = _takes(take)
@@ -165,8 +193,6 @@ def enrich(
     lk = _aligned(_lcol(lkey), ltype, rtype)
     if only_where is not None:
         lk = F.when(only_where, lk)
-    joined = left.join(right, lk == right["__jk"], "left_outer")
-
     outs = []
     for i, (out, _src) in enumerate(takes.items()):
         v = F.col(f"__v{i}")
@@ -177,7 +203,7 @@ def enrich(
                 v = v.cast("string")
             v = F.coalesce(v, F.lit(d))
         outs.append(v.alias(out))
-    return joined.select(*[_lcol(c) for c in primary.columns], *outs)
+    return _left_outer(left, right, lk, F.col("__jk"), [*[_lcol(c) for c in primary.columns], *outs], strategy, hot_share)
 
 
 def enrich_sql(
@@ -274,6 +300,7 @@ def enrich_hierarchy(
     strategy: str = "catalyst",
     only_where: Column | None = None,
     unique: bool = False,
+    hot_share: float = SHARE,
 ) -> DataFrame:
     """Take ``field`` out of the primary's JSON column (as column ``out``,
     default the field name) and left-join the snapshot on it, keeping **all**
@@ -281,7 +308,8 @@ def enrich_hierarchy(
     type, so a non-numeric value does not match instead of failing the job.
     ``only_where`` restricts matching to primary rows where it holds. A
     snapshot key that repeats (e.g. a renamed employee) multiplies primary
-    rows; ``unique=True`` fails the job instead."""
+    rows; ``unique=True`` fails the job instead. ``strategy`` and ``hot_share`` are those
+    of ``enrich``."""
     out = out or field
     snap_cols = list(snapshot.columns)
     with_no = json_get(primary, json_col, field, out)
@@ -303,15 +331,14 @@ def enrich_hierarchy(
     lk = _aligned(_lcol(out), T.StringType(), _dtype(snapshot, right_key))
     if only_where is not None:
         lk = F.when(only_where, lk)
-    cond = lk == _rcol(right_key)
-    joined = left.join(r, cond, "left_outer")
-    return joined.select(*[_lcol(c) for c in with_no.columns], *[_rcol(c) for c in snapshot.columns])
+    outs = [*[_lcol(c) for c in with_no.columns], *[_rcol(c) for c in snapshot.columns]]
+    return _left_outer(left, r, lk, _rcol(right_key), outs, strategy, hot_share)
 
 
 def _apply_strategy_frame(right: DataFrame, key: str, strategy: str) -> DataFrame:
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}")
-    if strategy == "catalyst":
+    if strategy in ("catalyst", "split"):
         return right
     if strategy == "shuffle":
         return right.hint("merge")

@@ -22,6 +22,7 @@ from ..operators import (
     enrich_hierarchy,
     enrich_sql,
     expand_days,
+    frequent_keys,
     inner_sql,
     join_profile,
     json_get,
@@ -37,7 +38,7 @@ from ..operators import (
 )
 from ..functions.keys import normalise
 from ..session import shared_path
-from ..sources import MULTI_LINE, conform, scan, scan_table, write_csv, write_dated
+from ..sources import MULTI_LINE, conform, scan, scan_table, write_bucketed, write_csv, write_dated
 from .jobs import span_expansion_job, tag_json_with_indicator
 from ..streaming import enrich_stream
 from . import domain
@@ -345,6 +346,36 @@ def q_table_scan(spark, d):
     return scan_table(spark, name, schema=supplier.schema)
 
 
+def q_enrich_bucketed(spark, d):
+    """Line items and their orders (but for those of status P) as bucketed tables, enriched
+    without a shuffle of either."""
+    run = uuid.uuid4().hex
+    orders = table(spark, d, "orders").filter("o_orderstatus <> 'P'")
+    tables = ((table(spark, d, "lineitem"), f"joinery_items_{run}", "l_orderkey"), (orders, f"joinery_orders_{run}", "o_orderkey"))
+    for df, name, key in tables:
+        write_bucketed(df, name, [key], 16, shared_path(spark, "bucketed"))
+    items, known = (scan_table(spark, name) for _, name, _ in tables)
+    return enrich(items, known, ("l_orderkey", "o_orderkey"), {"order_status": "o_orderstatus", "customer": "o_custkey"}, defaults={"order_status": "Not Defined"}, strategy="shuffle")
+
+
+def q_frequent_keys(spark, d):
+    """Keys with a hundredth of the rows or more: languages and sources of documents, event
+    types, and order keys of line items, of which none is frequent."""
+    found = None
+    for name, column in (("documents", "lang"), ("documents", "source"), ("events", "event_type"), ("lineitem", "l_orderkey")):
+        keys = frequent_keys(table(spark, d, name), column).select(F.lit(f"{name}.{column}").alias("column"), F.col("key").cast("string").alias("key"), "rows", "total")
+        found = keys if found is None else found.unionByName(keys)
+    return found
+
+
+def q_enrich_split(spark, d):
+    """Events whose errors and views all fall to user 1, the rest of a type without a user:
+    the hot key and the rows without one stay where they are."""
+    user = F.when(F.col("event_type").isin("error", "view"), 1).when(F.col("event_type") != "signup", F.col("user_id"))
+    events = table(spark, d, "events").withColumn("user_id", user.cast("long"))
+    return enrich(events, table(spark, d, "supplier"), *_SUPPLIER, strategy="split")
+
+
 def q_csv_text_round_trip(spark, d):
     """Whole texts with their line ends through CSV."""
     docs = table(spark, d, "documents").select("doc_id", "text", "n_chars")
@@ -533,6 +564,9 @@ QUERIES: dict[str, Query] = {
     "merge_wide": q_merge_wide,
     "merge_repeats": q_merge_repeats,
     "latest_snapshot_three": q_latest_snapshot_three,
+    "enrich_bucketed": q_enrich_bucketed,
+    "frequent_keys": q_frequent_keys,
+    "enrich_split": q_enrich_split,
 }
 
 
@@ -769,6 +803,21 @@ SELECT count(*) AS rows, count(*) FILTER (WHERE user_id IS NULL) AS null_keys, t
     "advise_join": """
 SELECT 'right' AS side, count(*) AS left_rows, count(*) AS profiled_left, (SELECT count(*) FROM supplier) AS profiled_right FROM events""",
     "table_scan": "SELECT * FROM supplier",
+    "enrich_bucketed": """
+SELECT l.*, coalesce(o.o_orderstatus, 'Not Defined') AS order_status, o.o_custkey AS customer
+FROM lineitem l LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey AND o.o_orderstatus <> 'P'""",
+    "frequent_keys": """
+WITH k AS (
+  SELECT 'documents.lang' AS "column", lang AS key FROM documents UNION ALL SELECT 'documents.source', source FROM documents
+  UNION ALL SELECT 'events.event_type', event_type FROM events UNION ALL SELECT 'lineitem.l_orderkey', CAST(l_orderkey AS VARCHAR) FROM lineitem),
+n AS (SELECT "column", count(*) AS total FROM k GROUP BY ALL)
+SELECT "column", key, count(*) AS rows, total FROM k JOIN n USING ("column") WHERE key IS NOT NULL
+GROUP BY ALL HAVING count(*) >= 0.01 * total""",
+    "enrich_split": """
+WITH e AS (
+  SELECT * REPLACE (CASE WHEN event_type IN ('error', 'view') THEN 1 WHEN event_type <> 'signup' THEN user_id END AS user_id) FROM events)
+SELECT e.*, coalesce(s.s_name, 'Not Defined') AS supplier_name, coalesce(CAST(s.s_nationkey AS VARCHAR), 'Not Defined') AS nation
+FROM e LEFT JOIN supplier s ON e.user_id = s.s_suppkey""",
     "csv_text_round_trip": "SELECT doc_id, text, n_chars FROM documents",
     "enrich_sql_typed": """
 WITH e AS (SELECT *, CASE WHEN event_type = 'error' THEN 'no number' ELSE CAST(user_id AS VARCHAR) END AS user_text FROM events)

@@ -2,7 +2,7 @@
 
 from .readers import detect_format, scan, scan_table
 from .schema import SchemaLike, assert_schema, conform, schema_diff, schema_from_spec
-from .sinks import MULTI_LINE, dated_path, write_csv, write_dated
+from .sinks import MULTI_LINE, dated_path, write_bucketed, write_csv, write_dated
 
 __all__ = [
     "MULTI_LINE",
@@ -15,6 +15,7 @@ __all__ = [
     "scan_table",
     "schema_diff",
     "schema_from_spec",
+    "write_bucketed",
     "write_csv",
     "write_dated",
 ]

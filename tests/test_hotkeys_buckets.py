@@ -1,0 +1,148 @@
+"""Frequent keys, enrichment split by them, and enrichment over bucketed tables."""
+
+import re
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from joinery import enrich, enrich_hierarchy, frequent_keys, frequent_values, scan_table, write_bucketed
+from joinery.operators.hotkeys import error_share
+
+NO_BROADCAST = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+
+
+@pytest.fixture()
+def conf(spark):
+    old = {}
+
+    def put(**values):
+        for k, v in values.items():
+            old.setdefault(k, spark.conf.get(k, None))
+            spark.conf.set(k, v)
+
+    yield put
+    for k, v in old.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def plan_of(df) -> str:
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def skewed(spark, n=40_000):
+    """A third of the rows at key 7, an eighth without a key, the rest at keys of their own."""
+    key = F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 8 == 1, None).otherwise(F.col("id") + 1000)
+    return spark.range(n).repartition(5).select("id", key.cast("long").alias("k"))
+
+
+def test_counts_are_within_the_stated_error(spark):
+    df = skewed(spark)
+    # far more keys than the sketch tracks
+    found = {r.key: r for r in frequent_keys(df, "k", share=0.05, tracked=200).collect()}
+    exact = {r.k: r["count"] for r in df.groupBy("k").count().collect()}
+    total, error = 40_000, int(40_000 * error_share(200))
+    assert {k for k, n in exact.items() if k is not None and n >= 0.05 * total} <= set(found)
+    for key, r in found.items():
+        assert (r.total, r.error) == (total, error) and exact[key] <= r.rows <= exact[key] + error
+    assert None not in found
+
+
+def test_frequent_keys_edges(spark):
+    empty = spark.createDataFrame([], "k string")
+    assert frequent_keys(empty, "k").collect() == []
+    nulls = spark.createDataFrame([(None,)] * 3 + [("a",)], "k string")
+    assert [tuple(r) for r in frequent_keys(nulls, "k", share=0.25).collect()] == [("a", 1, 0, 4)]
+    assert frequent_keys(nulls, "k", share=0.26).collect() == []
+    assert frequent_values(nulls, F.upper("k"), share=0.1) == ["A"]
+    many = spark.range(50).select((F.col("id") % 4).cast("string").alias("k"))
+    assert sorted(frequent_values(many, "k", share=0.2)) == ["0", "1", "2", "3"]
+    with pytest.raises(ValueError):
+        frequent_keys(many, "k", share=0.0001)
+    with pytest.raises(ValueError):
+        frequent_keys(many, F.array("k"))
+
+
+@pytest.mark.parametrize("unique", [False, True])
+def test_split_rows_equal_the_plain_join(spark, unique):
+    primary = skewed(spark).withColumn("on", F.col("id") % 5 != 0)
+    look = spark.range(0, 30_000, 2).select((F.col("id") + 1000).alias("k"), F.concat(F.lit("v"), F.col("id")).alias("v"))
+    look = look.union(spark.createDataFrame([(7, "hot"), (None, "none")], "k long, v string"))
+    if not unique:
+        look = look.union(spark.createDataFrame([(7, "hot again"), (1001, None)], "k long, v string"))
+    for only in (None, F.col("on")):
+        rows = [sorted(map(tuple, enrich(primary, look, "k", {"label": "v"}, strategy=s, unique=unique, only_where=only).collect()), key=str) for s in ("split", "shuffle")]
+        assert rows[0] == rows[1]
+
+
+def test_split_plan_shuffles_no_hot_row(spark, conf):
+    conf(**{"spark.sql.adaptive.skewJoin.enabled": "false", "spark.sql.adaptive.coalescePartitions.enabled": "false"})
+    primary, look = skewed(spark), spark.range(5000).select(F.col("id").alias("k"), F.lit("x").alias("v"))
+    out = enrich(primary, look, "k", {"label": "v"}, strategy="split")
+    plan = plan_of(out)
+    hot, others = plan.split("SortMergeJoin")[0], plan.split("SortMergeJoin")[1]
+    assert "Union" in hot and "BroadcastHashJoin" in hot and "hashpartitioning" not in hot
+    assert "NOT (k" in others or "NOT coalesce" in others
+    assert out.filter("k = 7").count() == primary.filter("k = 7").count()
+
+
+def test_split_without_hot_keys_or_with_a_large_hot_lookup(spark, conf):
+    primary = spark.range(1000).select(F.when(F.col("id") % 9 != 0, F.col("id")).alias("k"))
+    look = spark.range(500).select(F.col("id").alias("k"), F.lit("x").alias("v"))
+    out = enrich(primary, look, "k", {"label": "v"}, strategy="split")
+    assert out.count() == 1000 and out.filter("label = 'x'").count() == primary.filter("k < 500").count()
+    conf(**{"spark.sql.autoBroadcastJoinThreshold": "100"})
+    many = spark.range(200).select(F.lit(7).cast("long").alias("k"), F.col("id").cast("string").alias("v"))
+    some = skewed(spark, 300)
+    out = enrich(some, many, "k", {"label": "v"}, strategy="split")
+    assert "Union" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert out.count() == 100 * 200 + 200
+
+
+def test_split_hierarchy(spark):
+    primary = spark.range(3000).select("id", F.when(F.col("id") % 2 == 0, '{"employee_number": "5"}').when(F.col("id") % 7 == 0, "bad")
+                                       .otherwise(F.concat(F.lit('{"employee_number": "'), F.col("id"), F.lit('"}'))).alias("j"))
+    snap = spark.range(2000).select(F.col("id").alias("employeeid"), F.lit("n").alias("employeename"))
+    rows = [sorted(map(tuple, enrich_hierarchy(primary, snap, "j", strategy=s).collect()), key=str) for s in ("split", "catalyst")]
+    assert rows[0] == rows[1]
+
+
+@pytest.fixture()
+def name(spark):
+    made = f"t_{uuid.uuid4().hex}"
+    yield made
+    spark.sql(f"DROP TABLE IF EXISTS {made}")
+
+
+def test_bucketed_primary_is_not_shuffled(spark, conf, tmp_dir, name):
+    conf(**NO_BROADCAST)
+    primary = spark.range(5000).select((F.col("id") % 700).alias("k"), F.col("id").alias("n"))
+    assert write_bucketed(primary, name, ["k"], 8, tmp_dir) == name
+    kept = scan_table(spark, name, schema=primary.schema)
+    look = spark.range(600).select(F.col("id").alias("k"), F.lit("x").alias("v"))
+    out = enrich(kept, look, "k", {"label": "v"})
+    plan = plan_of(out)
+    assert "SortMergeJoin" in plan and "Bucketed: true" in plan
+    left, right = re.split(r"(?=\n[ +:*()\d-]*(?:AQEShuffleRead|ShuffleQueryStage|Exchange))", plan, maxsplit=1)
+    assert name in left and name not in right and plan.count("hashpartitioning") == 1
+    assert out.count() == 5000 and out.filter("label = 'x'").count() == primary.filter("k < 600").count()
+    other = f"{name}_o"
+    write_bucketed(look, other, ["k"], 8, tmp_dir)
+    assert "hashpartitioning" not in plan_of(enrich(kept, scan_table(spark, other), "k", {"label": "v"}))
+    assert "hashpartitioning" not in plan_of(kept.groupBy("k").count())
+    spark.sql(f"DROP TABLE {other}")
+
+
+def test_bucketed_overwrite_switches(spark, tmp_dir, name):
+    first, second = spark.range(10).toDF("k"), spark.range(100, 130).toDF("k")
+    write_bucketed(first, name, ["k"], 4, tmp_dir)
+    with pytest.raises(Exception, match="no more"):
+        write_bucketed(first.select(F.when(F.col("k") == 5, F.raise_error(F.lit("no more")).cast("long")).otherwise(F.col("k")).alias("k")), name, ["k"], 4, tmp_dir)
+    assert scan_table(spark, name).count() == 10
+    write_bucketed(second, name, ["k"], 4, tmp_dir)
+    assert sorted(r.k for r in scan_table(spark, name).collect()) == list(range(100, 130))
+    with pytest.raises(ValueError, match="columns"):
+        write_bucketed(first.toDF("z"), name, ["z"], 4, tmp_dir)
+    with pytest.raises(ValueError, match="buckets"):
+        write_bucketed(first, name, ["k"], 5, tmp_dir)
