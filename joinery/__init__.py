@@ -21,12 +21,15 @@ from .sources import (
     assert_schema,
     conform,
     dated_path,
+    read_version,
     scan,
     scan_table,
+    scan_with_quarantine,
     schema_from_spec,
     write_bucketed,
     write_csv,
     write_dated,
+    write_version,
 )
 
 __all__ = [
@@ -40,9 +43,11 @@ __all__ = [
     "join_key",
     "json_value",
     "normalise",
+    "read_version",
     "run_enrichment",
     "scan",
     "scan_table",
+    "scan_with_quarantine",
     "schema_from_spec",
     "span_expansion_job",
     "tag_json_with_indicator",
@@ -50,4 +55,5 @@ __all__ = [
     "write_bucketed",
     "write_csv",
     "write_dated",
+    "write_version",
 ]

@@ -38,7 +38,19 @@ from ..operators import (
 )
 from ..functions.keys import normalise
 from ..session import shared_path
-from ..sources import MULTI_LINE, conform, scan, scan_table, write_bucketed, write_csv, write_dated
+from ..sources import (
+    MULTI_LINE,
+    conform,
+    read_version,
+    scan,
+    scan_table,
+    scan_with_quarantine,
+    versions,
+    write_bucketed,
+    write_csv,
+    write_dated,
+    write_version,
+)
 from .jobs import span_expansion_job, tag_json_with_indicator
 from ..streaming import enrich_stream
 from . import domain
@@ -487,22 +499,81 @@ def _parts(number):
 
 
 def _run_enrichment(spark, d, mode):
-    """The config-driven job over work items made from events, labels from suppliers and
-    snapshots from orders; its merged output is read back from its files."""
+    """The config-driven job; its merged output is read back from its files."""
+    return scan(spark, run_enrichment(spark, _run_config(spark, d, mode))["merged"])
+
+
+def _run_config(spark, d, mode):
+    """Work items made from events, labels from suppliers, snapshots from orders."""
     events, supplier, orders = (table(spark, d, t) for t in ("events", "supplier", "orders"))
     info = F.concat(F.lit('{"employee_number": "'), F.col("user_id"), F.lit('"}')).alias("employee_info")
     labels = domain.work_item_key(supplier.select("s_name", "s_nationkey", *_parts(F.col("s_suppkey")))).select(
         "JoinKey", F.col("s_name").alias("New_Center"), F.col("s_nationkey").cast("string").alias("Capacity_Planning_Group"))
     snapshots = orders.select(F.col("o_custkey").alias("employeeid"), F.concat(F.lit("n"), F.col("o_custkey")).alias("employeename"),
                               F.col("o_orderdate").alias("snap_date"))
-    written = run_enrichment(spark, {
+    return {
         "primary_data_source": events.select("event_id", *_parts(F.col("user_id")), info),
         "include_activity_data_enrichment": True, "activity_list_data_source": labels,
         "include_employee_hierarchy_enrichment": True, "employee_hierarchy_source": snapshots,
         "employee_info_json_column": "employee_info", "output_path": shared_path(spark, "run_enrichment"),
         "as_of": "2024-01-01", "mode": mode,
-    })
-    return scan(spark, written["merged"])
+    }
+
+
+def q_run_enrichment_restart(spark, d):
+    """The job over Parquet sources, started again: the second run finds all it needs."""
+    cfg = _run_config(spark, d, "merge")
+    for name in ("primary_data_source", "activity_list_data_source", "employee_hierarchy_source"):
+        path = f"{shared_path(spark, name)}.parquet"
+        cfg[name].write.parquet(path)
+        cfg[name] = path
+    cfg.update(restart=True, activity_data_output_path=shared_path(spark, "restart_a"), employee_hierarchy_output_path=shared_path(spark, "restart_h"))
+    first, second = run_enrichment(spark, cfg), run_enrichment(spark, cfg)
+    if first != second:
+        raise RuntimeError(f"the second run made outputs again: {first} {second}")
+    return scan(spark, second["merged"])
+
+
+def q_versioned_overwrite(spark, d):
+    """What readers see of an output: its first version, the same after an overwrite that
+    fails half-way, and the second version."""
+    orders, base = table(spark, d, "orders"), shared_path(spark, "versions")
+    seen = None
+
+    def look(step: str) -> None:
+        nonlocal seen
+        now = versions(spark, base, "orders", "2024-01-01")[0]
+        part = read_version(spark, base, "orders", "2024-01-01", now.version).withColumn("step", F.lit(step)).withColumn("written", F.lit(now.rows))
+        seen = part if seen is None else seen.unionByName(part)
+
+    write_version(orders.filter("o_orderstatus = 'F'"), base, "orders", "2024-01-01")
+    look("first")
+    price = F.when(F.col("o_orderkey") % 1000 == 999, F.raise_error(F.lit("lost")).cast("double")).otherwise(F.col("o_totalprice"))
+    try:
+        write_version(orders.withColumn("o_totalprice", price), base, "orders", "2024-01-01")
+        raise RuntimeError("the write should have failed")
+    except Exception as e:  # noqa: BLE001 - the failure is the point
+        if "lost" not in str(e):
+            raise
+    look("after a failure")
+    write_version(orders, base, "orders", "2024-01-01")
+    look("second")
+    return seen
+
+
+def q_csv_quarantine(spark, d):
+    """Events as CSV whose errors have a text for a user and whose signups one value too
+    many: good rows and bad lines."""
+    events = table(spark, d, "events")
+    user = F.when(F.col("event_type") == "error", F.concat(F.lit("u"), F.col("user_id"))).otherwise(F.col("user_id").cast("string"))
+    kind = F.when(F.col("event_type") == "signup", "signup,twice").otherwise(F.col("event_type"))
+    raw = events.select(F.concat_ws(",", "event_id", user, kind).alias("event_id,user_id,event_type"))
+    path = write_csv(raw, shared_path(spark, "csv_quarantine"), options={"sep": "\t"})  # no quotes around the commas
+    place = shared_path(spark, "quarantine")
+    good, found = scan_with_quarantine(spark, path, "event_id bigint, user_id bigint, event_type string", place)
+    good = good.select(F.lit("good").alias("kind"), F.concat_ws(",", "event_id", "user_id", "event_type").alias("line"))
+    bad = spark.read.parquet(f"{place}/bad").select(F.lit("bad").alias("kind"), "line")
+    return good.unionByName(bad).withColumn("lines", F.lit(found["good"] + found["bad"]).cast("long"))
 
 
 def q_run_enrichment_merge(spark, d):
@@ -567,6 +638,9 @@ QUERIES: dict[str, Query] = {
     "enrich_bucketed": q_enrich_bucketed,
     "frequent_keys": q_frequent_keys,
     "enrich_split": q_enrich_split,
+    "run_enrichment_restart": q_run_enrichment_restart,
+    "versioned_overwrite": q_versioned_overwrite,
+    "csv_quarantine": q_csv_quarantine,
 }
 
 
@@ -800,6 +874,15 @@ FROM e""",
 SELECT count(*) AS rows, count(*) FILTER (WHERE user_id IS NULL) AS null_keys, true AS keys_close FROM events""",
     "run_enrichment_merge": _RUN,
     "run_enrichment_chain": _RUN,
+    "run_enrichment_restart": _RUN,
+    "versioned_overwrite": """
+WITH s AS (SELECT * FROM (VALUES ('first'), ('after a failure'), ('second')) t(step))
+SELECT o.*, step, CAST(count(*) OVER (PARTITION BY step) AS BIGINT) AS written FROM orders o, s WHERE step = 'second' OR o_orderstatus = 'F'""",
+    "csv_quarantine": """
+SELECT CASE WHEN event_type IN ('error', 'signup') THEN 'bad' ELSE 'good' END AS kind,
+       event_id || ',' || CASE event_type WHEN 'error' THEN 'u' ELSE '' END || user_id || ',' || CASE event_type WHEN 'signup' THEN 'signup,twice' ELSE event_type END AS line,
+       count(*) OVER () AS lines
+FROM events""",
     "advise_join": """
 SELECT 'right' AS side, count(*) AS left_rows, count(*) AS profiled_left, (SELECT count(*) FROM supplier) AS profiled_right FROM events""",
     "table_scan": "SELECT * FROM supplier",

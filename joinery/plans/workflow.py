@@ -18,6 +18,7 @@ Modes for combining the two enrichments:
 from __future__ import annotations
 
 import datetime as dt
+import functools
 import logging
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 
 from ..operators import NOT_DEFINED, common_columns, enrich, enrich_hierarchy, latest_snapshot, merge
 from ..session import checkpoint_root
-from ..sources import scan, scan_table, schema_from_spec, write_dated
+from ..sources import config_digest, finished, input_fingerprint, scan, scan_table, schema_from_spec, write_dated, write_version
 from . import domain
 
 log = logging.getLogger(__name__)
@@ -165,6 +166,7 @@ def _write_outputs(
     as_of,
     unique: bool = False,
     want_frame: bool = True,
+    put: Callable[[str, Callable[[], DataFrame]], str] | None = None,
 ) -> tuple[dict[str, str], str | None, DataFrame | None]:
     """Write each enrichment whose base path is set, then the combination of
     both. The combination continues from the written enrichments (or from a
@@ -173,13 +175,18 @@ def _write_outputs(
     paths, the name of the final output (``None`` when nothing is enabled) and
     the final frame (built from the written sides where there are some; ``None`` if
     neither a merged path nor ``want_frame`` asks for it, and then nothing is
-    checkpointed)."""
+    checkpointed). ``put`` writes an output, given its name and what makes its frame, and
+    returns its path; by default ``write_dated``."""
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
+    def dated(name: str, made: Callable[[], DataFrame]) -> str:
+        return write_dated(made(), paths[name], domain.OUTPUT_NAMES[name], as_of)
+
+    put = put or dated
     written: dict[str, str] = {}
     for name in ("activity", "hierarchy"):
         if name in branches and paths.get(name):
-            written[name] = write_dated(branches[name], paths[name], domain.OUTPUT_NAMES[name], as_of)
+            written[name] = put(name, functools.partial(branches.__getitem__, name))
     have_a, have_h = "activity" in branches, "hierarchy" in branches
     if not (have_a and have_h):
         if not have_a and not have_h:
@@ -197,16 +204,20 @@ def _write_outputs(
         checkpoint_root(spark)
         return branches[name].checkpoint(eager=True)
 
-    if mode == "chain":
-        # continue from the written activity output instead of recomputing it
-        base = spark.read.parquet(written["activity"]) if "activity" in written else branches["activity"]
-        final = _hierarchy(base, hier, hier_flag)
-    else:
-        final = merge(side("activity"), side("hierarchy"), null_safe=(mode == "merge_null_safe"), unique=unique,
-                      same_keys=_same_keys(branches))
+    def made() -> DataFrame:
+        if mode == "chain":
+            # continue from the written activity output instead of recomputing it
+            base = spark.read.parquet(written["activity"]) if "activity" in written else branches["activity"]
+            return _hierarchy(base, hier, hier_flag)
+        return merge(side("activity"), side("hierarchy"), null_safe=(mode == "merge_null_safe"), unique=unique,
+                     same_keys=_same_keys(branches))
+
+    final: list[DataFrame] = []
     if paths.get("merged"):
-        written["merged"] = write_dated(final, paths["merged"], domain.OUTPUT_NAMES["merged"], as_of)
-    return written, "merged", final
+        written["merged"] = put("merged", lambda: final.append(made()) or final[0])
+    if not final and want_frame:
+        final.append(made())
+    return written, "merged", final[0] if final else None
 
 
 def _spec(cfg: Mapping[str, Any], name: str):
@@ -215,6 +226,26 @@ def _spec(cfg: Mapping[str, Any], name: str):
     return schema_from_spec(spec) if spec is not None else None
 
 
+def _restartable(spark: SparkSession, cfg: Mapping[str, Any], paths: Mapping[str, str | None], as_of, inputs: str | None):
+    """Writes outputs as versions, unless the current one is finished from the same."""
+    config = config_digest({**cfg, "as_of": str(as_of)})
+    made_from: list[str] = []
+
+    def put(name: str, made: Callable[[], DataFrame]) -> str:
+        # what continues from other outputs depends on their versions too
+        mine = None if inputs is None else ":".join([inputs, *(made_from if name == "merged" else [])])
+        place = (paths[name], domain.OUTPUT_NAMES[name], as_of)
+        done = finished(spark, *place, mine, config)
+        if done:
+            log.info("%s is finished: %s", name, done.data)
+        else:
+            done = write_version(made(), *place, mine, config)
+        made_from.append(done.version)
+        return done.data
+
+    return put
+
+
 def run_enrichment(spark: SparkSession, cfg: Mapping[str, Any]) -> dict[str, str]:
     """Run the config-driven job and return ``{output: path}`` of what was written.
 
@@ -232,7 +263,14 @@ def run_enrichment(spark: SparkSession, cfg: Mapping[str, Any]) -> dict[str, str
     activity column, default ``Center`` ← ``New_Center`` and
     ``Capacity_Planning_Group``), ``merge_unique`` / ``activity_unique`` /
     ``hierarchy_unique`` (fail instead of multiplying rows when a merge key,
-    an activity key or a snapshot key repeats).
+    an activity key or a snapshot key repeats), ``restart`` (see below).
+
+    With ``restart`` the outputs are versions (``sources.versions``; the paths returned are
+    those of their data, ``read_version`` finds them too). Started again after a lost driver
+    with the same settings and unchanged input files, the job takes the outputs that are
+    finished and makes the others. A changed file, setting or row count makes an output
+    again, and those that continue from it; so does an input that is a frame of rows in
+    memory, which nothing can be told of.
 
     An output is written only where its path is set. In merge modes the merge
     reads the two enrichments back from their written Parquet (or from a
@@ -267,8 +305,12 @@ def run_enrichment(spark: SparkSession, cfg: Mapping[str, Any]) -> dict[str, str
         "hierarchy": cfg.get("employee_hierarchy_output_path"),
         "merged": cfg.get("output_path"),
     }
+    put = None
+    if cfg.get("restart", False):
+        sources = [primary, *([act.lookup] if act else []), *([hier.snapshot] if hier else [])]
+        put = _restartable(spark, cfg, paths, as_of, input_fingerprint(*sources))
     written, final, _frame = _write_outputs(spark, branches, hier, None, mode, paths, as_of,
-                                            unique=bool(cfg.get("merge_unique", False)), want_frame=False)
+                                            unique=bool(cfg.get("merge_unique", False)), want_frame=False, put=put)
     if final in ("activity", "hierarchy"):
         log.info("one enrichment only: no merged output")
     return written

@@ -6,7 +6,9 @@ from __future__ import annotations
 import logging
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .schema import SchemaLike, assert_schema, schema_from_spec
 
@@ -115,6 +117,64 @@ def _scan(spark, source, schema, format, by_position, bad_records, check_nullabl
     return df
 
 
+#: The column that holds the text of a line that does not parse.
+BAD_LINE = "_bad_line"
+
+
+def scan_with_quarantine(
+    spark: SparkSession,
+    source: str,
+    schema: SchemaLike,
+    quarantine: str,
+    by_position: bool = False,
+    options: dict[str, str] | None = None,
+    most_bad: float | None = None,
+) -> tuple[DataFrame, dict[str, int]]:
+    """The rows of a CSV source that parse, and ``{"good": n, "bad": n}``; the others are
+    written to ``{quarantine}/bad`` as Parquet, a row each: the line's text, its file and the time.
+
+    A line is bad if a value does not parse as its type or if it has too few or too many
+    values; good + bad are the lines of the files (records, with ``multiLine``), header and
+    empty lines aside. Both parts come from one read, so they cannot disagree; it counts
+    them as well. That read writes all lines by kind under ``{quarantine}/lines``, from where
+    the good rows come, so later use does not parse again, and the bad ones go to
+    ``{quarantine}/bad``. The folder must be new. With ``most_bad`` the call
+    fails (``ValueError``) when a larger share of the lines is bad; the bad lines are kept for
+    a look at them."""
+    expected = schema_from_spec(schema)
+    if BAD_LINE in expected.names:
+        raise ValueError(f"{BAD_LINE} is the name of the bad lines' column")
+    # all columns are parsed whatever is selected later: what is bad does not depend on it
+    reader = (
+        spark.read.schema(T.StructType([*expected.fields, T.StructField(BAD_LINE, T.StringType())]))
+        .option("header", True).option("enforceSchema", by_position).option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", BAD_LINE).option("columnPruning", "false")
+    )
+    for k, v in (options or {}).items():
+        reader = reader.option(k, v)
+    place = quarantine.rstrip("/")
+    bad = F.col(BAD_LINE).isNotNull()
+    counts = Observation()
+    try:
+        lines = reader.csv(source).withColumn("__file", F.input_file_name())
+    except AnalysisException as e:
+        if _not_found(e):
+            raise FileNotFoundError(f"path does not exist: {source}") from e
+        raise
+    lines = lines.observe(counts, F.count(F.when(~bad, 1)).alias("good"), F.count(F.when(bad, 1)).alias("bad"))
+    lines.withColumn("__bad", bad).write.partitionBy("__bad").parquet(f"{place}/lines")
+    kept = T.StructType([*expected.fields, T.StructField(BAD_LINE, T.StringType()), T.StructField("__file", T.StringType()), T.StructField("__bad", T.BooleanType())])
+    whole = spark.read.schema(kept).parquet(f"{place}/lines")
+    whole.filter("__bad").select(F.col(BAD_LINE).alias("line"), F.col("__file").alias("file"), F.current_timestamp().alias("at")).write.parquet(f"{place}/bad")
+    good = whole.filter("NOT __bad").select(*[F.col("`" + c.replace("`", "``") + "`") for c in expected.names])
+    found = {k: counts.get[k] for k in ("good", "bad")}
+    if found["bad"]:
+        log.warning("%d of %d lines of %s are bad, kept in %s/bad", found["bad"], sum(found.values()), source, place)
+    if most_bad is not None and found["bad"] > most_bad * sum(found.values()):
+        raise ValueError(f"{found['bad']} of {sum(found.values())} lines of {source} are bad, more than {most_bad:.2%}")
+    return good, found
+
+
 def scan_table(spark: SparkSession, name: str, schema: SchemaLike | None = None) -> DataFrame:
     """A catalog table by (qualified) name, optionally checked against a schema."""
     df = spark.table(name)

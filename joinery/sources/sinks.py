@@ -39,9 +39,16 @@ def write_dated(
     format: str = "parquet",  # noqa: A002
     mode: str = "overwrite",
     partition_by: list[str] | None = None,
+    replace: str = "all",
 ) -> str:
     """Write ``df`` to ``{base}/{name}_{YYYYMMDD}`` (overwrite by default) and
-    return the path. Output names must be unique (Parquet rejects duplicates)."""
+    return the path. Output names must be unique (Parquet rejects duplicates).
+
+    ``replace="partitions"`` overwrites only the partitions (``partition_by``) that ``df``
+    has rows for. An overwrite deletes before it commits: where readers must not see that,
+    use ``write_version``."""
+    if replace not in ("all", "partitions") or (replace == "partitions" and not partition_by):
+        raise ValueError("replace is 'all', or 'partitions' together with partition_by")
     dupes = {c for c in df.columns if df.columns.count(c) > 1}
     if dupes:
         raise ValueError(f"duplicate output columns {sorted(dupes)}")
@@ -51,7 +58,7 @@ def write_dated(
         w = (w.option("header", True)
              .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
     if partition_by:
-        w = w.partitionBy(*partition_by)
+        w = w.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic" if replace == "partitions" else "static")
     w.save(path)
     return path
 
