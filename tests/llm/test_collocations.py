@@ -92,8 +92,9 @@ def test_trie(monkeypatch):
         trie.add(first, rest, [2] * len(rest))
         want.update({(first, r): 2 for r in rest})
     assert trie.burst and trie.size == len(want)
-    assert {(f, k): n for f in trie.roots for k, n in zip(*map(list, trie.subtree(f)), strict=True)} == want
     firsts = trie.spill(trie.size // 2)
-    for f in firsts:
-        trie.drop(f)
+    first, keys, counts = (x.tolist() for x in trie.take(firsts))
     assert trie.size == len([k for k in want if k[0] not in firsts]) <= len(want) // 2
+    rest = (x.tolist() for x in trie.take(list(trie.roots)))
+    got = [*zip(first, keys, counts, strict=True), *zip(*rest, strict=True)]
+    assert {(f, k): n for f, k, n in got} == want and len(got) == len(want) and trie.size == 0

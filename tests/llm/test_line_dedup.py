@@ -10,8 +10,9 @@ BLANK = " \t\n\r\x0b\x0c"
 
 
 def pieces(line, least=ld.LINE_WORDS):
-    """The pieces of a text line, word by word."""
-    units = re.findall(rf"[{BLANK}]*[^{BLANK}]+[{BLANK}]*", line)  # a word with the blanks around it
+    """The pieces of a text line; of a long sentence a word ends one if its hash is the
+    least (the last of equals) of any 8 words in a row that hold it."""
+    units = re.findall(rf"[{BLANK}]*[^{BLANK}]+[{BLANK}]*", line)
     if not units:
         return [line]
     sentences, now = [], []
@@ -22,12 +23,12 @@ def pieces(line, least=ld.LINE_WORDS):
             now = []
     parts = []
     for words in sentences:
+        h = [(zlib.crc32(u.strip(BLANK).encode()), -k) for k, u in enumerate(words)]
+        cuts = {-min(h[i:i + 8])[1] for i in range(len(h) - 7)} if len(words) > 40 else set()
         now = []
         for k, u in enumerate(words):
             now.append(u)
-            same = k and words[k - 1].strip(BLANK) == u.strip(BLANK)
-            picked = len(words) > 40 and not same and zlib.crc32(u.strip(BLANK).encode()) % 8 == 0
-            if k + 1 == len(words) or picked:
+            if k + 1 == len(words) or k in cuts:
                 parts.append(now)
                 now = []
     out = [[]]
@@ -79,65 +80,40 @@ def matches(a, b):
     return out
 
 
-def brute(docs, block=ld.BLOCK_WORDS, rare=ld.RARE_TEXTS):
-    """(id, n_lines, deleted line numbers, text left) by the documented rules."""
+def brute(docs, block=ld.BLOCK_WORDS):
+    """(id, n_lines, n_deleted, deleted line numbers, text left): every run of counting lines of
+    ``block`` words or more that stands in any earlier text goes."""
     order = lambda i: (i is None, i or 0)
     first, rows = {}, {}
     for i, t in docs:
         if t not in first or order(i) < order(first[t]):
             first[t] = i
         rows[t] = counting(t)
-    holders = {}
+    gone = {t: set() for t in rows}
     for t, lines in rows.items():
-        for x in {line for _, line, _ in lines}:
-            holders.setdefault(x, []).append(t)
-    gone = {}
-    for t, lines in rows.items():
-        own, runs = [], []
-        for pos, (_, line, n) in enumerate(lines):
-            least = min(order(first[h]) for h in holders[line])
-            if least < order(first[t]) and not least[0]:
-                owner = [h for h in holders[line] if order(first[h]) == least]
-                own.append((pos, n, len(holders[line]), owner))
-        for x in own:
-            if runs and runs[-1][-1][0] == x[0] - 1:
-                runs[-1].append(x)
-            else:
-                runs.append([x])
-        partners = set()
-        for run in runs:
-            if sum(x[1] for x in run) >= block:
-                for k, x in enumerate(run):
-                    streak = [k]  # frequent lines around this one
-                    while streak[0] and run[streak[0] - 1][2] > rare:
-                        streak.insert(0, streak[0] - 1)
-                    while streak[-1] + 1 < len(run) and run[streak[-1] + 1][2] > rare:
-                        streak.append(streak[-1] + 1)
-                    if x[2] <= rare or x[2] == min(run[j][2] for j in streak):
-                        assert len(x[3]) == 1
-                        partners.add(x[3][0])
-        cut = set()
-        for p in partners:
-            run = []
-            for m in [*matches([x[1] for x in lines], [x[1] for x in rows[p]]), None]:
-                if run and (m is None or m != (run[-1][0] + 1, run[-1][1] + 1)):
-                    if sum(lines[i][2] for i, _ in run) >= block:
-                        cut |= {i for i, _ in run}
-                    run = []
-                run.append(m)
-        gone[t] = {lines[i][0] for i in cut}
+        x = [line for _, line, _ in lines]
+        places = {}
+        for e, others in rows.items():
+            if first[e] is not None and order(first[e]) < order(first[t]):
+                for j, (_, line, _) in enumerate(others):
+                    places.setdefault(line, []).append((others, j))
+        for a in range(len(x)):
+            for others, j in places.get(x[a], []):
+                if a and j and others[j - 1][1] == x[a - 1]:
+                    continue  # no run begins here
+                n = 0
+                while a + n < len(x) and j + n < len(others) and x[a + n] == others[j + n][1]:
+                    n += 1
+                if sum(w for _, _, w in lines[a:a + n]) >= block:
+                    gone[t] |= {lines[k][0] for k in range(a, a + n)}
     out = []
     for i, t in docs:
-        if i == first[t]:
-            cut = gone[t]
-        else:
-            cut = {n for n, _, _ in rows[t]} if sum(w for _, _, w in rows[t]) >= block else set()
+        cut = gone[t] if i == first[t] else {n for n, _, _ in rows[t]} if sum(w for _, _, w in rows[t]) >= block else set()
         kept = {}
         for k, (n, p) in enumerate(lines_of(t)):
             if k not in cut:
                 kept[n] = kept.get(n, "") + p
-        left = t if not cut else "\n".join(kept.values())
-        out.append((i, 0 if t is None else len(lines_of(t)), len(cut), sorted(cut), left))
+        out.append((i, 0 if t is None else len(lines_of(t)), len(cut), sorted(cut), "\n".join(kept.values()) if cut else t))
     return out
 
 
@@ -173,10 +149,10 @@ def made():
 def test_made_documents(spark):
     docs = made()
     df = frame(spark, [(*d, 1) for d in docs], "doc_id long, text string, N_lines long").repartition(7)
-    out = ld.dedup_lines(df, rare_texts=8)
+    out = ld.dedup_lines(df)
     assert out.columns == ["doc_id", "text", "n_lines", "n_deleted", "deleted_lines"]
     got = [(r.doc_id, r.n_lines, r.n_deleted, r.deleted_lines, r.text) for r in out.collect()]
-    assert sorted(got, key=key) == sorted(brute(docs, rare=8), key=key)
+    assert sorted(got, key=key) == sorted(brute(docs), key=key)
 
 
 def test_frequent_line_proposes_no_pairs_among_its_holders(spark):

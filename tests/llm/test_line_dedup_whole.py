@@ -1,52 +1,10 @@
 """Blocks that earlier versions of line dedup lost."""
 
 import random
-import re
-import zlib
 
 from joinery.llm import line_dedup as ld
 from .conftest import frame
-from .test_line_dedup import BLANK, key, made
-
-
-def pieces(line, least=ld.LINE_WORDS):
-    """The pieces of a text line; of a long sentence a word ends one if its hash is the
-    least (the last of equals) of any 8 words in a row that hold it."""
-    units = re.findall(rf"[{BLANK}]*[^{BLANK}]+[{BLANK}]*", line)
-    if not units:
-        return [line]
-    sentences, now = [], []
-    for k, u in enumerate(units):
-        now.append(u)
-        if k + 1 == len(units) or re.search(r"[.!?][\"')\]]*$", u.strip(BLANK)):
-            sentences.append(now)
-            now = []
-    parts = []
-    for words in sentences:
-        h = [(zlib.crc32(u.strip(BLANK).encode()), -k) for k, u in enumerate(words)]
-        cuts = {-min(h[i:i + 8])[1] for i in range(len(h) - 7)} if len(words) > 40 else set()
-        now = []
-        for k, u in enumerate(words):
-            now.append(u)
-            if k + 1 == len(words) or k in cuts:
-                parts.append(now)
-                now = []
-    out = [[]]
-    for part in parts:
-        if len(out[-1]) >= least:
-            out.append([])
-        out[-1] = out[-1] + part
-    if len(out) > 1 and len(out[-1]) < least:
-        out[-2:] = [out[-2] + out[-1]]
-    return ["".join(x) for x in out]
-
-
-def lines_of(text):
-    return [(n, p) for n, line in enumerate((text or "").split("\n")) for p in pieces(line)]
-
-
-def counting(text, least=ld.LINE_WORDS):
-    return [(i, p.strip(BLANK), len(p.encode().split())) for i, (_, p) in enumerate(lines_of(text)) if len(p.encode().split()) >= least]
+from .test_line_dedup import lines_of
 
 
 def sentences(rnd, n, words=12):
@@ -109,56 +67,6 @@ def test_doubled_passage(spark):
     assert out == {1: [], 2: [*range(2, 7), *range(9, 14)]}
 
 
-def whole(docs, block=ld.BLOCK_WORDS):
-    """(id, n_lines, deleted line numbers, text left): every run of counting lines of
-    ``block`` words or more that stands in any earlier text goes."""
-    order = lambda i: (i is None, i or 0)
-    first, rows = {}, {}
-    for i, t in docs:
-        if t not in first or order(i) < order(first[t]):
-            first[t] = i
-        rows[t] = counting(t)
-    gone = {t: set() for t in rows}
-    for t, lines in rows.items():
-        x = [line for _, line, _ in lines]
-        places = {}
-        for e, others in rows.items():
-            if first[e] is not None and order(first[e]) < order(first[t]):
-                for j, (_, line, _) in enumerate(others):
-                    places.setdefault(line, []).append((others, j))
-        for a in range(len(x)):
-            for others, j in places.get(x[a], []):
-                if a and j and others[j - 1][1] == x[a - 1]:
-                    continue  # no run begins here
-                n = 0
-                while a + n < len(x) and j + n < len(others) and x[a + n] == others[j + n][1]:
-                    n += 1
-                if sum(w for _, _, w in lines[a:a + n]) >= block:
-                    gone[t] |= {lines[k][0] for k in range(a, a + n)}
-    out = []
-    for i, t in docs:
-        cut = gone[t] if i == first[t] else {n for n, _, _ in rows[t]} if sum(w for _, _, w in rows[t]) >= block else set()
-        kept = {}
-        for k, (n, p) in enumerate(lines_of(t)):
-            if k not in cut:
-                kept[n] = kept.get(n, "") + p
-        out.append((i, 0 if t is None else len(lines_of(t)), sorted(cut), "\n".join(kept.values()) if cut else t))
-    return out
-
-
-def test_made_documents_equal_all_earlier_texts(spark):
-    docs = made()
-    df = frame(spark, docs, "doc_id long, text string").repartition(7)
-    got = [(r.doc_id, r.n_lines, r.deleted_lines, r.text) for r in ld.dedup_lines(df).collect()]
-    assert sorted(got, key=key) == sorted(whole(docs), key=key)
-
-
-def test_corpus_equals_all_earlier_texts(spark, corpus):
-    docs = [(d.doc_id, d.text) for d in corpus.documents]
-    got = [(r.doc_id, r.n_lines, r.deleted_lines, r.text) for r in ld.dedup_lines(frame(spark, docs, "doc_id long, text string")).collect()]
-    assert sorted(got, key=key) == sorted(whole(docs), key=key)
-
-
 def test_pieces_of_texts():
     rnd = random.Random(26)
     marks = ["a", "bc.", "d!", "e?\")", " ", "  ", "\t", "\n", "\r\n", "same same", "é", "long " * 9, "x y " * 30, *sentences(rnd, 5, 30)]
