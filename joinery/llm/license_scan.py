@@ -101,25 +101,54 @@ def template_spans(found: DataFrame, slack: int = SLACK, cover: float = COVER, g
     """``(__id, __th, label, start, end, score)``: verified copies of templates, in words.
 
     A hit at document position i and template position j votes for offset i - j. Votes of
-    one document and template whose sorted offsets follow within ``slack`` make one span;
-    it counts if its hits cover ``cover`` of the template's grams and it is no longer than
-    twice the template."""
-    votes = found.filter("template is not null").select("__id", "__th", "template", "label", "i", "j", "size").distinct()
+    one document and template whose sorted offsets follow within ``slack`` make a chain. A
+    span is a stretch of a chain, from one hit on and no longer than twice the template,
+    whose hits cover ``cover`` of the template's grams. A chain as short as that is tried
+    whole; a longer one (other text with words of the template runs into the copy) at each
+    of its hits, and of stretches that overlap the one that covers most stands for them, of
+    equals the shorter, then the first."""
+    key = ["__id", "__th", "template"]
+    votes = found.filter("template is not null").select(*key, "label", "i", "j", "size").distinct()
     votes = votes.withColumn("diagonal", F.col("i") - F.col("j"))
-    diagonals = votes.groupBy("__id", "__th", "template", "diagonal").agg(F.count(F.lit(1)).alias("votes"))
-    order = Window.partitionBy("__id", "__th", "template").orderBy("diagonal")
+    diagonals = votes.groupBy(*key, "diagonal").agg(F.count(F.lit(1)).alias("votes"))
+    order = Window.partitionBy(*key).orderBy("diagonal")
     diagonals = diagonals.withColumn("new", (F.coalesce(F.col("diagonal") - F.lag("diagonal").over(order), F.lit(slack + 1)) > slack).cast("int"))
-    diagonals = diagonals.withColumn("span", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    same = [F.col("v.__id").eqNullSafe(F.col("d.__id"))] + [F.col(f"v.{c}") == F.col(f"d.{c}") for c in ("__th", "template", "diagonal")]
-    cond = same[0]
-    for c in same[1:]:
-        cond = cond & c
-    joined = votes.alias("v").join(diagonals.alias("d"), cond).select("v.*", "d.span")
-    spans = joined.groupBy("__id", "__th", "template", "label", "size", "span").agg(
-        F.countDistinct("j").alias("covered"), F.min("i").alias("start"), (F.max("i") + gram).alias("end"))
-    spans = spans.withColumn("score", F.col("covered") / F.col("size"))
-    return spans.filter((F.col("score") >= cover) & (F.col("end") - F.col("start") <= 2 * (F.col("size") + gram - 1))) \
-        .select("__id", "__th", "label", "start", "end", "score")
+    diagonals = diagonals.withColumn("chain", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+
+    def same(a: str, b: str, *more: str):
+        cond = F.col(f"{a}.__id").eqNullSafe(F.col(f"{b}.__id"))
+        for c in ("__th", "template", *more):
+            cond = cond & (F.col(f"{a}.{c}") == F.col(f"{b}.{c}"))
+        return cond
+
+    joined = votes.alias("v").join(diagonals.alias("d"), same("v", "d", "diagonal")).select("v.*", "d.chain")
+    joined = joined.select(*key, "chain", "label", "size", "i", "j", (2 * (F.col("size") + gram - 1)).alias("most"))
+    chain = [*key, "chain", "label", "size", "most"]
+    chains = joined.groupBy(*chain).agg(F.countDistinct("j").alias("covered"), F.min("i").alias("start"), (F.max("i") + gram).alias("end"))
+    enough = lambda covered: covered / F.col("size") >= cover
+    chains = chains.filter(enough(F.col("covered")))
+    short = chains.filter(F.col("end") - F.col("start") <= F.col("most"))
+    # long chains: every hit with those that follow it within the span's length, met by blocks of that length
+    long = joined.alias("v").join(chains.filter(F.col("end") - F.col("start") > F.col("most")).select(*key, "chain").alias("d"), same("v", "d", "chain")).select("v.*")
+    long = long.withColumn("block", F.floor(F.col("i") / F.col("most")))
+    near = long.select(*key, "chain", F.col("i").alias("ni"), F.col("j").alias("nj"), F.explode(F.array(F.col("block") - 1, F.col("block"))).alias("block"))
+    heads = long.select(*chain, "i", "block").distinct()
+    after = (F.col("n.ni") >= F.col("h.i")) & (F.col("n.ni") + gram <= F.col("h.i") + F.col("h.most"))
+    tried = heads.alias("h").join(near.alias("n"), same("h", "n", "chain", "block") & after).groupBy(*[F.col(f"h.{c}").alias(c) for c in chain], F.col("h.i").alias("start"), F.col("n.nj").alias("j")) \
+        .agg(F.min("n.ni").alias("first"))
+    tried = tried.groupBy(*chain, "start").agg(F.count(F.lit(1)).alias("covered"), (F.max("first") + gram).alias("end")).filter(enough(F.col("covered")))
+    worth = F.struct(F.col("covered"), (F.col("start") - F.col("end")).alias("short"), (-F.col("start")).alias("first"))
+    tried = tried.withColumn("worth", worth).withColumn("block", F.floor(F.col("start") / (F.col("size") + gram - 1)))
+    best = tried.groupBy(*chain, "block").agg(F.max("worth").alias("worth"))
+    along = Window.partitionBy(*key, "chain").orderBy("block")
+    # the best of a block gives way to a better one of the next block that it overlaps
+    start, end = -F.col("worth.first"), -F.col("worth.first") - F.col("worth.short")
+    best = best.select(*chain, start.alias("start"), end.alias("end"), F.col("worth.covered").alias("covered"), "worth", "block")
+    beaten = lambda o, s, e: F.coalesce((o > F.col("worth")) & (s < F.col("end")) & (e > F.col("start")), F.lit(False))
+    best = best.withColumn("beaten", beaten(F.lag("worth").over(along), F.lag("start").over(along), F.lag("end").over(along))
+                           | beaten(F.lead("worth").over(along), F.lead("start").over(along), F.lead("end").over(along)))
+    spans = short.unionByName(best.filter("not beaten").select(*short.columns))
+    return spans.select("__id", "__th", "label", "start", "end", (F.col("covered") / F.col("size")).alias("score"))
 
 
 def scan_licenses(docs: DataFrame, templates: Mapping[str, tuple[str, ...]] = TEMPLATES, id_col: str = "doc_id",

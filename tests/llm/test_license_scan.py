@@ -1,3 +1,4 @@
+import random
 import re
 
 from joinery.llm import license_scan as ls
@@ -28,11 +29,11 @@ def brute(docs):
                     spans.append([])
                 spans[-1].append((d, i, j))
             for span in spans:
-                share = len({j for _, _, j in span}) / size
-                length = max(i for _, i, _ in span) + ls.GRAM - min(i for _, i, _ in span)
-                if share >= ls.COVER and length <= 2 * len(t):
-                    found.add(label)
-                    best = max(best, share)
+                for a in {i for _, i, _ in span}:  # every start, as far as a copy may reach
+                    share = len({j for _, i, j in span if a <= i <= a + 2 * len(t) - ls.GRAM}) / size
+                    if share >= ls.COVER:
+                        found.add(label)
+                        best = max(best, share)
         at = [i for i, _ in places]
         out.append((doc, len(w), len(at), min(at, default=None), max(at, default=None), ",".join(sorted(base)),
                     ",".join(sorted(base | found)), 1.0 if at else best))
@@ -69,6 +70,26 @@ def test_edges(spark):
     assert [(s.label, s.start, s.end) for s in spans[1]] == [("mit", 1, 1 + len(ls._words(MIT)))]
 
 
+NOTICE = "Licensed under CC BY-NC 4.0"
+
+
+def test_copies_inside_long_chains(spark):
+    """Words of the template around a whole copy never cost the copy."""
+    rnd = random.Random(5)
+    words = ls._words(MIT)
+    noise = lambda n: " ".join(" ".join(words[k:k + rnd.randint(3, 6)]) for k in (rnd.randrange(len(words)) for _ in range(n)))
+    docs = [(1, "licensed under cc " * 20 + NOTICE + " end"), (2, NOTICE), (3, "licensed under cc " * 200 + NOTICE + " licensed under cc" * 200 + " " + NOTICE)]
+    docs += [(10 + k, f"{noise(30)} {MIT if k % 2 else ''} {noise(30)}") for k in range(30)]
+    out = ls.scan_licenses(frame(spark, docs, "doc_id long, text string").repartition(3))
+    rows = out.collect()
+    same([[r[c] for c in COLUMNS] for r in rows], brute(docs))
+    labels = {r.doc_id: r.labels for r in rows}
+    assert labels[1] == labels[2] == labels[3] == "cc-by,cc-by-nc-4.0"
+    spans = {r.doc_id: [(s.label, s.start, s.end) for s in r.spans or ()] for r in rows}
+    assert spans[1] == [("cc-by-nc-4.0", 60, 67)] and ("cc-by-nc-4.0", 600, 607) in spans[3]
+    assert all("mit" in labels[i] for i in labels if i >= 10 and i % 2)
+
+
 def test_shuffled_templates_and_empty(spark):
     df = frame(spark, DOCS, "doc_id long, text string")
     grams = ls.template_grams(spark)
