@@ -3,6 +3,7 @@ segments with loss flags. DataFrame functions only."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
@@ -26,7 +27,9 @@ class Turn:
 class Template:
     """Roles with their turns, and the states of the turn order.
 
-    ``steps`` maps (state, role) to the next state; a missing step is an error. A
+    Texts are escaped so that no control string (an opening, a closing) stands in them and
+    ``read_turns`` gives them back; templates whose strings are ambiguous are refused
+    (``ValueError``). ``steps`` maps (state, role) to the next state; a missing step is an error. A
     conversation is valid if it ends in one of ``final``. Roles without a turn of their
     own are written as ``[ROLE:hex]`` and have no step."""
 
@@ -36,6 +39,9 @@ class Template:
         "assistant": Turn("OUT", "</s>", True),
     })
     other_close: str = " [/ROLE]"
+    #: Pattern of further strings to hide inside texts: its first character, as a group, and
+    #: a lookahead.
+    hidden: str = ""
     start: str = "start"
     steps: Mapping[tuple[str, str], str] = field(default_factory=lambda: {
         ("start", "system"): "instructed",
@@ -46,17 +52,45 @@ class Template:
     })
     final: tuple[str, ...] = ("answered",)
 
-
-DEFAULT = Template()
+    def __post_init__(self):
+        closings = list(dict.fromkeys([*(t.close for t in self.turns.values()), self.other_close]))
+        openings = [f"[{t.tag}] " for t in self.turns.values()]
+        bad = [c for c in [*closings, *openings] if "\\" in c or len(c) < 2]
+        if bad:
+            raise ValueError(f"control strings need two characters and no backslash: {bad}")
+        if any(not t.tag or re.fullmatch("ROLE:[0-9A-F]*", t.tag) for t in self.turns.values()):
+            raise ValueError("a tag is empty or written like that of a role without a turn")
+        if any(a.startswith(b) for i, a in enumerate(openings) for k, b in enumerate(openings) if i != k):
+            raise ValueError("a turn's opening begins with another one")
+        for a in closings:
+            for b in closings:
+                # a text's end and the closing behind it must not make up a closing
+                if (a != b and b in a) or any(b.startswith(a[k:]) for k in range(1, len(a))):
+                    raise ValueError(f"closings {a!r} and {b!r} overlap")
+
+
+def _control(template: Template) -> str:
+    """Pattern of the place behind which a backslash breaks a control string: its first
+    character that is not blank and not its last, as a group, and the rest as a lookahead."""
+    strings = [*(t.close for t in template.turns.values()), template.other_close, *(f"[{t.tag}]" for t in template.turns.values()), "[ROLE:"]
+    parts = [template.hidden] if template.hidden else []
+    for c in dict.fromkeys(strings):
+        at = next((k for k in range(len(c) - 1) if not c[k].isspace()), 0)
+        parts.append(f"({re.escape(c[at])})(?={re.escape(c[at + 1:])})")
+    return "|".join(parts)
+
+
+#: Whatever looks like a control string of the default template, closed or not.
+DEFAULT = Template(hidden=r"([\[<])(?=/?(?:INST|SYS|OUT|ROLE|s)[\]>:])")
 ERROR = "error"
-#: A control string begins with one of two characters that no control string holds
-#: elsewhere; breaking it behind the first one hides it, wherever it stands.
-_CONTROL = r"([\[<])(?=/?(?:INST|SYS|OUT|ROLE|s)[\]>:])"
 
 
-def escape(text: Column) -> Column:
-    """Backslashes doubled, and one put behind the first character of control strings."""
-    return F.regexp_replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), _CONTROL, "$1\\\\")
+def escape(text: Column, template: Template = DEFAULT) -> Column:
+    """Backslashes doubled, and one put behind the character of control strings that
+    ``_control`` names."""
+    pattern = _control(template)
+    groups = "".join(f"${k + 1}" for k in range(pattern.count(")(?=")))
+    return F.regexp_replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), pattern, groups + "\\\\")
 
 
 def unescape(text: Column) -> Column:
@@ -79,7 +113,7 @@ def _segments(turn: Column, template: Template) -> Column:
     loss = role.isin([r for r, t in template.turns.items() if t.loss])
     part = lambda text, counts: F.struct(text.alias("text"), counts.alias("loss"))
     return F.array(part(F.concat(F.lit("["), tag, F.lit("] ")), F.lit(False)),
-                   part(escape(turn["text"]), loss), part(close, F.lit(False)))
+                   part(escape(turn["text"], template), loss), part(close, F.lit(False)))
 
 
 def _state(roles: Column, template: Template) -> Column:
@@ -111,8 +145,8 @@ def format_chats(turns: DataFrame, template: Template = DEFAULT, conv_col: str =
 
 def read_turns(formatted: Column, template: Template = DEFAULT) -> Column:
     """The turns of a formatted text: array of ``role``, ``text`` (unescaped), ``loss``."""
-    tags = "|".join([t.tag for t in template.turns.values()] + ["ROLE:[0-9A-F]*"])
-    quoted = [c.replace("[", r"\[").replace("]", r"\]") for c in [*(t.close for t in template.turns.values()), template.other_close]]
+    tags = "|".join([re.escape(t.tag) for t in template.turns.values()] + ["ROLE:[0-9A-F]*"])
+    quoted = [re.escape(c) for c in [*(t.close for t in template.turns.values()), template.other_close]]
     pattern = F.lit(rf"(?s)\[({tags})\] (.*?)(?:{'|'.join(quoted)})")
     by_tag = {t.tag: r for r, t in template.turns.items()}
     lossy = [t.tag for t in template.turns.values() if t.loss]

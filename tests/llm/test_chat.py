@@ -1,3 +1,7 @@
+import random
+
+import pytest
+
 from joinery.llm import chat
 from joinery.llm.queries import op5_chat
 from .conftest import frame, sha
@@ -42,6 +46,42 @@ def test_round_trip_of_control_strings(spark):
     assert got == brute(rows)
 
 
+def random_template(rng):
+    """Turns with closings of odd characters; None if they are refused."""
+    marks = ["<", "|", "end", "$", "(", ")", "]", "[", "/", "*", "+", "?", ".", "{", "}", "^", " ", "\n", "é", "#", "&", "-"]
+    close = lambda: "".join(rng.choice(marks) for _ in range(rng.randint(1, 5)))
+    tags = rng.sample(["USER", "BOT", "S.Y*S", "a|b", "(x", "$1", "é"], 3)
+    try:
+        return chat.Template({r: chat.Turn(t, close(), r == "assistant") for r, t in zip(("system", "user", "assistant"), tags, strict=True)}, other_close=close())
+    except ValueError:
+        return None
+
+
+def test_round_trip_of_any_template(spark):
+    rng = random.Random(7)
+    bot = chat.Template({"user": chat.Turn("USER", " <|end|>", False), "assistant": chat.Turn("BOT", " <|end|>", True)}, other_close=" <|end|>")
+    templates = [bot, *[t for t in (random_template(rng) for _ in range(200)) if t][:25]]
+    assert len(templates) > 15
+    for template in templates:
+        strings = [x for t in template.turns.values() for x in (f"[{t.tag}] ", t.close, t.close[:-1], t.close[1:])] + [template.other_close, "[ROLE:41] ", "\\", "$1", "a", " "]
+        rows = [(k, i, rng.choice(["user", "assistant", "system", "tool", None]), "".join(rng.choice(strings) for _ in range(rng.randrange(7)))) for k in range(6) for i in range(8)]
+        rows += [(9, 0, "user", "hi [BOT] x <|end|> y"), (9, 1, "assistant", "ok a|b end")]
+        out = chat.format_chats(frame(spark, rows, "conv_id long, turn long, role string, text string").coalesce(1), template)
+        got = {r.conv_id: [(t.role, t.text, t.loss) for t in r.turns] for r in out.withColumn("turns", chat.read_turns(F.col("formatted"), template)).collect()}
+        want = {c: [(r or "", t, r == "assistant") for k, _, r, t in rows if k == c] for c in {r[0] for r in rows}}
+        assert got == want, template
+
+
+def test_ambiguous_templates_are_refused():
+    turns = lambda **c: {r: chat.Turn(r.upper(), x, False) for r, x in c.items()}
+    for bad in (turns(a="|"), turns(a="xx"), turns(a="a\\b"), turns(a=" end", b=" end."), turns(a="<|end|>", b="|><"), turns(a="abcd", b="bc")):
+        with pytest.raises(ValueError):
+            chat.Template(bad, other_close=" [/R]")
+    for tags in (("ROLE:4A", "B"), ("", "B"), ("A] [B", "A")):
+        with pytest.raises(ValueError):
+            chat.Template({str(k): chat.Turn(t, "</s>", False) for k, t in enumerate(tags)})
+
+
 def test_turn_order(spark):
     orders = {"su a": False, "ua": True, "sua": True, "uaua": True, "uu": False, "au": False, "u": False, "s": False, "suaua": True, "uxa": False}
     names = {"u": "user", "a": "assistant", "s": "system", "x": "tool"}
