@@ -146,11 +146,14 @@ def disclosures(docs: DataFrame, entities: DataFrame, text_col: str, generalise:
     An entity e in c(e) of N texts carries log(N / c(e)). A term in c(t, e) texts with it
     (outside base spans) and in c(t) texts of the corpus gives away the pointwise mutual
     information log(N c(t, e) / (c(t) c(e))); ``share`` is their ratio, 1 when the term
-    occurs nowhere without the entity. All rows are counted."""
+    occurs nowhere without the entity. All four count rows, repeated ones as often as they
+    come, so that no share depends on how often; ``support`` asks for different (id, text)."""
     n = float(max(entities.count(), 1))
     same = lambda a, b: F.col(f"{a}.__id").eqNullSafe(F.col(f"{b}.__id")) & (F.col(f"{a}.__th") == F.col(f"{b}.__th"))
-    held = entities.select("__id", "__th", F.explode("__base.entity").alias("entity")).distinct()
-    by_entity = held.groupBy("entity").agg(F.count(F.lit(1)).alias("ce")).filter((F.col("ce") >= support) & (F.col("ce") < n))
+    held = entities.select("__id", "__th", F.explode(F.array_distinct("__base.entity")).alias("entity"))
+    held = held.groupBy("__id", "__th", "entity").agg(F.count(F.lit(1)).alias("rows"))
+    by_entity = held.groupBy("entity").agg(F.sum("rows").alias("ce"), F.count(F.lit(1)).alias("own"))
+    by_entity = by_entity.filter((F.col("own") >= support) & (F.col("ce") < n)).drop("own")
     held = staged(held.join(by_entity, "entity"), "pii_held")
     some = held.select("__id", "__th").distinct()
     terms = entities.select("__id", "__th", "__terms").distinct().alias("t").join(some.alias("s"), same("t", "s"), "left_semi")
@@ -160,9 +163,10 @@ def disclosures(docs: DataFrame, entities: DataFrame, text_col: str, generalise:
     most = lambda ce: ce * F.pow(n / ce, F.lit(1 - generalise)) * (1 + 1e-9)
     terms = terms.join(counts, "term").alias("t")
     pairs = terms.join(held.alias("h"), same("t", "h") & (F.col("texts") <= most(F.col("ce"))))
-    pairs = pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("cte"), F.first("ce").alias("ce"), F.first("texts").alias("texts"))
+    pairs = pairs.groupBy("entity", "term").agg(
+        F.sum("rows").alias("cte"), F.count(F.lit(1)).alias("own"), F.first("ce").alias("ce"), F.first("texts").alias("texts"))
     share = F.log(n * F.col("cte") / (F.col("texts") * F.col("ce"))) / F.log(n / F.col("ce"))
-    return pairs.filter(F.col("cte") >= support).withColumn("share", share).filter(F.col("share") >= generalise).select("term", "entity", "share")
+    return pairs.filter(F.col("own") >= support).withColumn("share", share).filter(F.col("share") >= generalise).select("term", "entity", "share")
 
 
 def term_spans(docs: DataFrame, entities: DataFrame, known: DataFrame, id_col: str, text_col: str, remove: float = REMOVE) -> DataFrame:
@@ -197,7 +201,8 @@ def find_personal(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     ``remove``).
 
     A term's span never overlaps a base span. Null text is empty; equal rows get equal
-    spans, and rows that repeat id and text count once in the statistics of entities."""
+    spans. Statistics count rows, repeated ones too, but a term or entity needs ``support``
+    different (id, text)."""
     entities = entity_table(docs, id_col, text_col)
     known = disclosures(docs, entities, text_col, generalise, support)
     told = term_spans(docs, entities, known.groupBy("term").agg(F.max("share").alias("share")), id_col, text_col, remove)

@@ -29,17 +29,19 @@ def whole(docs, generalise=pii.GENERALISE, support=pii.SUPPORT):
         return [(m[0].lower(), m.start(), m.end()) for m in LETTERS.finditer(t or "") if len(m[0].lower()) >= pii.TERM_LETTERS]
 
     entity = lambda s: s[4].lower() if s[3] == "email" else (s[3], "".join(c for c in s[4] if c in "0123456789"))
-    n, ct, ce, cte = len(docs), {}, {}, {}
+    n, ct, ce, cte, own = len(docs), {}, {}, {}, {}
     for _, t in docs:
         for w in set(LETTERS.findall((t or "").lower())):
             ct[w] = ct.get(w, 0) + 1
-    for _, t in set(docs):
+    for i, t in docs:
         terms = {w[0] for w in outside(t)}
         for e in {entity(s) for s in base(t)}:
             ce[e] = ce.get(e, 0) + 1
+            own.setdefault(e, set()).add((i, t))
             for w in terms:
                 cte[e, w] = cte.get((e, w), 0) + 1
-    tell = {w for (e, w), c in cte.items() if c >= support and ce[e] < n and log(n * c / (ct[w] * ce[e])) / log(n / ce[e]) >= generalise}
+                own.setdefault((e, w), set()).add((i, t))
+    tell = {w for (e, w), c in cte.items() if len(own[e, w]) >= support and len(own[e]) >= support and ce[e] < n and log(n * c / (ct[w] * ce[e])) / log(n / ce[e]) >= generalise}
     return [(i, listed(sorted([s[:4] for s in base(t)] + [(a, 4, b, "term") for w, a, b in outside(t) if w in tell]))) for i, t in docs]
 
 
@@ -52,3 +54,14 @@ def test_edges_equal_brute_force(spark):
 def test_corpus_equals_brute_force(spark, corpus):
     got = [(r.doc_id, r.spans) for r in op4_pii(spark, corpus.sf_dir).collect()]
     same(got, whole([(d.doc_id, d.text) for d in corpus.documents]))
+
+
+def test_repeated_rows_change_no_share(spark):
+    """All rows five times, or the entity's alone: the same terms are found."""
+    told = [(i, f"Quibblex of Zanthor and Vemmick, number {i}, reach at boss@corp.example today") for i in range(12)]
+    rest = [(100 + i, f"nothing but plain words, reach at p{i}x@corp.example today") for i in range(300)]
+    for docs in (told + rest, (told + rest) * 5, told * 5 + rest, told + rest * 5):
+        out = pii.find_personal(frame(spark, docs, "doc_id long, text string").repartition(3)).collect()
+        got = [(r.doc_id, listed([(s.start, s.k, s.end, s.kind) for s in r.spans])) for r in out]
+        same(got, whole(docs))
+        assert all(x.count("term") >= 3 for i, x in got if i < 100)
