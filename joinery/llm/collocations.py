@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ LEAST = 10
 TRIE_ENTRIES = 1_000_000
 BURST = 2048
 #: Bytes of text that a task counts at a time.
-CHUNK = 8 << 20
+CHUNK = 4 << 20
 #: Bits of the broadcast field of frequent phrases: 8 MB, whatever the corpus.
 FILTER_BITS = 1 << 26
 #: A first word with more than this share of all words has its prefix dealt in slices.
@@ -80,12 +81,19 @@ class HatTrie:
         root = self.roots[first]
         return sum(map(len, root.values())) if first in self.burst else len(root)
 
-    def subtree(self, first: int) -> tuple[np.ndarray, np.ndarray]:
-        """Packed other words and counts."""
-        root = self.roots[first]
-        nodes = root.items() if first in self.burst else [(0, root)]
-        keys = [np.fromiter(node, np.int64, len(node)) + (second << 32) for second, node in nodes]
-        return np.concatenate(keys), np.concatenate([np.fromiter(node.values(), np.int64, len(node)) for _, node in nodes])
+    def take(self, firsts: Sequence[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The entries of whole subtrees, which go: first word, packed other words, count."""
+        nodes = [(f, second << 32, node) for f in firsts for second, node in (self.roots[f].items() if f in self.burst else ((0, self.roots[f]),))]
+        sizes = np.array([len(node) for _, _, node in nodes])
+        n = int(sizes.sum())
+        first = np.repeat(np.array([f for f, _, _ in nodes], np.int64), sizes)
+        keys = np.fromiter(chain.from_iterable(node for _, _, node in nodes), np.int64, n) + np.repeat(np.array([s for _, s, _ in nodes], np.int64), sizes)
+        counts = np.fromiter(chain.from_iterable(node.values() for _, _, node in nodes), np.int64, n)
+        self.size -= n
+        for f in firsts:
+            self.burst.discard(f)
+            del self.roots[f]
+        return first, keys, counts
 
     def spill(self, keep: int) -> list[int]:
         """First words of the subtrees to write, the heaviest first, until ``keep`` entries stay."""
@@ -98,11 +106,6 @@ class HatTrie:
             left -= n
         return out
 
-    def drop(self, first: int) -> None:
-        self.size -= self.weight(first)
-        self.burst.discard(first)
-        del self.roots[first]
-
 
 def bit_places(hashes: np.ndarray, bits: int) -> np.ndarray:
     return (mix64(hashes) & np.uint64(bits - 1)).astype(np.int64)
@@ -169,15 +172,9 @@ def _runs(lang: str, words: _Words, trie: HatTrie, firsts: Sequence[int], often:
     slices = np.fromiter((SLICES if w in often else 1 for w in names), np.int64, len(names))
     slices[0] = WORD_PARTS
     firsts = sorted(firsts, key=rank.__getitem__)
-    while firsts:
-        held, parts = 0, []
-        while firsts and held < RUN_ENTRIES:
-            keys, counts = trie.subtree(firsts[0])
-            parts.append((np.full(len(keys), firsts[0]), keys, counts))
-            held += len(keys)
-            trie.drop(firsts[0])
-            del firsts[0]
-        first, keys, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
+    sizes = np.cumsum([trie.weight(f) for f in firsts]) // RUN_ENTRIES
+    for some in np.split(np.array(firsts, np.int64), np.flatnonzero(np.diff(sizes)) + 1) if firsts else ():
+        first, keys, counts = trie.take(some.tolist())
         second, last = keys >> 32, keys & 0xFFFFFFFF
         part = (phrase_hashes([words.hashes[second], words.hashes[last]]) % slices[first].astype(np.uint64)).astype(np.int64)
         order = np.lexsort((rank[last], rank[second], part, rank[first]))
