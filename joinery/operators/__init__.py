@@ -25,10 +25,13 @@ from .profile import (
     row_width,
     with_profile,
 )
+from .sketches import key_sketches, union_profile, write_sketches
+from .snapshots import SnapshotState
 from .timeseries import expand_days
 
 __all__ = [
     "NOT_DEFINED",
+    "SnapshotState",
     "advise_broadcast",
     "advise_join",
     "broadcast_threshold",
@@ -44,13 +47,16 @@ __all__ = [
     "join_profile",
     "json_get",
     "json_put",
+    "key_sketches",
     "latest_snapshot",
     "match_stats",
     "merge",
     "profiles_frame",
     "row_width",
     "span_bounds",
+    "union_profile",
     "with_indicator",
     "with_join_key",
     "with_profile",
+    "write_sketches",
 ]

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import (
+    SnapshotState,
     advise_join,
     enrich,
     enrich_hierarchy,
@@ -27,14 +28,17 @@ from ..operators import (
     join_profile,
     json_get,
     json_put,
+    key_sketches,
     latest_snapshot,
     match_stats,
     merge,
     profiles_frame,
     span_bounds,
+    union_profile,
     with_indicator,
     with_join_key,
     with_profile,
+    write_sketches,
 )
 from ..functions.keys import normalise
 from ..session import shared_path
@@ -561,6 +565,48 @@ def q_versioned_overwrite(spark, d):
     return seen
 
 
+def q_union_profile(spark, d):
+    """The profile of the events' users from daily sketches: those of all days but the last
+    five are stored first, the others added, one of them twice."""
+    events = table(spark, d, "events").withColumn("day", F.to_date("ts"))
+    path = shared_path(spark, "sketches")
+    last = events.agg(F.date_sub(F.max("day"), 5).alias("day"))
+    old = events.join(F.broadcast(last.withColumnRenamed("day", "until")), F.col("day") <= F.col("until")).drop("until")
+    new = events.join(F.broadcast(last.withColumnRenamed("day", "until")), F.col("day") > F.col("until")).drop("until")
+    for part in (old, new, new.filter("day IS NOT NULL")):
+        write_sketches(key_sketches(part, "user_id", ["day"]), path, ["day"])
+    exact = events.agg(F.countDistinct("user_id").alias("exact"))
+    close = F.abs(F.col("keys") - F.col("exact")) <= 0.05 * F.col("exact")
+    return union_profile(spark.read.parquet(path)).join(F.broadcast(exact)).select("rows", "null_keys", close.alias("keys_close"))
+
+
+def q_snapshot_state(spark, d):
+    """The latest date of each user and type, merged batch by batch: the events by the
+    remainder of their id, so that every batch brings late rows."""
+    events = table(spark, d, "events")
+    state = SnapshotState(spark, shared_path(spark, "snapshot_state"), ["user_id", "event_type"], "ts")
+    for k in range(3):
+        state.update(events.filter(F.col("event_id") % 3 == k), f"batch {k}")
+    return state.read()
+
+
+def q_snapshot_stream(spark, d):
+    """The same with one type per user, as a stream of files."""
+    events, path = table(spark, d, "events"), shared_path(spark, "snapshot_files")
+    events.withColumn("ts", F.col("ts").cast("date")).repartition(4, "event_id").write.parquet(path)
+    stream = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", 2).parquet(path)
+    state = SnapshotState(spark, shared_path(spark, "snapshot_stream"), ["user_id", "event_type", "event_id"], "ts", latest_only=True)
+    state.follow(stream, shared_path(spark, "snapshot_ckpt")).awaitTermination()
+    return state.read()
+
+
+def q_expand_days_chunks(spark, d):
+    """The spans of the orders in pieces of two days, and one of 20,000 days."""
+    spans = _order_spans(spark, d)
+    spans = spans.withColumn("end_date", F.when(F.col("o_orderkey") == 1, F.date_add("start_date", 19_999)).otherwise(F.col("end_date")))
+    return expand_days(spans, "start_date", "end_date", "snap_date", chunk_days=2)
+
+
 def q_csv_quarantine(spark, d):
     """Events as CSV whose errors have a text for a user and whose signups one value too
     many: good rows and bad lines."""
@@ -641,6 +687,10 @@ QUERIES: dict[str, Query] = {
     "run_enrichment_restart": q_run_enrichment_restart,
     "versioned_overwrite": q_versioned_overwrite,
     "csv_quarantine": q_csv_quarantine,
+    "union_profile": q_union_profile,
+    "snapshot_state": q_snapshot_state,
+    "snapshot_stream": q_snapshot_stream,
+    "expand_days_chunks": q_expand_days_chunks,
 }
 
 
@@ -875,6 +925,18 @@ SELECT count(*) AS rows, count(*) FILTER (WHERE user_id IS NULL) AS null_keys, t
     "run_enrichment_merge": _RUN,
     "run_enrichment_chain": _RUN,
     "run_enrichment_restart": _RUN,
+    "union_profile": "SELECT count(*) AS rows, count(*) FILTER (WHERE user_id IS NULL) AS null_keys, true AS keys_close FROM events",
+    "snapshot_state": "SELECT user_id, event_type, max(ts) AS latest_snap_date FROM events GROUP BY ALL",
+    "snapshot_stream": """
+SELECT user_id, r.t AS event_type, r.e AS event_id, latest_snap_date FROM (
+  SELECT user_id, max({'d': CAST(ts AS DATE), 't': event_type, 'e': event_id}) AS r, max(CAST(ts AS DATE)) AS latest_snap_date
+  FROM events GROUP BY user_id)""",
+    "expand_days_chunks": """
+WITH s AS (
+  SELECT o_orderkey, o_orderstatus, CAST(o_orderdate AS DATE) AS start_date,
+         CAST(o_orderdate AS DATE) + CAST(CASE WHEN o_orderkey = 1 THEN 19999 WHEN o_orderstatus = 'F' THEN 3 WHEN o_orderstatus = 'O' THEN 0 ELSE -2 END AS INTEGER) AS end_date
+  FROM orders)
+SELECT s.*, CAST(d AS DATE) AS snap_date FROM s, unnest(generate_series(least(start_date, end_date), greatest(start_date, end_date), INTERVAL 1 DAY)) t(d)""",
     "versioned_overwrite": """
 WITH s AS (SELECT * FROM (VALUES ('first'), ('after a failure'), ('second')) t(step))
 SELECT o.*, step, CAST(count(*) OVER (PARTITION BY step) AS BIGINT) AS written FROM orders o, s WHERE step = 'second' OR o_orderstatus = 'F'""",
