@@ -27,7 +27,7 @@ LEAST = 10
 TRIE_ENTRIES = 1_000_000
 BURST = 2048
 #: Bytes of text that a task counts at a time.
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 #: Bits of the broadcast field of frequent phrases: 8 MB, whatever the corpus.
 FILTER_BITS = 1 << 26
 #: A first word with more than this share of all words has its prefix dealt in slices.
@@ -236,7 +236,7 @@ def _count(depth: int, shared, hot, bits: int, entries: int):
                     sizes[lang] = 0
             for lang, some in texts.items():
                 yield from counted(lang, b"\n".join(some))
-            while sum(t.size for _, t in tries.values()) > 2 * entries:  # many languages
+            while sum(t.size for _, t in tries.values()) > entries * 5 // 4:  # several languages
                 lang = max(tries, key=lambda x: tries[x][1].size)
                 yield from _runs(lang, *tries[lang], list(tries[lang][1].roots), often)
                 del tries[lang]
