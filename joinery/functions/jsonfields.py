@@ -60,3 +60,34 @@ def upsert_field(parsed: Column, field: str, value: Column) -> Column:
     kept = F.filter(last_entries(parsed), lambda e: e["key"] != F.lit(field))
     new = F.array(F.struct(F.lit(field).alias("key"), value.cast("string").alias("value")))
     return F.map_from_entries(F.concat(kept, new))
+
+
+#: A JSON text's strings, marks, blanks and other values.
+_TOKEN = r"""(?s)"(?:[^"\\]|\\.)*"|'(?:[^'\\]|\\.)*'|[{}\[\]:,]|[\x20\t\r\n]+|[^\x20\t\r\n{}\[\]:,"']+"""
+_NAME = r"""(?s)^[\x20\t\r\n]*("(?:[^"\\]|\\.)*"|'(?:[^'\\]|\\.)*')"""
+
+
+def raw_entries(text: Column) -> Column:
+    """The entries of a JSON object as they are written, ``"name": value`` with all blanks,
+    in their order; only for text that is one JSON object. Nested values are not looked
+    into: commas inside them belong to them."""
+    start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("now"), F.array().cast("array<string>").alias("done"))
+
+    def step(s: Column, t: Column) -> Column:
+        up, down = t.isin("{", "["), t.isin("}", "]")
+        ends = (s["depth"] == 1) & (down | (t == ","))
+        depth = s["depth"] + F.when(up, 1).when(down, -1).otherwise(0)
+        now = F.when(ends | (s["depth"] == 0), "").otherwise(F.concat(s["now"], t))
+        done = F.when(ends & (F.btrim(s["now"], F.lit(" \t\r\n")) != ""), F.concat(s["done"], F.array(s["now"]))).otherwise(s["done"])
+        return F.struct(depth.alias("depth"), now.alias("now"), done.alias("done"))
+
+    return F.aggregate(F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0)), start, step, lambda s: s["done"])
+
+
+def put_raw(text: Column, field: str, value: Column) -> Column:
+    """The JSON object ``text`` with ``field`` set to the text ``value`` as its last entry
+    and all other entries as they were written."""
+    name = lambda e: F.get_json_object(F.concat(F.lit('{"n":'), F.regexp_extract(e, _NAME, 1), F.lit("}")), "$.n")
+    kept = F.filter(raw_entries(text), lambda e: ~name(e).eqNullSafe(F.lit(field)))
+    entry = F.to_json(F.create_map(F.lit(field), value.cast("string")))
+    return F.concat(F.lit("{"), F.array_join(F.concat(kept, F.array(F.substring(entry, 2, 1 << 30))), ","))

@@ -607,6 +607,16 @@ def q_expand_days_chunks(spark, d):
     return expand_days(spans, "start_date", "end_date", "snap_date", chunk_days=2)
 
 
+def q_json_put_lossless(spark, d):
+    """Payloads with exact numbers, nested values and blanks; one in two has the field."""
+    events = table(spark, d, "events")
+    rest = F.concat(F.lit('"n": 1.10, "big":12345678901234567890123 ,"in":{"k":[1, 2.50,"}"],"kind":"x"}'), F.lit(',"user": "'), F.col("user_id"), F.lit('"'))
+    old = F.when(F.col("event_id") % 2 == 0, '"kind":["old",1],').otherwise("")
+    payload = F.when(F.col("event_id") % 5 != 4, F.concat(F.lit("{"), old, rest, F.lit("}"))).when(F.col("event_id") % 10 == 9, " { } ")
+    out = events.select("event_id", "event_type", payload.alias("payload"))
+    return json_put(out, "payload", "kind", "event_type", lossless=True)
+
+
 def q_csv_quarantine(spark, d):
     """Events as CSV whose errors have a text for a user and whose signups one value too
     many: good rows and bad lines."""
@@ -687,6 +697,7 @@ QUERIES: dict[str, Query] = {
     "run_enrichment_restart": q_run_enrichment_restart,
     "versioned_overwrite": q_versioned_overwrite,
     "csv_quarantine": q_csv_quarantine,
+    "json_put_lossless": q_json_put_lossless,
     "union_profile": q_union_profile,
     "snapshot_state": q_snapshot_state,
     "snapshot_stream": q_snapshot_stream,
@@ -925,6 +936,12 @@ SELECT count(*) AS rows, count(*) FILTER (WHERE user_id IS NULL) AS null_keys, t
     "run_enrichment_merge": _RUN,
     "run_enrichment_chain": _RUN,
     "run_enrichment_restart": _RUN,
+    "json_put_lossless": """
+SELECT event_id, event_type,
+       '{' || CASE WHEN event_id % 5 <> 4
+              THEN '"n": 1.10, "big":12345678901234567890123 ,"in":{"k":[1, 2.50,"}"],"kind":"x"},"user": "' || user_id || '",' ELSE '' END
+       || '"kind":"' || event_type || '"}' AS payload
+FROM events""",
     "union_profile": "SELECT count(*) AS rows, count(*) FILTER (WHERE user_id IS NULL) AS null_keys, true AS keys_close FROM events",
     "snapshot_state": "SELECT user_id, event_type, max(ts) AS latest_snap_date FROM events GROUP BY ALL",
     "snapshot_stream": """

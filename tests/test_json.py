@@ -60,3 +60,31 @@ def test_json_put_twice_is_once(spark):
     once = json_put(df, "j", "f", F.lit("v"))
     twice = json_put(once, "j", "f", F.lit("v"))
     assert sorted(map(tuple, once.collect()), key=str) == sorted(map(tuple, twice.collect()), key=str)
+
+
+LOSSLESS = [
+    ('{"a":1.10}', '{"a":1.10,"f":"v"}'),
+    ('{}', '{"f":"v"}'),
+    (' { \n} ', '{"f":"v"}'),
+    (None, '{"f":"v"}'),
+    ('{"f":1}', '{"f":"v"}'),
+    ('{"f":{"f":2},"a":[1, {"f":3}] }', '{"a":[1, {"f":3}] ,"f":"v"}'),
+    ('{"a":"x,y}","b":"\\"{","f":"old","c":1e5}', '{"a":"x,y}","b":"\\"{","c":1e5,"f":"v"}'),
+    ('{"a":12345678901234567890123.4500, "a":2}', '{"a":12345678901234567890123.4500, "a":2,"f":"v"}'),
+    ('{"\\u0066":1,"é":null}', '{"é":null,"f":"v"}'),
+    ("{'f':1,'b':'x\"y'}", "{'b':'x\"y',\"f\":\"v\"}"),
+    ('{"f":1', '{"f":1'),
+    ('[1]', '[1]'),
+    ('{"a":1} tail', '{"a":1} tail'),
+]
+
+
+def test_lossless_put_keeps_other_fields_as_written(spark):
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(LOSSLESS)], "i int, j string")
+    out = {r.i: r for r in json_put(df, "j", "f", F.lit("v"), flag="bad", lossless=True).collect()}
+    assert [out[i].j for i in range(len(LOSSLESS))] == [want for _, want in LOSSLESS]
+    assert [i for i in out if out[i].bad] == [10, 11, 12]
+    twice = json_put(json_put(df, "j", "f", F.lit("u"), lossless=True), "j", "f", F.lit("v"), lossless=True)
+    assert [r.j for r in twice.orderBy("i").collect()] == [want for _, want in LOSSLESS]
+    odd = json_put(df.filter("i = 0"), "j", 'q"\\', F.lit('say "v"\n'), lossless=True).first().j
+    assert odd == '{"a":1.10,"q\\"\\\\":"say \\"v\\"\\n"}'
