@@ -47,6 +47,7 @@ from ..sources import (
     conform,
     read_version,
     scan,
+    scan_mixed,
     scan_table,
     scan_with_quarantine,
     versions,
@@ -617,6 +618,17 @@ def q_json_put_lossless(spark, d):
     return json_put(out, "payload", "kind", "event_type", lossless=True)
 
 
+def q_mixed_folder(spark, d):
+    """Orders in three folders: one with short keys and no status, one with a date for the
+    timestamp, one as they are."""
+    orders, path = table(spark, d, "orders"), shared_path(spark, "mixed")
+    part = lambda k: orders.filter(F.col("o_orderkey") % 3 == k)
+    part(0).withColumn("o_custkey", F.col("o_custkey").cast("int")).drop("o_orderstatus").write.parquet(f"{path}/a")
+    part(1).withColumn("o_orderdate", F.col("o_orderdate").cast("date")).write.parquet(f"{path}/b")
+    part(2).write.parquet(f"{path}/c")
+    return scan_mixed(spark, path)[0]
+
+
 def q_csv_quarantine(spark, d):
     """Events as CSV whose errors have a text for a user and whose signups one value too
     many: good rows and bad lines."""
@@ -697,6 +709,7 @@ QUERIES: dict[str, Query] = {
     "run_enrichment_restart": q_run_enrichment_restart,
     "versioned_overwrite": q_versioned_overwrite,
     "csv_quarantine": q_csv_quarantine,
+    "mixed_folder": q_mixed_folder,
     "json_put_lossless": q_json_put_lossless,
     "union_profile": q_union_profile,
     "snapshot_state": q_snapshot_state,
@@ -942,6 +955,9 @@ SELECT event_id, event_type,
               THEN '"n": 1.10, "big":12345678901234567890123 ,"in":{"k":[1, 2.50,"}"],"kind":"x"},"user": "' || user_id || '",' ELSE '' END
        || '"kind":"' || event_type || '"}' AS payload
 FROM events""",
+    "mixed_folder": """
+SELECT * REPLACE (CASE WHEN o_orderkey % 3 <> 0 THEN o_orderstatus END AS o_orderstatus,
+                  CASE WHEN o_orderkey % 3 = 1 THEN CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) ELSE o_orderdate END AS o_orderdate) FROM orders""",
     "union_profile": "SELECT count(*) AS rows, count(*) FILTER (WHERE user_id IS NULL) AS null_keys, true AS keys_close FROM events",
     "snapshot_state": "SELECT user_id, event_type, max(ts) AS latest_snap_date FROM events GROUP BY ALL",
     "snapshot_stream": """

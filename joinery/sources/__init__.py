@@ -1,5 +1,6 @@
 """Sources, sinks and declared schemas."""
 
+from .mixed import scan_mixed
 from .readers import detect_format, scan, scan_table, scan_with_quarantine
 from .schema import SchemaLike, assert_schema, conform, schema_diff, schema_from_spec
 from .sinks import MULTI_LINE, dated_path, write_bucketed, write_csv, write_dated
@@ -18,6 +19,7 @@ __all__ = [
     "input_fingerprint",
     "read_version",
     "scan",
+    "scan_mixed",
     "scan_table",
     "scan_with_quarantine",
     "schema_diff",
