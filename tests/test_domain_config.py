@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from joinery import run_enrichment
 
+# The columns and types of the configured schemas.
 PRIMARY = [
     ("data_source", "StringType"), ("event_id", "IntegerType"), ("activity_reference_id", "StringType"),
     ("activity_received_timestamp", "TimestampType"), ("activity_latest_timestamp", "TimestampType"),
