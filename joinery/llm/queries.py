@@ -63,7 +63,8 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(_table(spark, sf_dir, "documents"))
+    out = packing.pack_documents(_table(spark, sf_dir, "documents"), texts=True)
+    return out.withColumn("piece_sha256", F.sha2(F.col("piece").cast("binary"), 256)).drop("piece")
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

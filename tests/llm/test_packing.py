@@ -32,11 +32,20 @@ def check(rows, lengths, sizes):
     assert not pieces
 
 
-def brute_pack(lengths, sizes, overhead):
+def brute_fill(lengths, at, n, size):
+    """The most tokens beside the first piece of ``n`` that shorter or later ones add."""
+    sums = {n}
+    for j, m in enumerate(lengths):
+        if j != at and m <= n:
+            sums |= {s + m for s in sums if s + m <= size}
+    return max(sums)
+
+
+def brute_place(lengths, mix, sizes, overhead):
     """Best fit by looking at every bin."""
     order = sorted(range(len(lengths)), key=lambda i: (-lengths[i], i))
     rest, bins = sum(lengths), []
-    place = {}
+    at = {}
     for i in order:
         n = lengths[i]
         rest -= n
@@ -46,18 +55,97 @@ def brute_pack(lengths, sizes, overhead):
         else:
             spare = sum(s - u for s, u in bins)
             b = len(bins)
-            bins.append((min((s for s in sizes if s >= n), key=lambda s: (s + overhead) / (n + min(s - n, max(0, rest - spare)))), 0))
-        place[i] = (b, bins[b][1])
+            may = [s for s in mix if s >= n] or [min(s for s in sizes if s >= n)]
+            bins.append((min(may, key=lambda s: (s + overhead) / min(brute_fill(lengths, i, n, s), n + max(0, rest - spare))), 0))
+        at[i] = (b, bins[b][1])
         bins[b] = (bins[b][0], bins[b][1] + n)
-    return [place[i] for i in range(len(lengths))], [min(s for s in sizes if s >= u) for _, u in bins]
+    return [at[i] for i in range(len(lengths))], [min(s for s in sizes if s >= u) for _, u in bins]
+
+
+def cost(final, overhead):
+    return sum(final) + overhead * len(final)
+
+
+def exact(lengths, sizes, overhead):
+    """The least cost of all ways to deal the pieces into bins."""
+    best = [10**9]
+
+    def deal(i, bins):
+        if i == len(lengths):
+            best[0] = min(best[0], cost([min(s for s in sizes if s >= u) for u in bins], overhead))
+            return
+        for b in range(len(bins)):
+            if bins[b] + lengths[i] <= max(sizes):
+                deal(i + 1, [u + lengths[i] * (j == b) for j, u in enumerate(bins)])
+        deal(i + 1, [*bins, lengths[i]])
+
+    deal(0, [])
+    return best[0]
 
 
 def test_best_fit_equals_brute_force():
     rnd = random.Random(3)
     for _ in range(60):
-        lengths = [rnd.randint(1, 31) for _ in range(rnd.randint(1, 60))]
-        bins, offsets, final = packing.pack(np.array(lengths), SIZES, 2)
-        assert (list(zip(bins.tolist(), offsets.tolist(), strict=True)), final.tolist()) == brute_pack(lengths, SIZES, 2)
+        lengths = np.array([rnd.randint(1, 31) for _ in range(rnd.randint(1, 40))])
+        mix = sorted(rnd.sample(SIZES, rnd.randint(1, 3)))
+        bins, offsets, final = packing.place(lengths, mix, SIZES, 2, packing.fills(lengths, SIZES))
+        assert (list(zip(bins.tolist(), offsets.tolist(), strict=True)), final.tolist()) == brute_place(lengths.tolist(), mix, SIZES, 2)
+
+
+@pytest.mark.parametrize("sizes", [(8, 16, 32), (10, 15, 32), (7, 19, 30)])
+def test_joint_sizes_against_exact_and_single_sizes(sizes):
+    rnd = random.Random(5)
+    ours = least = 0
+    for _ in range(60):
+        lengths = [rnd.randint(1, max(sizes) - 1) for _ in range(rnd.randint(1, 7))]
+        now, want = cost(packing.pack(np.array(lengths), sizes, 2)[2].tolist(), 2), exact(lengths, sizes, 2)
+        assert now >= want
+        for size in sizes:
+            assert now <= cost(brute_place(lengths, [size], sizes, 2)[1], 2)
+        ours, least = ours + now, least + want
+    assert ours <= 1.03 * least
+
+
+@pytest.mark.parametrize("low, high", [(690, 719), (400, 519), (1400, 1599)])
+def test_never_dearer_than_one_size(low, high):
+    lengths = np.random.default_rng(low).integers(low, high + 1, 4000)
+    most = packing.fills(lengths, packing.SIZES)
+    now = cost(packing.pack(lengths)[2].tolist(), packing.OVERHEAD)
+    assert now <= min(cost(packing.place(lengths, [s], packing.SIZES, packing.OVERHEAD, most)[2].tolist(), packing.OVERHEAD) for s in packing.SIZES)
+
+
+@pytest.mark.parametrize("sizes, bands", [((1000, 1500, 4096), ((930, 1000), (1300, 1360))), ((2100, 4096), ((2060, 2100), (1300, 1365)))])
+def test_a_mix_beats_every_single_size(sizes, bands):
+    rng = np.random.default_rng(1)
+    lengths = np.concatenate([rng.integers(a, b + 1, 1000) for a, b in bands])
+    most = packing.fills(lengths, sizes)
+    now = cost(packing.pack(lengths, sizes)[2].tolist(), 16)
+    for size in sizes:
+        final = packing.place(lengths, [size], sizes, 16, most)[2]
+        assert now < cost(final.tolist(), 16)
+
+
+def test_sequences_hold_the_texts(spark):
+    docs = [(i, " ".join(f"d{i}w{j}" for j in range(n))) for i, n in enumerate([1, 3, 31, 32, 33, 100, 8, 0])]
+    docs += [(None, "null id \t text"), (3, docs[3][1]), (3, "other text of three"), (90, None), (91, "\u2003 \u00e9 x\u0085y")]
+    df = frame(spark, [(*d, 1) for d in docs], "doc_id long, text string, piece int")
+    packed = packing.pack_documents(df, sizes=SIZES, texts=True, shard_pieces=6)
+    rows = packed.collect()
+    check(rows, {k: [len((t or "").encode().split()) for i, t in docs if i == k] for k in {i for i, _ in docs}}, SIZES)
+    words = defaultdict(list)
+    for r in rows:
+        words[r.doc_id] += r.piece.encode().split()
+        assert len(r.piece.encode().split()) == r.n_tokens
+    assert {k: sorted(v) for k, v in words.items()} == {
+        k: sorted(w for i, t in docs if i == k for w in (t or "").encode().split()) for k in words}
+    by_bin = {r.bin: r for r in packing.sequences(packed).collect()}
+    assert set(by_bin) == {r.bin for r in rows}
+    for name, seq in by_bin.items():
+        own = sorted((r for r in rows if r.bin == name), key=lambda r: r.bin_offset)
+        assert seq.text == " ".join(r.piece for r in own)
+        assert [(p.doc_id, p.start, p.n_tokens, p.bin_offset) for p in seq.pieces] == [(r.doc_id, r.start, r.n_tokens, r.bin_offset) for r in own]
+    with pytest.raises(ValueError):
+        packing.pack_documents(df, tokens=F.lit(3), texts=True)
 
 
 def test_query_packs_every_token(spark, corpus):
