@@ -11,12 +11,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .staging import staged
 from .texts import held_out, item_words, q
 
 #: Hash space of the features.
 BITS = 20
 #: Labelled rows a model learns from: all of them up to this expected number, beyond it a
-#: share chosen by a hash of the id.
+#: share chosen by a hash of id and text.
 SAMPLE_ROWS = 20_000
 #: Rows of a shard, on average; shards learn side by side and are averaged.
 SHARD_ROWS = 5_000
@@ -88,8 +89,10 @@ def style_grams(text: bytes | None) -> np.ndarray:
 
 def labelled_features(docs: DataFrame, labels: DataFrame, target: str, extract: Extract,
                       text_col: str = "text", id_col: str = "doc_id", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """``(shard, ordr, y, slots)`` of the labelled documents that are not held out, all
-    of them or a hashed share of about ``sample_rows``; ``target`` is a column of ``labels``.
+    """``(shard, ordr, y, slots)`` of the labelled documents that are not held out, each
+    different text of an id once: all of them or a hashed share of about ``sample_rows``;
+    ``target`` is a column of ``labels``. Both the sample and the shards go by id and text,
+    so an id with many texts is dealt over all shards and counts for the bound with each.
     A null or conflicting label: nulls are left out, the largest label of an id counts."""
     known = (
         labels.filter(q(id_col).isNotNull() & ~held_out(q(id_col)))
@@ -100,9 +103,13 @@ def labelled_features(docs: DataFrame, labels: DataFrame, target: str, extract:
         known = known.filter(F.pmod(F.xxhash64("__id"), F.lit(1_000_000)) < int(1_000_000 * sample_rows / total))
     # at most about sample_rows pairs of numbers, so the broadcast is bounded
     rows = docs.select(q(id_col).alias("__id"), q(text_col).cast("string").alias("__text")).join(F.broadcast(known), "__id")
-    shards = -(-max(1, min(total, sample_rows)) // SHARD_ROWS)
-    rows = rows.select((F.pmod(F.xxhash64("__id", F.lit(1)), F.lit(shards))).cast("int").alias("shard"),
-                       F.xxhash64("__id", "__text").alias("ordr"), F.col("__y").cast("int").alias("y"), "__text")
+    rows = rows.withColumn("ordr", F.xxhash64("__id", "__text"))
+    pairs = rows.select("__id", "ordr").distinct().count()
+    if pairs > 1.1 * sample_rows:
+        rows = rows.filter(F.pmod(F.xxhash64("ordr", F.lit(2)), F.lit(1_000_000)) < int(1_000_000 * sample_rows / pairs))
+    shards = -(-max(1, min(pairs, sample_rows)) // SHARD_ROWS)
+    rows = rows.groupBy("__id", "ordr").agg(F.max("__y").cast("int").alias("y"), F.max("__text").alias("__text"))
+    rows = rows.select(F.pmod(F.xxhash64("ordr", F.lit(1)), F.lit(shards)).cast("int").alias("shard"), "ordr", "y", "__text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -124,7 +131,9 @@ def in_order(table: pa.Table) -> tuple[np.ndarray, list[np.ndarray]]:
 
 
 def averaged(parts: DataFrame, size: int) -> np.ndarray:
-    """The mean over shards of ``(slot, weight)`` rows; at most ``size`` rows come back."""
+    """The mean over shards of ``(slot, weight)`` rows, which are written out, so that the
+    shards learn once; at most ``size`` rows come back."""
+    parts = staged(parts, "weights")
     shards = max(1, parts.select("shard").distinct().count())
     out = np.zeros(size, np.float64)
     for r in parts.groupBy("slot").agg(F.sum("weight").alias("w")).filter("w <> 0").toLocalIterator():

@@ -1,5 +1,7 @@
+import math
 import zlib
 
+import numpy as np
 import pytest
 
 from joinery.llm import features, quality, toxicity
@@ -47,6 +49,43 @@ def test_quality_on_held_out_rows(spark):
     assert sum((s >= 0.5) == bool(y) for s, y in out) / len(out) > 0.95
 
 
+def test_every_grade_is_found(spark):
+    labels = spark.read.parquet(f"{SF1}/labels.parquet").collect()
+    truth = {r.doc_id: 0 if r.quality == 0 else 1 if r.toxic else 2 for r in labels if r.quality is not None}
+    rows = [r for r in op8_quality(spark, SF1).collect() if r.held_out and r.doc_id in truth]
+    for grade, least in ((0, 0.9), (1, 0.5), (2, 0.95)):
+        own = [r for r in rows if truth[r.doc_id] == grade]
+        assert sum(r.grade == grade for r in own) / len(own) >= least, grade
+    mean = [sum(r.expected_grade for r in rows if truth[r.doc_id] == g) / sum(truth[r.doc_id] == g for r in rows) for g in range(3)]
+    assert mean[0] + 0.5 < mean[1] < mean[2] - 0.2
+
+
+def test_gradient_of_the_cumulative_link():
+    t, f, e = np.array([-1.3, 0.4, 2.0]), 0.7, 1e-6
+
+    def loss(t, f, k):
+        s = [0.0, *(1 / (1 + math.exp(-(x - f))) for x in t), 1.0]
+        return -math.log(s[k + 1] - s[k])
+
+    for k in range(4):
+        by_f, by_t = quality.gradient(t, f, k)
+        assert by_f == pytest.approx((loss(t, f + e, k) - loss(t, f - e, k)) / (2 * e), abs=1e-5)
+        for j in range(3):
+            d = e * (np.arange(3) == j)
+            assert by_t[j] == pytest.approx((loss(t + d, f, k) - loss(t - d, f, k)) / (2 * e), abs=1e-5)
+
+
+def test_one_id_with_a_third_of_the_rows(spark):
+    docs, labels, rows = small(spark)
+    hot = [(4, f"kind words of copy {i % 150}", 1) for i in range(600)]
+    many = docs.unionByName(frame(spark, hot, "doc_id long, text string, Score int"))
+    got = features.labelled_features(many, labels, "toxic", features.word_grams, sample_rows=100)
+    assert 60 < got.count() < 140
+    whole = features.labelled_features(many, labels, "toxic", features.word_grams).collect()
+    ids = [i for i in range(300) if not held(i)]
+    assert not held(4) and len(whole) == len(ids) + 150 and len({r.ordr for r in whole}) == len(whole)
+
+
 def small(spark):
     docs = [(i, ("you utter clown number " if i % 3 == 0 else "a kind word for ") + f"x{i}", 1) for i in range(300)]
     docs += [(None, None, 1), (7000, "", 1), (7001, "clown " * 30_000, 1), (5, docs[5][1], 1), (7002, "...", 1)]
