@@ -51,8 +51,9 @@ def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Training sequences: every token of the documents that are left, in its place."""
-    return pack_documents(docs)
+    """Training sequences: every piece of the documents that are left, with its text and its
+    place in the sequence."""
+    return pack_documents(docs, texts=True)
 
 
 STAGES = [
