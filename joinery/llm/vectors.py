@@ -2,7 +2,11 @@
 
 Each unit vector is stored as int8 codes with a scale and the norm of what quantisation
 lost. The product of two code tiles then brackets every cosine of the tile; only pairs
-whose upper bound reaches the threshold are computed again in double precision."""
+whose upper bound reaches the threshold are computed again in double precision.
+
+Tiles are cut out of cells: rings around pivots, which a bounded sample supplies. By the
+triangle inequality of angles a vector has links into a cell only if its angle to the
+pivot is within the threshold's angle of the cell's ring, so other tiles are not met."""
 
 from __future__ import annotations
 
@@ -23,6 +27,10 @@ TILE = 2_048
 ROUNDING = 1e-5
 #: Candidate pairs recomputed at a time.
 CHUNK = 200_000
+#: Pivots of all labels together at most, about; candidates for each of them.
+PIVOTS, CANDIDATES = 1_024, 4
+#: Room for rounding in angles (arc cosines near 1 lose half of a double's digits).
+ANGLE_ROUNDING = 1e-6
 ADDED = ("n_links", "component_id", "kept")
 
 
@@ -43,21 +51,103 @@ def quantise(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return codes, scale, np.linalg.norm(unit - codes * scale[:, None], axis=1)
 
 
-def _codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        codes, scales, errors, raw = [], [], [], []
-        for cell in batch.column("vector"):
-            v = np.array(cell.as_py(), np.float64)
-            c, s, e = quantise(v[None, :])
-            codes.append(c.tobytes())
-            scales.append(float(s[0]))
-            errors.append(float(e[0]))
-            raw.append(v.tobytes())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("node"), batch.column("label"), batch.column("n"), pa.array(codes, pa.binary()),
-             pa.array(scales, pa.float64()), pa.array(errors, pa.float64()), pa.array(raw, pa.binary())],
-            names=["node", "label", "n", "codes", "scale", "error", "raw"],
-        )
+def unit_vectors(vectors: np.ndarray) -> np.ndarray:
+    unit = vectors / np.abs(vectors).max(axis=1, keepdims=True)
+    return unit / np.linalg.norm(unit, axis=1, keepdims=True)
+
+
+def angles(unit: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(unit @ pivots.T, -1, 1))
+
+
+def spread_out(unit: np.ndarray, count: int) -> np.ndarray:
+    """``count`` of the rows at most, each the farthest from those before it; repeats end it."""
+    picked, near = [0], angles(unit, unit[:1])[:, 0]
+    while len(picked) < count and near.max() > ANGLE_ROUNDING:
+        picked.append(int(near.argmax()))
+        near = np.minimum(near, angles(unit, unit[picked[-1:]])[:, 0])
+    return unit[picked]
+
+
+def choose_pivots(rows: DataFrame, tile: int, most: int = PIVOTS) -> dict:
+    """Pivots by (label, length): one for each ``tile`` of rows, ``most`` in all, chosen from
+    a hashed sample of about ``CANDIDATES`` times as many rows. A label that the sample
+    misses, or that has one candidate, has none and is one cell."""
+    total = rows.count()
+    want = min(most, total // tile)
+    if want < 2:
+        return {}
+    share = int(CANDIDATES * want / total * (1 << 30))
+    groups: dict = {}
+    for r in sorted(rows.filter(F.pmod(F.xxhash64("node", F.lit(3)), F.lit(1 << 30)) < share).select("node", "label", "vector").collect()):
+        groups.setdefault((r.label, len(r.vector)), []).append(r.vector)
+    return {key: spread_out(unit_vectors(np.array(own, np.float64)), -(-len(own) // CANDIDATES)) for key, own in groups.items() if len(own) > 1}
+
+
+def _by_key(batch: pa.RecordBatch, lengths: np.ndarray) -> Iterator[tuple[tuple, np.ndarray]]:
+    """Row numbers of a batch by label and vector length."""
+    own: dict = {}
+    for k, key in enumerate(zip(batch.column("label").to_pylist(), lengths.tolist(), strict=True)):
+        own.setdefault(key, []).append(k)
+    for key, at in own.items():
+        yield key, np.array(at)
+
+
+def _codes(pivots: dict, ring: float):
+    """Codes, and the cell of each vector: its nearest pivot's ring of width ``ring``."""
+    rings = int(np.pi / ring) + 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column("vector")
+            flat = column.flatten().to_numpy()
+            ends = np.concatenate(([0], np.cumsum(column.value_lengths().to_numpy())))
+            size = len(column)
+            codes, raw = [b""] * size, [b""] * size
+            scale, error, angle, cell = np.zeros(size), np.zeros(size), np.zeros(size), np.zeros(size, np.int32)
+            for (label, length), at in _by_key(batch, np.diff(ends)):
+                v = flat[ends[at][:, None] + np.arange(length)]
+                c, scale[at], error[at] = quantise(v)
+                for k, one, own in zip(at, c, v, strict=True):
+                    codes[k], raw[k] = one.tobytes(), own.tobytes()
+                if (label, length) in pivots:
+                    far = angles(unit_vectors(v), pivots[label, length])
+                    near = far.argmin(axis=1)
+                    angle[at] = far[np.arange(len(at)), near]
+                    cell[at] = near * rings + (angle[at] / ring).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), batch.column("label"), batch.column("n"), pa.array(codes, pa.binary()), pa.array(scale),
+                 pa.array(error), pa.array(raw, pa.binary()), pa.array(np.diff(ends).astype(np.int32)), pa.array(cell), pa.array(angle)],
+                names=["node", "label", "n", "codes", "scale", "error", "raw", "dim", "cell", "angle"],
+            )
+
+    return run
+
+
+def _sends(pivots: dict, cells: dict, ring: float, reach: float):
+    """The other cells in which a vector may have links. Of two cells one sends to the
+    other, by the parity of their sum, so that each pair of vectors meets once."""
+    rings = int(np.pi / ring) + 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            home, raw = batch.column("cell").to_numpy(), batch.column("raw").to_pylist()
+            sends = [[]] * len(home)
+            for (label, length), own in _by_key(batch, batch.column("dim").to_numpy()):
+                if (label, length) not in pivots:
+                    continue
+                cell, low, high = cells[label, length]
+                for at in np.split(own, range(1_000, len(own), 1_000)):
+                    v = np.frombuffer(b"".join(raw[k] for k in at), np.float64).reshape(len(at), length)
+                    far = angles(unit_vectors(v), pivots[label, length])[:, cell // rings]
+                    from_ = home[at][:, None]
+                    turn = (from_ < cell) == ((from_ + cell) % 2 == 0)
+                    hit = (far >= low - reach) & (far <= high + reach) & turn & (from_ != cell)
+                    for k, row in zip(at, hit, strict=True):
+                        sends[k] = cell[row].tolist()
+            yield batch.append_column("sends", pa.array(sends, pa.list_(pa.int32())))
+
+    return run
 
 
 def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -118,21 +208,51 @@ def _tile(threshold: float):
     return run
 
 
+def vector_tiles(rows: DataFrame, threshold: float, tile: int = TILE) -> DataFrame:
+    """The tiles to compare, as rows ``(label, dim, cell, i, j, t, node, n, codes, scale,
+    error, raw)`` to be grouped by the first five: the rows with ``t = i`` against those
+    with ``t = j``.
+
+    The vectors of one label and length are dealt into cells, those of a cell by hash into
+    blocks of about ``tile``. Each pair of a cell's blocks is a tile, and so is each of its
+    blocks with each block (``j`` < 0) of the vectors that other cells send: a tile has
+    about 2 x ``tile`` rows, however many vectors a label or a cell has."""
+    label = dict(rows.dtypes)["label"]
+    reach = float(np.arccos(np.clip(threshold, -1, 1))) + ANGLE_ROUNDING
+    ring = max(reach, 0.05)
+    pivots = choose_pivots(rows, tile)
+    columns = f"node long, label {label}, n long, codes binary, scale double, error double, raw binary, dim int, cell int, angle double"
+    coded = staged(rows.select("node", "label", "n", "vector").mapInArrow(_codes(pivots, ring), columns), "vec_codes")
+    of = ["label", "dim", "cell"]
+    body = ["node", "n", "codes", "scale", "error", "raw"]
+    cells = coded.groupBy(*of).agg(F.ceil(F.count(F.lit(1)) / F.lit(tile)).cast("int").alias("blocks"), F.min("angle").alias("low"), F.max("angle").alias("high"))
+    home = coded.join(cells.select(*of, "blocks"), of).withColumn("t", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    within = home.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    within = within.select(*of, F.least("t", "o").alias("i"), F.greatest("t", "o").alias("j"), "t", *body)
+    if not pivots:
+        return within
+    known: dict = {}  # at most a few rings for each pivot
+    split = F.broadcast(rows.sparkSession.createDataFrame([(k[0], k[1]) for k in pivots], f"label {label}, dim int"))
+    for r in sorted(cells.join(split, ["label", "dim"], "left_semi").select(*of, "low", "high").collect()):
+        known.setdefault((r.label, r.dim), []).append((r.cell, r.low, r.high))
+    known = {k: (np.array([x[0] for x in v], np.int32), np.array([x[1] for x in v]), np.array([x[2] for x in v])) for k, v in known.items()}
+    sent = staged(coded.mapInArrow(_sends(pivots, known, ring, reach), columns + ", sends array<int>").filter(F.size("sends") > 0), "vec_sends")
+    sent = sent.select("label", "dim", F.explode("sends").alias("cell"), *body)
+    guests = sent.groupBy(*of).agg(F.ceil(F.count(F.lit(1)) / F.lit(tile)).cast("int").alias("chunks"))
+    sent = sent.join(guests, of).join(cells.select(*of, "blocks"), of)
+    sent = sent.withColumn("t", -1 - F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
+    sent = sent.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    hosts = home.join(guests, of).withColumn("c", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    hosts = hosts.select(*of, F.col("t").alias("i"), (-1 - F.col("c")).alias("j"), "t", *body)
+    return within.unionByName(hosts).unionByName(sent.select(*of, "i", F.col("t").alias("j"), "t", *body))
+
+
 def vector_links(rows: DataFrame, threshold: float, tile: int = TILE) -> tuple[DataFrame, DataFrame]:
     """For distinct vectors ``(node, label, n, vector)``: ``(node, links)`` with the weight
     of the other vectors linked to each, and ``(a, b)`` links that span the components.
-
-    The vectors of one label and length are dealt by hash into blocks of about ``tile``;
-    each pair of blocks is one group, however many vectors a label has. A group returns a
-    row for each of its vectors at most."""
-    coded = staged(rows.select("node", "label", "n", "vector").mapInArrow(
-        _codes, f"node long, label {dict(rows.dtypes)['label']}, n long, codes binary, scale double, error double, raw binary"), "vec_codes")
-    keyed = coded.withColumn("dim", F.octet_length("codes"))
-    blocks = keyed.groupBy("label", "dim").agg(F.ceil(F.count(F.lit(1)) / F.lit(tile)).cast("int").alias("blocks"))
-    keyed = keyed.join(blocks, ["label", "dim"]).withColumn("t", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    keyed = keyed.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    keyed = keyed.withColumn("i", F.least("t", "o")).withColumn("j", F.greatest("t", "o")).drop("o", "blocks")
-    found = staged(keyed.groupBy("label", "dim", "i", "j").applyInArrow(_tile(threshold), "node long, links long, root long"), "vec_links")
+    A tile returns a row for each of its vectors at most."""
+    tiles = vector_tiles(rows, threshold, tile).groupBy("label", "dim", "cell", "i", "j")
+    found = staged(tiles.applyInArrow(_tile(threshold), "node long, links long, root long"), "vec_links")
     return found.groupBy("node").agg(F.sum("links").alias("links")), found.select(F.col("node").alias("a"), F.col("root").alias("b"))
 
 

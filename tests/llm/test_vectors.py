@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from joinery.llm import vectors
 from joinery.llm.queries import op10_vectors
@@ -74,6 +75,36 @@ def test_made_vectors_in_small_tiles(spark):
     same(out.select("vec_id", "n_links", "component_id", "kept").collect(), brute(rows))
 
 
+def clustered(count, size, dim=24):
+    rng = np.random.default_rng(3)
+    out = []
+    for _ in range(count):
+        centre = rng.normal(size=dim)
+        out += [[float(x) for x in centre + rng.normal(size=dim) * 0.2] for _ in range(size)]
+    return [(i, v, 1) for i, v in enumerate(out)]
+
+
+def test_cells_spare_tiles_and_lose_no_link(spark):
+    rows = clustered(40, 50)
+    same([tuple(r) for r in vectors.embedding_near_duplicates(
+        frame(spark, rows, "vec_id long, embedding array<double>, label int").repartition(5), tile=32)
+        .select("vec_id", "n_links", "component_id", "kept").collect()], brute(rows))
+    nodes = frame(spark, [(i, 1, 1, v) for i, v, _ in rows], "node long, label int, n long, vector array<double>")
+    tiles = vectors.vector_tiles(nodes, 0.93, tile=32).groupBy("label", "dim", "cell", "i", "j").agg(
+        F.sum((F.col("t") == F.col("i")).cast("long")).alias("a"), F.sum((F.col("t") == F.col("j")).cast("long")).alias("b"))
+    met = tiles.select(F.sum(F.when(F.col("i") == F.col("j"), F.col("a") * (F.col("a") - 1) / 2).otherwise(F.col("a") * F.col("b")))).first()[0]
+    assert met < 0.25 * len(rows) * (len(rows) - 1) / 2
+    assert tiles.agg(F.max(F.col("a") + F.col("b"))).first()[0] < 6 * 32
+
+
+def test_every_threshold(spark):
+    rows = clustered(6, 20, 5)
+    df = frame(spark, rows, "vec_id long, embedding array<double>, label int")
+    for threshold in (0.2, 0.99):
+        out = vectors.embedding_near_duplicates(df, threshold, tile=16)
+        same(out.select("vec_id", "n_links", "component_id", "kept").collect(), brute(rows, threshold))
+
+
 def test_bounds_hold():
     rng = np.random.default_rng(1)
     v = rng.normal(size=(400, 24)) * rng.uniform(1e-3, 1e3, size=(400, 1))
