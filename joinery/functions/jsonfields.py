@@ -48,10 +48,10 @@ def last_entries(parsed: Column) -> Column:
     """The entries of a parsed map with the last value of every key, in order of first
     appearance."""
     entries = F.map_entries(parsed)
-    return F.transform(
-        F.array_distinct(F.transform(entries, lambda e: e["key"])),
-        lambda k: F.element_at(F.filter(entries, lambda e: e["key"] == k), -1),
-    )
+    keys = F.array_distinct(F.map_keys(parsed))
+    last = F.transform(keys, lambda k: F.element_at(F.filter(entries, lambda e: e["key"] == k), -1))
+    # the search for each key is for the rare object that repeats one
+    return F.when(F.size(keys) == F.size(parsed), entries).otherwise(last)
 
 
 def upsert_field(parsed: Column, field: str, value: Column) -> Column:
