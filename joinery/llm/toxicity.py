@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .features import BITS, SAMPLE_ROWS, averaged, in_order, labelled_features, scored, word_grams
+from .features import BITS, SAMPLE_ROWS, averaged, in_order, labelled_features, word_grams
 from .texts import free_columns, q
 
 #: Slot of the intercept, which carries no L1 penalty.
@@ -81,11 +81,13 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text"
     kept = free_columns(docs, [out]) if carry is None else carry
     shared = docs.sparkSession.sparkContext.broadcast((model.dense(), model.bias, model.rows))
 
-    def score(slots: np.ndarray) -> tuple[float]:
+    @F.arrow_udf("double")  # only texts go to Python, only scores come back
+    def score(texts: pa.Array) -> pa.Array:
         weights, bias, rows = shared.value
-        return (_sigmoid(bias + float(weights[slots].sum())) if rows else 0.0,)
+        each = texts.cast(pa.binary()) if rows else []
+        return pa.array([_sigmoid(bias + float(weights[word_grams(x.as_py())].sum())) for x in each] or [0.0] * len(texts), pa.float64())
 
-    return scored(docs, kept, text_col, [out], score, word_grams)
+    return docs.select(*[q(c) for c in kept], score(q(text_col).cast("string")).alias(out))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id",
