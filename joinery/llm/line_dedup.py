@@ -6,22 +6,23 @@ is found too: see ``text_lines``."""
 
 from __future__ import annotations
 
-import re
 import zlib
-from array import array
 from bisect import bisect_left
-from collections import Counter, deque
+from collections import Counter
 from collections.abc import Iterator, Sequence
+from typing import NamedTuple
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .staging import staged
-from .texts import free_columns, q
+from .texts import free_columns, int64s, lists, mix64, q
 
 #: Words a line needs to count; shorter and blank lines neither match nor break a block.
 LINE_WORDS = 3
@@ -31,6 +32,8 @@ LONG_WORDS = 40
 CUT_WITHIN = 8
 #: Words an aligned block needs to be deleted.
 BLOCK_WORDS = 20
+#: Pairs whose lines are Python lists at once.
+ALIGN_ROWS = 256
 #: Kept for callers that pass it: results no longer depend on how many texts hold a line.
 RARE_TEXTS = 64
 ADDED = ("n_lines", "n_deleted", "deleted_lines")
@@ -103,18 +106,36 @@ def aligned_blocks(later: Sequence[int], earlier: Sequence[int], words: Sequence
     Patience diff takes what lies in the same order on both sides. Blocks that cross it or
     repeat have no place there, so the windows (``block_windows``) of the lines that it
     leaves are looked up anywhere in ``earlier``: together both find every common block."""
+    here = set(earlier)
+    mine = [i for i, x in enumerate(later) if x in here]
+    if sum(words[i] for i in mine) < least:
+        return []
+    # a line that the other side lacks has no match: patience diff runs on the others
+    common = {later[i] for i in mine}
+    theirs = [j for j, x in enumerate(earlier) if x in common]
     out: set[int] = set()
     block: list[int] = []
     last = None
-    for i, j in [*patience(later, earlier), (-1, -1)]:
+    pairs = patience([later[i] for i in mine], [earlier[j] for j in theirs])
+    for i, j in [*((mine[i], theirs[j]) for i, j in pairs), (-1, -1)]:
         if last is None or i != last[0] + 1 or j != last[1] + 1:
             if block and sum(words[k] for k in block) >= least:
                 out.update(block)
             block = []
         block.append(i)
         last = (i, j)
-    here = set(earlier)
-    left = [(a, b) for a, b in block_windows(words, least) if any(k not in out for k in range(a, b)) and all(x in here for x in later[a:b])]
+    if len(out) == len(mine):
+        return mine
+    # windows lie in runs of common lines
+    left: list[tuple[int, int]] = []
+    run: list[int] = []
+    for i in [*mine, len(later) + 1]:
+        if run and i != run[-1] + 1:
+            if any(k not in out for k in run):
+                of = block_windows([words[k] for k in run], least)
+                left.extend((run[0] + a, run[0] + b) for a, b in of if any(k not in out for k in range(run[0] + a, run[0] + b)))
+            run = []
+        run.append(i)
     held: dict[int, set[tuple[int, ...]]] = {}
     for a, b in left:
         if b - a not in held:
@@ -124,40 +145,108 @@ def aligned_blocks(later: Sequence[int], earlier: Sequence[int], words: Sequence
     return sorted(out)
 
 
-_SENTENCE_END = re.compile(rb"[.!?][\"')\]]*[\x20\x09-\x0D]+")
-_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
-
-
-def _picked(hashes: Sequence[int], within: int = CUT_WITHIN) -> Iterator[int]:
-    """Positions of the least of every ``within`` consecutive values, the last of equals."""
-    least: deque[int] = deque()
-    last = -1
-    for i, h in enumerate(hashes):
-        while least and hashes[least[-1]] >= h:
-            least.pop()
-        least.append(i)
-        if least[0] <= i - within:
-            least.popleft()
-        if i >= within - 1 and least[0] != last:
-            last = least[0]
-            yield last
-
-
-def _sentences(line: bytes) -> Iterator[tuple[int, int]]:
-    """``(end, words)`` of the sentences of one text line, long ones in parts."""
-    start = 0
-    for end in [*(m.end() for m in _SENTENCE_END.finditer(line)), len(line)]:
-        n = len(line[start:end].split())
-        if n > LONG_WORDS:
-            words = list(_WORD.finditer(line, start, end))
-            done = 0
-            for k in _picked([zlib.crc32(m.group()) for m in words]):
-                if k + 1 < n:
-                    yield words[k + 1].start(), k + 1 - done
-                    done = k + 1
-            n -= done
-        yield end, n
-        start = end
+#: Classes of bytes: 0 white space, 1 a line end, 2 closing marks, 3 sentence ends, 4 the rest.
+_CLASS = bytes(1 if c == 10 else 0 if c in b"\x20\x09\x0B\x0C\x0D" else 2 if c in b"\"')]" else 3 if c in b".!?" else 4 for c in range(256))
+#: Bytes of texts that are cut at once.
+CHUNK_BYTES = 1 << 18
+
+
+def _distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted ``values`` without repeats."""
+    fresh = np.ones(len(values), bool)
+    fresh[1:] = values[1:] != values[:-1]
+    return values[fresh]
+
+
+def _picked(hashes: np.ndarray, of: np.ndarray, within: int = CUT_WITHIN) -> np.ndarray:
+    """Positions of the least of every ``within`` consecutive values of one sentence, the
+    last of equals; ``of`` tells the sentence of a value."""
+    if len(hashes) < within:
+        return np.zeros(0, np.int64)
+    # the value, then the place from behind, in one number
+    keys = (hashes.astype(np.int64) << 31) - np.arange(len(hashes))
+    least = np.lib.stride_tricks.sliding_window_view(keys, within).min(axis=1)
+    return _distinct(-least[of[within - 1:] == of[:len(of) - within + 1]] & ((1 << 31) - 1))
+
+
+def _long_cuts(buffer: bytes, cuts: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Where the sentences that ``cuts`` end are cut further, if they are long."""
+    upto = np.searchsorted(begins, cuts)
+    size = np.diff(upto, prepend=0)
+    long = np.flatnonzero(size > LONG_WORDS)
+    if not len(long):
+        return cuts[:0]
+    size = size[long]
+    of = np.repeat(np.arange(len(long)), size)
+    word = np.arange(len(of)) + np.repeat(upto[long] - np.cumsum(size), size)
+    hashes = np.array([zlib.crc32(buffer[a:b]) for a, b in zip(begins[word].tolist(), ends[word].tolist())], np.int64)
+    picked = _picked(hashes, of)
+    return begins[word[picked[word[picked] + 1 < upto[long][of[picked]]]] + 1]
+
+
+class _Lines(NamedTuple):
+    """Lines of texts joined by line ends: text line (from 0 in the joined bytes), start,
+    end and words of each; where each text's lines begin, and its text lines."""
+
+    buffer: bytes
+    number: np.ndarray
+    start: np.ndarray
+    end: np.ndarray
+    words: np.ndarray
+    first: np.ndarray
+    first_number: np.ndarray
+
+
+def _cut(texts: Sequence[bytes], least: int) -> _Lines:
+    """The lines of many texts, as ``text_lines`` tells them."""
+    buffer = b"\n".join(texts)
+    kinds = np.frombuffer((buffer + b"\n").translate(_CLASS), np.uint8)
+    blank = kinds <= 1
+    # words begin and end where white space and other bytes meet
+    turns = np.flatnonzero(blank[1:] != blank[:-1]) + 1
+    if not blank[0]:
+        turns = np.concatenate([[0], turns])
+    begins, ends = turns[::2], turns[1::2]
+    # a word ends a sentence by its last byte before closing marks
+    last = ends - 1
+    closing = np.flatnonzero(kinds[last] == 2)
+    while len(closing):
+        last[closing] -= 1
+        closing = closing[(last[closing] >= begins[closing]) & (kinds[np.maximum(last[closing], 0)] == 2)]
+    stops = np.flatnonzero((kinds[np.maximum(last, 0)] == 3) & (last >= begins))
+    # its white space belongs to it as far as the line's end
+    line_ends = np.flatnonzero(kinds == 1)
+    line = np.searchsorted(line_ends, ends[stops])
+    after = np.minimum(np.append(begins, len(buffer) + 1)[stops + 1], line_ends[line])
+    inside = ends[stops] < line_ends[line]
+    cuts = _distinct(np.sort(np.concatenate([after[inside], line_ends])))
+    cuts = _distinct(np.sort(np.concatenate([cuts, _long_cuts(buffer, cuts, begins, ends)])))
+    upto = np.searchsorted(begins, cuts)
+    words = np.diff(upto, prepend=0)
+    number = np.searchsorted(line_ends, cuts)
+    stop = line_ends[number] == cuts
+    # a piece of enough words ends a line; so do short ones that together have enough
+    ended = words >= least
+    short = np.flatnonzero(~ended)
+    n, before = 0, -1
+    for i, more, stops_before in zip(short.tolist(), words[short].tolist(), stop[short - 1].tolist()):
+        n = more if i != before + 1 or stops_before else n + more
+        if n >= least:
+            ended[i] = True
+            n = 0
+        before = i
+    # what is left at the end of a text line joins the line before it there
+    left = np.flatnonzero(stop & ~ended)
+    so_far = np.flatnonzero(ended)
+    earlier = np.searchsorted(so_far, left) - 1
+    joined = so_far[earlier[(earlier >= 0)]]
+    joined = joined[number[joined] == number[left[earlier >= 0]]]
+    ended[joined] = False
+    ended[left] = True
+    end, number, stop = cuts[ended], number[ended], stop[ended]
+    start = np.concatenate([[0], (end + stop)[:-1]])
+    first_number = np.concatenate([[0], np.cumsum([t.count(b"\n") + 1 for t in texts])])
+    return _Lines(buffer, number, start, end, np.diff(upto[ended], prepend=0), np.searchsorted(number, first_number), first_number)
 
 
 def text_lines(text: bytes | None, least: int = LINE_WORDS) -> Iterator[tuple[int, int, int, int]]:
@@ -171,21 +260,8 @@ def text_lines(text: bytes | None, least: int = LINE_WORDS) -> Iterator[tuple[in
     share a passage, its sentences are cut alike whatever stands around it; without a
     sentence end it is cut alike but for ``CUT_WITHIN`` words at either end, and short
     pieces next to them."""
-    at = 0
-    for number, line in enumerate((text or b"").split(b"\n")):
-        pieces, start, n = [], 0, 0
-        for end, more in _sentences(line):
-            n += more
-            if n >= least:
-                pieces.append((start, end, n))
-                start, n = end, 0
-        if not pieces:
-            pieces.append((0, len(line), n))
-        elif start < len(line):
-            pieces[-1] = (pieces[-1][0], len(line), pieces[-1][2] + n)
-        for a, b, n in pieces:
-            yield number, at + a, at + b, n
-        at += len(line) + 1
+    cut = _cut([text or b""], least)
+    return zip(cut.number.tolist(), cut.start.tolist(), cut.end.tolist(), cut.words.tolist())
 
 
 def line_table(text: bytes | None, least: int = LINE_WORDS) -> tuple[list[int], list[int], list[int], int]:
@@ -199,29 +275,83 @@ def line_table(text: bytes | None, least: int = LINE_WORDS) -> tuple[list[int],
     return hashes, words, numbers, 0 if text is None else i + 1
 
 
-def without_lines(text: bytes, gone: Sequence[int], least: int = LINE_WORDS) -> bytes:
-    """``text`` less the lines with these numbers. A text line that loses all of itself
-    goes with its line end."""
+def _left(cut: _Lines, text: int, gone: Sequence[int]) -> bytes:
+    """A text of ``cut`` less the lines with these numbers."""
     drop, left = set(gone), {}
-    for i, (number, start, end, _) in enumerate(text_lines(text, least)):
+    own = slice(cut.first[text], cut.first[text + 1])
+    for i, (number, start, end) in enumerate(zip(cut.number[own].tolist(), cut.start[own].tolist(), cut.end[own].tolist())):
         if i not in drop:
-            left[number] = left.get(number, b"") + text[start:end]
-    return b"\n".join(left.values())
+            left.setdefault(number, []).append(cut.buffer[start:end])
+    return b"\n".join([b"".join(x) for x in left.values()])
 
 
-def window_hash(lines: Sequence[int]) -> int:
-    return xxhash.xxh64_intdigest(array("q", lines).tobytes()) >> 1
+def without_lines(text: bytes, gone: Sequence[int], least: int = LINE_WORDS) -> bytes:
+    """``text`` less the lines with these numbers. A text line that loses all of itself
+    goes with its line end."""
+    return _left(_cut([text], least), 0, gone)
+
+
+def _chunks(sizes: Sequence[int | None]) -> Iterator[tuple[int, int]]:
+    """``(first, end)`` of stretches of texts of about ``CHUNK_BYTES``."""
+    first = size = 0
+    for i, n in enumerate(sizes, 1):
+        size += n or 0
+        if size >= CHUNK_BYTES or i == len(sizes):
+            yield first, i
+            first, size = i, 0
+
+
+def _windows(words: np.ndarray, lines: np.ndarray, of: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """A hash of each of the ``block_windows`` of many texts' counting lines, and its text;
+    ``of`` tells the text of a line."""
+    n = len(words)
+    total = np.concatenate([[0], np.cumsum(words, dtype=np.int64)])
+    text_first, text_end = np.searchsorted(of, of), np.searchsorted(of, of, "right")
+    at = np.arange(n)
+    # the shortest from a line onwards, and the shortest up to one that no such one is
+    onward = np.searchsorted(total, total[:-1] + least)
+    good = onward <= text_end
+    one = at[good], onward[good]
+    up = np.searchsorted(total, total[1:] - least, "right") - 1
+    good = up >= text_first
+    two = up[good], at[good] + 1
+    other = onward[two[0]] != two[1]
+    firsts, ends = np.concatenate([one[0], two[0][other]]), np.concatenate([one[1], two[1][other]])
+    size = ends - firsts
+    hashes, values = mix64(size.astype(np.uint64)), lines.view(np.uint64)
+    for k in range(size.max(initial=0)):
+        some = np.flatnonzero(size > k)
+        hashes[some] = mix64(mix64(hashes[some]) + values[firsts[some] + k])
+    return int64s(hashes >> np.uint64(1)), of[firsts]
 
 
 def _lines(line_words: int, block_words: int):
+    def table(rows: pa.RecordBatch) -> pa.RecordBatch:
+        texts = rows.column("__text").cast(pa.binary()).to_pylist()
+        cut = _cut([t or b"" for t in texts], line_words)
+        size = np.diff(cut.first)
+        keep = cut.words >= line_words
+        of = np.repeat(np.arange(len(texts)), size)[keep]
+        lines = np.array([xxhash.xxh64_intdigest(cut.buffer[a:b].strip()) >> 1 for a, b in zip(cut.start[keep].tolist(), cut.end[keep].tolist())], np.int64)
+        words = cut.words[keep].astype(np.int32)
+        numbers = (np.arange(len(keep)) - np.repeat(cut.first[:-1], size))[keep].astype(np.int32)
+        offsets = np.searchsorted(of, np.arange(len(texts) + 1))
+        hashes, of = _windows(words, lines, of, block_words)
+        order = np.lexsort((hashes, of))
+        hashes, of = hashes[order], of[order]
+        fresh = np.ones(len(of), bool)
+        fresh[1:] = (hashes[1:] != hashes[:-1]) | (of[1:] != of[:-1])
+        hashes, of = hashes[fresh], of[fresh]
+        cols = [lists(offsets, pa.array(lines)), lists(offsets, pa.array(words)), lists(offsets, pa.array(numbers)),
+                pa.array([0 if t is None else n for t, n in zip(texts, size.tolist())], pa.int32()),
+                lists(np.searchsorted(of, np.arange(len(texts) + 1)), pa.array(hashes))]
+        return pa.RecordBatch.from_arrays([rows.column("__id"), rows.column("__th"), *cols],
+                                          names=["__id", "__th", "lines", "words", "numbers", "n_lines", "windows"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = (pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.int32(), pa.list_(pa.int64()))
         for batch in batches:
-            rows = [line_table(x.as_py(), line_words) for x in batch.column("__text").cast(pa.binary())]
-            rows = [(*r, list({window_hash(r[0][a:b]) for a, b in block_windows(r[1], block_words)})) for r in rows]
-            cols = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays([batch.column("__id"), batch.column("__th"), *cols],
-                                             names=["__id", "__th", "lines", "words", "numbers", "n_lines", "windows"])
+            for first, end in _chunks(pc.binary_length(batch.column("__text")).to_pylist()):
+                yield table(batch.slice(first, end - first))
 
     return run
 
@@ -230,11 +360,12 @@ def _align(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             th, gone = [], []
-            for row in batch.to_pylist():
-                found = aligned_blocks(row["lines"], row["other"], row["words"], least)
-                if found:
-                    th.append(row["th"])
-                    gone.append(found)
+            for first in range(0, batch.num_rows, ALIGN_ROWS):
+                for row in batch.slice(first, ALIGN_ROWS).to_pylist():
+                    found = aligned_blocks(row["lines"], row["other"], row["words"], least)
+                    if found:
+                        th.append(row["th"])
+                        gone.append(found)
             yield pa.RecordBatch.from_arrays([pa.array(th, pa.int64()), pa.array(gone, pa.list_(pa.int32()))], names=["th", "gone"])
 
     return run
@@ -286,7 +417,14 @@ def deletions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
 def _without(line_words: int):
     @F.pandas_udf(T.BinaryType())
     def run(text: pd.Series, gone: pd.Series) -> pd.Series:
-        return pd.Series([None if t is None else without_lines(t, g, line_words) for t, g in zip(text, gone)], dtype=object)
+        out: list[bytes | None] = [None] * len(text)
+        some = [i for i, t in enumerate(text) if t is not None]
+        for first, end in _chunks([len(text.iat[i]) for i in some]):
+            here = some[first:end]
+            cut = _cut([bytes(text.iat[i]) for i in here], line_words)
+            for k, i in enumerate(here):
+                out[i] = _left(cut, k, gone.iat[i])
+        return pd.Series(out, dtype=object)
 
     return run
 

@@ -2,6 +2,8 @@
 
 import random
 
+import pyarrow as pa
+
 from joinery.llm import line_dedup as ld
 from .conftest import frame
 from .test_line_dedup import lines_of
@@ -89,3 +91,21 @@ def test_passages_without_sentence_ends():
         assert sum(n[i] for i in gone) >= ld.BLOCK_WORDS, passage
         left = ld.without_lines(second, [at[i] for i in gone]).decode().split()
         assert len(left) + sum(n[i] for i in gone) == len(second.split())
+
+
+def test_many_texts_are_cut_at_once_in_chunks_of_bounded_size():
+    rnd = random.Random(31)
+    marks = [". ", "? ", "! ", "\n", ".\n", '.") ', " ", " ", " ", " ", "\t", "\r"]
+    texts = ["".join(rnd.choice(["a", "bb", "ccc"]) + rnd.choice(marks) for _ in range(rnd.choice([0, 3, 30, 300]))) for _ in range(200)]
+    texts[7], texts[8], texts[-1] = None, " \n\n", "a b c d. " * (ld.CHUNK_BYTES // 8)
+    rows = pa.RecordBatch.from_arrays([pa.array(range(200)), pa.array(range(200)), pa.array(texts)], names=["__id", "__th", "__text"])
+    whole = pa.RecordBatch.from_arrays([pa.array(range(1000)), pa.array(range(1000)), pa.array([x or " " for x in texts[:-1]] * 5 + [texts[-1]] * 5)], names=["__id", "__th", "__text"])
+    # no more than a chunk is held as Python values, whatever the batch
+    assert len(list(ld._lines(ld.LINE_WORDS, ld.BLOCK_WORDS)(iter([whole])))) > 4
+    got = [r for b in ld._lines(ld.LINE_WORDS, ld.BLOCK_WORDS)(iter([rows])) for r in b.to_pylist()]
+    assert [r["__id"] for r in got] == list(range(200))
+    for r, text in zip(got[:-1], texts):
+        held = [] if text is None else lines_of(text)
+        counting = [(i, len(p.split())) for i, (_, p) in enumerate(held) if len(p.split()) >= ld.LINE_WORDS]
+        assert r["n_lines"] == len(held) and list(zip(r["numbers"], r["words"])) == counting
+        assert len(set(r["windows"])) == len(r["windows"]) <= len(list(ld.block_windows(r["words"])))
