@@ -109,3 +109,22 @@ def test_many_texts_are_cut_at_once_in_chunks_of_bounded_size():
         counting = [(i, len(p.split())) for i, (_, p) in enumerate(held) if len(p.split()) >= ld.LINE_WORDS]
         assert r["n_lines"] == len(held) and list(zip(r["numbers"], r["words"])) == counting
         assert len(set(r["windows"])) == len(r["windows"]) <= len(list(ld.block_windows(r["words"])))
+
+
+def test_pairs_are_python_values_a_slice_at_a_time(monkeypatch):
+    rnd = random.Random(32)
+    rows = []
+    for th in range(1000):
+        other = [rnd.randrange(20) for _ in range(12)]
+        rows.append({"th": th, "lines": other[4:9] + [100, 101], "words": [rnd.randint(3, 9) for _ in range(7)], "other": other})
+    batch = pa.RecordBatch.from_pylist(rows)
+    seen = []
+    aligned = ld.aligned_blocks
+    monkeypatch.setattr(ld, "aligned_blocks", lambda *a: seen.append(1) or aligned(*a))
+    got = {r["th"]: r["gone"] for b in ld._align(ld.BLOCK_WORDS)(iter([batch])) for r in b.to_pylist()}
+    assert len(seen) == 1000 and ld.ALIGN_ROWS < 1000
+    for r in rows:
+        a, b, w = r["lines"], r["other"], r["words"]
+        want = {k for i in range(7) for j in range(i + 1, 8) if sum(w[i:j]) >= ld.BLOCK_WORDS
+                and any(b[m:m + j - i] == a[i:j] for m in range(len(b))) for k in range(i, j)}
+        assert got.get(r["th"], []) == sorted(want)
