@@ -81,7 +81,7 @@ def _aligned(left: Column, ltype: T.DataType, rtype: T.DataType) -> Column:
     return left
 
 
-_INTERNAL = re.compile(r"^__(jk|v\d+|m\d+|z\d+|mt|n)$")
+_INTERNAL = re.compile(r"^__(jk|v\d+|m\d+|z\d+|md|mt|n)$")
 
 
 def _check_internal(*dfs: DataFrame) -> None:
@@ -541,8 +541,42 @@ def _join_value(c: Column, dt: T.DataType) -> Column:
     return c
 
 
+#: More merge keys than this meet by a digest of them.
+DIGEST_KEYS = 16
+
+
+def _key_text(c: Column, dt: T.DataType) -> Column | None:
+    """A key as text that differs for different values, NULL included, and that no other
+    text begins with; None for types without such a text."""
+    if isinstance(dt, T.StringType):
+        if getattr(dt, "collation", "UTF8_BINARY") != "UTF8_BINARY":
+            return None
+        text = F.concat(F.octet_length(c).cast("string"), F.lit(":"), c.cast("string"))
+    elif isinstance(dt, T.BinaryType):
+        text = F.concat(F.hex(c), F.lit(","))
+    elif isinstance(dt, T.TimestampType):
+        text = F.concat(F.unix_micros(c).cast("string"), F.lit(","))
+    elif isinstance(dt, (T.NumericType, T.BooleanType, T.DateType, T.TimestampNTZType)):
+        text = F.concat(_join_value(c, dt).cast("string"), F.lit(","))
+    else:
+        return None
+    return F.coalesce(text, F.lit("N,"))
+
+
+def _digest(df: DataFrame, keys: Sequence[str]) -> Column | None:
+    """128 bits of SHA-256 over all keys, never NULL; None if there are few keys or one has
+    no text. So a shuffle carries 16 bytes, not every key twice and its NULL flag."""
+    if len(keys) <= DIGEST_KEYS:
+        return None
+    texts = [_key_text(F.col(_q(k)), _dtype(df, k)) for k in keys]
+    if any(t is None for t in texts):
+        return None
+    return F.coalesce(F.substring(F.unhex(F.sha2(F.concat(*texts).cast("binary"), 256)), 1, 16), F.lit(b""))
+
+
 def _merge_keys(df: DataFrame, keys: Sequence[str], null_safe: bool, side: int) -> DataFrame:
-    """Append non-nullable join-key columns ``__m0..`` and a tag ``__mt``.
+    """Append non-nullable join-key columns ``__m0..`` (of many keys one digest, ``__md``)
+    and a tag ``__mt``.
 
     With ``null_safe`` a flag ``__z<i>`` beside each key tells whether it is NULL (so
     NULL matches NULL), however many keys there are. Otherwise a row with any NULL key can never match: its tag is a hash
@@ -551,6 +585,11 @@ def _merge_keys(df: DataFrame, keys: Sequence[str], null_safe: bool, side: int)
     types = {f.name: f.dataType for f in df.schema.fields}
     cols = [F.coalesce(_join_value(F.col(_q(k)), types[k]), _sentinel(_key_type(types[k]))).alias(f"__m{i}")
             for i, k in enumerate(keys)]
+    digest = _digest(df, keys)
+    if digest is not None:
+        cols = [digest.alias("__md")]
+        if null_safe:  # NULL is in the digest, every key can match
+            return df.select("*", *cols)
     flags: list[Column] = []
     if null_safe:
         tag = F.lit(0).cast("long")
@@ -587,16 +626,18 @@ def _merge_split(a, b, keys, a_rest, b_rest, null_safe, unique=False):
     key columns, the inner join through the coalesce)."""
     ka = _merge_keys(a, keys, null_safe, 1).alias(_L)
     kb = _merge_keys(b, keys, null_safe, 2).alias(_R)
-    names = [f"__m{i}" for i in range(len(keys))] + ["__mt"]
-    if null_safe:
-        names += [f"__z{i}" for i in range(len(keys))]
+    added = [c for c in ka.columns if c not in set(a.columns)]
+    names = [*(c for c in added if not c.startswith("__z")), *(c for c in added if c.startswith("__z"))]
     cond = functools.reduce(lambda x, y: x & y, [_lcol(n) == _rcol(n) for n in names])
     atypes = {f.name: f.dataType for f in a.schema.fields}
     btypes = {f.name: f.dataType for f in b.schema.fields}
     # groupBy (not distinct) keeps the key order, so the aggregate's shuffle
     # already has the partitioning the anti join needs
-    a_keys = ka.groupBy(*[_lcol(n) for n in names]).agg(F.count(F.lit(1)).alias("__n"))
-    b_keys = kb.groupBy(*[_rcol(n) for n in names]).agg(F.count(F.lit(1)).alias("__n"))
+    if len(names) == 1 and not unique:  # one column has but one order, and nobody counts
+        a_keys, b_keys = ka.select(_lcol(names[0])).distinct(), kb.select(_rcol(names[0])).distinct()
+    else:
+        a_keys = ka.groupBy(*[_lcol(n) for n in names]).agg(F.count(F.lit(1)).alias("__n"))
+        b_keys = kb.groupBy(*[_rcol(n) for n in names]).agg(F.count(F.lit(1)).alias("__n"))
     if unique:
         a_keys = _fail_on_repeats(a_keys, names, "a", null_safe)
         b_keys = _fail_on_repeats(b_keys, names, "b", null_safe)

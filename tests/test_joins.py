@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from joinery import common_columns, enrich, enrich_hierarchy, enrich_sql, inner_sql, merge
+from joinery.operators import joins as op_joins
 
 
 def _plan(df) -> str:
@@ -291,3 +292,33 @@ def test_merge_of_sides_with_the_same_keys(spark, null_safe):
         assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
         assert "LeftAnti" not in _plan(got)
     assert merge(a.filter("false"), b.filter("false"), null_safe=null_safe, same_keys=True).count() == 0
+
+
+def test_merge_on_many_keys_shuffles_a_digest(spark):
+    """The other columns of wide keys stay out of the shuffles, whatever is read of them."""
+    import datetime as dt
+    import decimal
+
+    texts = ["", ",", "N", "N,", "1:a", "a", None, "1"]
+    kinds = [("string", texts), ("long", [0, -1, 12, None]), ("double", [0.0, -0.0, float("nan"), 1.5, None]), ("binary", [b"", b"\x00", b"N", None]),
+             ("boolean", [True, False, None]), ("date", [dt.date(2024, 2, 29), None]), ("timestamp", [dt.datetime(2024, 10, 27, 1, 30), None]),
+             ("decimal(9,2)", [decimal.Decimal("1.10"), None])]
+    width = op_joins.DIGEST_KEYS + 1
+    kinds = (kinds * 3)[:width]
+    rows = []
+    for n in range(width):
+        for value in kinds[n][1]:
+            rows.append([value if i == n else k[1][0] for i, k in enumerate(kinds)])
+    for x in texts:
+        for y in texts:
+            rows.append([x] + [k[1][0] for k in kinds[1:8]] + [y] + [k[1][0] for k in kinds[9:]])
+    ddl = ", ".join(f"k{i} {k}" for i, (k, _) in enumerate(kinds))
+    a = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], ddl + ", x long")
+    b = spark.createDataFrame([(*r, i) for i, r in enumerate(rows) if i % 3] + [(*([None] * width), -1)], ddl + ", y long")
+    for null_safe in (True, False):
+        split, plain = (merge(a, b, null_safe=null_safe, skew_split=s) for s in (True, False))
+        key = lambda df: sorted((r.x is None, r.x or 0, r.y is None, r.y or 0, str(r.k0), str(r.k8)) for r in df.select("x", "y", "k0", "k8").collect())
+        assert key(split) == key(plain)
+        plan = split.select("k1", "x", "y")._jdf.queryExecution().executedPlan().toString()
+        dealt = [line for line in plan.split("\n") if "hashpartitioning(" in line]
+        assert dealt and all("hashpartitioning(__md" in line for line in dealt)
