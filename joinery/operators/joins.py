@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from ..functions.casts import try_cast_text
 from ..functions.jsonfields import json_value
+from ..functions.keys import apart
 from .hotkeys import SHARE, frequent_values
 from .profile import DEFAULT_MAX_KEYS, broadcast_threshold, checked_broadcast
 
@@ -545,33 +546,40 @@ def _join_value(c: Column, dt: T.DataType) -> Column:
 DIGEST_KEYS = 16
 
 
-def _key_text(c: Column, dt: T.DataType) -> Column | None:
-    """A key as text that differs for different values, NULL included, and that no other
-    text begins with; None for types without such a text."""
+def _key_parts(c: Column, dt: T.DataType) -> tuple[Column, Column | None] | None:
+    """A key as a whole number (NULL for NULL) and, for kinds that are no whole numbers, the
+    bytes of which the number is the length; None for types without such a form."""
+    if isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType)):
+        return c.cast("long"), None
+    if isinstance(dt, T.DateType):
+        return F.unix_date(c).cast("long"), None
+    if isinstance(dt, T.TimestampType):
+        return F.unix_micros(c), None
     if isinstance(dt, T.StringType):
         if getattr(dt, "collation", "UTF8_BINARY") != "UTF8_BINARY":
             return None
-        text = F.concat(F.octet_length(c).cast("string"), F.lit(":"), c.cast("string"))
-    elif isinstance(dt, T.BinaryType):
-        text = F.concat(F.hex(c), F.lit(","))
-    elif isinstance(dt, T.TimestampType):
-        text = F.concat(F.unix_micros(c).cast("string"), F.lit(","))
-    elif isinstance(dt, (T.NumericType, T.BooleanType, T.DateType, T.TimestampNTZType)):
-        text = F.concat(_join_value(c, dt).cast("string"), F.lit(","))
-    else:
+    elif isinstance(dt, (T.NumericType, T.TimestampNTZType)):
+        c = _join_value(c, dt).cast("string")
+    elif not isinstance(dt, T.BinaryType):
         return None
-    return F.coalesce(text, F.lit("N,"))
+    return F.octet_length(c).cast("long"), F.coalesce(c.cast("binary"), F.lit(b""))
 
 
 def _digest(df: DataFrame, keys: Sequence[str]) -> Column | None:
     """128 bits of SHA-256 over all keys, never NULL; None if there are few keys or one has
-    no text. So a shuffle carries 16 bytes, not every key twice and its NULL flag."""
+    no bytes. So a shuffle carries 16 bytes, not every key twice and its NULL flag.
+
+    The whole numbers and lengths go in as one JSON array, whose end is its first ``]``, the
+    bytes follow: different keys give different input. The digest is computed ``apart``, as
+    an expression over so many columns is too long to be compiled in one method."""
     if len(keys) <= DIGEST_KEYS:
         return None
-    texts = [_key_text(F.col(_q(k)), _dtype(df, k)) for k in keys]
-    if any(t is None for t in texts):
+    parts = [_key_parts(F.col(_q(k)), _dtype(df, k)) for k in keys]
+    if any(p is None for p in parts):
         return None
-    return F.coalesce(F.substring(F.unhex(F.sha2(F.concat(*texts).cast("binary"), 256)), 1, 16), F.lit(b""))
+    numbers = F.to_json(F.array(*[n for n, _ in parts])).cast("binary")
+    whole = F.concat(numbers, *[text for _, text in parts if text is not None])
+    return F.coalesce(apart(F.substring(F.unhex(F.sha2(whole, 256)), 1, 16), F.lit(b"")), F.lit(b""))
 
 
 def _merge_keys(df: DataFrame, keys: Sequence[str], null_safe: bool, side: int) -> DataFrame:
@@ -645,11 +653,19 @@ def _merge_split(a, b, keys, a_rest, b_rest, null_safe, unique=False):
     both = ka.join(kb, cond, "inner").select(
         *[F.coalesce(_lcol(k), _rcol(k)).alias(k) for k in keys], *[_lcol(c) for c in a_rest], *[_rcol(c) for c in b_rest]
     )
-    only_a = ka.join(b_keys, cond, "left_anti").select(
+
+    def lacking(df, others, missing):
+        if "__md" not in names:
+            return df.join(others, cond, "left_anti")
+        # Spark moves an anti join with a small key set below an aggregate, where each row's digest is
+        # computed anew. A digest is never NULL, so this has the same rows
+        return df.join(others, cond, "left_outer").filter(missing("__md").isNull())
+
+    only_a = lacking(ka, b_keys, _rcol).select(
         *[_lcol(k).alias(k) for k in keys], *[_lcol(c) for c in a_rest],
         *[F.lit(None).cast(btypes[c]).alias(c) for c in b_rest],
     )
-    only_b = kb.join(a_keys, cond, "left_anti").select(
+    only_b = lacking(kb, a_keys, _lcol).select(
         *[_rcol(k).alias(k) for k in keys], *[F.lit(None).cast(atypes[c]).alias(c) for c in a_rest],
         *[_rcol(c) for c in b_rest],
     )

@@ -40,7 +40,7 @@ from ..operators import (
     with_profile,
     write_sketches,
 )
-from ..functions.keys import normalise
+from ..functions.keys import apart, normalise
 from ..session import shared_path
 from ..sources import (
     MULTI_LINE,
@@ -420,6 +420,8 @@ def q_json_put_mixed(spark, d):
 
 
 WIDE = 70
+#: Rows of so many keys that a task groups in memory; a row takes about 0.6 KB.
+WIDE_ROWS = 200_000
 
 
 def q_merge_wide(spark, d):
@@ -427,13 +429,16 @@ def q_merge_wide(spark, d):
     # dealt by the first key while rows have two columns: grouping by all keys needs no shuffle of 71 then.
     # The number of partitions is set, as the wide rows need more of them than these do
     base = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber")
-    base = base.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "l_orderkey")
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-base.count() // WIDE_ROWS))
+    base = base.repartition(parts, "l_orderkey")
     number = F.col("l_linenumber")
 
     def side(gap: int, label: str):
-        cols = [F.when(F.lit(i) != F.lit(60) + (number + gap) % 8, F.col("l_orderkey") % (i + 2)).alias(f"k{i}") for i in range(WIDE)]
-        return base.select("l_orderkey", "l_linenumber", *cols).groupBy("l_orderkey", *[f"k{i}" for i in range(WIDE)]).agg(
-            F.count(F.lit(1)).alias(label))
+        cols = [F.when(F.lit(i) != F.lit(60) + (number + gap) % 8, F.col("l_orderkey") % (i + 2)) for i in range(WIDE)]
+        # the keys are grouped as one array: the code of 71 grouping columns is too long to be compiled, as their projection is
+        packed = F.array(apart(cols[0], F.lit(None).cast("long")), *cols[1:])
+        rows = base.select("l_orderkey", packed.alias("keys")).groupBy("l_orderkey", "keys").agg(F.count(F.lit(1)).alias(label))
+        return rows.select("l_orderkey", *[F.get("keys", F.lit(i)).alias(f"k{i}") for i in range(WIDE)], label)
 
     return merge(side(0, "left_rows"), side(3, "right_rows"), null_safe=True).select("l_orderkey", "k62", "k63", "k64", "left_rows", "right_rows")
 

@@ -322,3 +322,57 @@ def test_merge_on_many_keys_shuffles_a_digest(spark):
         plan = split.select("k1", "x", "y")._jdf.queryExecution().executedPlan().toString()
         dealt = [line for line in plan.split("\n") if "hashpartitioning(" in line]
         assert dealt and all("hashpartitioning(__md" in line for line in dealt)
+
+
+def _longest_method(df):
+    """Bytes of the longest method in the plan's fused code; the JVM never compiles one of over 8000."""
+    code = df._jdf.queryExecution().debug().codegenToSeq()
+    return max(code.apply(i)._3().maxMethodCodeSize() for i in range(code.size()))
+
+
+@pytest.mark.parametrize("null_safe", [True, False])
+def test_merge_on_many_keys_is_compiled(spark, null_safe):
+    """The digest of wide keys is not fused into one method that the JVM only interprets."""
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # the plan as it runs, not one that still has to be made
+    try:
+        keys = [F.when(F.col("id") % 7 != i % 8, F.col("id") % (i + 2)).alias(f"k{i}") for i in range(40)]
+        texts = [F.when(F.col("id") % 5 != i % 6, F.concat(F.lit("t"), F.col("id") % (i + 2))).alias(f"t{i}") for i in range(20)]
+        frame = spark.range(60).repartition(2).select("id", *keys, *texts)
+        a, b = frame.withColumnRenamed("id", "x").distinct(), frame.filter("id % 3 <> 0").withColumnRenamed("id", "y").distinct()
+        # the frame itself is as long as it is: only what the merge adds is measured
+        own = _longest_method(a.select("x", "k1").union(b.select("y", "k1")))
+        out = merge(a, b, null_safe=null_safe).select("k1", "x", "y")
+        assert _longest_method(out) <= max(own, 8000)
+        assert "LeftAnti" not in _plan(out)
+        plain = merge(a, b, null_safe=null_safe, skew_split=False).select("k1", "x", "y")
+        assert sorted(map(str, out.collect())) == sorted(map(str, plain.collect()))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+
+
+def test_merge_wide_is_compiled(spark):
+    from conftest import SF001
+
+    from joinery.plans.catalog import QUERIES
+
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert _longest_method(QUERIES["merge_wide"](spark, SF001)) <= 8000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+
+
+def test_digests_differ_where_keys_do(spark):
+    """Lengths, NULLs and marks of neighbouring keys cannot make up for each other."""
+    import itertools
+
+    texts = ["", "a", "ab", "b", "]", "1]", ",1", None]
+    rows = list(itertools.product(texts, [b"", b"a", b"]", None], [0, 1, 11, -1, None], [1.5, -1.5, None]))
+    width = op_joins.DIGEST_KEYS - 3
+    frame = spark.createDataFrame(rows, "t string, b binary, n int, f float")
+    frame = frame.select("*", *[F.lit(None).cast("long").alias(f"k{i}") for i in range(width)])
+    assert len(frame.columns) == op_joins.DIGEST_KEYS + 1
+    digests = frame.select(op_joins._digest(frame, frame.columns).alias("md")).collect()
+    assert len({bytes(r.md) for r in digests}) == len(rows) and {len(r.md) for r in digests} == {16}
